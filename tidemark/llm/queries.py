@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import licenses, neardup, packing, quality, repeats, sketch, tokenfile, toxicity
+from tidemark.llm import decontaminate, licenses, neardup, packing, quality, repeats, sketch, tokenfile, toxicity
 from tidemark.llm.common import TOKENIZER, read
 
 
@@ -60,10 +60,14 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.round_trip(read(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(read(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_fingerprint, op3_pack, op4_licenses, op5_minhash, op7_toxicity, op8_token_files, op10_suffix_dedup)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_fingerprint, op3_pack, op4_licenses, op5_minhash, op7_toxicity, op8_token_files, op9_decontaminate, op10_suffix_dedup)}
 #: DuckDB SQL by query, where SQL can express it.
 ORACLE_SQL: dict[str, str] = {}

@@ -335,8 +335,9 @@ def smallest_by_slice(parts: DataFrame, length: int, groups: int) -> DataFrame:
     return parts.select("h", "slice", "doc_id", "last", "key", F.pmod("h", F.lit(groups)).alias("_g")).groupBy("_g").applyInArrow(run, RUNS)
 
 
-def remove_repeats(docs: DataFrame, *, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, kept, n_bytes, n_removed, n_spans) of every row; kept are the remaining bytes.
+def remove_repeats(docs: DataFrame, *, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """(doc_id, kept, n_bytes, n_removed, n_spans) of every row; kept are the remaining bytes. With ``keep``, also these
+    columns, the text, and kept_text, the remaining bytes as text without the parts of characters cut in their middle.
 
     Each byte covered by a string of ``length`` bytes that also starts in a row of a smaller id goes; strings are
     judged on the input. Null texts are empty ones. Rows of null ids neither lose bytes nor count as smaller; rows of
@@ -344,6 +345,8 @@ def remove_repeats(docs: DataFrame, *, length: int = LENGTH, id_col: str = "doc_
     """
     q = min(Q, max(1, length * 2 // 5))
     spark = docs.sparkSession
+    extra = keep or []
+    whole = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *extra).withColumn("_t", F.xxhash64("text"))
     docs = documents(docs, id_col, text_col).withColumn("_t", F.xxhash64("text"))
     known = docs.where("doc_id is not null")
     n_bytes = known.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -381,6 +384,14 @@ def remove_repeats(docs: DataFrame, *, length: int = LENGTH, id_col: str = "doc_
                     kept = np.frombuffer(raw, np.uint8)[~gone].tobytes()
                     out.append((doc, kept, len(raw), int(gone.sum()), int(np.count_nonzero(gone[1:] & ~gone[:-1]) + gone[0])))
             kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64())
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], ["doc_id", "kept", "n_bytes", "n_removed", "n_spans"])
-
-    return docs.join(cuts, ["doc_id", "_t"], "left").select("doc_id", "text", "spans", "copy").where("true").mapInArrow(run, "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long")
+            made = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)]
+            names = ["doc_id", "kept", "n_bytes", "n_removed", "n_spans"]
+            if keep is not None:
+                made += [pa.array([r[1].decode("utf-8", "ignore") for r in out]), batch["text"], *(batch[c] for c in extra)]
+                names += ["kept_text", "text", *extra]
+            yield pa.record_batch(made, names)
+
+    schema = "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long"
+    if keep is not None:
+        schema += ", kept_text string, text string" + "".join(f", `{c}` {whole.schema[c].dataType.simpleString()}" for c in extra)
+    return whole.join(cuts, ["doc_id", "_t"], "left").select("doc_id", "text", "spans", "copy", *extra).mapInArrow(run, schema)
