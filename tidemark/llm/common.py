@@ -18,6 +18,9 @@ TOKENIZER = "byte_bpe_50k.json"
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     # Python workers started from another folder find this package too; where it is installed, that changes nothing.
     spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+    # Whole texts travel in batches: smaller ones than Spark's default of 10,000 rows keep Python workers small.
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 

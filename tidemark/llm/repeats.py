@@ -222,6 +222,25 @@ def slices(docs: DataFrame, length: int, q: int) -> DataFrame:
     return docs.mapInArrow(run, "h long, slice binary, doc_id long, last long, key long, _t long, at int")
 
 
+def _segment_minima(values: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.minimum.reduceat(np.append(values, values[-1:]), np.stack([a, b], 1).ravel())[::2]
+
+
+def range_minima(values: np.ndarray, a: np.ndarray, b: np.ndarray, block: int = 64) -> np.ndarray:
+    """Least value of each range a..b (b not included, a < b); long ranges read minima of whole blocks."""
+    out = np.empty(len(a), values.dtype)
+    far = b - a > 4 * block
+    if not far.all():
+        out[~far] = _segment_minima(values, a[~far], b[~far])
+    if far.any():
+        x, y = a[far], b[far]
+        left, right = -(-x // block), y // block
+        whole = np.minimum.reduceat(values, np.arange(0, len(values), block))
+        inner = _segment_minima(whole, left, right)
+        out[far] = np.minimum(inner, np.minimum(_segment_minima(values, x, np.maximum(left * block, x + 1)), _segment_minima(values, np.minimum(right * block, y - 1), y)))
+    return out
+
+
 def collection(strings: list[bytes], folder: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(string, offset, common prefix with the suffix before) of all suffixes of the strings in sorted order.
 
@@ -267,8 +286,7 @@ def collection(strings: list[bytes], folder: str) -> tuple[np.ndarray, np.ndarra
         for has, a, b in ((has_left, left, at), (has_right, at, right)):
             out = np.zeros(len(s), np.int64)
             if has.any():
-                pair = np.stack([a[has] + 1, b[has] + 1], 1).ravel()
-                out[has] = np.minimum(np.minimum.reduceat(lcp, pair)[::2].astype(np.int64) + 1, 255)
+                out[has] = np.minimum(range_minima(lcp, a[has] + 1, b[has] + 1).astype(np.int64) + 1, 255)
             common.append(out)
         start = lens[s] - j
         size = n + len(s)
@@ -282,7 +300,8 @@ def collection(strings: list[bytes], folder: str) -> tuple[np.ndarray, np.ndarra
         inside = after < size
         new["lcp"][after[inside]] = common[1][inside]
         new["lcp"][size] = 0
-        live = start > 0
+        live = np.flatnonzero(start > 0)
+        live = live[np.argsort(place[live])]  # places in order keep the ranges of the next round apart
         at, s, now, n = place[live], s[live], new, size
     return tuple(np.array(now[name][:n]) for name in ("string", "offset", "lcp"))
 
