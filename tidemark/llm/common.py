@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 import uuid
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -53,8 +54,10 @@ def settle(df: DataFrame, name: str) -> DataFrame:
 
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of plans that nothing refers to any more."""
-    gc.collect()
-    spark._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.5)  # the cleaner works beside this thread
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

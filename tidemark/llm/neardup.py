@@ -4,8 +4,8 @@ A document's set is its distinct shingles of k words. Documents of equal sets fo
 goes on. Hashes of the set fall into ``BINS`` bins, whose smallest ones make the signature; an empty bin takes the
 value of a bin chosen by hashing (bin, attempt). Bands of a signature name buckets; in a bucket every member is a
 candidate of the smallest one only, so candidates stay in proportion to members. Candidates are confirmed on whole
-sets. Members that their star's centre doesn't confirm meet those of other components in a later round, so that no
-link between different components is lost.
+sets. Where a bucket's members then stand in different components, further stars with other centres follow, and at last
+members of different components are compared pair by pair, so that no link between different components is lost.
 """
 
 from __future__ import annotations
@@ -159,7 +159,7 @@ def components(links: DataFrame) -> DataFrame:
         before = now
 
 
-def groups(docs: DataFrame, *, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def groups(docs: DataFrame, *, k: int = 5, percent: int = 80, rounds: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept, class_id) of every row.
 
     component_id is the smallest id reachable over links of sets with 100 * intersection >= percent * union; a row
@@ -181,28 +181,35 @@ def groups(docs: DataFrame, *, k: int = 5, percent: int = 80, id_col: str = "doc
     # The whole texts move once; what follows reads those of bucket members only.
     texts = settle(docs.join(buckets.select(F.col("rep").alias("doc_id")).distinct(), "doc_id").dropDuplicates(["doc_id"]), "texts")
     links = settle(confirm(settle(stars, "stars"), texts, k, percent), "links")
-    if member.where("doc_id <> rep").limit(1).count() or links.limit(1).count():
-        own = member.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-        parts = components(own.union(links))
-        # What is left: members of one bucket that stand in different components and are no star.
+    parts = components(member.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).union(links))
+
+    def open_buckets() -> DataFrame:
+        """Members of buckets of more than two that stand in different components."""
         placed = buckets.join(parts.withColumnRenamed("node", "rep"), "rep", "left").withColumn("part", F.coalesce("component", "rep"))
-    else:
-        own, parts = None, None
-        placed = buckets.withColumn("part", F.col("rep"))
-    mixed = placed.groupBy("band").agg(F.min("part").alias("p0"), F.max("part").alias("p1"), F.count("*").alias("size")).where("p0 <> p1 and size > 2").select("band")
-    left = settle(placed.join(mixed, "band").select("band", "rep", "n", "part", "a"), "open")
-    x, y = left.alias("x"), left.alias("y")
+        mixed = placed.groupBy("band").agg(F.min("part").alias("p0"), F.max("part").alias("p1"), F.count("*").alias("size")).where("p0 <> p1 and size > 2").select("band")
+        return placed.join(mixed, "band").select("band", "rep", "n", "part", "a")
+
+    def merge(pairs: DataFrame, name: str) -> DataFrame:
+        more = settle(confirm(settle(pairs.distinct(), name), texts, k, percent), name + "-links")
+        return components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)) if more.limit(1).count() else parts
+
     near = f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)"
-    open_pairs = x.join(y, (F.col("x.band") == F.col("y.band")) & F.expr(f"x.rep < y.rep and x.part <> y.part and x.rep <> x.a and {near}")).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
-    more = settle(confirm(settle(open_pairs, "open-pairs"), texts, k, percent), "more-links")
-    if more.limit(1).count():
-        found = more if parts is None else parts.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)
-        parts = components(found)
+    for r in range(rounds):
+        # Another star in each open bucket: one member of each component, by a hash of this round, with that of the largest.
+        left = settle(open_buckets(), "open")
+        if not left.limit(1).count():
+            break
+        chosen = left.groupBy("band", "part").agg(F.count("*").alias("size"), F.min(F.struct(F.xxhash64("rep", "band", F.lit(r)).alias("h"), "rep", "n")).alias("m")).select("band", "part", "size", "m.rep", "m.n")
+        head = chosen.groupBy("band").agg(F.max(F.struct("size", "part", "rep", "n")).alias("m")).select("band", F.col("m.part").alias("part"), F.col("m.rep").alias("rep"), F.col("m.n").alias("n"))
+        pairs = head.alias("x").join(chosen.alias("y"), (F.col("x.band") == F.col("y.band")) & F.expr(f"x.part <> y.part and {near}"))
+        parts = merge(pairs.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")), f"star-{r}")
+    # What is still open is compared whole: members of one bucket in different components that no first star compared.
+    left = settle(open_buckets(), "open")
+    x, y = left.alias("x"), left.alias("y")
+    pairs = x.join(y, (F.col("x.band") == F.col("y.band")) & F.expr(f"x.rep < y.rep and x.part <> y.part and x.rep <> x.a and {near}")).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
+    parts = merge(pairs, "open-pairs")
     out = made.join(member.select("doc_id", F.col("rep").alias("class_id")).dropDuplicates(["doc_id"]), "doc_id", "left")
-    if parts is not None:
-        out = out.join(parts.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-    else:
-        out = out.withColumn("component", F.lit(None).cast("long"))
+    out = out.join(parts.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     component = F.coalesce("component", "doc_id")
     release(docs.sparkSession)
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), (component == F.col("doc_id")).alias("kept"), "class_id")

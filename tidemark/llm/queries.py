@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, licenses, neardup, packing, quality, repeats, sketch, tokenfile, toxicity
+from tidemark.llm import decontaminate, language_model, licenses, neardup, packing, quality, repeats, sketch, tokenfile, toxicity
 from tidemark.llm.common import TOKENIZER, read
 
 
@@ -51,6 +51,10 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.groups(read(spark, sf_dir, "documents"), k=2, percent=80).select("doc_id", "n_shingles", "component_id", "kept", "class_id")
 
 
+def op6_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score(read(spark, sf_dir, "documents"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
     return _scored(toxicity.score(docs, toxicity.fit(docs, labels.where(~held_out(5, 0)))), 5, 0)
@@ -68,6 +72,6 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(read(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_fingerprint, op3_pack, op4_licenses, op5_minhash, op7_toxicity, op8_token_files, op9_decontaminate, op10_suffix_dedup)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_fingerprint, op3_pack, op4_licenses, op5_minhash, op6_lm_scores, op7_toxicity, op8_token_files, op9_decontaminate, op10_suffix_dedup)}
 #: DuckDB SQL by query, where SQL can express it.
 ORACLE_SQL: dict[str, str] = {}
