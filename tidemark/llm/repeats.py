@@ -374,10 +374,10 @@ def remove_repeats(docs: DataFrame, *, length: int = LENGTH, id_col: str = "doc_
     same = known.where(F.octet_length("text") >= length).groupBy(F.xxhash64("text").alias("_t"), F.md5("text").alias("_m")).agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("_t", "_m", "least")
     first = known.select("doc_id", "_t", F.md5("text").alias("_m")).join(same, ["_t", "_m"]).where("doc_id > least").select("doc_id", "_t").distinct()
     copies = settle(first, "copies")
-    found = repeated_anchors(asked).groupBy("doc_id", "_t").agg(F.collect_list("hashes").alias("found"))
-    found = found.join(copies, ["doc_id", "_t"], "left_anti")
+    answers = repeated_anchors(asked).withColumn("_copy", F.lit(False)).unionByName(copies.select("doc_id", "_t", F.lit(None).cast("binary").alias("hashes"), F.lit(True).alias("_copy")))
+    found = answers.groupBy("doc_id", "_t").agg(F.collect_list("hashes").alias("found"), F.max("_copy").alias("_copy")).where("not _copy").drop("_copy")
     parts = settle(slices(known.join(found, ["doc_id", "_t"]), length, q), "slices")
-    del found, asked
+    del answers, found, asked
     release(spark)
     distinct = parts.where("slice is not null")
     runs = smallest_by_slice(distinct, length, max(shuffle_partitions(spark), distinct.count() // 60_000))
