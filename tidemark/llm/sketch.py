@@ -4,7 +4,7 @@ A paragraph is a line, long ones cut after every ``WORDS`` words; the same parag
 (numbered by occurrence). Its 64-bit digest goes into three cells of a sketch: a count, an exclusive-or of
 digests and one of check sums. Sketches of two versions subtract cell by cell, and peeling (cells that hold one
 digest, again and again) recovers the digests in which they differ. If peeling gets stuck, both are made again
-with twice the cells.
+with four times the cells.
 """
 
 from __future__ import annotations
@@ -95,7 +95,7 @@ def difference(a: np.ndarray, b: np.ndarray, own: tuple | None = None, other: tu
         return np.empty(0, np.uint64), np.empty(0, np.uint64), CELLS
     # A difference is at least as large as the sizes differ; smaller sketches can't hold it.
     for k in count():
-        cells = CELLS << k
+        cells = CELLS << 2 * k
         if cells >= abs(len(a) - len(b)):
             pair = (own, other) if k == 0 and own and other else (build(a, cells), build(b, cells))
             if (found := peel(subtract(*pair))) is not None:
