@@ -6,7 +6,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from tidemark.plans import catalog
+from tidemark.plans import catalog, serving
 
 SF = "/root/testdata/sf0.001"
 
@@ -22,6 +22,9 @@ def rows(names, data):
     return sorted((tuple(plain(r[i]) for i in order) for r in data), key=str)
 
 
+assert serving.__name__  # its queries are in the catalog
+
+
 @pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query(spark, name):
     got = catalog.QUERIES[name](spark, SF)
