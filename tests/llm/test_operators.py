@@ -240,6 +240,37 @@ def test_decontamination(spark, rows, docs, empty):
     assert decontaminate.contaminated(empty, bench).count() == 0 and decontaminate.contaminated(docs, bench.limit(0)).count() == 0
 
 
+def test_decontamination_of_long_items(spark):
+    r = random.Random(8)
+    vocab = ["".join(r.choice("abcdefghij") for _ in range(5)) for _ in range(3000)]
+    text = lambda n: [r.choice(vocab) for _ in range(n)]
+    long, middle, short = text(400), text(100), text(12)
+    edited = [w if k % 6 else "other" for k, w in enumerate(long)]
+    docs = {1: text(700) + long + text(300), 2: text(90) + middle[25:75] + text(90), 3: text(50) + edited, 4: text(2000), 5: text(77) + short + text(40), 6: text(33) + long[170:234] + text(9), 7: long[:15] + text(100)}
+    bench = spark.createDataFrame([(1, " ".join(long)), (2, " ".join(middle)), (3, " ".join(short))], "item_id long, text string")
+    table = spark.createDataFrame([(i, " ".join(w)) for i, w in docs.items()], "doc_id long, text string")
+    got = {(x.doc_id, x.item_id): x for x in decontaminate.contaminated(table, bench).collect()}
+    assert set(got) == {(1, 1), (2, 2), (3, 1), (5, 3), (6, 1)}
+    assert got[1, 1].lcs == 1 and got[3, 1].lcs > 0.8 and got[2, 2].first_word <= 90 and got[2, 2].last_word >= 139
+
+
+def test_decontamination_recall(spark):
+    """Every document and item of a whole table with a common subsequence in a stretch of twice the item's length."""
+    folder = "/root/testdata/sf0.01"
+    docs, bench = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/benchmark.parquet")
+    items = [(x.item_id, decontaminate.words(x.text)) for x in bench.collect()]
+    got, want = {(x.doc_id, x.item_id) for x in decontaminate.contaminated(docs, bench).collect()}, set()
+    for d in docs.collect():
+        ws = decontaminate.words(d.text)
+        for i, own in items:
+            n, held = len(own), Counter(own)
+            for k in range(0, max(1, len(ws) - n), n):
+                part = ws[k : k + 2 * n]
+                if (held & Counter(part)).total() >= 0.75 * n and decontaminate.common(own, part) >= 0.75 * n:
+                    want.add((d.doc_id, i))
+    assert want and want <= got
+
+
 def test_common_subsequence():
     r = random.Random(2)
     for _ in range(50):
