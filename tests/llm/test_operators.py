@@ -111,6 +111,38 @@ def test_language_model(rows, docs, empty):
     assert language_model.score(empty).count() == 0
 
 
+@pytest.mark.parametrize("order", [1, 3, 4])
+def test_language_model_orders(rows, docs, spark, order):
+    phrase = " ".join(rows[1][1].split()[:9])
+    rows = [*rows, *((1000 + i, f"{phrase} {phrase} tail{i}") for i in range(40)), (2000, "\n "), (5, phrase)]
+    more = docs.select("doc_id", "text").unionByName(spark.createDataFrame(rows[-42:], "doc_id long, text string")).union(spark.createDataFrame([(None, "not counted")], "doc_id long, text string"))
+    texts = {}
+    for i, t in rows:
+        texts.setdefault(i, []).append([None, *neardup.words(t)] if neardup.words(t) else [])
+    grams = lambda w, k: [tuple(w[max(0, k - m + 1) : k + 1]) for m in range(1, min(order, k + 1) + 1)]
+    own = {i: Counter(g for w in ws for k in range(len(w)) for g in grams(w, k)) for i, ws in texts.items()}
+    total = sum(own.values(), Counter())
+    n = sum(c for g, c in total.items() if len(g) == 1 and g != (None,))
+    got = {r.doc_id: r for r in language_model.score(more, order=order, chunk=700, bucket=900).collect()}
+    assert set(got) == set(texts)
+    for i, ws in texts.items():
+        want, size = 0.0, 0
+        for w in ws:
+            for k in range(1, len(w)):
+                gs, size = grams(w, k), size + 1
+                g = next((g for g in gs[:0:-1] if total[g] > own[i][g]), gs[0])
+                part = (total[g] - own[i][g]) / total[g[:-1]] if len(g) > 1 else total[g] / n
+                want += math.log(part * 0.4 ** (len(gs) - len(g)))
+        assert got[i].n_words == size and abs(got[i].log_score - want) < 1e-4
+
+
+def test_language_model_hot_pairs_meet_once_a_chunk(spark):
+    table = spark.createDataFrame([(i, "same pair " * 50, i % 4) for i in range(200)], "doc_id long, text string, chunk int")
+    for order in (1, 2, 3):
+        asks = language_model.asked(table, order, 1).collect()
+        assert len(asks) == 4 and all(len(r.grams) == 6 * 3 for r in asks)
+
+
 def test_fingerprints(rows, docs, empty):
     got = {r.doc_id: r for r in sketch.fingerprints(docs).collect()}
     order = sorted(rows, reverse=True)

@@ -1,18 +1,17 @@
-"""Language-model scores: stupid backoff over counts of words and pairs of words, left-one-out, summed by document.
+"""Language-model scores: stupid backoff over counts of n-grams up to an order, left-one-out, summed by document.
 
-A word given the one before has the score (c(pair) - own) / c(word before), where own are the pairs of the document
-itself; if no other document holds the pair, ALPHA * c(word) / N. The first word of a document follows a start word.
+A word given the ones before has the score (c(gram) - own) / c(gram without its last word), where own are the grams of
+the document itself, for the longest gram that another document holds; each order less costs a factor ALPHA, and the
+last resort is c(word) / N. A document follows a start word, with which grams may begin.
 
-Counts and occurrences meet by hash. An occurrence goes to the bucket of its word; a word of at least 1 / HOT of all
-words (there are HOT of these at most, whatever the input) would make a bucket large, so occurrences of hot words go
-by the pair, and hot counts travel with the tasks. A bucket holds all occurrences of its pairs, so it knows c(pair),
-own and c(word). The counts of cold words before are looked up in a second step, in the word table's buckets.
+Documents are dealt into chunks by a hash of their ids. A chunk asks for each of its distinct grams once, with its own
+count, whatever the number of its documents that hold it, and the hash of the gram names a bucket. A bucket adds up the
+counts of each gram and answers every chunk, in the order asked. So the occurrences of a gram never meet: the most
+frequent one is a number for each chunk. The chunk, met with its answers, scores its documents.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -22,9 +21,11 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import documents, release, settle, shuffle_partitions
 from tidemark.llm.neardup import words
 
-ALPHA, HOT = 0.4, 10_000
+ALPHA = 0.4
 #: Words are known by 48 bits of a hash; this one starts a document.
 START = np.uint64((1 << 48) - 1)
+#: Bytes of text a chunk and a bucket.
+CHUNK, BUCKET = 4 << 20, 6 << 20
 
 
 def _pack(h: np.ndarray) -> bytes:
@@ -64,158 +65,116 @@ def _runs(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first, np.diff(np.r_[first, len(x)])
 
 
-def word_counts(docs: DataFrame, buckets: int) -> DataFrame:
-    """(bucket, words, counts) of all words, a row for each bucket."""
+class _Grams:
+    """The words of a chunk in a row, each text after a start word, and the grams that end at each, by order."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _Hashes()
-        for batch in batches:
-            w, n = np.unique(np.concatenate([hashes(t) for t in batch["text"].to_pylist()]), return_counts=True)
-            b = (w % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(b, kind="stable")
-            first, size = _runs(b[order])
-            rows = [(int(b[order[i]]), _pack(w[order[i : i + k]]), n[order[i : i + k]].astype("<i8").tobytes()) for i, k in zip(first, size, strict=True)]
-            if rows:
-                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.binary(), pa.binary()), strict=True)], ["bucket", "words", "counts"])
-
-    def total(key, table):
-        w = np.concatenate([_unpack(x) for x in table["words"].to_pylist()])
-        n = np.concatenate([np.frombuffer(x, "<i8") for x in table["counts"].to_pylist()])
-        own, at = np.unique(w, return_inverse=True)
-        sums = np.bincount(at, n).astype("<i8")
-        return pa.table([pa.array([key[0].as_py()], pa.int32()), pa.array([_pack(own)], pa.binary()), pa.array([sums.tobytes()], pa.binary())], ["bucket", "words", "counts"])
-
-    schema = "bucket int, words binary, counts binary"
-    return docs.mapInArrow(count, schema).groupBy("bucket").applyInArrow(total, schema)
-
-
-def occurrences(docs: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame:
-    """Every word with the one before, by bucket and word: (bucket, words, counts, before, docs, which)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def __init__(self, texts: list[str | None], order: int):
         hashes = _Hashes()
-        for batch in batches:
-            each = [hashes(t) for t in batch["text"].to_pylist()]
-            sizes = np.array([len(x) for x in each], np.int64)
-            if not sizes.sum():
-                continue
-            w, d = np.concatenate(each), np.repeat(np.arange(len(each)), sizes)
-            before = np.r_[START, w[:-1]]
-            before[(np.cumsum(sizes) - sizes)[sizes > 0]] = START
-            b = (np.where(np.isin(w, hot), _mix(before, w), w) % np.uint64(buckets)).astype(np.int64)
-            order = np.lexsort((w, b))
-            w, d, before, b = w[order], d[order], before[order], b[order]
-            ids = batch["doc_id"].to_numpy()
-            rows = []
-            for i, k in zip(*_runs(b), strict=True):
-                own, which = np.unique(d[i : i + k], return_inverse=True)
-                first, size = _runs(w[i : i + k])
-                rows.append((int(b[i]), _pack(w[i : i + k][first]), size.astype("<u4").tobytes(), _pack(before[i : i + k]), ids[own].astype("<i8").tobytes(), which.astype("<u2" if len(own) < 65536 else "<u4").tobytes()))
-            kinds = (pa.int32(), *[pa.binary()] * 5)
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], ["bucket", "words", "counts", "before", "docs", "which"])
-
-    return docs.mapInArrow(run, "bucket int, words binary, counts binary, before binary, docs binary, which binary")
-
-
-def _by_document(docs: np.ndarray, values: np.ndarray) -> tuple[bytes, bytes, bytes]:
-    own, at = np.unique(docs, return_inverse=True)
-    return own.astype("<i8").tobytes(), np.bincount(at, values, len(own)).tobytes(), np.bincount(at, minlength=len(own)).astype("<i8").tobytes()
-
-
-def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+        each = [hashes(t) for t in texts]
+        self.sizes = np.array([len(x) for x in each], np.int64)
+        w = np.concatenate([np.r_[START, x] for x in each if len(x)] or [np.empty(0, np.uint64)])
+        n = self.sizes[self.sizes > 0] + 1
+        #: Place in the text; 0 is the start word.
+        self.place = np.arange(len(w)) - np.repeat(np.cumsum(n) - n, n)
+        with np.errstate(over="ignore"):
+            self.by_order = [_mix(w, np.full(len(w), 1, np.uint64))]
+            for m in range(2, order + 1):
+                g = np.zeros(len(w), np.uint64)
+                g[1:] = _mix(self.by_order[-1][:-1], w[1:]) + np.uint64(m)
+                self.by_order.append(g)
+
+    def distinct(self, m: int, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Places with a gram of this order; the buckets, hashes and counts of distinct grams, sorted; and which one stands at each place."""
+        at = np.flatnonzero(self.place >= m - 1)
+        g = self.by_order[m - 1][at]
+        b = (g & np.uint64(0xFFFF)) % np.uint64(buckets)
+        # The bucket leads the key; 48 bits of the hash follow.
+        key, which, n = np.unique((b << np.uint64(48)) | (g >> np.uint64(16)), return_inverse=True, return_counts=True)
+        return at, key, which, n
+
+
+ASKED = "bucket int, chunk int, gram_order int, grams binary, counts binary, n_words long"
+ANSWERED = "chunk int, bucket int, gram_order int, totals binary, n_words long"
+
+
+def asked(docs: DataFrame, m: int, buckets: int) -> DataFrame:
+    """The distinct grams of m words of each chunk with their counts, by bucket."""
+
+    def run(key, table):
+        grams, rows = _Grams(table["text"].to_pylist(), m), []
+        _, k, _, n = grams.distinct(m, buckets)
+        for i, size in zip(*_runs(k >> np.uint64(48)), strict=True):
+            part = np.ascontiguousarray(np.frombuffer(_pack(k[i : i + size]), np.uint8).reshape(-1, 6).T)  # equal high bytes side by side are small when compressed
+            rows.append((int(k[i] >> np.uint64(48)), key[0].as_py(), m, part.tobytes(), n[i : i + size].astype("<u4").tobytes(), 0 if rows else int(grams.sizes.sum())))
+        kinds = (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int64())
+        columns = list(zip(*rows, strict=True)) or [()] * 6
+        return pa.table([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], [x.split()[0] for x in ASKED.split(", ")])
+
+    return docs.groupBy("chunk").applyInArrow(run, ASKED)
+
+
+def answered(asks: DataFrame) -> DataFrame:
+    """The total counts of the grams of each chunk and bucket, in their order; chunk -1 has the words of a bucket's rows."""
+
+    def run(key, table):
+        m = table["gram_order"][0].as_py()
+        each = [_unpack(np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(6, -1).T).tobytes()) for x in table["grams"].to_pylist()]
+        own, which = np.unique(np.concatenate(each), return_inverse=True)
+        totals = np.bincount(which, np.concatenate([np.frombuffer(x, "<u4") for x in table["counts"].to_pylist()]), len(own)).astype("<i8")[which]
+        cuts = np.cumsum([len(x) for x in each])[:-1]
+        rows = [(-1, key[0].as_py(), m, b"", sum(table["n_words"].to_pylist()))]
+        rows += [(c, key[0].as_py(), m, x.tobytes(), 0) for c, x in zip(table["chunk"].to_pylist(), np.split(totals, cuts), strict=True)]
+        kinds = (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.int64())
+        return pa.table([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], [x.split()[0] for x in ANSWERED.split(", ")])
+
+    return asks.groupBy("bucket").applyInArrow(run, ANSWERED)
+
+
+def score(docs: DataFrame, *, order: int = 2, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK, bucket: int = BUCKET) -> DataFrame:
     """(doc_id, n_words, log_score, mean_log_score): one row for each id, natural logarithms, rounded to 6 places.
 
-    Words are runs of other than ASCII white space, A-Z lower-cased. Rows of one id are one document; ids without
-    words have 0 words, a sum of 0 and a null mean; null ids are left out. An empty table gives no rows.
+    Words are runs of other than ASCII white space, A-Z lower-cased; grams have up to ``order`` words. Rows of one id
+    are one document, in which each row follows a start word; ids without words have 0 words, a sum of 0 and a null
+    mean; null ids are left out. An empty table gives no rows.
     """
     docs = documents(docs, id_col, text_col).where("doc_id is not null")
     spark = docs.sparkSession
-    n_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(shuffle_partitions(spark), n_bytes // (6 << 20))
-    table = settle(word_counts(docs, buckets), "words")
-
-    def frequent(at_least: int):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for ws, ns in zip(batch["words"].to_pylist(), batch["counts"].to_pylist(), strict=True):
-                    w, n = _unpack(ws), np.frombuffer(ns, "<i8")
-                    keep = n >= at_least
-                    total = n.sum()
-                    yield pa.record_batch([pa.array(np.r_[-1, w[keep].astype(np.int64)]), pa.array(np.r_[total, n[keep]])], ["word", "n"])
-
-        return table.mapInArrow(run, "word long, n long")
-
-    total = frequent(1 << 62).agg(F.sum("n")).first()[0] or 0
-    found = frequent(max(1, -(-total // HOT))).where("word >= 0").collect()  # at most HOT rows
-    hot_rows = sorted((r.word, r.n) for r in found)
-    hot, hot_n = np.array([w for w, _ in hot_rows], np.uint64), np.array([n for _, n in hot_rows], np.int64)
-    n_docs = docs.select("doc_id", "text").where(F.length(F.trim("text")) > 0).count() or 1
-
-    def hot_counts(w: np.ndarray) -> np.ndarray:
-        """Counts of hot words and of the start; 0 for others."""
-        at = np.minimum(np.searchsorted(hot, w), max(0, len(hot) - 1))
-        out = np.where(hot[at] == w, hot_n[at], 0) if len(hot) else np.zeros(len(w), np.int64)
-        return np.where(w == START, n_docs, out)
-
-    def meet(key, t):
-        w, before, doc = [], [], []
-        for ws, ns, bs, ds, at in zip(*(t[c].to_pylist() for c in ("words", "counts", "before", "docs", "which")), strict=True):
-            own = np.frombuffer(ds, "<i8")
-            w.append(np.repeat(_unpack(ws), np.frombuffer(ns, "<u4")))
-            before.append(_unpack(bs))
-            doc.append(own[np.frombuffer(at, "<u2" if len(own) < 65536 else "<u4")])
-        w, before, doc = np.concatenate(w), np.concatenate(before), np.concatenate(doc)
-        pair = _mix(before, w)
-        order = np.lexsort((doc, pair))
-        w, before, doc, pair = w[order], before[order], doc[order], pair[order]
-        first, size = _runs(pair)
-        c = np.repeat(size, size)
-        same = np.r_[False, (pair[1:] == pair[:-1]) & (doc[1:] == doc[:-1])]
-        first = np.flatnonzero(~same)
-        own = np.repeat(np.diff(np.r_[first, len(pair)]), np.diff(np.r_[first, len(pair)]))
-        c_word = hot_counts(w)
-        cold = np.flatnonzero(c_word == 0)
-        _, at, n = np.unique(w[cold], return_inverse=True, return_counts=True)
-        c_word[cold] = n[at]
-        c_before = hot_counts(before)
-        seen = c > own
-        value = np.where(seen, np.log(np.maximum(c - own, 1)) - np.log(np.maximum(c_before, 1)), np.log(ALPHA * c_word / max(1, total)))
-        rows = [(-1, b"", *_by_document(doc, value))]
-        ask = np.flatnonzero(seen & (c_before == 0))
-        b = (before[ask] % np.uint64(buckets)).astype(np.int64)
-        by = np.lexsort((before[ask], b))
-        ask, b = ask[by], b[by]
-        for i, k in zip(*_runs(b), strict=True):
-            rows.append((int(b[i]), _pack(before[ask[i : i + k]]), doc[ask[i : i + k]].astype("<i8").tobytes(), b"", b""))
-        kinds = (pa.int32(), *[pa.binary()] * 4)
-        return pa.table([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["bucket", "words", "docs", "sums", "counts"])
-
-    schema = "bucket int, words binary, docs binary, sums binary, counts binary"
-    met = settle(occurrences(docs, hot, buckets).groupBy("bucket").applyInArrow(meet, schema), "met")
-    release(spark)
-
-    def look_up(key, t):
-        known, n, asked, doc = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
-        for ws, ds, ns in zip(*(t[c].to_pylist() for c in ("words", "docs", "counts")), strict=True):
-            if ds:
-                asked.append(_unpack(ws)), doc.append(np.frombuffer(ds, "<i8"))
-            else:
-                known.append(_unpack(ws)), n.append(np.frombuffer(ns, "<i8"))
-        known, n, asked, doc = map(np.concatenate, (known, n, asked, doc))
-        order = np.argsort(known)
-        value = -np.log(n[order][np.searchsorted(known[order], asked)]) if len(asked) else np.empty(0)
-        own, sums, _ = _by_document(doc, value)
-        return pa.table([pa.array([x], k) for x, k in ((-1, pa.int32()), (b"", pa.binary()), (own, pa.binary()), (sums, pa.binary()), (bytes(len(own)), pa.binary()))], ["bucket", "words", "docs", "sums", "counts"])
-
-    asked = met.where("bucket >= 0")
-    second = asked.unionByName(table.select("bucket", "words", F.lit(b"").alias("docs"), F.lit(b"").alias("sums"), "counts")).groupBy("bucket").applyInArrow(look_up, schema)
-
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for ds, ss, ns in zip(*(batch[c].to_pylist() for c in ("docs", "sums", "counts")), strict=True):
-                yield pa.record_batch([pa.array(np.frombuffer(ds, "<i8")), pa.array(np.frombuffer(ss)), pa.array(np.frombuffer(ns, "<i8"))], ["doc_id", "s", "n"])
-
-    sums = met.where("bucket < 0").unionByName(second).mapInArrow(spread, "doc_id long, s double, n long").groupBy("doc_id").agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
-    out = docs.select("doc_id").distinct().join(sums, "doc_id", "left")
-    n = F.coalesce("n", F.lit(0))
-    return out.select("doc_id", n.alias("n_words"), F.round(F.coalesce("s", F.lit(0.0)), 6).alias("log_score"), F.round(F.when(n > 0, F.col("s") / n), 6).alias("mean_log_score"))
+    n_bytes, least = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0, 2 * shuffle_partitions(spark)
+    buckets = min(1 << 16, max(least, n_bytes // bucket))
+    docs = docs.withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.lit(max(least, n_bytes // chunk))).cast("int"))
+    answers = None
+    for m in range(1, order + 1):
+        # One order at a time: the shuffle files of one are gone before the next.
+        found = settle(answered(asked(docs, m, buckets)), "answers")
+        answers = found if answers is None else answers.unionByName(found)
+        release(spark)
+    total = answers.where("chunk < 0 and gram_order = 1").agg(F.sum("n_words")).first()[0] or 0
+
+    def run(key, texts, answers):
+        ids, doc = np.unique(texts["doc_id"].to_numpy(), return_inverse=True)
+        grams = _Grams(texts["text"].to_pylist(), order)
+        n_words = np.bincount(doc, grams.sizes, len(ids)).astype(np.int64)
+        d = np.repeat(doc[grams.sizes > 0], grams.sizes[grams.sizes > 0] + 1)
+        known: dict[int, list[tuple[int, bytes]]] = {}
+        for b, m, x in zip(*(answers[c].to_pylist() for c in ("bucket", "gram_order", "totals")), strict=True):
+            known.setdefault(m, []).append((b, x))
+        counts, own = [], []
+        for m in range(1, order + 1):
+            at, k, which, _ = grams.distinct(m, buckets)
+            totals = np.frombuffer(b"".join(x for _, x in sorted(known.get(m, []))), "<i8")
+            c, mine = np.zeros(len(d), np.int64), np.zeros(len(d), np.int64)
+            c[at] = totals[which]
+            if m > 1:
+                _, same, n = np.unique(which * len(ids) + d[at], return_inverse=True, return_counts=True)
+                mine[at] = n[same]
+            counts.append(c), own.append(mine)
+        longest = np.minimum(order, grams.place + 1)
+        value = np.log(np.maximum(counts[0], 1) / max(1, total)) + (longest - 1) * np.log(ALPHA)
+        for m in range(2, order + 1):
+            seen = np.flatnonzero(counts[m - 1] > own[m - 1])
+            value[seen] = np.log(counts[m - 1][seen] - own[m - 1][seen]) - np.log(counts[m - 2][seen - 1]) + (longest[seen] - m) * np.log(ALPHA)
+        sums = np.bincount(d, np.where(grams.place > 0, value, 0.0), len(ids))
+        return pa.table([pa.array(ids), pa.array(n_words), pa.array(sums)], ["doc_id", "n", "s"])
+
+    out = docs.groupBy("chunk").cogroup(answers.where("chunk >= 0").groupBy("chunk")).applyInArrow(run, "doc_id long, n long, s double")
+    return out.select("doc_id", F.col("n").alias("n_words"), F.round("s", 6).alias("log_score"), F.round(F.when(F.col("n") > 0, F.col("s") / F.col("n")), 6).alias("mean_log_score"))

@@ -52,7 +52,7 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return language_model.score(read(spark, sf_dir, "documents"))
+    return language_model.score(read(spark, sf_dir, "documents"), order=3)
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
