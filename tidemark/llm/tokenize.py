@@ -42,8 +42,8 @@ class Encoder:
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.model, self.code = self.tokenizer.model, "HI"[self.dtype.itemsize // 4]
         self.limit = memo
-        #: Ids of words of plain letters after a space, of other runs after a space, and of other pieces.
-        self.words, self.runs, self.parts = {}, {}, {}
+        #: Ids of runs without spaces, each after a space, and of other pieces.
+        self.runs, self.parts = {}, {}
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.table = byte_characters()
         pre, model = type(self.tokenizer.pre_tokenizer).__name__, type(self.tokenizer.model).__name__
@@ -64,22 +64,17 @@ class Encoder:
         spelled = piece.replace(" ", self.table[32]) if piece.isascii() else piece.encode().decode("latin-1").translate(self.table)
         return array(self.code, [t.id for t in self.model.tokenize(spelled)]).tobytes()
 
-    def _word(self, word: str) -> bytes:
-        return self.words.get(word) or self._keep(self.words, word, self._plain(" " + word), self.limit)
-
     def _piece(self, piece: str, plain: bool) -> bytes:
         if plain and piece[0] == " ":
-            return self._word(piece[1:])
+            return self.runs.get(piece[1:]) or self._keep(self.runs, piece[1:], self._plain(piece), self.limit)
         return self.parts.get(piece) or self._keep(self.parts, piece, self._plain(piece) if plain else self._library(piece), self.limit // 4)
 
     def _text(self, text: str) -> bytes:
         return b"".join([self._piece(m[0], m[1] is not None) for m in _PIECES.finditer(text)])
 
     def _run(self, run: str) -> bytes:
-        """A run without spaces, after a space."""
-        if _PLAIN.fullmatch(run):
-            return self._word(run)
-        return self.runs.get(run) or self._keep(self.runs, run, self._text(" " + run), self.limit // 2)
+        """A run without spaces that isn't in memory, after a space."""
+        return self._keep(self.runs, run, self._plain(" " + run) if _PLAIN.fullmatch(run) else self._text(" " + run), self.limit)
 
     def encode(self, text: str) -> np.ndarray:
         if not text:
@@ -91,7 +86,7 @@ class Encoder:
         if "  " in text or " \n" in text or "\n " in text or text[0] in " \n" or text[-1] in " \n":
             return np.frombuffer(self._text(text), self.dtype)
         first, *rest = text.split(" ")
-        ids = list(map(self.words.get, rest))
+        ids = list(map(self.runs.get, rest))
         run = self._run
         ids = [x or run(w) for x, w in zip(ids, rest, strict=True)]
         return np.frombuffer(self._text(first) + b"".join(ids), self.dtype)
