@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from functools import cache
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -56,10 +57,12 @@ def scan_text(text: str | None, phrases: dict = PHRASES, notices: dict = NOTICES
     """Number of words, and spans in words: exact phrases first, then notices."""
     words = (text or "").encode("utf-8", "replace").lower().translate(_WORDS).split()
     hay = b" %s " % b" ".join(words) if words else b""
+    spaces = np.flatnonzero(np.frombuffer(hay, np.uint8) == 32)
+    word_at = lambda at: int(np.searchsorted(spaces, at, "right")) - 1  # noqa: E731  the word that begins after the last space up to here
     spans = []
     for phrase, label in phrases.items():
         for at in _places(hay, b" %s " % phrase.encode()):
-            first = hay.count(b" ", 0, at)
+            first = word_at(at)
             spans.append({"label": label, "first_word": first, "last_word": first + phrase.count(" "), "edits": 0, "notice_length": len(phrase), "exact": True})
     for notice, label, k, parts, pattern in _compiled(tuple(notices.items())):
         reach = [(at - off - k - 1, at - off + len(notice) + k + 2) for off, part in parts for at in _places(hay, part)]
@@ -74,7 +77,7 @@ def scan_text(text: str | None, phrases: dict = PHRASES, notices: dict = NOTICES
                 body = hay[m.start(1) : m.end(1)]
                 if not body.strip():
                     continue
-                first = hay.count(b" ", 0, m.start(1) + len(body) - len(body.lstrip())) - 1
+                first = word_at(m.start(1) + len(body) - len(body.lstrip()))
                 spans.append({"label": label, "first_word": first, "last_word": first + body.strip().count(b" "), "edits": sum(m.fuzzy_counts), "notice_length": len(notice), "exact": False})
     return len(words), spans
 
