@@ -2,13 +2,12 @@
 
 Pieces (a document, or a part of one longer than a sequence) are dealt at random into groups of bounded size.
 Each group is packed best fit first, then a local search exchanges pieces one for one or two for one, or
-moves them, between bins that aren't full, whenever the sum of squared fills rises; bins that empty go.
+moves them, between bins that aren't full, as long as the sum of squared fills rises; bins that empty go.
 """
 
 from __future__ import annotations
 
 import zlib
-from bisect import bisect_left, insort
 from collections.abc import Iterator
 
 import numpy as np
@@ -66,68 +65,147 @@ def best_fit(sizes: np.ndarray, capacity: int) -> np.ndarray:
     return bins
 
 
-def local_search(sizes: np.ndarray, bins: np.ndarray, capacity: int, sweeps: int = 3, donors: int = 256, width: int = 48) -> np.ndarray:
-    """Raise the sum of squared fills by moves and exchanges between underfull bins, until a sweep changes nothing or ``sweeps`` are done.
+class _Bins:
+    """Pieces in bins, with indexes of the underfull ones.
 
-    In each sweep the ``donors`` emptiest bins give, one after another: a piece moves into the least sufficient room
-    of a fuller bin, or is exchanged for one or two smaller pieces of one of the ``width`` bins with the most room,
-    which thereby gets fuller. ``donors`` and ``width`` bound the effort; every piece stays packed in any case.
+    ``by_room`` has the bins of each room. ``by_key`` has the pieces by size and room of their bin together: the largest
+    piece that could take their place. Bits of ``rooms`` and ``keys`` say which entries aren't empty.
     """
-    held: dict[int, list[int]] = {}
-    for i, b in enumerate(bins.tolist()):
-        held.setdefault(b, []).append(i)
-    size = sizes.tolist()
-    fill = {b: sum(size[i] for i in x) for b, x in held.items()}
-    rooms = sorted((capacity - f, b) for b, f in fill.items() if f < capacity)
-
-    def refill(b: int, by: int) -> None:
-        if fill[b] < capacity:
-            del rooms[bisect_left(rooms, (capacity - fill[b], b))]
-        fill[b] += by
-        if 0 < fill[b] < capacity:
-            insort(rooms, (capacity - fill[b], b))
-
-    for _ in range(sweeps):
-        changed = False
-        for _, a in rooms[-donors:][::-1]:
-            for i in sorted(held[a], key=lambda k: -size[k]):
-                if fill[a] == capacity:
-                    break
-                s = size[i]
-                k = bisect_left(rooms, (s, -1))
-                while k < len(rooms) and (rooms[k][1] == a or fill[rooms[k][1]] < fill[a] - s):
-                    k += 1
-                if k < len(rooms):
-                    b, take = rooms[k][1], []
-                else:
-                    tried = ((b, _exchange(size, held[b], s, room)) for room, b in rooms[-width:][::-1] if b != a and fill[b] >= fill[a])
-                    b, take = next((x for x in tried if x[1]), (None, []))
-                if b is None:
-                    continue
-                back = sum(size[k] for k in take)
-                held[a] = [k for k in held[a] if k != i] + take
-                held[b] = [k for k in held[b] if k not in take] + [i]
-                bins[take], bins[i] = a, b
-                refill(a, back - s)
-                refill(b, s - back)
-                changed = True
-        if not changed:
-            break
-    return bins
-
 
-def _exchange(size: list[int], own: list[int], s: int, room: int) -> list[int]:
-    """One or two pieces of a bin smaller than ``s`` together, whose going lets ``s`` in; the smallest such, or none."""
-    best, least = [], s
-    small = [(size[k], k) for k in own if size[k] < s]
-    for v, k in small:
-        if s - room <= v < least:
-            best, least = [k], v
-    for x, (v, k) in enumerate(small):
-        for w, m in small[x + 1 :]:
-            if s - room <= v + w < least:
-                best, least = [k, m], v + w
-    return best
+    def __init__(self, sizes: np.ndarray, bins: np.ndarray, capacity: int):
+        self.size, self.where, self.capacity = sizes.tolist(), bins.tolist(), capacity
+        self.held: dict[int, list[int]] = {}
+        for i, b in enumerate(self.where):
+            self.held.setdefault(b, []).append(i)
+        self.fill = {b: sum(self.size[i] for i in x) for b, x in self.held.items()}
+        self.by_room: list[set[int]] = [set() for _ in range(capacity + 1)]
+        self.by_key: list[set[int]] = [set() for _ in range(2 * capacity + 1)]
+        self.rooms = self.keys = 0
+        for b in self.held:
+            self._enter(b)
+
+    def _leave(self, b: int) -> None:
+        if room := self.capacity - self.fill[b]:
+            self.by_room[room].discard(b)
+            if not self.by_room[room]:
+                self.rooms &= ~(1 << room)
+            for k in {self.size[i] + room: 0 for i in self.held[b]}:
+                self.by_key[k].difference_update(self.held[b])
+                if not self.by_key[k]:
+                    self.keys &= ~(1 << k)
+
+    def _enter(self, b: int) -> None:
+        room = self.capacity - self.fill[b]
+        if room and self.held[b]:
+            self.by_room[room].add(b)
+            self.rooms |= 1 << room
+            for i in self.held[b]:
+                self.by_key[self.size[i] + room].add(i)
+                self.keys |= 1 << (self.size[i] + room)
+
+    def exchange(self, a: int, b: int, give: list[int], take: list[int]) -> None:
+        self._leave(a), self._leave(b)
+        for src, dst, moved in ((a, b, give), (b, a, take)):
+            for i in moved:
+                self.held[src].remove(i)
+                self.held[dst].append(i)
+                self.where[i] = dst
+                self.fill[src] -= self.size[i]
+                self.fill[dst] += self.size[i]
+        self._enter(a), self._enter(b)
+
+    def underfull(self) -> list[int]:
+        """Emptiest first."""
+        return [b for room in range(self.capacity, 0, -1) for b in sorted(self.by_room[room])]
+
+    def kinds(self, b: int) -> list[int]:
+        """A piece of each size, largest first."""
+        return sorted({self.size[i]: i for i in self.held[b]}.values(), key=lambda i: -self.size[i])
+
+    def place(self, a: int, s: int) -> int | None:
+        """The bin of the least room for ``s`` that gets fuller than ``a`` is now."""
+        for room in _bits(self.rooms, s, self.capacity + 1):
+            for b in self.by_room[room]:
+                if b != a and self.fill[b] + s > self.fill[a]:
+                    return b
+        return None
+
+    def partner(self, a: int, s: int) -> int | None:
+        """A piece smaller than ``s`` whose bin, with ``s`` in its place, gets as full as possible and fuller than ``a`` is now."""
+        for k in _bits(self.keys, s, s + self.rooms.bit_length()):
+            for i in self.by_key[k]:
+                b = self.where[i]
+                if b != a and self.size[i] < s and self.fill[b] + s - self.size[i] > self.fill[a]:
+                    return i
+        return None
+
+
+def _bits(mask: int, start: int, stop: int):
+    """The set bits from start up to stop (not included), rising."""
+    left = (mask & ((1 << max(start, stop)) - 1)) >> start
+    while left:
+        step = (left & -left).bit_length()
+        left >>= step
+        start += step
+        yield start - 1
+
+
+def _improve(bins: _Bins, a: int) -> bool:
+    """One move, one-for-one or two-for-one exchange by which ``a`` gives tokens to a fuller bin."""
+    own = bins.kinds(a)
+    for i in own:
+        if (b := bins.place(a, bins.size[i])) is not None:
+            bins.exchange(a, b, [i], [])
+            return True
+        if (j := bins.partner(a, bins.size[i])) is not None:
+            bins.exchange(a, bins.where[j], [i], [j])
+            return True
+    for x, i in enumerate(own):
+        for i2 in own[x + 1 :]:
+            if (j := bins.partner(a, bins.size[i] + bins.size[i2])) is not None:
+                bins.exchange(a, bins.where[j], [i, i2], [j])
+                return True
+    return False
+
+
+def _one_for_two(bins: _Bins, order: list[int]) -> bool:
+    """A sweep of exchanges of one piece for two smaller ones of a fuller bin, each bin once."""
+    pairs = []
+    for b in order:
+        own = bins.kinds(b)
+        pairs += [(bins.size[i] + bins.size[j] + bins.capacity - bins.fill[b], bins.size[i] + bins.size[j], i, j) for x, i in enumerate(own) for j in own[x + 1 :]]
+    if not pairs:
+        return False
+    key, both, first, second = np.array(sorted(pairs)).T
+    bin_of = np.array([bins.where[i] for i in first.tolist()])
+    fills, widest = np.array([bins.fill[b] for b in bin_of.tolist()]), bins.rooms.bit_length()
+    used: set[int] = set()
+    for a in order:
+        for i in bins.kinds(a) if a not in used else ():
+            s = bins.size[i]
+            lo, hi = np.searchsorted(key, [s, s + widest])
+            fit = lo + np.flatnonzero((both[lo:hi] < s) & (fills[lo:hi] + s - both[lo:hi] > bins.fill[a]) & (bin_of[lo:hi] != a))
+            if (p := next((p for p in fit.tolist() if bin_of[p] not in used), None)) is not None:
+                bins.exchange(a, int(bin_of[p]), [i], [int(first[p]), int(second[p])])
+                used |= {a, int(bin_of[p])}
+                break
+    return bool(used)
+
+
+def local_search(sizes: np.ndarray, bins: np.ndarray, capacity: int) -> np.ndarray:
+    """Bins after moves and exchanges between underfull bins, until none is left that raises the sum of squared fills.
+
+    The emptiest bin gives first: a piece moves to a fuller bin, one or two pieces go for a smaller one, or one goes
+    for two. All underfull bins and their pieces are tried; bins that empty go, and numbers are dense again.
+    """
+    state, changed = _Bins(sizes, bins, capacity), True
+    while changed:
+        changed, order = False, state.underfull()
+        for a in order:
+            while state.held[a] and state.fill[a] < capacity and _improve(state, a):
+                changed = True
+        changed = changed or _one_for_two(state, order)
+    return np.unique(state.where, return_inverse=True)[1] if len(sizes) else bins
 
 
 def pack(pieces: DataFrame, *, length: int = 1024, group: int = 20_000) -> DataFrame:
