@@ -155,6 +155,32 @@ def test_fingerprints(rows, docs, empty):
     assert sketch.fingerprints(empty).count() == 0
 
 
+@pytest.mark.parametrize("least, most, n", [(300, 400, 3000), (190, 500, 2000), (1, 3, 40)])
+def test_search_beats_best_fit(least, most, n):
+    """Sizes of which few fit a bin: exchanges empty bins that best fit leaves, every piece stays, no bin overflows."""
+    sizes = np.random.default_rng(0).integers(least, most + 1, n)
+    first = packing.best_fit(sizes, 1024)
+    bins = packing.local_search(sizes, first.copy(), 1024)
+    fill = np.bincount(bins, sizes)
+    assert len(bins) == n and fill.max() <= 1024 and fill.min() > 0 and (fill**2).sum() >= (np.bincount(first, sizes) ** 2).sum()
+    assert -(-sizes.sum() // 1024) <= bins.max() + 1 <= first.max() + 1
+    if most > 3:
+        assert bins.max() + 1 < 0.99 * (first.max() + 1)
+
+
+def test_stored_fingerprints(docs):
+    """The likeness of a row and its next one comes out of the two stored fingerprints alone; equal texts have equal ones."""
+    got = sorted(sketch.fingerprints(docs).collect(), key=lambda r: -r.doc_id)
+    for r, after in zip(got, got[1:] + got[:1]):
+        assert sketch.stored_likeness(r.fingerprint, r.edited_fingerprint) == pytest.approx(r.near_edited)
+        assert sketch.stored_likeness(r.fingerprint, after.fingerprint) == pytest.approx(r.near_next)
+    rng = np.random.default_rng(5)
+    a = np.unique(rng.integers(0, 1 << 63, 4000).astype(np.uint64))
+    b = np.unique(np.r_[a[:3900], rng.integers(0, 1 << 63, 700).astype(np.uint64)])
+    x, y = sketch.fingerprints_of(sketch.Sets([a, b]))
+    assert sketch.stored_likeness(x, y) == pytest.approx(3900 / len(np.union1d(a, b))) and sketch.stored_likeness(x, x) == 1
+
+
 def test_peeling_retries():
     r = np.random.default_rng(1)
     a, b = np.unique(r.integers(0, 2**63, 500).astype(np.uint64)), np.unique(r.integers(0, 2**63, 400).astype(np.uint64))
