@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import gc
-import time
 import uuid
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -34,6 +32,8 @@ def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder of ``spark.checkpoint.dir``; it goes when the application ends."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         import tempfile
 
         base = f"file://{tempfile.mkdtemp(prefix='tidemark-')}"
@@ -44,22 +44,22 @@ def scratch(spark: SparkSession, name: str) -> str:
     return path
 
 
+#: Spark removes the shuffle files of a query when it ends, instead of when the driver collects its garbage.
+_CLEANS = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def settle(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends and lost executors lose nothing."""
     spark = df.sparkSession
-    path = scratch(spark, name)
-    df.write.parquet(path)
+    path, before = scratch(spark, name), spark.conf.get(_CLEANS)
+    spark.conf.set(_CLEANS, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANS, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of plans that nothing refers to any more."""
-    for _ in range(2):
-        gc.collect()
-        spark._jvm.System.gc()
-        time.sleep(0.5)  # the cleaner works beside this thread
-
-
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -6,8 +6,12 @@ last resort is c(word) / N. A document follows a start word, with which grams ma
 
 Documents are dealt into chunks by a hash of their ids. A chunk asks for each of its distinct grams once, with its own
 count, whatever the number of its documents that hold it, and the hash of the gram names a bucket. A bucket adds up the
-counts of each gram and answers every chunk, in the order asked. So the occurrences of a gram never meet: the most
-frequent one is a number for each chunk. The chunk, met with its answers, scores its documents.
+counts of each gram and answers every chunk, in the order asked, with what other chunks hold. So the occurrences of a
+gram never meet: the most frequent one is a number for each chunk. The chunk, met with its answers, scores its documents.
+
+The table of counts is so partitioned by hash, and chunks join it by partition; rows hold many grams, as one row for each
+gram of each document would be several times the input (see the README for figures). A bucket and 48 more bits of the
+hash name a gram; two grams of the same name would add up.
 """
 
 from __future__ import annotations
@@ -18,14 +22,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import documents, release, settle, shuffle_partitions
+from tidemark.llm.common import documents, settle
 from tidemark.llm.neardup import words
 
 ALPHA = 0.4
 #: Words are known by 48 bits of a hash; this one starts a document.
 START = np.uint64((1 << 48) - 1)
-#: Bytes of text a chunk and a bucket.
-CHUNK, BUCKET = 4 << 20, 6 << 20
+#: Bytes of text a chunk and a bucket, and the fewest of either.
+CHUNK, BUCKET, LEAST = 4 << 20, 6 << 20, 16
 
 
 def _pack(h: np.ndarray) -> bytes:
@@ -97,15 +101,17 @@ ASKED = "bucket int, chunk int, gram_order int, grams binary, counts binary, n_w
 ANSWERED = "chunk int, bucket int, gram_order int, totals binary, n_words long"
 
 
-def asked(docs: DataFrame, m: int, buckets: int) -> DataFrame:
-    """The distinct grams of m words of each chunk with their counts, by bucket."""
+def asked(docs: DataFrame, orders: int | list[int], buckets: int) -> DataFrame:
+    """The distinct grams of an order, or of some, of each chunk with their counts, by bucket."""
+    orders = [orders] if isinstance(orders, int) else orders
 
     def run(key, table):
-        grams, rows = _Grams(table["text"].to_pylist(), m), []
-        _, k, _, n = grams.distinct(m, buckets)
-        for i, size in zip(*_runs(k >> np.uint64(48)), strict=True):
-            part = np.ascontiguousarray(np.frombuffer(_pack(k[i : i + size]), np.uint8).reshape(-1, 6).T)  # equal high bytes side by side are small when compressed
-            rows.append((int(k[i] >> np.uint64(48)), key[0].as_py(), m, part.tobytes(), n[i : i + size].astype("<u4").tobytes(), 0 if rows else int(grams.sizes.sum())))
+        grams, rows = _Grams(table["text"].to_pylist(), max(orders)), []
+        for m in orders:
+            _, k, _, n = grams.distinct(m, buckets)
+            for i, size in zip(*_runs(k >> np.uint64(48)), strict=True):
+                part = np.ascontiguousarray(np.frombuffer(_pack(k[i : i + size]), np.uint8).reshape(-1, 6).T)  # equal high bytes side by side are small when compressed
+                rows.append((int(k[i] >> np.uint64(48)), key[0].as_py(), m, part.tobytes(), n[i : i + size].astype("<u4").tobytes(), 0 if rows else int(grams.sizes.sum())))
         kinds = (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int64())
         columns = list(zip(*rows, strict=True)) or [()] * 6
         return pa.table([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], [x.split()[0] for x in ASKED.split(", ")])
@@ -114,20 +120,21 @@ def asked(docs: DataFrame, m: int, buckets: int) -> DataFrame:
 
 
 def answered(asks: DataFrame) -> DataFrame:
-    """The total counts of the grams of each chunk and bucket, in their order; chunk -1 has the words of a bucket's rows."""
+    """For the grams of each chunk and bucket, in their order, the counts in other chunks; chunk -1 has the words of a bucket's rows."""
 
     def run(key, table):
-        m = table["gram_order"][0].as_py()
+        m = key[1].as_py()
         each = [_unpack(np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(6, -1).T).tobytes()) for x in table["grams"].to_pylist()]
         own, which = np.unique(np.concatenate(each), return_inverse=True)
-        totals = np.bincount(which, np.concatenate([np.frombuffer(x, "<u4") for x in table["counts"].to_pylist()]), len(own)).astype("<i8")[which]
+        n = np.concatenate([np.frombuffer(x, "<u4") for x in table["counts"].to_pylist()])
+        totals = np.bincount(which, n, len(own)).astype("<i8")[which] - n
         cuts = np.cumsum([len(x) for x in each])[:-1]
         rows = [(-1, key[0].as_py(), m, b"", sum(table["n_words"].to_pylist()))]
         rows += [(c, key[0].as_py(), m, x.tobytes(), 0) for c, x in zip(table["chunk"].to_pylist(), np.split(totals, cuts), strict=True)]
         kinds = (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.int64())
         return pa.table([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], [x.split()[0] for x in ANSWERED.split(", ")])
 
-    return asks.groupBy("bucket").applyInArrow(run, ANSWERED)
+    return asks.groupBy("bucket", "gram_order").applyInArrow(run, ANSWERED)
 
 
 def score(docs: DataFrame, *, order: int = 2, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK, bucket: int = BUCKET) -> DataFrame:
@@ -138,16 +145,13 @@ def score(docs: DataFrame, *, order: int = 2, id_col: str = "doc_id", text_col:
     mean; null ids are left out. An empty table gives no rows.
     """
     docs = documents(docs, id_col, text_col).where("doc_id is not null")
-    spark = docs.sparkSession
-    n_bytes, least = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0, 2 * shuffle_partitions(spark)
-    buckets = min(1 << 16, max(least, n_bytes // bucket))
-    docs = docs.withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.lit(max(least, n_bytes // chunk))).cast("int"))
-    answers = None
-    for m in range(1, order + 1):
-        # One order at a time: the shuffle files of one are gone before the next.
-        found = settle(answered(asked(docs, m, buckets)), "answers")
-        answers = found if answers is None else answers.unionByName(found)
-        release(spark)
+    n_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = min(1 << 16, max(LEAST, n_bytes // bucket))
+    docs = docs.withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.lit(max(LEAST, n_bytes // chunk))).cast("int"))
+    # The longest grams by themselves: the shuffle files of one part are gone before the next.
+    parts = [list(range(1, order)), [order]] if order > 1 else [[1]]
+    first, *rest = [settle(answered(asked(docs, part, buckets)), "answers") for part in parts]
+    answers = first.unionByName(*rest) if rest else first
     total = answers.where("chunk < 0 and gram_order = 1").agg(F.sum("n_words")).first()[0] or 0
 
     def run(key, texts, answers):
@@ -160,8 +164,8 @@ def score(docs: DataFrame, *, order: int = 2, id_col: str = "doc_id", text_col:
             known.setdefault(m, []).append((b, x))
         counts, own = [], []
         for m in range(1, order + 1):
-            at, k, which, _ = grams.distinct(m, buckets)
-            totals = np.frombuffer(b"".join(x for _, x in sorted(known.get(m, []))), "<i8")
+            at, _, which, here = grams.distinct(m, buckets)
+            totals = here + np.frombuffer(b"".join(x for _, x in sorted(known.get(m, []))), "<i8")
             c, mine = np.zeros(len(d), np.int64), np.zeros(len(d), np.int64)
             c[at] = totals[which]
             if m > 1:

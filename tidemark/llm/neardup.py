@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import documents, map_batches, release, settle
+from tidemark.llm.common import documents, map_batches, settle
 
 BINS, ROWS = 128, 4
 #: Members of one centre that a group of the verifying join may hold.
@@ -211,5 +211,4 @@ def groups(docs: DataFrame, *, k: int = 5, percent: int = 80, rounds: int = 4, i
     out = made.join(member.select("doc_id", F.col("rep").alias("class_id")).dropDuplicates(["doc_id"]), "doc_id", "left")
     out = out.join(parts.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     component = F.coalesce("component", "doc_id")
-    release(docs.sparkSession)
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), (component == F.col("doc_id")).alias("kept"), "class_id")

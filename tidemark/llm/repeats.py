@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import documents, release, settle, shuffle_partitions
+from tidemark.llm.common import documents, settle, shuffle_partitions
 
 LENGTH, Q = 50, 20
 _BASE, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
@@ -377,8 +377,6 @@ def remove_repeats(docs: DataFrame, *, length: int = LENGTH, id_col: str = "doc_
     answers = repeated_anchors(asked).withColumn("_copy", F.lit(False)).unionByName(copies.select("doc_id", "_t", F.lit(None).cast("binary").alias("hashes"), F.lit(True).alias("_copy")))
     found = answers.groupBy("doc_id", "_t").agg(F.collect_list("hashes").alias("found"), F.max("_copy").alias("_copy")).where("not _copy").drop("_copy")
     parts = settle(slices(known.join(found, ["doc_id", "_t"]), length, q), "slices")
-    del answers, found, asked
-    release(spark)
     distinct = parts.where("slice is not null")
     runs = smallest_by_slice(distinct, length, max(shuffle_partitions(spark), distinct.count() // 60_000))
     spans = parts.where("slice is null").select("key", "doc_id", "_t", "at").join(runs, "key").select("doc_id", "_t", "at", F.explode("runs").alias("r")).where("r.doc < doc_id")
