@@ -96,6 +96,45 @@ def test_neardup(rows, docs, empty, k):
     assert neardup.groups(empty).count() == 0
 
 
+def test_near_duplicates_of_repeated_ids(spark):
+    """Rows of one id are one node whatever their texts, so a link of either reaches the other."""
+    a, b = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+    rows = [(5, a), (5, b), (8, b + " more"), (9, a + " more"), (11, "alone here"), (5, b), (None, b), (12, None), (13, " \n")]
+    got = neardup.groups(spark.createDataFrame(rows, "doc_id long, text string"), k=2).collect()
+    assert sorted((r.doc_id, r.component_id, r.kept) for r in got if r.doc_id is not None) == [(5, 5, True)] * 3 + [(8, 5, False), (9, 5, False), (11, 11, True), (12, 12, True), (13, 13, True)]
+    assert [(r.component_id, r.class_id) for r in got if r.doc_id is None] == [(None, None)]
+
+
+def test_near_duplicates_in_blocks(spark, monkeypatch):
+    """A family whose members often lie just under the similarity of one another: no link is lost, in one block or in many."""
+    r = random.Random(7)
+    base = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(150):
+        w = list(base)
+        for p in r.sample(range(60), r.choice((2, 2, 2, 3))):
+            w[p] = f"x{i}-{p}"
+        rows.append((i, " ".join(w)))
+    sets = {i: neardup.shingles(neardup.words(t), 2) for i, t in rows}
+    part = {i: i for i in sets}
+
+    def find(x):
+        while part[x] != x:
+            x = part[x]
+        return x
+
+    for a in sets:
+        for b in sets:
+            if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                part[max(find(a), find(b))] = min(find(a), find(b))
+    want = {i: find(i) for i in sets}
+    assert 1 < len(set(want.values())) < 150
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    for block in (neardup.BLOCK, 1500):
+        monkeypatch.setattr(neardup, "BLOCK", block)
+        assert {r.doc_id: r.component_id for r in neardup.groups(table, k=2).collect()} == want
+
+
 def test_language_model(rows, docs, empty):
     words = {i: neardup.words(t) for i, t in rows}
     pairs, single = Counter(), Counter()

@@ -4,8 +4,9 @@ A document's set is its distinct shingles of k words. Documents of equal sets fo
 goes on. Hashes of the set fall into ``BINS`` bins, whose smallest ones make the signature; an empty bin takes the
 value of a bin chosen by hashing (bin, attempt). Bands of a signature name buckets; in a bucket every member is a
 candidate of the smallest one only, so candidates stay in proportion to members. Candidates are confirmed on whole
-sets. Where a bucket's members then stand in different components, further stars with other centres follow, and at last
-members of different components are compared pair by pair, so that no link between different components is lost.
+sets. Documents of one bucket all stand in the star of its smallest one. Where the members of a star then belong to
+different components, they are compared with each other too, in blocks of bounded size inside tasks, which send on
+only the links that join components: no pairs are made, and no link between different components is lost.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ from tidemark.llm.common import documents, map_batches, settle
 BINS, ROWS = 128, 4
 #: Members of one centre that a group of the verifying join may hold.
 FAN = 512
+#: Shingles in a block of members that are compared with those of another block.
+BLOCK = 200_000
 
 
 def words(text: str | None) -> list[bytes]:
@@ -47,7 +50,7 @@ class Hasher:
         ws = words(text)
         if not ws:
             return np.empty(0, np.uint64)
-        if len(self.memo) > 500_000:
+        if len(self.memo) > 200_000:
             self.memo.clear()
         memo = self.memo
         hs = list(map(memo.get, ws))
@@ -103,7 +106,7 @@ def bands(sig: np.ndarray, rows: int = ROWS) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, k: int) -> DataFrame:
-    """(doc_id, n_shingles, digest, bands) of every row; digest and bands are null for empty sets."""
+    """(doc_id, t, n, digest, bands) of every row with its text's hash ``t``; digest and bands are null for empty sets."""
 
     def run(batches):
         hasher = Hasher(k)
@@ -112,18 +115,22 @@ def sketches(docs: DataFrame, k: int) -> DataFrame:
             for text in batch["text"].to_pylist():
                 h = hasher(text)
                 n.append(len(h))
-                digest.append(xxhash.xxh3_128_digest(h.tobytes()) if len(h) else None)
+                digest.append(_digest(h))
                 band.append(bands(signature(h)) if len(h) else None)
-            yield pa.record_batch([batch["doc_id"], pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(band, pa.list_(pa.int64()))], ["doc_id", "n", "digest", "bands"])
+            yield pa.record_batch([batch["doc_id"], batch["t"], pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(band, pa.list_(pa.int64()))], ["doc_id", "t", "n", "digest", "bands"])
 
-    return docs.mapInArrow(run, "doc_id long, n long, digest binary, bands array<long>")
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("t")).mapInArrow(run, "doc_id long, t long, n long, digest binary, bands array<long>")
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+def _digest(h: np.ndarray) -> bytes | None:
+    return xxhash.xxh3_128_digest(h.tobytes()) if len(h) else None
+
+
+def confirm(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """The (a, b) whose sets have 100 * intersection >= percent * union. ``a`` may stand in many pairs: its text is dealt to groups of about ``FAN`` of them."""
     fans = pairs.groupBy("a").agg(F.ceil(F.count("*") / FAN).cast("int").alias("_fans"))
-    left = fans.join(docs.select(F.col("doc_id").alias("a"), F.col("text").alias("_ta")), "a").withColumn("_fan", F.explode(F.sequence(F.lit(0), F.col("_fans") - 1))).drop("_fans")
-    right = pairs.join(fans, "a").withColumn("_fan", F.pmod(F.xxhash64("b"), "_fans").cast("int")).drop("_fans").join(docs.select(F.col("doc_id").alias("b"), F.col("text").alias("_tb")), "b")
+    left = fans.join(texts.select(F.col("node").alias("a"), F.col("text").alias("_ta")), "a").withColumn("_fan", F.explode(F.sequence(F.lit(0), F.col("_fans") - 1))).drop("_fans")
+    right = pairs.join(fans, "a").withColumn("_fan", F.pmod(F.xxhash64("b"), "_fans").cast("int")).drop("_fans").join(texts.select(F.col("node").alias("b"), F.col("text").alias("_tb")), "b")
     both = right.join(left, ["a", "_fan"]).select("a", "b", "_ta", "_tb")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -136,7 +143,68 @@ def confirm(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFram
             keep.append(100 * same >= percent * (len(own) + len(other) - same))
         return batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return map_batches(both, run, "a long, b long")
+    return map_batches(both, run, "a binary, b binary")
+
+
+def joining_links(sets: list[np.ndarray], part: list, first: list[bool], whole: bool, percent: int) -> list[tuple[int, int]]:
+    """Links that join different parts, until none is left to join. Sets are sorted hashes.
+
+    ``first`` tells the block of each set; with ``whole`` there is one block, whose sets are all compared, otherwise
+    sets of the one block are compared with those of the other.
+    """
+    m = len(sets)
+    sizes = np.array([len(x) for x in sets], np.int64)
+    token = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    owner = np.repeat(np.arange(m), sizes)
+    order = np.argsort(token, kind="stable")
+    holders, n = owner[order], np.bincount(token)
+    start, base = np.cumsum(n) - n, np.cumsum(sizes) - sizes
+    label = np.unique(np.array(part, dtype=object), return_inverse=True)[1]
+    side = np.array(first, bool)
+    out = []
+    for i in np.flatnonzero(side if not whole else np.ones(m, bool)).tolist():
+        other = label != label[i]
+        other &= (np.arange(m) > i) if whole else ~side
+        other &= 100 * np.minimum(sizes, sizes[i]) >= percent * np.maximum(sizes, sizes[i])
+        if not other.any():
+            continue
+        t = token[base[i] : base[i] + sizes[i]]
+        t = t[n[t] > 1]
+        at = np.repeat(start[t] - (np.cumsum(n[t]) - n[t]), n[t]) + np.arange(int(n[t].sum()))
+        same = np.bincount(holders[at], minlength=m)
+        for j in np.flatnonzero(other & (100 * same >= percent * (sizes + sizes[i] - same))).tolist():
+            if label[j] != label[i]:
+                out.append((i, j))
+                label[label == label[j]] = label[i]
+    return out
+
+
+def between(stars: DataFrame, parts: DataFrame, sizes: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links (a, b) between members of one star that stand in different components.
+
+    In a star, the members of the largest component needn't be compared with each other. They are dealt to blocks, the
+    rest to others, and each two blocks of which one is of the rest meet in a group of their own.
+    """
+    centre = stars.select(F.col("a").alias("star"), F.col("b").alias("node")).union(stars.select("a", "a").distinct())
+    placed = centre.join(sizes, "node").join(parts, "node", "left").withColumn("part", F.coalesce("component", "node")).select("star", "node", "part", "n")
+    per = placed.groupBy("star", "part").agg(F.sum("n").alias("n"), F.count("*").alias("m"))
+    top = per.groupBy("star").agg(F.max(F.struct("n", "part")).alias("top"), F.sum("n").alias("all"), F.sum("m").alias("members"), F.count("*").alias("parts"))
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    top = top.where("parts > 1 and members > 2").select("star", F.col("top.part").alias("big"), blocks(F.col("all") - F.col("top.n")).alias("rest"), blocks(F.col("top.n")).alias("bigs"))
+    mixed = placed.join(top, "star").withColumn("in_big", F.col("part") == F.col("big"))
+    deal = lambda n: F.pmod(F.xxhash64("node"), n).cast("int")
+    mixed = mixed.withColumn("own", F.when(F.col("in_big"), F.col("rest") + deal(F.col("bigs"))).otherwise(deal(F.col("rest"))))
+    meets = F.when(F.col("in_big"), F.col("rest")).otherwise(F.col("rest") + F.col("bigs")) - 1
+    met = mixed.withColumn("other", F.explode(F.sequence(F.lit(0), meets))).select("star", "node", "part", "own", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"))
+
+    def run(key, table):
+        hasher = Hasher(k)
+        whole, nodes = key[1].as_py() == key[2].as_py(), table["node"].to_pylist()
+        first = [b == key[1].as_py() for b in table["own"].to_pylist()]
+        links = joining_links([hasher(t) for t in table["text"].to_pylist()], table["part"].to_pylist(), first, whole, percent)
+        return pa.table([pa.array([nodes[i] for i, _ in links], pa.binary()), pa.array([nodes[j] for _, j in links], pa.binary())], ["a", "b"])
+
+    return met.join(texts, "node").groupBy("star", "x", "y").applyInArrow(run, "a binary, b binary")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -159,56 +227,38 @@ def components(links: DataFrame) -> DataFrame:
         before = now
 
 
-def groups(docs: DataFrame, *, k: int = 5, percent: int = 80, rounds: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def groups(docs: DataFrame, *, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept, class_id) of every row.
 
     component_id is the smallest id reachable over links of sets with 100 * intersection >= percent * union; a row
-    without words is linked with nothing. Rows of one id count as one node and come out each. Null ids are left out
-    of links, with a null component.
+    without words is linked with nothing. Rows of one id are one node, whatever their texts, and come out each; class_id
+    is the smallest id with the row's set. Null ids are left out of links, with a null component.
     """
     docs = documents(docs, id_col, text_col)
     made = settle(sketches(docs, k), "sketches")
     nodes = made.where("digest is not null and doc_id is not null")
-    classes = nodes.groupBy("digest", "n").agg(F.min("doc_id").alias("rep"))
-    named = nodes.join(classes, ["digest", "n"])
-    member = settle(named.select("doc_id", "rep").distinct(), "members")
-    reps = settle(named.where("doc_id = rep").dropDuplicates(["rep", "digest"]).select("rep", "n", F.explode("bands").alias("band")), "bands")
+    # A class is named by the digest of its set; a row of the smallest id stands for it.
+    classes = settle(nodes.groupBy(F.col("digest").alias("node")).agg(F.min(F.struct("doc_id", "t")).alias("own"), F.first("n").alias("n"), F.first("bands").alias("bands")), "classes")
+    banded = classes.select("node", F.explode("bands").alias("band"))
     # A star in each bucket of two or more: every member with the smallest.
-    centres = reps.groupBy("band").agg(F.min("rep").alias("a"), F.count("*").alias("size")).where("size > 1")
-    buckets = settle(reps.join(centres.select("band", "a"), "band"), "buckets")
-    heads = buckets.where("rep = a").select("band", F.col("n").alias("na")).dropDuplicates(["band"])
-    stars = buckets.where("rep <> a").join(heads, "band").where(f"100 * least(n, na) >= {percent} * greatest(n, na)").select("a", F.col("rep").alias("b")).distinct()
-    # The whole texts move once; what follows reads those of bucket members only.
-    texts = settle(docs.join(buckets.select(F.col("rep").alias("doc_id")).distinct(), "doc_id").dropDuplicates(["doc_id"]), "texts")
-    links = settle(confirm(settle(stars, "stars"), texts, k, percent), "links")
-    parts = components(member.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).union(links))
-
-    def open_buckets() -> DataFrame:
-        """Members of buckets of more than two that stand in different components."""
-        placed = buckets.join(parts.withColumnRenamed("node", "rep"), "rep", "left").withColumn("part", F.coalesce("component", "rep"))
-        mixed = placed.groupBy("band").agg(F.min("part").alias("p0"), F.max("part").alias("p1"), F.count("*").alias("size")).where("p0 <> p1 and size > 2").select("band")
-        return placed.join(mixed, "band").select("band", "rep", "n", "part", "a")
-
-    def merge(pairs: DataFrame, name: str) -> DataFrame:
-        more = settle(confirm(settle(pairs.distinct(), name), texts, k, percent), name + "-links")
-        return components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)) if more.limit(1).count() else parts
-
-    near = f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)"
-    for r in range(rounds):
-        # Another star in each open bucket: one member of each component, by a hash of this round, with that of the largest.
-        left = settle(open_buckets(), "open")
-        if not left.limit(1).count():
-            break
-        chosen = left.groupBy("band", "part").agg(F.count("*").alias("size"), F.min(F.struct(F.xxhash64("rep", "band", F.lit(r)).alias("h"), "rep", "n")).alias("m")).select("band", "part", "size", "m.rep", "m.n")
-        head = chosen.groupBy("band").agg(F.max(F.struct("size", "part", "rep", "n")).alias("m")).select("band", F.col("m.part").alias("part"), F.col("m.rep").alias("rep"), F.col("m.n").alias("n"))
-        pairs = head.alias("x").join(chosen.alias("y"), (F.col("x.band") == F.col("y.band")) & F.expr(f"x.part <> y.part and {near}"))
-        parts = merge(pairs.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")), f"star-{r}")
-    # What is still open is compared whole: members of one bucket in different components that no first star compared.
-    left = settle(open_buckets(), "open")
-    x, y = left.alias("x"), left.alias("y")
-    pairs = x.join(y, (F.col("x.band") == F.col("y.band")) & F.expr(f"x.rep < y.rep and x.part <> y.part and x.rep <> x.a and {near}")).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
-    parts = merge(pairs, "open-pairs")
-    out = made.join(member.select("doc_id", F.col("rep").alias("class_id")).dropDuplicates(["doc_id"]), "doc_id", "left")
-    out = out.join(parts.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-    component = F.coalesce("component", "doc_id")
+    centres = settle(banded.groupBy("band").agg(F.min("node").alias("a"), F.count("*").alias("size")).where("size > 1").select("band", "a"), "centres")
+    stars = settle(banded.join(centres, "band").where("node <> a").select("a", F.col("node").alias("b")).distinct(), "stars")
+    # The texts of members of stars move once.
+    wanted = classes.join(stars.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node")
+    texts = docs.withColumn("t", F.xxhash64("text")).join(wanted.select("node", "own.doc_id", "own.t"), ["doc_id", "t"])
+    texts = settle(texts.select("node", "text").dropDuplicates(["node"]), "texts")
+    # Rows of one id: the other classes of an id are linked with its smallest.
+    per_id = nodes.groupBy("doc_id").agg(F.min("digest").alias("least"), F.max("digest").alias("most")).where("least <> most")
+    same_id = nodes.join(per_id, "doc_id").select(F.col("digest").alias("a"), F.col("least").alias("b")).distinct()
+    sizes = classes.select("node", "n")
+    links = confirm(stars, texts, k, percent)
+    parts = components(links.union(same_id))
+    more = settle(between(stars, parts, sizes, texts, k, percent), "between")
+    parts = components(parts.toDF("a", "b").union(more)) if more.limit(1).count() else parts
+    named = classes.select("node", F.col("own.doc_id").alias("class_id")).join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    least = named.groupBy("component").agg(F.min("class_id").alias("component_id"))
+    named = named.join(least, "component").select(F.col("node").alias("digest"), "class_id", "component_id")
+    component = F.coalesce("component_id", "doc_id")
+    own = F.when(F.col("doc_id").isNotNull(), F.struct("class_id", "component_id"))
+    out = made.select("doc_id", "n", "digest").join(named, "digest", "left").withColumn("own", own).select("doc_id", "n", "own.*")
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), (component == F.col("doc_id")).alias("kept"), "class_id")
