@@ -207,6 +207,35 @@ def test_search_beats_best_fit(least, most, n):
         assert bins.max() + 1 < 0.99 * (first.max() + 1)
 
 
+def removed(texts, length):
+    """Brute force: the bytes that stay of each text."""
+    first, out = {}, []
+    for i, t in enumerate(texts):
+        b = (t or "").encode()
+        gone = bytearray(len(b))
+        for p in range(len(b) - length + 1):
+            if first.setdefault(b[p : p + length], i) < i:
+                gone[p : p + length] = b"\1" * length
+        out.append(bytes(x for x, g in zip(b, gone) if not g))
+    return out
+
+
+@pytest.mark.parametrize("length, hot", [(50, 3), (300, 50_000)])
+def test_repeats_of_hot_anchors_and_long_strings(spark, monkeypatch, length, hot):
+    """A line in many different surroundings, texts of any length, repeated rows and ids, and strings of over 255 bytes."""
+    r = random.Random(2)
+    noise = lambda n: "".join(r.choice("abcdef ") for _ in range(n))
+    line, page = noise(70), noise(900)
+    texts = [noise(40) + line + noise(60) for _ in range(30)] + [page, page[:400] + noise(50), noise(9) + page[300:] + line, "ab" * 400, page, "x" + "ab" * 300, noise(200_000) + page[100:500]]
+    monkeypatch.setattr(repeats, "HOT", hot)
+    monkeypatch.setattr(repeats, "SLICES", 40)
+    rows = [*enumerate(texts), (3, texts[3]), (None, page), (30, page)]
+    got = repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), length=length).collect()
+    want = removed(texts, length)
+    assert sorted((r.doc_id, bytes(r.kept)) for r in got if r.doc_id is not None) == sorted([*enumerate(want), (3, want[3]), (30, want[30])])
+    assert [(bytes(r.kept), r.n_removed) for r in got if r.doc_id is None] == [(page.encode(), 0)]
+
+
 def test_stored_fingerprints(docs):
     """The likeness of a row and its next one comes out of the two stored fingerprints alone; equal texts have equal ones."""
     got = sorted(sketch.fingerprints(docs).collect(), key=lambda r: -r.doc_id)

@@ -1,13 +1,17 @@
 """Removal of repeated passages: strings of ``LENGTH`` bytes that also start in a document of a smaller id.
 
+Rows of one text with a larger id go whole; what follows works on one row of each text.
+
 1. Every window of LENGTH bytes has an anchor, the smallest hash of its substrings of Q bytes; equal windows have
-   equal anchors. Anchors that stand in one document only can't be of a repeated window. They are met in buckets of
-   hashes; a map task sends a hash once, however many of its documents hold it.
-2. Around the other anchors, slices of text (the windows of one anchor in a row) are dealt by anchor.
-3. In each bucket the distinct slices form a collection whose Burrows-Wheeler transform and common prefixes are
+   equal anchors. Documents are dealt into chunks. A chunk asks for each of its distinct anchors once, with the number of
+   its documents that have it, in buckets of hashes, and is told which of them stand in another document.
+2. Around these anchors, slices of text (the windows of one anchor in a row) are dealt by anchor. Slices of an anchor that
+   stands in more than ``HOT`` documents are cut into single windows, dealt by a hash of the window.
+3. In each group the distinct slices form a collection whose Burrows-Wheeler transform and common prefixes are
    built column by column: each round inserts the next symbol (from the right) of every slice, merging the new
-   suffixes into the arrays of the round before, which lie in two alternating sets of external files. Neighbours
-   with a common prefix of LENGTH bytes are the same window; the smallest document of each is known then.
+   suffixes into the arrays of the round before, which lie in two alternating sets of external files (in the task's own
+   temporary folder; they don't outlive it). Neighbours with a common prefix of LENGTH bytes are the same window; the
+   smallest document of each is known then. A slice that is the only one of its anchor needs no transform.
 4. The windows of smaller documents go back to where slices stood, and the covered bytes are cut out.
 """
 
@@ -24,9 +28,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import documents, settle, shuffle_partitions
+from tidemark.llm.common import documents, settle
 
 LENGTH, Q = 50, 20
+#: Bytes of text a chunk and a bucket of hashes, the fewest of either, and distinct slices of a group.
+CHUNK, BUCKET, LEAST, SLICES = 4 << 20, 12 << 20, 16, 20_000
+#: Documents whose slices of one anchor may meet in one group.
+HOT = 50_000
 _BASE, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 #: Bytes of a hash that travel in the first step: collisions only let a few more anchors pass.
 _WIDTH = 6
@@ -85,141 +93,106 @@ def _unpacked(raw: bytes) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
-ROWS = "bucket int, docs binary, texts binary, counts binary, hashes binary"
-
+ASKED = "bucket int, chunk int, hashes binary, documents binary"
+ANSWERED = "chunk int, bucket int, states binary"
+#: States of an anchor: in one document only, in several, in more than ``HOT``.
+ALONE, SEVERAL, MANY = 0, 1, 2
 
-def _row(bucket: int, ids: np.ndarray, ties: np.ndarray, d: np.ndarray, h: np.ndarray) -> tuple:
-    """One row of hashes by document; d (rising) are indexes into ids and ties."""
-    own, counts = np.unique(d, return_counts=True)
-    return bucket, ids[own].astype("<i8").tobytes(), ties[own].astype("<i8").tobytes(), counts.astype("<u4").tobytes(), _packed(h)
 
+def _by_bucket(h: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """An order of sorted hashes by bucket, and where the next bucket begins in it."""
+    bucket = (h % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    return order, np.searchsorted(bucket[order], np.arange(buckets + 1))
 
-def asked_anchors(docs: DataFrame, length: int, q: int, buckets: int) -> DataFrame:
-    """Rows of anchors by bucket. Bucket -1: anchors that stand in two rows of one batch, which need no asking; their hash is asked once without a document."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, ties = batch["doc_id"].to_numpy(), batch["_t"].to_numpy()
-            each = [np.unique(_short(window_anchors(_raw(t), length, q))) for t in batch["text"].to_pylist()]
-            sizes = np.array([len(x) for x in each], np.int64)
-            if not sizes.sum():
-                continue
-            h, d = np.concatenate(each), np.repeat(np.arange(len(each)), sizes)
-            order = np.argsort(h, kind="stable")
-            h, d = h[order], d[order]
-            same = h[1:] == h[:-1]
-            local = np.r_[False, same] | np.r_[same, False]
-            out = []
-            if local.any():
-                by = np.argsort(d[local], kind="stable")
-                out.append(_row(-1, ids, ties, d[local][by], h[local][by]))
-            first = local & ~np.r_[False, same]
-            bucket = (h % np.uint64(buckets)).astype(np.int64)
-            none, asked = np.flatnonzero(first), np.flatnonzero(~local)
-            for k, part in _by_bucket(bucket, none):
-                out.append((k, b"", b"", b"", _packed(h[part])))
-            asked = asked[np.argsort(d[asked], kind="stable")]
-            for k, part in _by_bucket(bucket, asked):
-                out.append(_row(k, ids, ties, d[part], h[part]))
-            kinds = (pa.int32(), *[pa.binary()] * 4)
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], ["bucket", "docs", "texts", "counts", "hashes"])
+def _anchors(texts: list[str | None], length: int, q: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Anchors of the windows of each text; the distinct ones of the chunk, shortened, and the number of texts that have each."""
+    each = [window_anchors(_raw(t), length, q) for t in texts]
+    h, n = np.unique(np.concatenate([np.empty(0, np.uint64), *(np.unique(_short(x)) for x in each)]), return_counts=True)
+    return each, h, n
 
-    return docs.mapInArrow(run, ROWS)
 
+def asked_anchors(docs: DataFrame, length: int, q: int, buckets: int) -> DataFrame:
+    """The distinct anchors of each chunk, by bucket."""
 
-def _by_bucket(bucket: np.ndarray, chosen: np.ndarray):
-    """(bucket, indexes) of the chosen rows, in their order."""
-    chosen = chosen[np.argsort(bucket[chosen], kind="stable")]
-    cuts = np.flatnonzero(np.diff(bucket[chosen])) + 1
-    return ((int(bucket[x[0]]), x) for x in np.split(chosen, cuts) if len(x))
+    def run(key, table):
+        _, h, n = _anchors(table["text"].to_pylist(), length, q)
+        order, cuts = _by_bucket(h, buckets)
+        rows = []
+        for b in np.flatnonzero(np.diff(cuts)).tolist():
+            part = order[cuts[b] : cuts[b + 1]]
+            planes = np.ascontiguousarray(np.frombuffer(_packed(h[part]), np.uint8).reshape(-1, _WIDTH).T)  # equal high bytes side by side are small when compressed
+            rows.append((b, key[0].as_py(), planes.tobytes(), n[part].astype("<u4").tobytes()))
+        columns = list(zip(*rows, strict=True)) or [()] * 4
+        return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int32(), pa.binary(), pa.binary()), strict=True)], ["bucket", "chunk", "hashes", "documents"])
 
+    return docs.groupBy("chunk").applyInArrow(run, ASKED)
 
-def _answers(ids: np.ndarray, ties: np.ndarray, h: np.ndarray) -> pa.RecordBatch:
-    """One row of hashes for each document; ids are in groups."""
-    if not len(ids):
-        return pa.record_batch([pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.binary())], ["doc_id", "_t", "hashes"])
-    cuts = np.flatnonzero((np.diff(ids) != 0) | (np.diff(ties) != 0)) + 1
-    first = np.r_[0, cuts]
-    return pa.record_batch([pa.array(ids[first]), pa.array(ties[first]), pa.array([_packed(x) for x in np.split(h, cuts)], pa.binary())], ["doc_id", "_t", "hashes"])
 
+def answered_anchors(asks: DataFrame, hot: int) -> DataFrame:
+    """The states of the anchors of each chunk and bucket, in their order."""
 
-def _expanded(docs: bytes, texts: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
-    n = np.frombuffer(counts, "<u4")
-    return np.repeat(np.frombuffer(docs, "<i8"), n), np.repeat(np.frombuffer(texts, "<i8"), n)
+    def run(key, table):
+        each = [_unpacked(np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(_WIDTH, -1).T).tobytes()) for x in table["hashes"].to_pylist()]
+        h, which = np.unique(np.concatenate(each), return_inverse=True)
+        n = np.bincount(which, np.concatenate([np.frombuffer(x, "<u4") for x in table["documents"].to_pylist()]), len(h))
+        state = np.where(n > hot, MANY, np.where(n > 1, SEVERAL, ALONE)).astype(np.uint8)[which]
+        parts = np.split(state, np.cumsum([len(x) for x in each])[:-1])
+        return pa.table([table["chunk"], table["bucket"], pa.array([x.tobytes() for x in parts], pa.binary())], ["chunk", "bucket", "states"])
 
+    return asks.groupBy("bucket").applyInArrow(run, ANSWERED)
 
-def repeated_anchors(asked: DataFrame) -> DataFrame:
-    """(doc_id, _t, hashes) of anchors that stand in two rows at least."""
 
-    def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for docs, texts, counts, hashes in zip(*(batch[c].to_pylist() for c in ("docs", "texts", "counts", "hashes")), strict=True):
-                yield _answers(*_expanded(docs, texts, counts), _unpacked(hashes))
-
-    def met(key, table):
-        ids, ties, hs = [], [], []
-        for docs, texts, counts, hashes in zip(*(table[c].to_pylist() for c in ("docs", "texts", "counts", "hashes")), strict=True):
-            h = _unpacked(hashes)
-            d, t = _expanded(docs, texts, counts) if counts else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-            ids.append(d), ties.append(t), hs.append(h[: len(d)] if counts else h[:0])
-            if not counts:
-                hs.append(h)
-                ids.append(np.zeros(len(h), np.int64)), ties.append(np.full(len(h), -1, np.int64))
-        asks = np.concatenate([np.full(len(x), not (len(t) and (t == -1).all() and not i.any()), bool) for x, t, i in zip(hs, ties, ids, strict=False)]) if hs else np.zeros(0, bool)
-        d, t, h = np.concatenate(ids), np.concatenate(ties), np.concatenate(hs)
-        order = np.argsort(h, kind="stable")
-        same = h[order][1:] == h[order][:-1]
-        twice = np.zeros(len(h), bool)
-        twice[order] = np.r_[False, same] | np.r_[same, False]
-        keep = np.flatnonzero(twice & asks)
-        keep = keep[np.lexsort((t[keep], d[keep]))]
-        return pa.Table.from_batches([_answers(d[keep], t[keep], h[keep])])
-
-    schema = "doc_id long, _t long, hashes binary"
-    return asked.where("bucket < 0").mapInArrow(known, schema).union(asked.where("bucket >= 0").groupBy("bucket").applyInArrow(met, schema))
-
-
-def slices(docs: DataFrame, length: int, q: int) -> DataFrame:
-    """From rows with ``found`` (lists of repeated anchors): distinct slices of each batch with the smallest and largest document, and where slices stand.
+def slices(docs: DataFrame, answers: DataFrame, length: int, q: int, buckets: int) -> DataFrame:
+    """Distinct slices of each chunk with the smallest and largest document, and where slices stand.
 
     Rows of the first kind have h, slice, doc_id (smallest), last; those of the second key (of the slice), doc_id, _t, at.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            seen: dict[bytes, list[int]] = {}
-            keys, ids, ties, ats = [], [], [], []
-            for doc, tie, text, found in zip(*(batch[c].to_pylist() for c in ("doc_id", "_t", "text", "found")), strict=True):
-                raw = _raw(text)
-                a = window_anchors(raw, length, q)
-                hit = np.isin(_short(a), _unpacked(b"".join(found)))
-                # A run of windows of one anchor; long ones (periodic text) are cut.
-                cut = np.r_[True, (a[1:] != a[:-1])]
-                start = np.flatnonzero(cut)
-                place = np.arange(len(a)) - np.repeat(start, np.diff(np.r_[start, len(a)]))
-                start = np.flatnonzero(place % (length - q + 1) == 0)
-                end = np.r_[start[1:], len(a)]
-                good = hit[start]
-                for s, e, h in zip(start[good].tolist(), end[good].tolist(), a[start[good]].tolist(), strict=True):
-                    part = raw[s : e + length - 1]
-                    own = seen.get(part)
-                    if own is None:
-                        seen[part] = own = [h, doc, doc, xxhash.xxh3_64_intdigest(part) - (1 << 63)]
-                    elif doc < own[1]:
-                        own[1] = doc
-                    elif doc > own[2]:
-                        own[2] = doc
-                    keys.append(own[3]), ids.append(doc), ties.append(tie), ats.append(s)
-            names = ["h", "slice", "doc_id", "last", "key", "_t", "at"]
-            n, m = len(seen), len(keys)
-            null = lambda k, t: pa.nulls(k, t)
-            long = pa.int64()
-            if n:
-                hs, lo, hi, own = zip(*seen.values(), strict=True)
-                yield pa.record_batch([pa.array(np.array(hs, np.uint64).view(np.int64)), pa.array(list(seen), pa.binary()), pa.array(lo, long), pa.array(hi, long), pa.array(own, long), null(n, long), null(n, pa.int32())], names)
-                yield pa.record_batch([null(m, long), null(m, pa.binary()), pa.array(ids, long), null(m, long), pa.array(keys, long), pa.array(ties, long), pa.array(ats, pa.int32())], names)
-
-    return docs.mapInArrow(run, "h long, slice binary, doc_id long, last long, key long, _t long, at int")
+    def run(key, table, answers):
+        texts = table["text"].to_pylist()
+        each, h, _ = _anchors(texts, length, q)
+        order, cuts = _by_bucket(h, buckets)
+        state = np.zeros(len(h), np.uint8)
+        for b, x in zip(answers["bucket"].to_pylist(), answers["states"].to_pylist(), strict=True):
+            state[order[cuts[b] : cuts[b + 1]]] = np.frombuffer(x, np.uint8)
+        seen: dict[bytes, list[int]] = {}
+        keys, ids, ties, ats = [], [], [], []
+        for doc, tie, text, a in zip(table["doc_id"].to_pylist(), table["_t"].to_pylist(), texts, each, strict=True):
+            if not len(a):
+                continue
+            raw = _raw(text)
+            # A run of windows of one anchor; long ones (periodic text) are cut, those of hot anchors at each window.
+            start = np.flatnonzero(np.r_[True, a[1:] != a[:-1]])
+            first = state[np.searchsorted(h, _short(a[start]))]
+            size = np.diff(np.r_[start, len(a)])
+            place = np.arange(len(a)) - np.repeat(start, size)
+            every = np.repeat(np.where(first == MANY, 1, length - q + 1), size)
+            known = np.repeat(first, size)
+            start = np.flatnonzero(place % every == 0)
+            end, known = np.r_[start[1:], len(a)], known[start]
+            good = known != ALONE
+            for s, e, g, many in zip(start[good].tolist(), end[good].tolist(), a[start[good]].tolist(), (known[good] == MANY).tolist(), strict=True):
+                part = raw[s : e + length - 1]
+                own = seen.get(part)
+                if own is None:
+                    name = xxhash.xxh3_64_intdigest(part) - (1 << 63)
+                    seen[part] = own = [name if many else g - (1 << 63), doc, doc, name]
+                elif doc < own[1]:
+                    own[1] = doc
+                elif doc > own[2]:
+                    own[2] = doc
+                keys.append(own[3]), ids.append(doc), ties.append(tie), ats.append(s)
+        n, m, long = len(seen), len(keys), pa.int64()
+        hs, lo, hi, own = zip(*seen.values(), strict=True) if n else ((), (), (), ())
+        null = lambda k, t: pa.nulls(k, t)
+        names = ["h", "slice", "doc_id", "last", "key", "_t", "at"]
+        one = pa.table([pa.array(hs, long), pa.array(list(seen), pa.binary()), pa.array(lo, long), pa.array(hi, long), pa.array(own, long), null(n, long), null(n, pa.int32())], names)
+        two = pa.table([null(m, long), null(m, pa.binary()), pa.array(ids, long), null(m, long), pa.array(keys, long), pa.array(ties, long), pa.array(ats, pa.int32())], names)
+        return pa.concat_tables([one, two])
+
+    return docs.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(run, "h long, slice binary, doc_id long, last long, key long, _t long, at int")
 
 
 def _segment_minima(values: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -248,14 +221,19 @@ def collection(strings: list[bytes], folder: str) -> tuple[np.ndarray, np.ndarra
     string, and ends sort by the number of their string. A new suffix is a symbol c before an older suffix: its place
     is the number of smaller symbols in the transform plus that of c's before, and its common prefix with the c
     before is one more than the least common prefix between the two older suffixes. Arrays of two successive rounds
-    lie in files in ``folder``. Common prefixes are kept up to 255.
+    lie in files in ``folder``. Common prefixes are kept up to the largest value of their type.
     """
     m = len(strings)
     lens = np.array([len(s) for s in strings], np.int64)
+    if m and lens.max() > np.iinfo(np.uint16).max:
+        raise ValueError("strings of more than 65535 bytes")
+    prefix = np.uint8 if not m or lens.max() <= np.iinfo(np.uint8).max else np.uint16
+    most = np.iinfo(prefix).max
     base = np.cumsum(lens) - lens
     text = np.frombuffer(b"".join(strings), np.uint8)
     total = int(lens.sum()) + m
-    kinds = (("bwt", np.uint8), ("lcp", np.uint8), ("string", np.int32), ("offset", np.uint16))
+    # ``which`` is a string's number and, in the low 16 bits, the offset.
+    kinds = (("bwt", np.uint8), ("lcp", prefix), ("which", np.int64))
     files = [{name: np.memmap(os.path.join(folder, f"{name}{g}"), kind, "w+", shape=(total + 1,)) for name, kind in kinds} for g in range(2)]
 
     def before(s: np.ndarray, start: np.ndarray) -> np.ndarray:
@@ -263,7 +241,7 @@ def collection(strings: list[bytes], folder: str) -> tuple[np.ndarray, np.ndarra
         return np.where(start > 0, text[base[s] + np.maximum(start, 1) - 1].astype(np.int64) + 1, 0).astype(np.uint8)
 
     now, s, n = files[0], np.arange(m), m
-    now["bwt"][:m], now["lcp"][:m], now["string"][:m], now["offset"][:m] = before(s, lens), 0, s, lens
+    now["bwt"][:m], now["lcp"][:m], now["which"][:m] = before(s, lens), 0, (s << 16) | lens
     at = s.copy()
     live = lens > 0
     at, s = at[live], s[live]
@@ -286,15 +264,17 @@ def collection(strings: list[bytes], folder: str) -> tuple[np.ndarray, np.ndarra
         for has, a, b in ((has_left, left, at), (has_right, at, right)):
             out = np.zeros(len(s), np.int64)
             if has.any():
-                out[has] = np.minimum(range_minima(lcp, a[has] + 1, b[has] + 1).astype(np.int64) + 1, 255)
+                out[has] = np.minimum(range_minima(lcp, a[has] + 1, b[has] + 1).astype(np.int64) + 1, most)
             common.append(out)
         start = lens[s] - j
         size = n + len(s)
-        old = np.ones(size, bool)
-        old[place] = False
-        for name, value in (("bwt", before(s, start)), ("lcp", common[0]), ("string", s), ("offset", start)):
+        moved = np.ones(size, np.int32)
+        moved[place] = 0
+        np.cumsum(moved, out=moved)
+        moved -= 1  # where each old suffix was; new ones are set after
+        for name, value in (("bwt", before(s, start)), ("lcp", common[0]), ("which", (s << 16) | start)):
             target = new[name][:size]
-            target[old] = now[name][:n]
+            np.take(np.asarray(now[name][:n]), moved, out=target, mode="clip")
             target[place] = value
         after = place + 1
         inside = after < size
@@ -303,7 +283,8 @@ def collection(strings: list[bytes], folder: str) -> tuple[np.ndarray, np.ndarra
         live = np.flatnonzero(start > 0)
         live = live[np.argsort(place[live])]  # places in order keep the ranges of the next round apart
         at, s, now, n = place[live], s[live], new, size
-    return tuple(np.array(now[name][:n]) for name in ("string", "offset", "lcp"))
+    which = np.array(now["which"][:n])
+    return which >> 16, which & 0xFFFF, np.array(now["lcp"][:n])
 
 
 def smallest_documents(strings: list[bytes], docs: np.ndarray, length: int) -> list[np.ndarray]:
@@ -360,25 +341,31 @@ def remove_repeats(docs: DataFrame, *, length: int = LENGTH, id_col: str = "doc_
 
     Each byte covered by a string of ``length`` bytes that also starts in a row of a smaller id goes; strings are
     judged on the input. Null texts are empty ones. Rows of null ids neither lose bytes nor count as smaller; rows of
-    one id don't count for each other. An empty table gives no rows.
+    one id don't count for each other. An empty table gives no rows. ``length`` is 2 to 30,000.
     """
+    if not 2 <= length <= 30_000:
+        raise ValueError("length must be 2 to 30,000")
     q = min(Q, max(1, length * 2 // 5))
     spark = docs.sparkSession
     extra = keep or []
     whole = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *extra).withColumn("_t", F.xxhash64("text"))
-    docs = documents(docs, id_col, text_col).withColumn("_t", F.xxhash64("text"))
-    known = docs.where("doc_id is not null")
-    n_bytes = known.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    asked = asked_anchors(known.where(F.octet_length("text") >= length), length, q, max(shuffle_partitions(spark), n_bytes // (12 << 20)))
-    # Rows of one text with a smaller id lose everything; they need no search.
-    same = known.where(F.octet_length("text") >= length).groupBy(F.xxhash64("text").alias("_t"), F.md5("text").alias("_m")).agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("_t", "_m", "least")
-    first = known.select("doc_id", "_t", F.md5("text").alias("_m")).join(same, ["_t", "_m"]).where("doc_id > least").select("doc_id", "_t").distinct()
-    copies = settle(first, "copies")
-    answers = repeated_anchors(asked).withColumn("_copy", F.lit(False)).unionByName(copies.select("doc_id", "_t", F.lit(None).cast("binary").alias("hashes"), F.lit(True).alias("_copy")))
-    found = answers.groupBy("doc_id", "_t").agg(F.collect_list("hashes").alias("found"), F.max("_copy").alias("_copy")).where("not _copy").drop("_copy")
-    parts = settle(slices(known.join(found, ["doc_id", "_t"]), length, q), "slices")
+    known = documents(docs, id_col, text_col).where(f"doc_id is not null and octet_length(text) >= {length}").withColumn("_t", F.xxhash64("text")).withColumn("_m", F.md5("text"))
+    # One row of each text goes on. Rows of one text with a larger id lose everything.
+    per_text = settle(known.groupBy("_t", "_m").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), F.sum(F.octet_length("text").cast("long")).alias("bytes"), F.count("*").alias("rows")), "texts")
+    n_texts, n_bytes = per_text.agg(F.count("*"), F.sum(F.expr("bytes div rows"))).first()
+    n_bytes = n_bytes or 0
+    buckets, chunks = max(LEAST, n_bytes // BUCKET), max(LEAST, n_bytes // CHUNK)
+    copies = known.select("doc_id", "_t", "_m").join(per_text.where("least < most").select("_t", "_m", "least"), ["_t", "_m"]).where("doc_id > least").select("doc_id", "_t").distinct()
+    copies = settle(copies, "copies")
+    one = known.join(per_text.select("_t", "_m", F.col("least").alias("doc_id")), ["_t", "_m", "doc_id"]).withColumn("chunk", F.pmod(F.col("_t"), F.lit(chunks)).cast("int"))
+    one = settle(one, "first-rows")
+    if one.count() > n_texts:  # a text stands more than once under one id
+        one = settle(one.dropDuplicates(["doc_id", "_t", "_m"]), "first-rows")
+    one = one.select("doc_id", "_t", "text", "chunk")
+    answers = settle(answered_anchors(asked_anchors(one, length, q, buckets), HOT), "answers")
+    parts = settle(slices(one, answers, length, q, buckets), "slices")
     distinct = parts.where("slice is not null")
-    runs = smallest_by_slice(distinct, length, max(shuffle_partitions(spark), distinct.count() // 60_000))
+    runs = smallest_by_slice(distinct, length, max(LEAST, distinct.count() // SLICES))
     spans = parts.where("slice is null").select("key", "doc_id", "_t", "at").join(runs, "key").select("doc_id", "_t", "at", F.explode("runs").alias("r")).where("r.doc < doc_id")
     spans = spans.groupBy("doc_id", "_t").agg(F.collect_list(F.struct((F.col("at") + F.col("r.a")).alias("s"), (F.col("at") + F.col("r.b") + length).alias("e"))).alias("spans"))
     cuts = settle(spans.withColumn("copy", F.lit(False)).unionByName(copies.select("doc_id", "_t", F.array().cast("array<struct<s:int,e:int>>").alias("spans"), F.lit(True).alias("copy"))), "cuts")
