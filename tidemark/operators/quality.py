@@ -63,3 +63,18 @@ def layer_diff(a: DataFrame, b: DataFrame) -> DataFrame:
 
 def guarded_rate(df: DataFrame, keys: list[str], hit: Column, least: int) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("n_rows"), F.count_if(hit).alias("hits")).where(F.col("n_rows") >= least).withColumn("rate", F.col("hits") / F.col("n_rows"))
+
+
+def null_counts(df: DataFrame, columns: list[str]) -> DataFrame:
+    """One row: nulls of each additive counter, and rows."""
+    return df.agg(*(F.count_if(F.col(c).isNull()).alias(f"{c}_null") for c in columns), F.count("*").alias("n_rows"))
+
+
+def missing_for_known(df: DataFrame, known: DataFrame, key: str, column: str) -> DataFrame:
+    """Rows of known keys whose column is blank though it must not be."""
+    return df.where(F.coalesce(F.trim(column), F.lit("")) == "").join(known.select(key).distinct(), key, "left_semi")
+
+
+def not_above(df: DataFrame, column: str, least: float = 0) -> DataFrame:
+    """Rows whose value isn't above ``least``, or isn't there."""
+    return df.where(~F.coalesce(F.col(column) > least, F.lit(False)))

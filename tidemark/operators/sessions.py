@@ -30,22 +30,27 @@ def status_rollup(status: DataFrame, hourly: bool = False) -> DataFrame:
     rows = status.where("session_key <> ''").withColumn("hour", F.date_trunc("hour", "event_ts"))
     return rows.groupBy(*keys).agg(
         F.count("*").alias("status_samples"), F.count_if(F.col("output_fps") > 0).alias("fps_positive_samples"), F.count_if(expr.running(F.col("state"))).alias("running_samples"),
-        F.count_if(F.coalesce(F.col("last_error"), F.lit("")) != "").alias("error_samples"), F.sum("output_fps").alias("output_fps_sum"), F.max("event_ts").alias("status_last_seen"),
+        F.count_if(F.coalesce(F.col("last_error"), F.lit("")) != "").alias("error_samples"), F.count_if(expr.contains_any(F.col("last_error"))).alias("excusable_error_samples"), F.sum("output_fps").alias("output_fps_sum"), F.max("event_ts").alias("status_last_seen"),
     )
 
 
 def session_facts(trace: DataFrame, status: DataFrame) -> DataFrame:
+    """Facts of sessions from two families by themselves; ``facts_of`` takes the evidence of one scan."""
+    both = trace_rollup(trace).join(status_rollup(status), ["org", "session_key"], "full")
+    return facts_of(both.withColumn("last_seen", F.greatest("trace_last_seen", "status_last_seen")))
+
+
+def facts_of(evidence: DataFrame) -> DataFrame:
     """Outcome, excusal, latencies (null where negative) and flags of each session."""
-    s = trace_rollup(trace).join(status_rollup(status), ["org", "session_key"], "full")
     requested, playable = F.col("started_at").isNotNull().cast("int"), F.col("playable_at").isNotNull().cast("int")
     outcome = expr.startup_outcome(requested, playable)
     latency = (F.unix_millis("first_processed_at") - F.unix_millis("started_at")).cast("double")
-    samples = F.coalesce("status_samples", F.lit(0))
-    zero = (samples > 0) & (F.coalesce("fps_positive_samples", F.lit(0)) == 0)
-    return s.select(
-        "org", "session_key", "started_at", F.greatest("trace_last_seen", "status_last_seen").alias("last_seen"), "closed_at", requested.alias("requested_seen"), playable.alias("playable_seen"), outcome.alias("startup_outcome"),
-        expr.startup_excusal(outcome, F.coalesce("no_provider_count", F.lit(0)) > 0, F.lit(0), F.lit(0)).alias("excusal_reason"), F.when(latency >= 0, latency).alias("startup_latency_ms"),
-        F.coalesce("swap_count", F.lit(0)).alias("swap_count"), samples.alias("status_samples"), zero.cast("int").alias("zero_output"), F.coalesce("output_fps_sum", F.lit(0.0)).alias("output_fps_sum"), "pipeline_hint",
+    count = lambda c: F.coalesce(c, F.lit(0))
+    zero = (count("status_samples") > 0) & (count("fps_positive_samples") == 0)
+    return evidence.select(
+        "org", "session_key", "started_at", "last_seen", "closed_at", requested.alias("requested_seen"), playable.alias("playable_seen"), outcome.alias("startup_outcome"),
+        expr.startup_excusal(outcome, count("no_provider_count") > 0, count("error_samples"), count("excusable_error_samples")).alias("excusal_reason"), F.when(latency >= 0, latency).alias("startup_latency_ms"),
+        count("swap_count").alias("swap_count"), count("status_samples").alias("status_samples"), zero.cast("int").alias("zero_output"), F.coalesce("output_fps_sum", F.lit(0.0)).alias("output_fps_sum"), "pipeline_hint",
     )
 
 

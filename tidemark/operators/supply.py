@@ -104,3 +104,21 @@ def window_delta(df: DataFrame, stamp: str, now: Column, hours: int) -> DataFram
     rows = df.where((at > before) & (at <= now))
     out = rows.agg(F.count_if(at > start).alias("current_n"), F.count_if(at <= start).alias("previous_n"), F.count_distinct(F.when(at > start, F.col("user_id"))).alias("active"))
     return out.withColumn("change_pct", F.round(100.0 * expr.ratio(F.col("current_n") - F.col("previous_n"), F.col("previous_n")), 4))
+
+
+def models_in_use(gpus: DataFrame, active: DataFrame) -> DataFrame:
+    """GPUs of each pipeline and model, with active streams and their mean frame rate."""
+    keys = ["pipeline", "model"]
+    own = gpus.groupBy(*keys).agg(F.count_distinct(F.concat("gpu_id", "orch_address")).alias("gpus"))
+    fps = expr.ratio(F.sum(F.col("fps").cast("decimal(18,2)")), F.count("*"))
+    used = active.groupBy(*keys).agg(F.count_distinct("stream").alias("active_streams"), F.round(fps, 4).alias("avg_fps"))
+    return own.join(used, keys, "left").fillna({"active_streams": 0})
+
+
+def provider_profile(snapshots: DataFrame, gpus: DataFrame, prices: DataFrame, discovery: DataFrame) -> DataFrame:
+    """Snapshots, GPUs, models, top price and discovery latency of each provider; each source is summed before it is joined."""
+    key = "orch_address"
+    out = snapshots.groupBy(key).agg(F.count("*").alias("n_snapshots"))
+    out = out.join(gpus.groupBy(key).agg(F.count_distinct("gpu_id").alias("gpus")), key, "left")
+    out = out.join(prices.groupBy(key).agg(F.count_distinct("constraint_name").alias("models"), F.max("price_per_unit").cast("long").alias("top_price")), key, "left")
+    return out.join(discovery.groupBy(key).agg(F.max("latency_ms").alias("latency_ms")), key, "left").fillna({"gpus": 0, "models": 0})

@@ -353,14 +353,14 @@ def i2_field_inventory(spark, sf_dir):
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return envelopes.with_raw_columns(envelopes.from_events(events(spark, sf_dir)), {"network_events": "daydream"})
+    return envelopes.with_raw_columns(envelopes.from_events(events(spark, sf_dir)), {"network_events": "north"})
 
 
 def accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return envelopes.route(raw(spark, sf_dir))[0]
 
 
-_RAW = """WITH r AS (SELECT *, event_id % 10 k, (event_id // 10) % 12 t, 's' || user_id AS stream_id, 'daydream|s' || user_id || '|r' || strftime(ts, '%Y%m%d') AS session_key, epoch_us(ts) // 1000 AS ms FROM events)"""
+_RAW = """WITH r AS (SELECT *, event_id % 10 k, (event_id // 10) % 12 t, 's' || user_id AS stream_id, 'north|s' || user_id || '|r' || strftime(ts, '%Y%m%d') AS session_key, epoch_us(ts) // 1000 AS ms FROM events)"""
 
 
 @query(f"""{_RAW} SELECT CASE WHEN k = 9 THEN 'unsupported_event_family' WHEN k < 4 AND t = 10 THEN 'ignored_stream_trace_non_core_app' WHEN k < 4 AND t = 11 AND event_id % 20 = 11 THEN 'ignored_stream_trace_scope_client_noise' WHEN k < 4 AND t = 11 THEN 'unsupported_stream_trace_type' ELSE 'accepted' END AS reason, count(*) AS n FROM r GROUP BY 1""")

@@ -27,6 +27,54 @@ def read_envelopes(spark: SparkSession, source: str, topics: list[str] | None =
     return rows.where("type is not null")
 
 
+def _address(n: Column) -> Column:
+    return F.concat(F.lit("0x"), F.lpad(F.lower(F.hex(n)), 40, "0"))
+
+
+def _derived(rows: DataFrame, ident: Column, family: Column, stamp: Column, data: Column, topic: str = "network_events") -> DataFrame:
+    return rows.select(ident.alias("id"), family.alias("type"), F.unix_millis(stamp.cast("timestamp")).cast("string").alias("timestamp"), F.lit("gw").alias("gateway"), data.alias("data"), F.lit(topic).alias("source_topic"), F.lit(0).alias("source_partition"), F.xxhash64(ident).alias("source_offset"))
+
+
+def from_orders(orders: DataFrame) -> DataFrame:
+    """Envelopes of the request families derived from ``orders``: the key decides the family, and two keys share a request (received, then completed)."""
+    n, c = F.col("o_orderkey"), F.col("o_custkey")
+    kind, turn = n % 8, F.floor(n / 8)
+    done, pick = turn % 2 == 1, lambda *names: F.element_at(F.array(*map(F.lit, names)), (kind + 1).cast("int"))
+    family = pick("ai_stream_events", "stream_ingest_metrics", "ai_llm_request", "job_gateway", "job_orchestrator", "job_auth", "worker_lifecycle", "job_payment")
+    first = pick("params_update", "", "llm_request_received", "job_gateway_submitted", "job_orchestrator_received", "job_auth", "worker_registered", "payment_created")
+    later = pick("error", "", "llm_request_completed", "job_gateway_completed", "job_orchestrator_completed", "job_auth", "worker_registered", "payment_created")
+    track = lambda name, lost: F.struct(F.lit(name).alias("type"), (c % 9).cast("double").alias("jitter"), lost.alias("packets_lost"), (c * 3).alias("packets_received"))
+    data = F.to_json(F.struct(
+        F.when(done, later).otherwise(first).alias("type"), F.concat(F.lit("s"), c).alias("stream_id"), F.concat(F.lit("r"), F.floor(n / 16)).alias("request_id"), F.lit("live-video-to-video").alias("pipeline"), F.col("o_orderstatus").alias("message"),
+        F.struct(_address(c % 23).alias("address"), F.concat(F.lit("https://o"), c % 23).alias("url")).alias("orchestrator_info"),
+        F.struct(F.when(c % 2 == 0, "good").otherwise("bad").alias("conn_quality"), F.array(track("video", c % 5), track("audio", c % 3)).alias("track_stats")).alias("stats"),
+        F.concat(F.lit("m"), c % 5).alias("model"), F.concat(F.lit("https://o"), c % 23).alias("orch_url"), (c % 100).alias("prompt_tokens"), (turn % 50).alias("completion_tokens"), (c % 100 + turn % 50).alias("total_tokens"), (c * 10 + turn % 100).alias("duration_ms"), (c * 10 + turn % 100).alias("total_duration_ms"), ((c % 100) / 2).alias("tokens_per_second"), (c % 300).alias("ttft_ms"),
+        F.concat(F.lit("cap"), c % 4).alias("capability"), (turn % 5 != 0).alias("success"), F.when(turn % 5 != 0, 200).otherwise(500).alias("http_status"), F.when(turn % 5 != 0, "").otherwise("refused").alias("error"), F.concat(F.lit("http://w"), c % 11).alias("worker_url"), (c % 7 + 1).alias("price_per_unit"), F.array(F.struct(F.concat(F.lit("m"), c % 5).alias("model"))).alias("worker_options"),
+        (c % 50).alias("amount"), F.lit("USD").alias("currency"),
+    ))
+    return _derived(orders, F.concat(F.lit("o"), n), family, F.col("o_orderdate"), data)
+
+
+def from_offers(lineitem: DataFrame, part: DataFrame) -> DataFrame:
+    """Capability snapshots and discovery results derived from ``lineitem`` and ``part``: a supplier's month is a snapshot, brands are pipelines, types models. Every third supplier has no hardware; odd ones list GPUs in a keyed object."""
+    rows = lineitem.join(part.select("p_partkey", "p_brand", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
+    keys = [F.col("l_suppkey").alias("s"), F.date_trunc("month", F.col("l_shipdate").cast("timestamp")).alias("m")]
+    gpu = F.concat(F.lit('{"id":"g'), F.col("l_partkey") % 9, F.lit('","name":"card'), F.col("l_partkey") % 3, F.lit('","memory_total":'), (F.col("l_partkey") % 9 + 1) * 1024, F.lit("}"))
+    info = F.when(F.col("l_suppkey") % 2 == 0, F.concat(F.lit("["), gpu, F.lit("]"))).otherwise(F.concat(F.lit('{"0":'), gpu, F.lit("}")))
+    hardware = F.concat(F.lit('{"pipeline":"'), F.col("p_brand"), F.lit('","model_id":"'), F.col("p_type"), F.lit('","gpu_info":'), info, F.lit("}"))
+    per_type = rows.groupBy(*keys, "p_type").agg(F.count("*").alias("n"), F.max("l_quantity").cast("long").alias("q"), F.collect_set(hardware).alias("hw"))
+    text = lambda *parts: F.array_join(F.array_sort(F.collect_list(F.concat(*(F.lit(x) if isinstance(x, str) else x for x in parts)))), ",")
+    out = per_type.groupBy("s", "m").agg(
+        text('"', F.col("p_type"), '":{"warm":', (F.col("n") % 2 == 0).cast("string"), ',"capacity":', F.col("n").cast("string"), "}").alias("models"),
+        text('{"capability":35,"constraint":"', F.col("p_type"), '","pricePerUnit":', F.col("q").cast("string"), ',"pixelsPerUnit":1}').alias("prices"),
+        F.array_join(F.array_sort(F.flatten(F.collect_list("hw"))), ",").alias("hw"), F.max("q").alias("q"),
+    )
+    s, parts = F.col("s"), ['[{"address":"', _address(F.col("s")), '","local_address":"', F.when(F.col("s") % 4 == 0, _address(F.col("s") + 1000)).otherwise("alias"), '","orch_uri":"https://S', F.col("s").cast("string"), '","version":"v', (F.col("s") % 3).cast("string"), '","hardware":[', F.when(F.col("s") % 3 == 0, "").otherwise(F.col("hw")), '],"capabilities":{"constraints":{"PerCapability":{"35":{"models":{', F.col("models"), '}}}}},"capabilities_prices":[', F.col("prices"), '],"price_info":{"pricePerUnit":', F.col("q").cast("string"), ',"pixelsPerUnit":2}}]']
+    snapshots = _derived(out, F.concat(F.lit("n"), s, F.lit("-"), F.date_format("m", "yyyyMM")), F.lit("network_capabilities"), F.col("m"), F.concat(*(F.lit(x) if isinstance(x, str) else x for x in parts)))
+    seen = out.groupBy((s % 10).alias("g"), "m").agg(F.to_json(F.array_sort(F.collect_list(F.struct(_address(F.col("s")).alias("address"), F.concat(F.lit("https://S"), s).alias("url"), (s * 1.5).alias("latency_ms"))))).alias("data"))
+    return snapshots.unionByName(_derived(seen, F.concat(F.lit("d"), F.col("g"), F.lit("-"), F.date_format("m", "yyyyMM")), F.lit("discovery_results"), F.col("m"), F.col("data")))
+
+
 def from_events(events: DataFrame) -> DataFrame:
     """Envelopes derived from the ``events`` table, so that the whole pipeline runs on it at any scale: users are streams, days requests, and the id decides the family."""
     n, kind = F.col("event_id"), F.col("event_id") % 10
@@ -37,11 +85,12 @@ def from_events(events: DataFrame) -> DataFrame:
     data = F.to_json(F.struct(
         subtype.alias("type"), F.concat(F.lit("s"), F.col("user_id")).alias("stream_id"), F.concat(F.lit("r"), F.date_format(stamp, "yyyyMMdd")).alias("request_id"),
         F.lit("live-video-to-video").alias("pipeline"), F.when(n % 20 == 11, "scope").otherwise("web").alias("client_source"),
-        F.when(F.col("event_type") == "error", "OFFLINE").otherwise("ONLINE").alias("state"), F.struct(F.col("value").alias("fps")).alias("inference_status"),
+        F.when(F.col("event_type") == "error", "OFFLINE").otherwise("ONLINE").alias("state"), F.struct(F.col("value").alias("fps"), F.when(F.col("event_type") == "error", F.when(n % 2 == 0, "ICE connection state failed").otherwise("decoder broke")).alias("last_error")).alias("inference_status"),
+        F.struct(F.when(n % 3 == 0, _address(n % 17)).otherwise("").alias("address"), F.concat(F.lit("https://o"), n % 17).alias("url")).alias("orchestrator_info"),
         F.concat(F.floor(F.col("value") * 100).cast("string"), F.lit(" WEI")).alias("faceValue"), F.concat(F.lit("35_m"), F.col("user_id") % 7).alias("manifestID"),
         (F.floor(n / 20) % 3 != 0).alias("success"), F.floor(F.col("value")).cast("long").alias("duration_ms"),
     ))
-    return events.select(n.cast("string").alias("id"), family.alias("type"), F.unix_millis(stamp).cast("string").alias("timestamp"), F.lit("gw").alias("gateway"), data.alias("data"), F.lit("network_events").alias("source_topic"), F.lit(0).alias("source_partition"), n.alias("source_offset"))
+    return events.select(n.cast("string").alias("id"), family.alias("type"), F.unix_millis(stamp).cast("string").alias("timestamp"), F.when(n % 4 == 0, "").otherwise(F.concat(F.lit("gw"), n % 3)).alias("gateway"), data.alias("data"), F.lit("network_events").alias("source_topic"), F.lit(0).alias("source_partition"), n.alias("source_offset"))
 
 
 def event_time(c: Column) -> Column:
@@ -73,18 +122,24 @@ def route(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return marked.where("ignore_reason is null").drop("ignore_reason"), marked.where("ignore_reason is not null")
 
 
+def ignored_view(ignored: DataFrame) -> DataFrame:
+    """Ignored rows for review, without payloads."""
+    return ignored.select("ignore_reason", "event_id", "event_type", "event_subtype", "event_ts", "org", "source_topic", "source_partition", "source_offset")
+
+
 def _typed(raw: DataFrame, family: str | list[str], fields: dict[str, Column]) -> DataFrame:
     families = [family] if isinstance(family, str) else family
-    base = raw.where(F.col("event_type").isin(families) & (F.col("event_id") != ""))
+    # The payload is parsed once for each row, whatever the number of fields.
+    base = raw.where(F.col("event_type").isin(families) & (F.col("event_id") != "")).withColumn("_v", F.try_parse_json("data"))
     return base.select("event_id", "event_ts", "org", "gateway", "event_subtype", *(c.alias(n) for n, c in fields.items()))
 
 
 def _text(path: str) -> Column:
-    return F.coalesce(F.get_json_object("data", f"$.{path}"), F.lit(""))
+    return F.coalesce(F.try_variant_get(F.col("_v"), f"$.{path}", "string"), F.lit(""))
 
 
 def _number(path: str, kind: str = "double") -> Column:
-    return F.coalesce(F.get_json_object("data", f"$.{path}").try_cast(kind), F.lit(0).cast(kind))
+    return F.coalesce(F.try_variant_get(F.col("_v"), f"$.{path}", "string").try_cast(kind), F.lit(0).cast(kind))
 
 
 def _stream_fields() -> dict[str, Column]:
@@ -111,7 +166,7 @@ def payments(raw: DataFrame) -> DataFrame:
 
 
 def _success(done: Column) -> Column:
-    return F.when(done, F.get_json_object("data", "$.success").try_cast("boolean"))
+    return F.when(done, F.try_variant_get(F.col("_v"), "$.success", "boolean"))
 
 
 def ai_batch(raw: DataFrame) -> DataFrame:
@@ -120,7 +175,7 @@ def ai_batch(raw: DataFrame) -> DataFrame:
 
 
 def llm_requests(raw: DataFrame) -> DataFrame:
-    return _typed(raw.where(F.col("event_subtype").endswith("_completed")), "ai_llm_request", {"request_id": _text("request_id"), "model": _text("model"), "prompt_tokens": _number("prompt_tokens", "bigint"), "completion_tokens": _number("completion_tokens", "bigint"), "total_tokens": _number("total_tokens", "bigint"), "tokens_per_second": _number("tokens_per_second"), "ttft_ms": _number("ttft_ms"), "finish_reason": _text("finish_reason"), "error": _text("error")})
+    return _typed(raw.where(F.col("event_subtype").endswith("_completed")), "ai_llm_request", {"request_id": _text("request_id"), "model": _text("model"), "orch_url": expr.identity(_text("orch_url")), "streaming": F.try_variant_get(F.col("_v"), "$.streaming", "boolean"), "duration_ms": _number("total_duration_ms", "bigint"), "latency_score": _number("latency_score"), "price_per_unit": _number("price_per_unit"), "prompt_tokens": _number("prompt_tokens", "bigint"), "completion_tokens": _number("completion_tokens", "bigint"), "total_tokens": _number("total_tokens", "bigint"), "tokens_per_second": _number("tokens_per_second"), "ttft_ms": _number("ttft_ms"), "finish_reason": _text("finish_reason"), "error": _text("error")})
 
 
 def byoc_jobs(raw: DataFrame) -> DataFrame:
@@ -141,7 +196,7 @@ def byoc_payments(raw: DataFrame) -> DataFrame:
 
 
 def ingest_metrics(raw: DataFrame) -> DataFrame:
-    tracks = F.from_json(F.get_json_object("data", "$.stats.track_stats"), "array<struct<type:string,jitter:double,packets_lost:long,packets_received:long>>")
+    tracks = F.try_variant_get(F.col("_v"), "$.stats.track_stats", "array<struct<type:string,jitter:double,packets_lost:long,packets_received:long>>")
     first = lambda kind: F.try_element_at(F.filter(tracks, lambda t: t.type == kind), F.lit(1))
     fields = {f"{k}_{f}": first(k)[f] for k in ("video", "audio") for f in ("jitter", "packets_lost", "packets_received")}
     return _typed(raw, "stream_ingest_metrics", {"stream_id": _text("stream_id"), "request_id": _text("request_id"), "conn_quality": _text("stats.conn_quality")} | fields)
@@ -182,3 +237,24 @@ def prices(snapshots: DataFrame) -> DataFrame:
     p = F.from_json(F.get_json_object("payload", "$.capabilities_prices"), "array<struct<capability:int,constraint:string,pricePerUnit:double,pixelsPerUnit:double>>")
     rows = snapshots.select("row_id", "event_ts", "org", "orch_address", F.explode(p).alias("p")).select("row_id", "event_ts", "org", "orch_address", F.col("p.capability").alias("capability_id"), F.col("p.constraint").alias("constraint_name"), F.col("p.pricePerUnit").alias("price_per_unit"), F.col("p.pixelsPerUnit").alias("pixels_per_unit"))
     return rows.where("price_per_unit > 0 and pixels_per_unit > 0")
+
+
+def global_price(snapshots: DataFrame) -> DataFrame:
+    """Price information of a whole snapshot, where it is positive."""
+    v = snapshots.withColumn("_v", F.try_parse_json("payload"))
+    get = lambda f: F.try_variant_get(F.col("_v"), f"$.price_info.{f}", "double")
+    rows = v.select("row_id", "event_ts", "org", "orch_address", get("pricePerUnit").alias("price_per_unit"), get("pixelsPerUnit").alias("pixels_per_unit"))
+    return rows.where("price_per_unit > 0 and pixels_per_unit > 0").withColumn("price_per_pixel", F.col("price_per_unit") / F.col("pixels_per_unit"))
+
+
+def final_rows(raw: DataFrame, key: str = "event_id") -> DataFrame:
+    """The newest version of each row that isn't blank in ``key``: last offset of the last ingest."""
+    rows = raw.where(~expr.blank(F.col(key)))
+    newest = rows.groupBy("org", key).agg(F.max(F.struct("event_ts", "source_offset", F.struct(*[c for c in rows.columns if c not in ("org", key)]).alias("row"))).alias("m"))
+    return newest.select("org", key, "m.row.*").select(*rows.columns)
+
+
+def session_rows(raw: DataFrame) -> DataFrame:
+    """Traces, statuses and events of sessions side by side, from one scan and one parse of each row."""
+    fields = _stream_fields() | {"family": F.col("event_type"), "state": _text("state"), "output_fps": _number("inference_status.fps"), "restart_count": _number("inference_status.restart_count", "bigint"), "last_error": _text("inference_status.last_error"), "message": _text("message"), "start_time": event_time(expr.none_if_blank(_text("start_time")))}
+    return _typed(raw, ["stream_trace", "ai_stream_status", "ai_stream_events"], fields).where("session_key <> ''")
