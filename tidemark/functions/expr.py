@@ -92,7 +92,12 @@ def normal_hints(pipeline: Column, model: Column) -> tuple[Column, Column]:
 
 
 def attribution_status(resolved: Column, ambiguous: Column, stale: Column, hardware_less: Column) -> Column:
-    return F.when(ambiguous, "ambiguous").when(hardware_less, "hardware_less").when(resolved, "resolved").when(stale, "stale").otherwise("unresolved")
+    """The first flag that is set, in the order resolved, ambiguous, hardware_less, stale."""
+    return F.when(resolved, "resolved").when(ambiguous, "ambiguous").when(hardware_less, "hardware_less").when(stale, "stale").otherwise("unresolved")
+
+
+def attribution_reason(resolved: Column, ambiguous: Column, stale: Column, hardware_less: Column) -> Column:
+    return F.when(resolved, "matched").when(ambiguous, "ambiguous_candidates").when(hardware_less, "matched_without_hardware").when(stale, "stale_candidate").otherwise("missing_candidate")
 
 
 def position_score(value: Column, good: Column, bad: Column, rows: Column, *, rising: bool, least_rows: int = 48) -> Column:

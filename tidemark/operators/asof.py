@@ -5,17 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions import expr
+
 
 def neighbours(left: DataFrame, right: DataFrame, keys: list[str], left_ts: str, right_ts: str) -> DataFrame:
     """Each left row with the right times before (prev_ts), equal (same_ts) and after (next_ts) it; one shuffle on the keys."""
     stamps = right.select(*keys, F.col(right_ts).alias("_t")).distinct().withColumn("_r", F.lit(True))
     both = left.withColumns({"_t": F.col(left_ts), "_r": F.lit(False)}).unionByName(stamps, allowMissingColumns=True)
     w = Window.partitionBy(*keys).orderBy(F.unix_micros("_t"))
+    # What follows is what comes before in falling order: frames that only grow cost one pass.
+    falling = Window.partitionBy(*keys).orderBy(F.unix_micros("_t").desc())
     own = F.when(F.col("_r"), F.col("_t"))
     placed = both.withColumns({
         "prev_ts": F.last(own, ignorenulls=True).over(w.rangeBetween(Window.unboundedPreceding, -1)),
         "same_ts": F.max(own).over(w.rangeBetween(0, 0)),
-        "next_ts": F.first(own, ignorenulls=True).over(w.rangeBetween(1, Window.unboundedFollowing)),
+        "next_ts": F.last(own, ignorenulls=True).over(falling.rangeBetween(Window.unboundedPreceding, -1)),
     })
     return placed.where(~F.col("_r")).drop("_r", "_t")
 
@@ -41,11 +45,13 @@ def latest_before(left: DataFrame, right: DataFrame, keys: list[str], left_ts: s
 def attribute(selections: DataFrame, history: DataFrame, *, fresh_s: int = 600, skew_s: int = 30) -> DataFrame:
     """Selections (selection_id, org, ident, ts, pipeline, model) attributed to intervals of history (org, ident, ident_type, valid_from, valid_to, address, uri, pipeline, model, gpu_id, interval_hash).
 
-    Bucket starts around each selection are found per identity type, classified, and joined to the interval rows;
-    the best tier is kept, then compatible pipelines and models (all if none is), then the preferred identity type.
-    More than one distinct provider, pipeline and model is ambiguous.
+    Bucket starts around each selection are found for the identity types it may have (an address may be an alias, a URL is
+    only a URL), classified, and joined to the interval rows; the best tier is kept, then compatible pipelines and models
+    (all if none is), then the preferred identity type. More than one distinct provider, pipeline and model is ambiguous;
+    a provider without hardware is hardware_less, whatever its tier.
     """
-    kinds = selections.withColumn("ident_type", F.explode(F.array(F.lit("uri"), F.lit("address"), F.lit("alias"))))
+    types = F.when(expr.is_address(F.col("ident")), F.array(F.lit("address"), F.lit("alias"))).otherwise(F.array(F.lit("uri")))
+    kinds = selections.withColumn("ident_type", F.explode(types))
     near = neighbours(kinds, history, ["org", "ident", "ident_type"], "ts", "valid_from")
     starts = history.groupBy("org", "ident", "ident_type", F.col("valid_from").alias("prev_ts")).agg(F.min_by("valid_to", "interval_hash").alias("_end"))
     near = near.join(starts, ["org", "ident", "ident_type", "prev_ts"], "left")
@@ -65,6 +71,9 @@ def attribute(selections: DataFrame, history: DataFrame, *, fresh_s: int = 600,
     out = best.groupBy("selection_id").agg(distinct.alias("_n"), F.count_distinct("gpu_id").alias("_gpus"), pick)
     one = F.col("_n") == 1
     take = lambda c: F.when(one, F.col(f"_r.{c}")).alias(c)
-    status = F.when(~one, "ambiguous").when(F.col("_r.match_class") == "stale", "stale").when(F.col("_gpus") == 0, "hardware_less").otherwise("resolved")
-    found = out.select("selection_id", status.alias("status"), F.when(one, F.col("_r.match_class")).otherwise("ambiguous_candidates").alias("reason"), take("address"), take("uri"), take("pipeline"), take("model"), F.when(one & (F.col("_gpus") == 1), F.col("_r.gpu_id")).alias("gpu_id"))
-    return selections.select("selection_id").join(found, "selection_id", "left").fillna({"status": "unresolved", "reason": "missing_candidate"})
+    kind, bare = F.col("_r.match_class"), F.col("_r.gpu_id").isNull()
+    status = F.when(~one, "ambiguous").when(bare, "hardware_less").when(kind == "stale", "stale").otherwise("resolved")
+    reason = F.when(~one, "ambiguous_candidates").when(bare, "matched_without_hardware").when(kind == "exact", "matched").when(kind == "prior", "matched_prior").when(kind == "future", "future_skew").otherwise("stale_candidate")
+    sure = F.when(~one, "low").when(kind == "stale", "medium").otherwise("high")
+    found = out.select("selection_id", status.alias("status"), reason.alias("reason"), sure.alias("confidence"), take("address"), take("uri"), take("pipeline"), take("model"), F.when(one & (F.col("_gpus") == 1), F.col("_r.gpu_id")).alias("gpu_id"))
+    return selections.select("selection_id").join(found, "selection_id", "left").fillna({"status": "unresolved", "reason": "missing_candidate", "confidence": "low"})

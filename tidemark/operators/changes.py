@@ -47,3 +47,9 @@ def tail_artifacts(df: DataFrame, keys: list[str], hour: str, few: int = 3) -> D
     end = F.col(hour) + F.expr("INTERVAL 1 HOUR")
     here = (F.col("started_at") < F.col(hour)) & (F.col("last_seen") >= F.col(hour)) & (F.col("last_seen") < end)
     return df.withColumn("is_tail_artifact", F.coalesce(own & prev & here, F.lit(False)).cast("int"))
+
+
+def touched_by_snapshots(decisions: DataFrame, snapshots: DataFrame, keys: list[str], skew_s: int = 30) -> DataFrame:
+    """Decisions that snapshots which came late may change: of the same identity, at the earliest such snapshot or later (or within the skew before it)."""
+    first = snapshots.groupBy(*keys).agg(F.min("event_ts").alias("_first"))
+    return decisions.join(first, keys).where(F.col("selection_ts") >= F.col("_first") - F.make_interval(secs=F.lit(skew_s))).drop("_first")

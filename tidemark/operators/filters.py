@@ -53,3 +53,9 @@ def settled_hours(df: DataFrame, hour: str, now: Column, minutes: int = 15) -> D
 
 def fresh(df: DataFrame, stamp: str, now: Column, minutes: int) -> DataFrame:
     return df.where((F.col(stamp) > now - F.make_interval(mins=F.lit(minutes))) & (F.col(stamp) <= now))
+
+
+def tail_window(df: DataFrame, stamp: str, now: Column, *, lateness_min: int, width_min: int) -> DataFrame:
+    """The window that is computed again and again as time goes on: ``width_min`` minutes that end ``lateness_min`` before ``now``."""
+    end = now - F.make_interval(mins=F.lit(lateness_min))
+    return half_open(df, stamp, end - F.make_interval(mins=F.lit(width_min)), end)

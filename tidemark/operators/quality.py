@@ -54,6 +54,21 @@ def fingerprint(df: DataFrame, leave_out: tuple[str, ...] = ()) -> DataFrame:
     return one.agg(F.count("*").alias("n_rows"), F.bit_xor("a").alias("xor_a"), F.bit_xor("b").alias("xor_b"), F.sum(F.col("a").cast("decimal(38,0)")).alias("sum_a"))
 
 
+def text_fingerprint(df: DataFrame, leave_out: tuple[str, ...] = ()) -> DataFrame:
+    """Rows and two order-independent sums of halves of each row's MD5, over its columns by name as text; other systems can compute it too."""
+    cols = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("null")) for c in sorted(df.columns) if c not in leave_out]
+    one = df.select(F.md5(F.concat_ws("|", *cols)).alias("m"))
+    part = lambda at: F.sum(F.conv(F.substring("m", at, 12), 16, 10).cast("decimal(38,0)")).cast("string")
+    return one.agg(F.count("*").alias("n_rows"), part(1).alias("sum_a"), part(13).alias("sum_b"))
+
+
+def field_inventory(df: DataFrame, keys: list[str], payload: str) -> DataFrame:
+    """Top-level fields of JSON texts with the kinds of their values and how often each stands."""
+    v = df.select(*keys, F.explode(F.from_json(payload, "map<string,string>")).alias("field", "_t"), F.try_parse_json(payload).alias("_v"))
+    kind = F.schema_of_variant(F.try_parse_json(F.coalesce("_t", F.lit("null"))))
+    return v.groupBy(*keys, "field", kind.alias("kind")).agg(F.count("*").alias("n"))
+
+
 def layer_diff(a: DataFrame, b: DataFrame) -> DataFrame:
     """First differing table of each layer of two reports (layer, table, checksum)."""
     x, y = a.withColumnRenamed("checksum", "left_sum"), b.withColumnRenamed("checksum", "right_sum")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import expr
@@ -80,3 +80,17 @@ def touched_slices(facts: DataFrame, status_hours: DataFrame) -> DataFrame:
     """(org, hour) that a change of these sessions dirties."""
     hours = facts.select("org", F.explode(F.array_distinct(F.array(F.date_trunc("hour", "started_at"), F.date_trunc("hour", "last_seen")))).alias("hour"))
     return hours.unionByName(status_hours.select("org", "hour")).where("hour is not null").distinct()
+
+
+def dirty_slices(rows: DataFrame, now: Column, *, lateness_min: int = 10, quiet_min: int = 2) -> DataFrame:
+    """Slices that late rows dirty: (org, hour) for rows of the day of ``now``, (org, day) for older ones.
+
+    A row is late if it was ingested more than ``lateness_min`` after it happened; a slice is ready when nothing has come
+    for ``quiet_min``.
+    """
+    late = rows.where(F.col("ingested_at") > F.col("event_ts") + F.make_interval(mins=F.lit(lateness_min)))
+    today = F.to_date("event_ts") == F.to_date(now)
+    mode = F.when(today, "hour").otherwise("day")
+    start = F.when(today, F.date_trunc("hour", "event_ts")).otherwise(F.date_trunc("day", "event_ts"))
+    out = late.groupBy("org", mode.alias("mode"), start.alias("slice_start")).agg(F.count("*").alias("late_rows"), F.max("ingested_at").alias("last_ingested"))
+    return out.withColumn("ready", F.col("last_ingested") <= now - F.make_interval(mins=F.lit(quiet_min))).drop("last_ingested")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import expr
-from tidemark.operators import asof, changes, latest, quality, sessions
+from tidemark.operators import asof, changes, evidence, latest, quality, sessions
 from tidemark.sources import envelopes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,10 +84,10 @@ def s11_retention(spark, sf_dir):
 # Rollups ---------------------------------------------------------------------------------------------------------------
 
 
-@query("SELECT epoch_us(date_trunc('hour', ts)) AS hour_us, event_type, count(*) AS n_events, count(DISTINCT user_id) AS n_users, round(sum(value), 4) AS value_sum, round(sum(value) / count(*), 4) AS value_avg FROM events GROUP BY 1, 2")
+@query("SELECT epoch_us(date_trunc('hour', ts)) AS hour_us, event_type, count(*) AS n_events, count(DISTINCT user_id) AS n_users, CAST(sum(CAST(value AS DECIMAL(18, 4))) AS DOUBLE) AS value_sum, round(CAST(sum(CAST(value AS DECIMAL(18, 4))) AS DOUBLE) / count(*), 4) AS value_avg FROM events GROUP BY 1, 2")
 def a6_hourly_rollup(spark, sf_dir):
-    out = events(spark, sf_dir).groupBy(hour().alias("h"), "event_type").agg(F.count("*").alias("n_events"), F.count_distinct("user_id").alias("n_users"), F.sum("value").alias("s"))
-    return out.select(us("h").alias("hour_us"), "event_type", "n_events", "n_users", F.round("s", 4).alias("value_sum"), F.round(expr.ratio(F.col("s"), F.col("n_events")), 4).alias("value_avg"))
+    out = events(spark, sf_dir).groupBy(hour().alias("h"), "event_type").agg(F.count("*").alias("n_events"), F.count_distinct("user_id").alias("n_users"), F.sum(F.col("value").cast("decimal(18,4)")).cast("double").alias("s"))
+    return out.select(us("h").alias("hour_us"), "event_type", "n_events", "n_users", F.col("s").alias("value_sum"), F.round(expr.ratio(F.col("s"), F.col("n_events")), 4).alias("value_avg"))
 
 
 @query("SELECT user_id, max_by(event_id, (ts, event_id)) FILTER (WHERE event_type = 'click') AS last_click, epoch_us(min(ts) FILTER (WHERE event_type = 'error')) AS first_error_us, count(*) FILTER (WHERE event_type = 'error') AS errors, count(*) AS n FROM events GROUP BY user_id")
@@ -102,25 +102,35 @@ def a9_latency_percentiles(spark, sf_dir):
     return events(spark, sf_dir).groupBy(hour().alias("h")).agg(F.round(F.avg("value"), 4).alias("avg_value"), p(0.5).alias("p50"), p(0.95).alias("p95"), p(0.99).alias("p99"), F.count("*").alias("n")).withColumn("hour_us", us("h")).drop("h")
 
 
-_BENCH = "SELECT p_brand AS brand, CAST(l_shipdate AS DATE) AS d, sum(l_extendedprice) / sum(l_quantity) AS v, count(*) AS n FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2, l_returnflag, l_linestatus"
+_BENCH = "SELECT p_brand AS brand, CAST(l_shipdate AS DATE) AS d, CAST(sum(CAST(l_extendedprice AS DECIMAL(18, 2))) AS DOUBLE) / CAST(sum(CAST(l_quantity AS DECIMAL(18, 2))) AS DOUBLE) AS v, count(*) AS n FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2, l_returnflag, l_linestatus"
+
+
+def exact(c: str) -> Column:
+    """A sum of money that doesn't depend on the order of rows."""
+    return F.sum(F.col(c).cast("decimal(18,2)")).cast("double")
 
 
 def _benchmark(spark, sf_dir):
     rows = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "part").select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
-    grain = rows.groupBy(F.col("p_brand").alias("brand"), F.to_date("l_shipdate").alias("d"), "l_returnflag", "l_linestatus").agg((F.sum("l_extendedprice") / F.sum("l_quantity")).alias("v"))
+    grain = rows.groupBy(F.col("p_brand").alias("brand"), F.to_date("l_shipdate").alias("d"), "l_returnflag", "l_linestatus").agg((exact("l_extendedprice") / exact("l_quantity")).alias("v"))
     return grain.groupBy("brand", "d").agg(*(F.expr(f"percentile(v, {q / 100})").alias(f"p{q}") for q in (10, 50, 90)), F.count("v").alias("n"))
 
 
-@query(f"WITH g AS ({_BENCH}) SELECT brand, epoch_us(CAST(d AS TIMESTAMP)) AS day_us, round(quantile_cont(v, 0.1), 4) AS p10, round(quantile_cont(v, 0.5), 4) AS p50, round(quantile_cont(v, 0.9), 4) AS p90, count(*) AS n FROM g GROUP BY brand, d")
+# The exact percentile of sorted values, in the same steps as Spark's.
+_Q = "CASE WHEN floor((n - 1) * {0}) = ceil((n - 1) * {0}) THEN x[CAST(floor((n - 1) * {0}) AS INTEGER) + 1] ELSE (ceil((n - 1) * {0}) - (n - 1) * {0}) * x[CAST(floor((n - 1) * {0}) AS INTEGER) + 1] + ((n - 1) * {0} - floor((n - 1) * {0})) * x[CAST(ceil((n - 1) * {0}) AS INTEGER) + 1] END"
+_BENCH_Q = f"WITH g AS ({_BENCH}), l AS (SELECT brand, d, list_sort(list(v)) AS x, count(*) AS n FROM g GROUP BY 1, 2), b AS (SELECT brand, d, {_Q.format('CAST(0.1 AS DOUBLE)')} AS p10, {_Q.format('CAST(0.5 AS DOUBLE)')} AS p50, {_Q.format('CAST(0.9 AS DOUBLE)')} AS p90, n FROM l)"
+
+
+@query(f"{_BENCH_Q} SELECT brand, epoch_us(CAST(d AS TIMESTAMP)) AS day_us, p10, p50, p90, n FROM b")
 def a12_benchmark_daily(spark, sf_dir):
-    return _benchmark(spark, sf_dir).select("brand", us(F.col("d").cast("timestamp")).alias("day_us"), *(F.round(f"p{q}", 4).alias(f"p{q}") for q in (10, 50, 90)), "n")
+    return _benchmark(spark, sf_dir).select("brand", us(F.col("d").cast("timestamp")).alias("day_us"), "p10", "p50", "p90", "n")
 
 
-@query(f"WITH g AS ({_BENCH}), b AS (SELECT brand, d, quantile_cont(v, 0.5) p50, count(*) n FROM g GROUP BY brand, d) SELECT x.brand, epoch_us(CAST(x.d AS TIMESTAMP)) AS day_us, CAST(coalesce(sum(b.n), 0) AS BIGINT) AS cohort_rows, round(sum(b.p50 * b.n) / sum(b.n), 4) AS cohort_p50 FROM b x LEFT JOIN b ON b.brand = x.brand AND b.d < x.d AND b.d >= x.d - 7 GROUP BY 1, 2")
+@query(f"{_BENCH_Q} SELECT x.brand, epoch_us(CAST(x.d AS TIMESTAMP)) AS day_us, CAST(coalesce(sum(b.n), 0) AS BIGINT) AS cohort_rows, CAST(sum(CAST(b.p50 AS DECIMAL(18, 8)) * b.n) AS DOUBLE) / sum(b.n) AS cohort_p50 FROM b x LEFT JOIN b ON b.brand = x.brand AND b.d < x.d AND b.d >= x.d - 7 GROUP BY 1, 2")
 def a13_cohort_weighted(spark, sf_dir):
     b = _benchmark(spark, sf_dir)
     prior = b.select("brand", "d", F.explode(F.transform(F.sequence(F.lit(1), F.lit(7)), lambda o: F.date_sub("d", o))).alias("pd"))
-    got = prior.join(b.select("brand", F.col("d").alias("pd"), "p50", "n"), ["brand", "pd"], "left").groupBy("brand", "d").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("cohort_rows"), F.round(F.sum(F.col("p50") * F.col("n")) / F.sum("n"), 4).alias("cohort_p50"))
+    got = prior.join(b.select("brand", F.col("d").alias("pd"), "p50", "n"), ["brand", "pd"], "left").groupBy("brand", "d").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("cohort_rows"), (F.sum(F.col("p50").cast("decimal(18,8)") * F.col("n").cast("decimal(10,0)")).cast("double") / F.sum("n")).alias("cohort_p50"))
     return got.select("brand", us(F.col("d").cast("timestamp")).alias("day_us"), "cohort_rows", "cohort_p50")
 
 
@@ -149,7 +159,7 @@ def a19_payments_rollup(spark, sf_dir):
 
 @query("SELECT n_name, CASE WHEN cnt > 1 THEN n_name || ' #' || CAST(c_custkey AS VARCHAR) ELSE n_name END AS label, c_custkey FROM (SELECT c_custkey, lower(n_name) l, n_name, count(*) OVER (PARTITION BY lower(n_name)) cnt FROM customer JOIN nation ON c_nationkey = n_nationkey)")
 def a23_identity_labels(spark, sf_dir):
-    named = table(spark, sf_dir, "customer").join(F.broadcast(table(spark, sf_dir, "nation")), F.col("c_nationkey") == F.col("n_nationkey"))
+    named = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     n = F.count("*").over(Window.partitionBy(F.lower("n_name")))
     return named.withColumn("_n", n).select("n_name", F.when(F.col("_n") > 1, F.concat("n_name", F.lit(" #"), F.col("c_custkey").cast("string"))).otherwise(F.col("n_name")).alias("label"), "c_custkey")
 
@@ -324,8 +334,13 @@ def a32_duplicates(spark, sf_dir):
     return quality.duplicates(table(spark, sf_dir, "events"), "event_id")
 
 
-@query()
+@query("SELECT count(*) AS n_rows, CAST(sum(CAST(('0x' || substr(m, 1, 12)) AS BIGINT)) AS VARCHAR) AS sum_a, CAST(sum(CAST(('0x' || substr(m, 13, 12)) AS BIGINT)) AS VARCHAR) AS sum_b FROM (SELECT md5(concat_ws('|', coalesce('=' || CAST(c_acctbal AS DECIMAL(18, 2)), 'null'), coalesce('=' || c_custkey, 'null'), coalesce('=' || c_mktsegment, 'null'), coalesce('=' || c_name, 'null'), coalesce('=' || c_nationkey, 'null'))) AS m FROM customer)")
 def c15_fingerprint(spark, sf_dir):
+    return quality.text_fingerprint(table(spark, sf_dir, "customer").withColumn("c_acctbal", F.col("c_acctbal").cast("decimal(18,2)")))
+
+
+@query()
+def c15_checksum(spark, sf_dir):
     return quality.fingerprint(table(spark, sf_dir, "lineitem"))
 
 
@@ -344,9 +359,10 @@ def i1_event_type_profile(spark, sf_dir):
     return events(spark, sf_dir).groupBy("event_type").agg(F.count("*").alias("n"), us(F.min("ts")).alias("first_us"), us(F.max("ts")).alias("last_us"), F.count_if(k.isNull()).alias("parse_errors"), F.sum(k.cast("long")).alias("k_sum"))
 
 
-@query()
+@query("SELECT event_type, 'k' AS field, json_type(props, '$.k') AS kind, count(*) AS n FROM events WHERE json_type(props, '$.k') IS NOT NULL GROUP BY 1, 2, 3")
 def i2_field_inventory(spark, sf_dir):
-    return table(spark, sf_dir, "events").groupBy("event_type").agg(F.schema_of_variant_agg(F.parse_json("props")).alias("fields"))
+    kinds = {"BIGINT": "UBIGINT"}  # names of a type in the two systems
+    return quality.field_inventory(table(spark, sf_dir, "events"), ["event_type"], "props").replace(kinds, subset=["kind"])
 
 
 # The event pipeline on envelopes derived from ``events`` -----------------------------------------------------------------
@@ -391,20 +407,20 @@ def a6_session_status_hours(spark, sf_dir):
     return out.select("session_key", F.unix_millis("hour").alias("hour_ms"), "status_samples", "fps_positive_samples", "running_samples", F.round("output_fps_sum", 4).alias("output_fps_sum"))
 
 
-_FACTS = f"""{_RAW}, f AS (SELECT session_key, min(ms) FILTER (WHERE k < 4 AND t = 0) started, bool_or(k < 4 AND t = 4) playable, count(*) FILTER (WHERE k < 4 AND t = 6) no_orch, count(*) FILTER (WHERE k BETWEEN 4 AND 6) samples, count(*) FILTER (WHERE k BETWEEN 4 AND 6 AND value > 0) pos, coalesce(sum(value) FILTER (WHERE k BETWEEN 4 AND 6), 0) fps FROM r WHERE (k < 4 AND t < 8) OR k BETWEEN 4 AND 6 GROUP BY 1),
+_FACTS = f"""{_RAW}, f AS (SELECT session_key, min(ms) FILTER (WHERE k < 4 AND t = 0) started, bool_or(k < 4 AND t = 4) playable, count(*) FILTER (WHERE k < 4 AND t = 6) no_orch, count(*) FILTER (WHERE k BETWEEN 4 AND 6) samples, count(*) FILTER (WHERE k BETWEEN 4 AND 6 AND event_type = 'error') errs, count(*) FILTER (WHERE k BETWEEN 4 AND 6 AND event_type = 'error' AND event_id % 2 = 0) exc, count(*) FILTER (WHERE k BETWEEN 4 AND 6 AND value > 0) pos, coalesce(sum(value) FILTER (WHERE k BETWEEN 4 AND 6), 0) fps FROM r WHERE (k < 4 AND t < 8) OR k BETWEEN 4 AND 6 GROUP BY 1),
 o AS (SELECT *, CASE WHEN started IS NULL THEN 'unknown' WHEN playable THEN 'success' ELSE 'failed' END outcome FROM f)"""
 
 
-@query(f"{_FACTS} SELECT session_key, outcome AS startup_outcome, CASE WHEN outcome = 'failed' AND no_orch > 0 THEN 'no_orch' ELSE '' END AS excusal_reason, samples AS status_samples, CAST(samples > 0 AND pos = 0 AS INTEGER) AS zero_output FROM o")
+@query(f"{_FACTS} SELECT session_key, outcome AS startup_outcome, CASE WHEN outcome = 'failed' AND no_orch > 0 THEN 'no_orch' WHEN outcome = 'failed' AND errs > 0 AND errs = exc THEN 'excusable_error' ELSE '' END AS excusal_reason, samples AS status_samples, CAST(samples > 0 AND pos = 0 AS INTEGER) AS zero_output FROM o")
 def d3_session_facts(spark, sf_dir):
     good = accepted(spark, sf_dir)
-    return sessions.session_facts(envelopes.stream_trace(good), envelopes.stream_status(good)).select("session_key", "startup_outcome", "excusal_reason", "status_samples", "zero_output")
+    return sessions.facts_of(evidence.session_evidence(envelopes.session_rows(good))).select("session_key", "startup_outcome", "excusal_reason", "status_samples", "zero_output")
 
 
 @query(f"""{_FACTS} SELECT CAST(started // 3600000 * 3600000 AS BIGINT) AS hour_ms, count(*) AS sessions, count(*) FILTER (WHERE outcome = 'success') AS success_sessions, count(*) FILTER (WHERE outcome = 'failed' AND no_orch > 0) AS no_orch_sessions, round(count(*) FILTER (WHERE outcome = 'success') / count(*), 6) AS success_rate, CAST(sum(samples) AS BIGINT) AS status_samples FROM o WHERE started IS NOT NULL GROUP BY 1""")
 def a10_demand_hourly(spark, sf_dir):
     good = accepted(spark, sf_dir)
-    out = sessions.demand_hourly(sessions.session_facts(envelopes.stream_trace(good), envelopes.stream_status(good)))
+    out = sessions.demand_hourly(sessions.facts_of(evidence.session_evidence(envelopes.session_rows(good))))
     return out.select(F.unix_millis("window_start").alias("hour_ms"), "sessions", "success_sessions", "no_orch_sessions", F.round("success_rate", 6).alias("success_rate"), "status_samples")
 
 
@@ -415,13 +431,19 @@ def d10_ai_batch_facts(spark, sf_dir):
     return out.select("request_id", "success", "duration_ms", F.unix_millis("received_at").alias("received_ms"))
 
 
-@query()
+@query("""WITH h AS (SELECT * FROM (SELECT *, lag(event_type) OVER w AS before FROM events WHERE event_type <> 'error' WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)) WHERE before IS DISTINCT FROM event_type),
+s AS (SELECT * FROM events WHERE event_type = 'error'),
+m AS (SELECT s.event_id, any_value(s.ts) AS ts, any_value(s.user_id) AS user_id, max(h.ts) FILTER (WHERE h.ts < s.ts) AS p, max(h.ts) FILTER (WHERE h.ts = s.ts) AS q, min(h.ts) FILTER (WHERE h.ts > s.ts) AS n FROM s LEFT JOIN h USING (user_id) GROUP BY 1),
+c AS (SELECT *, CASE WHEN q IS NOT NULL THEN 'exact' WHEN p IS NOT NULL AND epoch_us(ts) - epoch_us(p) <= 600000000 THEN 'exact' WHEN n IS NOT NULL AND epoch_us(n) - epoch_us(ts) <= 30000000 THEN 'future' WHEN p IS NOT NULL THEN 'stale' END AS kind FROM m),
+a AS (SELECT c.*, h.event_id AS hid, h.event_type AS model FROM c LEFT JOIN h ON h.user_id = c.user_id AND h.ts = CASE WHEN c.kind = 'future' THEN c.n WHEN c.q IS NOT NULL THEN c.q WHEN c.kind IS NOT NULL THEN c.p END)
+SELECT md5(concat_ws('|', user_id % 5, user_id, event_id)) AS selection_id, CASE WHEN kind IS NULL THEN 'unresolved' WHEN hid % 5 = 0 THEN 'hardware_less' WHEN kind = 'stale' THEN 'stale' ELSE 'resolved' END AS status, CASE WHEN kind IS NULL THEN 'missing_candidate' WHEN hid % 5 = 0 THEN 'matched_without_hardware' WHEN kind = 'exact' THEN 'matched' WHEN kind = 'future' THEN 'future_skew' ELSE 'stale_candidate' END AS reason,
+CASE WHEN kind IS NULL THEN 'low' WHEN kind = 'stale' THEN 'medium' ELSE 'high' END AS confidence, CASE WHEN kind IS NOT NULL THEN CAST(user_id AS VARCHAR) END AS address, CASE WHEN kind IS NOT NULL THEN 'https://u' || user_id END AS uri, CASE WHEN kind IS NOT NULL THEN 'live' END AS pipeline, model, CASE WHEN hid % 5 <> 0 THEN 'g' || (hid % 3) END AS gpu_id FROM a""")
 def j15_attribution(spark, sf_dir):
     """The whole attribution chain on histories derived from ``events``: users are providers, event types their models."""
     e = events(spark, sf_dir)
     org = (F.col("user_id") % 5).cast("string")
     hist = changes.intervals(e.where("event_type <> 'error'").withColumn("org", org), ["org", "user_id"], "ts", ["ts", "event_id"], "event_type")
-    hist = hist.select("org", F.concat(F.lit("https://u"), "user_id").alias("ident"), F.lit("uri").alias("ident_type"), "valid_from", "valid_to", F.col("user_id").cast("string").alias("address"), F.concat(F.lit("https://u"), "user_id").alias("uri"), F.lit("live").alias("pipeline"), F.col("event_type").alias("model"), F.concat(F.lit("g"), F.col("event_id") % 3).alias("gpu_id"), F.md5(F.col("event_id").cast("string")).alias("interval_hash"))
+    hist = hist.select("org", F.concat(F.lit("https://u"), "user_id").alias("ident"), F.lit("uri").alias("ident_type"), "valid_from", "valid_to", F.col("user_id").cast("string").alias("address"), F.concat(F.lit("https://u"), "user_id").alias("uri"), F.lit("live").alias("pipeline"), F.col("event_type").alias("model"), F.when(F.col("event_id") % 5 != 0, F.concat(F.lit("g"), F.col("event_id") % 3)).alias("gpu_id"), F.md5(F.col("event_id").cast("string")).alias("interval_hash"))
     sel = changes.selections(e.where("event_type = 'error'").withColumn("org", org), ["org", "user_id"], ["ts", "event_id"], "event_type", F.lit(True))
     sel = sel.select(expr.hash_id(F.col("org"), F.col("user_id"), F.col("event_id")).alias("selection_id"), "org", F.concat(F.lit("https://u"), "user_id").alias("ident"), "ts", F.lit("").alias("pipeline"), F.lit("").alias("model"))
     return asof.attribute(sel, hist)

@@ -282,3 +282,25 @@ def q1_sessions_kpi(spark, sf_dir):
 def i3_endpoints_per_session(spark, sf_dir):
     own = rows(spark, sf_dir).groupBy("session_key").agg(F.count_distinct("orch_url").alias("supply"))
     return own.groupBy("supply").agg(F.count("*").alias("n"))
+
+
+@query("""WITH n AS (SELECT max(ts) AS now FROM events), e AS (SELECT *, ts + to_minutes(CAST(event_id % 20 AS BIGINT)) AS ing FROM events), l AS (SELECT CASE WHEN CAST(ts AS DATE) = CAST(now AS DATE) THEN 'hour' ELSE 'day' END AS mode, CASE WHEN CAST(ts AS DATE) = CAST(now AS DATE) THEN date_trunc('hour', ts) ELSE date_trunc('day', ts) END AS a, ing, now FROM e, n WHERE event_id % 20 > 10)
+SELECT mode, epoch_us(a) AS slice_us, count(*) AS late_rows, max(ing) <= any_value(now) - INTERVAL 2 MINUTE AS ready FROM l GROUP BY 1, 2""")
+def r6_dirty_slices(spark, sf_dir):
+    e = events(spark, sf_dir).select(F.lit("north").alias("org"), F.col("ts").alias("event_ts"), (F.col("ts") + F.make_interval(mins=F.col("event_id") % 20)).alias("ingested_at"))
+    out = sessions.dirty_slices(e, F.lit(e.agg(F.max("event_ts")).first()[0]))
+    return out.select("mode", F.unix_micros("slice_start").alias("slice_us"), "late_rows", "ready")
+
+
+@query(f"WITH {_D_US}, s AS (SELECT user_id, min(ts) AS since FROM events WHERE event_type = 'signup' GROUP BY 1) SELECT DISTINCT session_key FROM d JOIN (SELECT DISTINCT 'north|s' || user_id || '|' AS p, epoch_us(since) AS since FROM s) ON starts_with(session_key, p) WHERE sel >= since - 30000000")
+def r7_touched_by_snapshots(spark, sf_dir):
+    """Sessions whose decisions a late snapshot of their provider may change: those at or after the snapshot."""
+    snaps = events(spark, sf_dir).where("event_type = 'signup'").groupBy(F.concat(F.lit("s"), "user_id").alias("ident")).agg(F.min("ts").alias("event_ts"))
+    d = decisions(spark, sf_dir).withColumn("ident", F.split("session_key", "\\|")[1])
+    return changes.touched_by_snapshots(d, snaps, ["ident"]).select("session_key").distinct()
+
+
+@query("SELECT event_id FROM events WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE - INTERVAL 1 HOUR AND ts < (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE")
+def r8_tail_window(spark, sf_dir):
+    e = events(spark, sf_dir)
+    return filters.tail_window(e, "ts", F.lit(e.agg(F.max("ts")).first()[0]), lateness_min=10, width_min=60).select("event_id")

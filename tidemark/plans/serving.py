@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import expr
-from tidemark.operators import changes, latest, sessions, supply
+from tidemark.operators import changes, evidence, latest, sessions, supply
 from tidemark.plans.catalog import _FACTS, _RAW, accepted, events, hour, orders, query, raw, table, us
 from tidemark.sources import envelopes
 
@@ -184,7 +184,7 @@ def a17_request_demand_hourly(spark, sf_dir):
 def a16_demand_reaggregate(spark, sf_dir):
     """Hourly counters summed by day, every ratio from the sums."""
     good = accepted(spark, sf_dir)
-    hours = sessions.demand_hourly(sessions.session_facts(envelopes.stream_trace(good), envelopes.stream_status(good)))
+    hours = sessions.demand_hourly(sessions.facts_of(evidence.session_evidence(envelopes.session_rows(good))))
     days = hours.groupBy(F.date_trunc("day", "window_start").alias("d")).agg(*(F.sum(c).alias(c) for c in ("sessions", "requested_sessions", "success_sessions", "status_samples", "output_fps_sum")))
     return days.select(F.unix_millis("d").alias("day_ms"), "sessions", "success_sessions", "status_samples", F.round(expr.ratio(F.col("success_sessions"), F.col("requested_sessions")), 6).alias("success_rate"), F.round(expr.ratio(F.col("output_fps_sum"), F.col("status_samples")), 4).alias("avg_fps"))
 
@@ -238,11 +238,11 @@ def u4_touched_sessions(spark, sf_dir):
     return envelopes.stream_trace(good).select("session_key").union(envelopes.stream_status(good).select("session_key")).distinct()
 
 
-@query(f"{_FACTS}, l AS (SELECT session_key, max(ms) AS z FROM r WHERE (k < 4 AND t < 8) OR k BETWEEN 4 AND 6 GROUP BY 1) SELECT session_key, started // 3600000 * 3600000 AS hour_ms, round((z - started) / 60000.0, 4) AS minutes FROM o JOIN l USING (session_key) WHERE started IS NOT NULL")
+@query(f"{_FACTS}, l AS (SELECT session_key, max(ms) AS z FROM r WHERE (k < 4 AND t < 8) OR k BETWEEN 4 AND 6 GROUP BY 1) SELECT session_key, started // 3600000 * 3600000 AS hour_ms, (z - started) / CAST(60000 AS DOUBLE) AS minutes FROM o JOIN l USING (session_key) WHERE started IS NOT NULL")
 def d5_demand_input(spark, sf_dir):
     good = accepted(spark, sf_dir)
-    facts = sessions.session_facts(envelopes.stream_trace(good), envelopes.stream_status(good)).where("started_at is not null")
-    return facts.select("session_key", F.unix_millis(F.date_trunc("hour", "started_at")).alias("hour_ms"), F.round((F.unix_millis("last_seen") - F.unix_millis("started_at")) / 60000.0, 4).alias("minutes"))
+    facts = sessions.facts_of(evidence.session_evidence(envelopes.session_rows(good))).where("started_at is not null")
+    return facts.select("session_key", F.unix_millis(F.date_trunc("hour", "started_at")).alias("hour_ms"), ((F.unix_millis("last_seen") - F.unix_millis("started_at")) / F.lit(60000.0)).alias("minutes"))
 
 
 @query("""WITH x AS (SELECT event_id, CASE event_type WHEN 'click' THEN 'pip_sdxl-turbo' WHEN 'view' THEN 'Text-To-Image' WHEN 'signup' THEN 'llm' WHEN 'error' THEN 'unknown' ELSE '' END p, CASE user_id % 3 WHEN 0 THEN '' WHEN 1 THEN 'StreamDiffusion' ELSE 'llm' END m FROM events), y AS (SELECT event_id, CASE WHEN m = '' AND p = 'pip_sdxl-turbo' THEN 'streamdiffusion-sdxl' WHEN m = 'StreamDiffusion' THEN 'streamdiffusion' ELSE m END m, CASE WHEN p IN ('Text-To-Image', 'llm') THEN lower(p) ELSE '' END p FROM x), z AS (SELECT event_id, m, CASE WHEN p <> '' THEN p WHEN m LIKE 'streamdiffusion%' THEN 'live-video-to-video' ELSE '' END p FROM y)

@@ -27,6 +27,16 @@ def read_envelopes(spark: SparkSession, source: str, topics: list[str] | None =
     return rows.where("type is not null")
 
 
+def check_archive(spark: SparkSession, path: str, rows: int | None = None, broken: int = 100) -> int:
+    """Broken records of a JSON-lines archive; ``ValueError`` if there are more than ``broken``, or not ``rows`` records."""
+    kind = ENVELOPE + ", _broken string"
+    lines = spark.read.schema(kind).option("columnNameOfCorruptRecord", "_broken").json(path).select("type", "_broken")
+    n, bad = lines.agg(F.count("*"), F.count_if(F.col("type").isNull() | F.col("_broken").isNotNull())).first()
+    if bad > broken or rows not in (None, n):
+        raise ValueError(f"{bad} broken records of {n}, {rows} expected")
+    return bad
+
+
 def _address(n: Column) -> Column:
     return F.concat(F.lit("0x"), F.lpad(F.lower(F.hex(n)), 40, "0"))
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from tidemark.operators import asof, changes, latest
 from tidemark.sources import envelopes
 
 
@@ -35,12 +38,68 @@ def minute_throughput(raw: DataFrame, lateness: str = "10 minutes") -> DataFrame
     return raw.withWatermark("event_ts", lateness).groupBy(F.window("event_ts", "1 minute"), "event_type").agg(F.count("*").alias("n_events"))
 
 
-def repair_slices(stream: DataFrame, base: Callable[[], DataFrame], build: Callable[[DataFrame], DataFrame], table: str, checkpoint: str) -> StreamingQuery:
-    """Each micro-batch's (org, hour) are computed again from ``base`` and overwrite their partitions; rows may be as late as they like."""
+def repair_slices(stream: DataFrame, base: Callable[[list], DataFrame], build: Callable[[DataFrame], DataFrame], table: str, checkpoint: str) -> StreamingQuery:
+    """Each micro-batch's (org, hour) are computed again from ``base`` and overwrite their partitions; rows may be as late as they like.
+
+    ``base`` gets the days that the batch touches, so that a table partitioned by day is read for those alone. A slice
+    of which nothing is left keeps one row with ``is_empty``; ``read_slices`` leaves it out.
+    """
 
     def write(batch: DataFrame, n: int) -> None:
         hours = batch.select("org", F.date_trunc("hour", "event_ts").alias("hour")).distinct()
-        rows = base().withColumn("hour", F.date_trunc("hour", "event_ts")).join(hours, ["org", "hour"], "left_semi")
-        build(rows).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("org", "hour").parquet(table)
+        days = [r.day for r in hours.select(F.to_date("hour").alias("day")).distinct().collect()]  # a row for each day of the batch
+        rows = base(days).withColumn("hour", F.date_trunc("hour", "event_ts")).join(hours, ["org", "hour"], "left_semi")
+        built = build(rows).withColumn("is_empty", F.lit(False))
+        whole = hours.join(built, ["org", "hour"], "left").fillna({"is_empty": True})
+        whole.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("org", "hour").parquet(table)
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def read_slices(spark: SparkSession, table: str) -> DataFrame:
+    return spark.read.parquet(table).where("not is_empty").drop("is_empty")
+
+
+STATE = "started_ms long, last_ms long, rows long, samples long, fps_sum double, swaps long"
+
+
+def session_state(rows: DataFrame, idle: str = "6 hours", lateness: str = "10 minutes") -> DataFrame:
+    """The running state of each session, told anew whenever it changes, and dropped when the watermark has passed its last row by ``idle``."""
+    idle_ms = int(pd.Timedelta(idle).total_seconds() * 1000)
+
+    def update(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        started, last, n, samples, fps, swaps = state.get if state.exists else (None, 0, 0, 0, 0.0, 0)
+        for f in frames:
+            stamps = f["ms"]
+            first = stamps[f["event_subtype"] == "gateway_receive_stream_request"]
+            if len(first):
+                started = int(first.min()) if started is None else min(started, int(first.min()))
+            status = f["family"] == "ai_stream_status"
+            last, n, samples = max(last, int(stamps.max())), n + len(f), samples + int(status.sum())
+            fps += float(f.loc[status, "output_fps"].sum())
+            swaps += int((f["event_subtype"] == "orchestrator_swap").sum())
+        state.update((started, last, n, samples, fps, swaps))
+        state.setTimeoutTimestamp(max(last + idle_ms, state.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame([[*key, started, last, n, samples, fps, swaps]], columns=["org", "session_key", *(c.split()[0] for c in STATE.split(", "))])
+
+    kept = rows.withColumn("ms", F.unix_millis("event_ts")).withWatermark("event_ts", lateness)
+    kept = kept.select("org", "session_key", "event_ts", "ms", "family", "event_subtype", "output_fps")
+    return kept.groupBy("org", "session_key").applyInPandasWithState(update, f"org string, session_key string, {STATE}", STATE, "update", GroupStateTimeout.EventTimeTimeout)
+
+
+def repair_dimensions(snapshots: DataFrame, selections: Callable[[], DataFrame], history: Callable[[], DataFrame], table: str, checkpoint: str) -> StreamingQuery:
+    """Snapshots (org, ident, event_ts) that come late: the selections that they touch are attributed again, each batch to a folder of its own with its number; ``read_decisions`` takes the newest of each selection."""
+
+    def write(batch: DataFrame, n: int) -> None:
+        touched = changes.touched_by_snapshots(selections().withColumn("selection_ts", F.col("ts")), batch, ["org", "ident"]).drop("selection_ts")
+        asof.attribute(touched, history()).withColumn("run", F.lit(n)).write.mode("overwrite").parquet(f"{table}/batch={n}")
+
+    return snapshots.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def read_decisions(spark: SparkSession, table: str) -> DataFrame:
+    rows = spark.read.parquet(table).drop("batch")
+    return latest.latest_rows(rows, ["selection_id"], [F.desc("run")]).drop("run")
