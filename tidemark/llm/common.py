@@ -57,7 +57,17 @@ def settle(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(_CLEANS, before)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored._scratch_path = path
+    return stored
+
+
+def discard(*stored: DataFrame) -> None:
+    """Delete tables of ``settle`` of which all that was made is stored itself."""
+    for df in stored:
+        spark = df.sparkSession
+        jpath = spark._jvm.org.apache.hadoop.fs.Path(df._scratch_path)
+        jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

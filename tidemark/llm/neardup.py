@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import documents, map_batches, settle
+from tidemark.llm.common import discard, documents, map_batches, settle
 
 BINS, ROWS = 128, 4
 #: Members of one centre that a group of the verifying join may hold.
@@ -220,7 +220,8 @@ def components(links: DataFrame) -> DataFrame:
         # Small star: a node and its smaller neighbours move to the smallest of them.
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        edges = settle(small, "edges")
+        old, edges = edges, settle(small, "edges")
+        discard(old)
         now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if now == before:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))

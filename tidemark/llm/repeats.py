@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import documents, settle
+from tidemark.llm.common import discard, documents, settle
 
 LENGTH, Q = 50, 20
 #: Bytes of text a chunk and a bucket of hashes, the fewest of either, and distinct slices of a group.
@@ -106,18 +106,26 @@ def _by_bucket(h: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     return order, np.searchsorted(bucket[order], np.arange(buckets + 1))
 
 
-def _anchors(texts: list[str | None], length: int, q: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """Anchors of the windows of each text; the distinct ones of the chunk, shortened, and the number of texts that have each."""
-    each = [window_anchors(_raw(t), length, q) for t in texts]
-    h, n = np.unique(np.concatenate([np.empty(0, np.uint64), *(np.unique(_short(x)) for x in each)]), return_counts=True)
-    return each, h, n
+def _runs(texts: list[str | None], length: int, q: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For each text, the runs of windows of one anchor: first windows, ends (not included) and anchors."""
+    out = []
+    for t in texts:
+        a = window_anchors(_raw(t), length, q)
+        start = np.flatnonzero(np.r_[True, a[1:] != a[:-1]]) if len(a) else np.empty(0, np.int64)
+        out.append((start, np.r_[start[1:], len(a)][: len(start)], a[start]))
+    return out
+
+
+def _distinct(runs: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct anchors of a chunk, shortened, and the number of texts that have each."""
+    return np.unique(np.concatenate([np.empty(0, np.uint64), *(np.unique(_short(a)) for _, _, a in runs)]), return_counts=True)
 
 
 def asked_anchors(docs: DataFrame, length: int, q: int, buckets: int) -> DataFrame:
     """The distinct anchors of each chunk, by bucket."""
 
     def run(key, table):
-        _, h, n = _anchors(table["text"].to_pylist(), length, q)
+        h, n = _distinct(_runs(table["text"].to_pylist(), length, q))
         order, cuts = _by_bucket(h, buckets)
         rows = []
         for b in np.flatnonzero(np.diff(cuts)).tolist():
@@ -152,28 +160,30 @@ def slices(docs: DataFrame, answers: DataFrame, length: int, q: int, buckets: in
 
     def run(key, table, answers):
         texts = table["text"].to_pylist()
-        each, h, _ = _anchors(texts, length, q)
+        each = _runs(texts, length, q)
+        h, _ = _distinct(each)
         order, cuts = _by_bucket(h, buckets)
         state = np.zeros(len(h), np.uint8)
         for b, x in zip(answers["bucket"].to_pylist(), answers["states"].to_pylist(), strict=True):
             state[order[cuts[b] : cuts[b + 1]]] = np.frombuffer(x, np.uint8)
         seen: dict[bytes, list[int]] = {}
         keys, ids, ties, ats = [], [], [], []
-        for doc, tie, text, a in zip(table["doc_id"].to_pylist(), table["_t"].to_pylist(), texts, each, strict=True):
-            if not len(a):
+        for doc, tie, text, (start, end, a) in zip(table["doc_id"].to_pylist(), table["_t"].to_pylist(), texts, each, strict=True):
+            known = state[np.searchsorted(h, _short(a))] if len(a) else np.empty(0, np.uint8)
+            good = known != ALONE
+            if not good.any():
                 continue
             raw = _raw(text)
-            # A run of windows of one anchor; long ones (periodic text) are cut, those of hot anchors at each window.
-            start = np.flatnonzero(np.r_[True, a[1:] != a[:-1]])
-            first = state[np.searchsorted(h, _short(a[start]))]
-            size = np.diff(np.r_[start, len(a)])
-            place = np.arange(len(a)) - np.repeat(start, size)
-            every = np.repeat(np.where(first == MANY, 1, length - q + 1), size)
-            known = np.repeat(first, size)
-            start = np.flatnonzero(place % every == 0)
-            end, known = np.r_[start[1:], len(a)], known[start]
-            good = known != ALONE
-            for s, e, g, many in zip(start[good].tolist(), end[good].tolist(), a[start[good]].tolist(), (known[good] == MANY).tolist(), strict=True):
+            start, end, a, many = start[good], end[good], a[good], known[good] == MANY
+            # Long runs (periodic text) are cut, those of hot anchors at each window.
+            step = np.where(many, 1, length - q + 1)
+            cuts = -(-(end - start) // step)
+            if (cuts > 1).any():
+                nth = np.arange(int(cuts.sum())) - np.repeat(np.cumsum(cuts) - cuts, cuts)
+                start, end, a, many, step = (np.repeat(x, cuts) for x in (start, end, a, many, step))
+                start = start + nth * step
+                end = np.minimum(end, start + step)
+            for s, e, g, many in zip(start.tolist(), end.tolist(), a.tolist(), many.tolist(), strict=True):
                 part = raw[s : e + length - 1]
                 own = seen.get(part)
                 if own is None:
@@ -358,18 +368,21 @@ def remove_repeats(docs: DataFrame, *, length: int = LENGTH, id_col: str = "doc_
     copies = known.select("doc_id", "_t", "_m").join(per_text.where("least < most").select("_t", "_m", "least"), ["_t", "_m"]).where("doc_id > least").select("doc_id", "_t").distinct()
     copies = settle(copies, "copies")
     one = known.join(per_text.select("_t", "_m", F.col("least").alias("doc_id")), ["_t", "_m", "doc_id"]).withColumn("chunk", F.pmod(F.col("_t"), F.lit(chunks)).cast("int"))
-    one = settle(one, "first-rows")
-    if one.count() > n_texts:  # a text stands more than once under one id
-        one = settle(one.dropDuplicates(["doc_id", "_t", "_m"]), "first-rows")
-    one = one.select("doc_id", "_t", "text", "chunk")
+    stored = settle(one, "first-rows")
+    if stored.count() > n_texts:  # a text stands more than once under one id
+        stored = settle(stored.dropDuplicates(["doc_id", "_t", "_m"]), "first-rows")
+    one = stored.select("doc_id", "_t", "text", "chunk")
     answers = settle(answered_anchors(asked_anchors(one, length, q, buckets), HOT), "answers")
     parts = settle(slices(one, answers, length, q, buckets), "slices")
+    discard(stored, answers, per_text)
     distinct = parts.where("slice is not null")
     runs = smallest_by_slice(distinct, length, max(LEAST, distinct.count() // SLICES))
     spans = parts.where("slice is null").select("key", "doc_id", "_t", "at").join(runs, "key").select("doc_id", "_t", "at", F.explode("runs").alias("r")).where("r.doc < doc_id")
     spans = spans.groupBy("doc_id", "_t").agg(F.collect_list(F.struct((F.col("at") + F.col("r.a")).alias("s"), (F.col("at") + F.col("r.b") + length).alias("e"))).alias("spans"))
     cuts = settle(spans.withColumn("copy", F.lit(False)).unionByName(copies.select("doc_id", "_t", F.array().cast("array<struct<s:int,e:int>>").alias("spans"), F.lit(True).alias("copy"))), "cuts")
 
+    discard(parts, copies)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
