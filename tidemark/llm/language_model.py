@@ -177,7 +177,7 @@ def score(docs: DataFrame, *, order: int = 2, id_col: str = "doc_id", text_col:
         for m in range(2, order + 1):
             seen = np.flatnonzero(counts[m - 1] > own[m - 1])
             value[seen] = np.log(counts[m - 1][seen] - own[m - 1][seen]) - np.log(counts[m - 2][seen - 1]) + (longest[seen] - m) * np.log(ALPHA)
-        sums = np.bincount(d, np.where(grams.place > 0, value, 0.0), len(ids))
+        sums = np.bincount(d, np.where(grams.place > 0, value, 0.0), len(ids)).astype(np.float64)  # of nothing, numpy counts
         return pa.table([pa.array(ids), pa.array(n_words), pa.array(sums)], ["doc_id", "n", "s"])
 
     out = docs.groupBy("chunk").cogroup(answers.where("chunk >= 0").groupBy("chunk")).applyInArrow(run, "doc_id long, n long, s double")

@@ -73,5 +73,15 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_quality, op2_fingerprint, op3_pack, op4_licenses, op5_minhash, op6_lm_scores, op7_toxicity, op8_token_files, op9_decontaminate, op10_suffix_dedup)}
-#: DuckDB SQL by query, where SQL can express it.
-ORACLE_SQL: dict[str, str] = {}
+#: DuckDB SQL by query, where SQL can express it and ends on whole tables.
+ORACLE_SQL: dict[str, str] = {
+    "op5_minhash": r"""WITH RECURSIVE w AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) < 2 THEN w ELSE list_sort(list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) END AS s FROM w),
+c AS (SELECT s, min(doc_id) AS class_id, len(s) AS n FROM s WHERE len(s) > 0 GROUP BY s),
+u AS (SELECT class_id, n, unnest(s) AS x FROM c),
+l AS (SELECT a.class_id AS a, b.class_id AS b FROM u a JOIN u b ON a.x = b.x AND a.class_id < b.class_id AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n) GROUP BY a.class_id, b.class_id HAVING 100 * count(*) >= 80 * (any_value(a.n) + any_value(b.n) - count(*))),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT class_id AS node, class_id AS root FROM c UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.node WHERE r.root < e.b),
+m AS (SELECT node, min(root) AS component_id FROM r GROUP BY node)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, coalesce(m.component_id, s.doc_id) AS component_id, coalesce(m.component_id, s.doc_id) = s.doc_id AS kept, c.class_id FROM s LEFT JOIN c ON c.s = s.s LEFT JOIN m ON m.node = c.class_id"""
+}
