@@ -44,6 +44,13 @@ def scratch(spark: SparkSession, name: str) -> str:
     return path
 
 
+def labelled(docs: DataFrame, sample: DataFrame) -> DataFrame:
+    """(doc_id, text, label): one row for each id of a sample of labels of known size, however often the id stands in ``docs``; of several texts the one of the smallest hash."""
+    rows = docs.join(F.broadcast(sample), "doc_id")
+    first = rows.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text", "label")).alias("m"))
+    return first.select("doc_id", "m.text", "m.label")
+
+
 #: Spark removes the shuffle files of a query when it ends, instead of when the driver collects its garbage.
 _CLEANS = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 

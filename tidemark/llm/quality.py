@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import boost
-from tidemark.llm.common import documents, map_batches
+from tidemark.llm.common import documents, labelled, map_batches
 
 FEATURES = (
     "log_bytes", "log_words", "mean_word", "long_words", "short_words", "distinct_words", "top_word", "capitals", "capital_words",
@@ -55,7 +55,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, label_col: str = "quality", max_r
         x = [features(t) for t in batch["text"].to_pylist()]
         return pa.record_batch([batch["doc_id"], batch["label"], pa.array(x, pa.list_(pa.float64()))], ["doc_id", "label", "x"])
 
-    rows = documents(docs).join(F.broadcast(sample), "doc_id")  # at most max_rows rows of two numbers
+    rows = labelled(documents(docs), sample)  # at most max_rows rows
     data = map_batches(rows, run, "doc_id long, label int, x array<double>").toPandas().sort_values(["doc_id", "label"], kind="stable")
     return boost.fit_additive(np.array(data["x"].tolist(), float).reshape(len(data), len(FEATURES)), data["label"].to_numpy(float))
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import boost
-from tidemark.llm.common import documents, map_batches
+from tidemark.llm.common import documents, labelled, map_batches
 
 # Common insults, and second-person words of the languages at hand.
 INSULTS = "idiot moron stupid loser trash scum pathetic worthless disgusting clown dumb fool imbecile garbage filth vermin".split()
@@ -129,7 +129,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, label_col: str = "toxic", max_row
     """
     known = labels.where(F.col(label_col).isNotNull() & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label"))
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
-    rows = documents(docs).join(F.broadcast(sample), "doc_id")  # at most max_rows rows of two numbers
+    rows = labelled(documents(docs), sample)  # at most max_rows rows
 
     def units(batch: pa.RecordBatch) -> pa.RecordBatch:
         label, unit = [], []
