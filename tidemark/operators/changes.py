@@ -53,3 +53,9 @@ def touched_by_snapshots(decisions: DataFrame, snapshots: DataFrame, keys: list[
     """Decisions that snapshots which came late may change: of the same identity, at the earliest such snapshot or later (or within the skew before it)."""
     first = snapshots.groupBy(*keys).agg(F.min("event_ts").alias("_first"))
     return decisions.join(first, keys).where(F.col("selection_ts") >= F.col("_first") - F.make_interval(secs=F.lit(skew_s))).drop("_first")
+
+
+def owned_hours(hours: DataFrame, facts: DataFrame, keys: list[str], hour: str) -> DataFrame:
+    """Hours of a session from the one of its start (if known) to the one of its end (if it ended); others don't belong to it."""
+    own = hours.join(facts.select(*keys, F.date_trunc("hour", "started_at").alias("_from"), F.date_trunc("hour", "closed_at").alias("_to")), keys, "left")
+    return own.where((F.col("_from").isNull() | (F.col(hour) >= F.col("_from"))) & (F.col("_to").isNull() | (F.col(hour) <= F.col("_to")))).drop("_from", "_to")

@@ -58,9 +58,10 @@ def demand_hourly(facts: DataFrame) -> DataFrame:
     """Sessions counted in their start hour: additive counters, and rates from their sums."""
     hours = facts.where("started_at is not null").groupBy(F.date_trunc("hour", "started_at").alias("window_start"), "org").agg(
         F.count("*").alias("sessions"), F.sum("requested_seen").alias("requested_sessions"), F.count_if(F.col("startup_outcome") == "success").alias("success_sessions"), F.count_if(F.col("excusal_reason") == "no_orch").alias("no_orch_sessions"),
+        F.sum(F.greatest(F.unix_millis("last_seen") - F.unix_millis("started_at"), F.lit(0))).alias("session_ms_sum"), F.sum("startup_latency_ms").alias("startup_latency_ms_sum"), F.count("startup_latency_ms").alias("startup_latency_samples"),
         F.sum("zero_output").alias("zero_output_sessions"), F.sum("status_samples").alias("status_samples"), F.sum("output_fps_sum").alias("output_fps_sum"),
     )
-    return hours.withColumns({"success_rate": expr.ratio(F.col("success_sessions"), F.col("requested_sessions")), "avg_output_fps": expr.ratio(F.col("output_fps_sum"), F.col("status_samples"))})
+    return hours.withColumns({"success_rate": expr.ratio(F.col("success_sessions"), F.col("requested_sessions")), "avg_output_fps": expr.ratio(F.col("output_fps_sum"), F.col("status_samples")), "session_minutes": F.col("session_ms_sum") / F.lit(60000.0), "avg_startup_latency_ms": expr.ratio(F.col("startup_latency_ms_sum"), F.col("startup_latency_samples"))})
 
 
 def job_facts(jobs: DataFrame) -> DataFrame:
@@ -94,3 +95,9 @@ def dirty_slices(rows: DataFrame, now: Column, *, lateness_min: int = 10, quiet_
     start = F.when(today, F.date_trunc("hour", "event_ts")).otherwise(F.date_trunc("day", "event_ts"))
     out = late.groupBy("org", mode.alias("mode"), start.alias("slice_start")).agg(F.count("*").alias("late_rows"), F.max("ingested_at").alias("last_ingested"))
     return out.withColumn("ready", F.col("last_ingested") <= now - F.make_interval(mins=F.lit(quiet_min))).drop("last_ingested")
+
+
+def with_decision(jobs: DataFrame, decisions: DataFrame, keys: list[str]) -> DataFrame:
+    """Job facts with the latest decision on them; jobs without any are unresolved."""
+    own = decisions.select(*keys, "status", "address", F.col("model").alias("decided_model"))
+    return jobs.join(own, keys, "left").fillna({"status": "unresolved"})

@@ -122,3 +122,10 @@ def provider_profile(snapshots: DataFrame, gpus: DataFrame, prices: DataFrame, d
     out = out.join(gpus.groupBy(key).agg(F.count_distinct("gpu_id").alias("gpus")), key, "left")
     out = out.join(prices.groupBy(key).agg(F.count_distinct("constraint_name").alias("models"), F.max("price_per_unit").cast("long").alias("top_price")), key, "left")
     return out.join(discovery.groupBy(key).agg(F.max("latency_ms").alias("latency_ms")), key, "left").fillna({"gpus": 0, "models": 0})
+
+
+def lists(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """The distinct non-blank values of some columns, one row for each list; lists of names stay short."""
+    pairs = F.array(*(F.struct(F.lit(name).alias("list"), F.col(c).alias("value")) for name, c in columns.items()))
+    values = df.select(F.explode(pairs).alias("p")).select("p.*").where("value <> ''").distinct()
+    return values.groupBy("list").agg(F.array_join(F.array_sort(F.collect_list("value")), ",").alias("names"))

@@ -304,3 +304,32 @@ def r7_touched_by_snapshots(spark, sf_dir):
 def r8_tail_window(spark, sf_dir):
     e = events(spark, sf_dir)
     return filters.tail_window(e, "ts", F.lit(e.agg(F.max("ts")).first()[0]), lateness_min=10, width_min=60).select("event_id")
+
+
+@query(f"{_RAW} SELECT CAST(event_id AS VARCHAR) AS id, CASE WHEN k < 4 THEN 'stream_trace' WHEN k < 7 THEN 'ai_stream_status' WHEN k = 7 THEN 'create_new_payment' ELSE 'ai_batch_request' END AS type, 'north' AS org FROM r WHERE k < 9 AND NOT (k < 4 AND t > 9)")
+def s12_raw_alias(spark, sf_dir):
+    return envelopes.alias_view(accepted(spark, sf_dir), {"id": "event_id", "type": "event_type"}).select("id", "type", "org")
+
+
+@query(f"{_E}, h AS (SELECT session_key, ms // 3600000 * 3600000 AS hour, count(*) AS n FROM e WHERE status GROUP BY 1, 2) SELECT session_key, CAST(hour AS BIGINT) AS hour_ms, n AS status_samples FROM h JOIN x USING (session_key) WHERE (started IS NULL OR hour >= started // 3600000 * 3600000) AND (closed IS NULL OR hour <= closed // 3600000 * 3600000)")
+def d4_owned_status_hours(spark, sf_dir):
+    hours = sessions.status_rollup(envelopes.stream_status(accepted(spark, sf_dir)), hourly=True)
+    return changes.owned_hours(hours, facts(spark, sf_dir), evidence.KEYS, "hour").select("session_key", ms("hour").alias("hour_ms"), "status_samples")
+
+
+@query(f"{_E} SELECT started // 3600000 * 3600000 AS hour_ms, CAST(sum(last_ms - started) AS DOUBLE) / CAST(60000 AS DOUBLE) AS session_minutes, count(*) AS sessions FROM x WHERE started IS NOT NULL GROUP BY 1")
+def a10_demand_minutes(spark, sf_dir):
+    return sessions.demand_hourly(facts(spark, sf_dir)).select(ms("window_start").alias("hour_ms"), "session_minutes", "sessions")
+
+
+@query(f"{_E} SELECT 'gateway' AS list, string_agg(DISTINCT gateway, ',' ORDER BY gateway) AS names FROM e WHERE gateway <> '' UNION ALL SELECT 'provider', string_agg(DISTINCT addr, ',' ORDER BY addr) FROM e WHERE addr <> '' UNION ALL SELECT 'state', string_agg(DISTINCT st, ',' ORDER BY st) FROM (SELECT CASE WHEN event_type = 'error' THEN 'OFFLINE' ELSE 'ONLINE' END AS st FROM e WHERE status)")
+def a31_lists_of_sessions(spark, sf_dir):
+    own = rows(spark, sf_dir)
+    return supply.lists(own, {"gateway": "gateway", "provider": "orch_address", "state": "state"})
+
+
+@query(f"{_J}, {_D_US}, l AS (SELECT 'r' || session_key[-8:] AS request_id, max_by(status, (dec, decision_id)) AS status FROM d GROUP BY 1) SELECT f.request_id, f.success, coalesce(l.status, 'unresolved') AS status FROM f LEFT JOIN l USING (request_id)")
+def d10_facts_with_decisions(spark, sf_dir):
+    d = decisions(spark, sf_dir).withColumn("request_id", F.concat(F.lit("r"), F.right("session_key", F.lit(8))))
+    last = latest.latest_values(d, ["request_id"], ["status", "address", "model"], ["decided_at", "decision_id"])
+    return sessions.with_decision(_ai_jobs(spark, sf_dir), last, ["request_id"]).select("request_id", "success", "status")

@@ -132,6 +132,11 @@ def route(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return marked.where("ignore_reason is null").drop("ignore_reason"), marked.where("ignore_reason is not null")
 
 
+def alias_view(raw: DataFrame, names: dict[str, str]) -> DataFrame:
+    """Raw rows under the column names of another reader: {its name: ours}; other columns keep theirs."""
+    return raw.select(*(F.col(own).alias(name) for name, own in names.items()), *(c for c in raw.columns if c not in names.values()))
+
+
 def ignored_view(ignored: DataFrame) -> DataFrame:
     """Ignored rows for review, without payloads."""
     return ignored.select("ignore_reason", "event_id", "event_type", "event_subtype", "event_ts", "org", "source_topic", "source_partition", "source_offset")
