@@ -212,7 +212,7 @@ def components(links: DataFrame) -> DataFrame:
     both = lambda e: e.union(e.select("b", "a").toDF("a", "b"))
     edges = settle(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges")
     before = None
-    while True:
+    while edges.limit(1).count():
         # Large star: larger neighbours of a node move to its smallest neighbour (itself included).
         near = both(edges)
         least = near.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
@@ -224,8 +224,9 @@ def components(links: DataFrame) -> DataFrame:
         discard(old)
         now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if now == before:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
+            break
         before = now
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
 
 
 def groups(docs: DataFrame, *, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
