@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -93,3 +94,40 @@ def missing_for_known(df: DataFrame, known: DataFrame, key: str, column: str) ->
 def not_above(df: DataFrame, column: str, least: float = 0) -> DataFrame:
     """Rows whose value isn't above ``least``, or isn't there."""
     return df.where(~F.coalesce(F.col(column) > least, F.lit(False)))
+
+
+def exact_percentiles(df: DataFrame, value: str, shares: list[float], most: int = 100_000) -> list[float | None]:
+    """Exact interpolated percentiles of a whole column, without its values meeting in one task.
+
+    A mergeable sketch brackets each percentile, sums count what lies below, and the bracket is narrowed until at most
+    ``most`` values (or kinds of equal values) are left to be sorted. Nulls don't count; without values, nulls come out.
+    """
+    v = df.where(F.col(value).isNotNull()).select(F.col(value).cast("double").alias("v"))
+    n = v.count()
+
+    def at(ranks: tuple[int, int]) -> list[float]:
+        rows, below, inside = v, 0, n
+        while inside > most:
+            around = [min(1.0, max(0.0, (r - below) / inside + d)) for r, d in zip(ranks, (-0.001, 0.001), strict=True)]
+            low, high = rows.agg(F.percentile_approx("v", around, 10_000)).first()[0]
+            kept = F.col("v").between(low, high)
+            less, within = rows.agg(F.count_if(F.col("v") < low), F.count_if(kept)).first()
+            if within == inside or not below + less <= ranks[0] <= ranks[1] < below + less + within:
+                break  # equal values, or the sketch missed: what is left is sorted as it is
+            rows, below, inside = rows.where(kept), below + less, within
+        found, upto = {}, below
+        for r in rows.groupBy("v").count().orderBy("v").collect():  # the values of a bracket
+            upto += r["count"]
+            found |= {k: r.v for k in ranks if k not in found and k < upto}
+        return [found[k] for k in ranks]
+
+    out: list[float | None] = []
+    for q in shares:
+        place = (n - 1) * q
+        low, high = math.floor(place), math.ceil(place)
+        if n == 0:
+            out.append(None)
+            continue
+        a, b = at((low, high))
+        out.append(a if low == high else (high - place) * a + (place - low) * b)
+    return out

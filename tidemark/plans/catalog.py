@@ -138,9 +138,9 @@ def a13_cohort_weighted(spark, sf_dir):
 SELECT user_id, epoch_us(h) AS hour_us, round(0.5 + least(n / 30.0, 1) * ((CASE WHEN r < 48 THEN 0.5 WHEN p50 <= p10 THEN (CASE WHEN v >= p50 THEN 1 ELSE 0 END) WHEN v >= p50 THEN 1 WHEN v <= p10 THEN 0 ELSE (v - p10) / (p50 - p10) END) - 0.5), 6) AS score FROM h, b""")
 def d12_component_scores(spark, sf_dir):
     h = events(spark, sf_dir).groupBy("user_id", hour().alias("h")).agg(F.count("*").alias("n"), F.avg("value").alias("v"))
-    b = h.agg(F.expr("percentile(v, 0.5)").alias("p50"), F.expr("percentile(v, 0.1)").alias("p10"), F.count("*").alias("r"))
-    raw = expr.position_score(F.col("v"), F.col("p50"), F.col("p10"), F.col("r"), rising=True)
-    return h.crossJoin(F.broadcast(b)).select("user_id", us("h").alias("hour_us"), F.round(expr.dampened(raw, F.col("n"), 30.0), 6).alias("score"))
+    p50, p10 = quality.exact_percentiles(h, "v", [0.5, 0.1])
+    raw = expr.position_score(F.col("v"), F.lit(p50), F.lit(p10), F.lit(h.count()), rising=True)
+    return h.select("user_id", us("h").alias("hour_us"), F.round(expr.dampened(raw, F.col("n"), 30.0), 6).alias("score"))
 
 
 @query("""WITH f AS (SELECT o_custkey k, count(*) req, count(*) FILTER (WHERE o_orderstatus <> 'P') ok, count(*) FILTER (WHERE o_orderpriority LIKE '1%') sw FROM orders GROUP BY 1)
