@@ -261,10 +261,12 @@ def collection(strings: list[bytes], folder: str) -> tuple[np.ndarray, np.ndarra
         new = files[j % 2]
         bwt = np.asarray(now["bwt"][:n])
         order = np.argsort(bwt, kind="stable")
-        rank = np.empty(n, np.int32)
-        rank[order] = np.arange(n, dtype=np.int32)
+        # The place of each live suffix in this order; ``at`` is rising.
+        mark = np.zeros(n, bool)
+        mark[at] = True
+        r = np.flatnonzero(mark[order])
+        r = r[np.argsort(order[r])]
         ends = int(np.count_nonzero(bwt == 0))
-        r = rank[at].astype(np.int64)
         place = m + r - ends
         c = bwt[at]
         lcp = np.asarray(now["lcp"][: n + 1])
@@ -278,7 +280,7 @@ def collection(strings: list[bytes], folder: str) -> tuple[np.ndarray, np.ndarra
             common.append(out)
         start = lens[s] - j
         size = n + len(s)
-        moved = np.ones(size, np.int32)
+        moved = np.ones(size, np.intp)
         moved[place] = 0
         np.cumsum(moved, out=moved)
         moved -= 1  # where each old suffix was; new ones are set after
