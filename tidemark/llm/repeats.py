@@ -11,7 +11,8 @@ Rows of one text with a larger id go whole; what follows works on one row of eac
    built column by column: each round inserts the next symbol (from the right) of every slice, merging the new
    suffixes into the arrays of the round before, which lie in two alternating sets of external files (in the task's own
    temporary folder; they don't outlive it). Neighbours with a common prefix of LENGTH bytes are the same window; the
-   smallest document of each is known then. A slice that is the only one of its anchor needs no transform.
+   smallest document of each is known then. A slice that has no half window in common with another one of its anchor
+   needs no transform.
 4. The windows of smaller documents go back to where slices stood, and the covered bytes are cut out.
 """
 
@@ -315,10 +316,39 @@ def smallest_documents(strings: list[bytes], docs: np.ndarray, length: int) -> l
     return np.split(out, np.cumsum(windows)[:-1])
 
 
+def may_share(strings: list[bytes], anchors: np.ndarray, length: int, q: int) -> np.ndarray:
+    """Whether each slice may have a window in common with another one of its anchor.
+
+    A window holds its anchor and ``length - q`` more bytes, half of them at least on one side. So slices of a common
+    window have the anchor and that half in common. A slice in which the anchor stands not just once may share any.
+    """
+    half = (length - q) // 2
+    m = len(strings)
+    if not half:
+        return np.ones(m, bool)
+    lens = np.array([len(x) for x in strings], np.int64)
+    end = np.cumsum(lens)
+    text = np.frombuffer(b"".join(strings), np.uint8)
+    owner = np.repeat(np.arange(m), lens)[: len(text) - q + 1]
+    at = np.flatnonzero(substring_hashes(text, q) == anchors[owner])
+    at = at[at + q <= end[owner[at]]]
+    own = owner[at]
+    times = np.bincount(own, minlength=m)
+    place = np.zeros(m, np.int64)
+    place[own] = at
+    sides, out = substring_hashes(text, half), times != 1
+    for near, has in ((place - half, place - half >= end - lens), (place + q, place + q + half <= end)):
+        chosen = np.flatnonzero(has & (times == 1))
+        keys = sides[near[chosen]] ^ (anchors[chosen] * _BASE)
+        _, which, n = np.unique(keys, return_inverse=True, return_counts=True)
+        out[chosen[n[which] > 1]] = True
+    return out
+
+
 RUNS = "key long, runs array<struct<a:int, b:int, doc:long>>"
 
 
-def smallest_by_slice(parts: DataFrame, length: int, groups: int) -> DataFrame:
+def smallest_by_slice(parts: DataFrame, length: int, q: int, groups: int) -> DataFrame:
     """(key, runs) of slices: windows a..b (b included) first stand in ``doc``. Slices whose windows stand in one document only are left out."""
 
     def run(key, table):
@@ -328,6 +358,8 @@ def smallest_by_slice(parts: DataFrame, length: int, groups: int) -> DataFrame:
         texts = table["slice"].to_pylist()
         same = h[1:] == h[:-1]
         many = np.flatnonzero(np.r_[False, same] | np.r_[same, False])
+        if len(many):
+            many = many[may_share([texts[i] for i in many], h[many].view(np.uint64) ^ np.uint64(1 << 63), length, q)]
         out_keys, out_runs = [], []
         alone = np.ones(len(h), bool)
         alone[many] = False
@@ -378,7 +410,7 @@ def remove_repeats(docs: DataFrame, *, length: int = LENGTH, id_col: str = "doc_
     parts = settle(slices(one, answers, length, q, buckets), "slices")
     discard(stored, answers, per_text)
     distinct = parts.where("slice is not null")
-    runs = smallest_by_slice(distinct, length, max(LEAST, distinct.count() // SLICES))
+    runs = smallest_by_slice(distinct, length, q, max(LEAST, distinct.count() // SLICES))
     spans = parts.where("slice is null").select("key", "doc_id", "_t", "at").join(runs, "key").select("doc_id", "_t", "at", F.explode("runs").alias("r")).where("r.doc < doc_id")
     spans = spans.groupBy("doc_id", "_t").agg(F.collect_list(F.struct((F.col("at") + F.col("r.a")).alias("s"), (F.col("at") + F.col("r.b") + length).alias("e"))).alias("spans"))
     cuts = settle(spans.withColumn("copy", F.lit(False)).unionByName(copies.select("doc_id", "_t", F.array().cast("array<struct<s:int,e:int>>").alias("spans"), F.lit(True).alias("copy"))), "cuts")
