@@ -30,10 +30,10 @@ def recent(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Supply ----------------------------------------------------------------------------------------------------------------
 
 
-@query(f"{_OFFERS} SELECT pipeline, epoch_us(date_trunc('month', seen)) AS month_us, count(*) AS n, round(sum(price * capacity) / sum(capacity), 4) AS average, round(quantile_cont(price, 0.95), 8) AS p95, count(*) FILTER (WHERE kind = 'R') / count(*) AS return_rate FROM o GROUP BY 1, 2")
+@query(f"{_OFFERS} SELECT pipeline, epoch_us(date_trunc('month', seen)) AS month_us, count(*) AS n, CAST(sum(CAST(price * capacity AS DECIMAL(18, 4))) AS DOUBLE) / sum(capacity) AS average, round(quantile_cont(price, 0.95), 8) AS p95, count(*) FILTER (WHERE kind = 'R') / count(*) AS return_rate FROM o GROUP BY 1, 2")
 def a14_gpu_metrics(spark, sf_dir):
     month = F.date_trunc("month", "seen").alias("m")
-    rows = offers(spark, sf_dir).groupBy("pipeline", month).agg(F.count("*").alias("n"), F.round(expr.ratio(F.sum(F.col("price") * F.col("capacity")), F.sum("capacity")), 4).alias("average"), F.round(F.expr("percentile(price, 0.95)"), 8).alias("p95"), (F.count_if(F.col("kind") == "R") / F.count("*")).alias("return_rate"))
+    rows = offers(spark, sf_dir).groupBy("pipeline", month).agg(F.count("*").alias("n"), expr.ratio(F.sum((F.col("price") * F.col("capacity")).cast("decimal(18,4)")), F.sum("capacity")).alias("average"), F.round(F.expr("percentile(price, 0.95)"), 8).alias("p95"), (F.count_if(F.col("kind") == "R") / F.count("*")).alias("return_rate"))
     return rows.withColumn("month_us", us("m")).drop("m")
 
 
