@@ -58,7 +58,7 @@ _CLEANS = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 def settle(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends and lost executors lose nothing."""
     spark = df.sparkSession
-    path, before = scratch(spark, name), spark.conf.get(_CLEANS)
+    path, before = scratch(spark, name), spark.conf.get(_CLEANS, "false")
     spark.conf.set(_CLEANS, "true")
     try:
         df.write.parquet(path)

@@ -257,6 +257,7 @@ def groups(docs: DataFrame, *, k: int = 5, percent: int = 80, id_col: str = "doc
     parts = components(links.union(same_id))
     more = settle(between(stars, parts, sizes, texts, k, percent), "between")
     parts = components(parts.toDF("a", "b").union(more)) if more.limit(1).count() else parts
+    discard(centres, stars, texts, more)
     named = classes.select("node", F.col("own.doc_id").alias("class_id")).join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("class_id").alias("component_id"))
     named = named.join(least, "component").select(F.col("node").alias("digest"), "class_id", "component_id")
