@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, language_model, licenses, neardup, packing, quality, repeats, sketch, tokenfile, toxicity
+from tidemark.llm import decontaminate, language_model, licenses, manifest, naming, neardup, packing, quality, repeats, sketch, tokenfile, toxicity, whitening
 from tidemark.llm.common import TOKENIZER, read
 
 
@@ -72,7 +72,19 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(read(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_fingerprint, op3_pack, op4_licenses, op5_minhash, op6_lm_scores, op7_toxicity, op8_token_files, op9_decontaminate, op10_suffix_dedup)}
+def op11_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return naming.keep_one(read(spark, sf_dir, "documents"))
+
+
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.verified(read(spark, sf_dir, "documents"), F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, F.lit(False)))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.components(read(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality, op2_fingerprint, op3_pack, op4_licenses, op5_minhash, op6_lm_scores, op7_toxicity, op8_token_files, op9_decontaminate, op10_suffix_dedup, op11_block_naming, op12_manifest, op13_whitening)}
 #: DuckDB SQL by query, where SQL can express it and ends on whole tables.
 ORACLE_SQL: dict[str, str] = {
     "op5_minhash": r"""WITH RECURSIVE w AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
@@ -83,5 +95,8 @@ l AS (SELECT a.class_id AS a, b.class_id AS b FROM u a JOIN u b ON a.x = b.x AND
 e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
 r AS (SELECT class_id AS node, class_id AS root FROM c UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.node WHERE r.root < e.b),
 m AS (SELECT node, min(root) AS component_id FROM r GROUP BY node)
-SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, coalesce(m.component_id, s.doc_id) AS component_id, coalesce(m.component_id, s.doc_id) = s.doc_id AS kept, c.class_id FROM s LEFT JOIN c ON c.s = s.s LEFT JOIN m ON m.node = c.class_id"""
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, coalesce(m.component_id, s.doc_id) AS component_id, coalesce(m.component_id, s.doc_id) = s.doc_id AS kept, c.class_id FROM s LEFT JOIN c ON c.s = s.s LEFT JOIN m ON m.node = c.class_id""",
+    "op11_block_naming": r"""WITH c AS (SELECT doc_id, length(coalesce(text, '')) AS n, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256 FROM documents),
+r AS (SELECT *, row_number() OVER w AS rn, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size FROM c WINDOW w AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id NULLS LAST))
+SELECT doc_id, keep_id, group_size, rn = 1 AS kept, text_sha256 FROM r""",
 }
