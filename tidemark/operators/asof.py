@@ -1,27 +1,51 @@
-"""As-of matches without range joins: both sides in one window by key and time, then equi-joins."""
+"""As-of matches without range joins: both sides in windows by key and stretch of time, with what earlier and later stretches carry over."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import expr
 
+#: Seconds of a stretch of time. A key's rows of one stretch meet in one task, never all rows of a key.
+STRETCH_S = 3_600
+
+
+def _keyed(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose keys are all there: null keys match nothing."""
+    return rows.where(reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in keys)))
+
 
-def neighbours(left: DataFrame, right: DataFrame, keys: list[str], left_ts: str, right_ts: str) -> DataFrame:
-    """Each left row with the right times before (prev_ts), equal (same_ts) and after (next_ts) it; one shuffle on the keys."""
-    stamps = right.select(*keys, F.col(right_ts).alias("_t")).distinct().withColumn("_r", F.lit(True))
-    both = left.withColumns({"_t": F.col(left_ts), "_r": F.lit(False)}).unionByName(stamps, allowMissingColumns=True)
-    w = Window.partitionBy(*keys).orderBy(F.unix_micros("_t"))
+def _stretch(ts: str, stretch_s: int) -> Column:
+    return F.floor(F.unix_micros(ts) / F.lit(stretch_s * 1_000_000)).cast("long")
+
+
+def neighbours(left: DataFrame, right: DataFrame, keys: list[str], left_ts: str, right_ts: str, *, stretch_s: int = STRETCH_S) -> DataFrame:
+    """Each left row with the right times before (prev_ts), equal (same_ts) and after (next_ts) it; null keys and times have none.
+
+    Rows meet by key and stretch of time. A row for each key and stretch holds its first and last right time; a window
+    over these few rows carries the last of earlier stretches and the first of later ones, which join back by key and
+    stretch. So the largest task grows with a stretch's rows and with the number of stretches, not with a key's rows.
+    """
+    stamps = _keyed(right, keys).select(*keys, F.col(right_ts).alias("_t")).distinct().withColumn("_r", F.lit(True))
+    both = left.withColumns({"_t": F.col(left_ts), "_r": F.lit(False)}).unionByName(stamps, allowMissingColumns=True).withColumn("_b", _stretch("_t", stretch_s))
+    w = Window.partitionBy(*keys, "_b").orderBy(F.unix_micros("_t"))
     # What follows is what comes before in falling order: frames that only grow cost one pass.
-    falling = Window.partitionBy(*keys).orderBy(F.unix_micros("_t").desc())
+    falling = Window.partitionBy(*keys, "_b").orderBy(F.unix_micros("_t").desc())
     own = F.when(F.col("_r"), F.col("_t"))
     placed = both.withColumns({
         "prev_ts": F.last(own, ignorenulls=True).over(w.rangeBetween(Window.unboundedPreceding, -1)),
         "same_ts": F.max(own).over(w.rangeBetween(0, 0)),
         "next_ts": F.last(own, ignorenulls=True).over(falling.rangeBetween(Window.unboundedPreceding, -1)),
     })
-    return placed.where(~F.col("_r")).drop("_r", "_t")
+    ends = both.groupBy(*keys, "_b").agg(F.min(own).alias("_min"), F.max(own).alias("_max"))
+    up, down = (Window.partitionBy(*keys).orderBy(o).rowsBetween(Window.unboundedPreceding, -1) for o in (F.asc("_b"), F.desc("_b")))
+    carried = ends.select(*keys, "_b", F.last("_max", ignorenulls=True).over(up).alias("_before"), F.last("_min", ignorenulls=True).over(down).alias("_after"))
+    out = placed.where(~F.col("_r")).join(carried, [*keys, "_b"], "left")
+    filled = {"prev_ts": F.coalesce("prev_ts", "_before"), "next_ts": F.coalesce("next_ts", "_after")}
+    return out.withColumns(filled).select(*left.columns, "prev_ts", "same_ts", "next_ts")
 
 
 def interval_class(df: DataFrame, ts: str, prev_end: str, *, fresh_s: int = 600, skew_s: int = 30) -> DataFrame:
@@ -34,12 +58,18 @@ def interval_class(df: DataFrame, ts: str, prev_end: str, *, fresh_s: int = 600,
     return df.withColumn("match_class", kind.when(ahead <= skew_s * 1_000_000, "future").when(F.col("prev_ts").isNotNull(), "stale").otherwise("none"))
 
 
-def latest_before(left: DataFrame, right: DataFrame, keys: list[str], left_ts: str, right_ts: str, value: str) -> DataFrame:
-    """Each left row with the right ``value`` of the latest time at or before it (of several, the largest value)."""
-    r = right.groupBy(*keys, F.col(right_ts).alias("_t")).agg(F.max(value).alias(f"asof_{value}"))
-    both = left.withColumns({"_t": F.col(left_ts), "_l": F.lit(1)}).unionByName(r.withColumn("_l", F.lit(0)), allowMissingColumns=True)
-    w = Window.partitionBy(*keys).orderBy("_t", "_l").rowsBetween(Window.unboundedPreceding, 0)
-    return both.withColumn(f"asof_{value}", F.last(f"asof_{value}", ignorenulls=True).over(w)).where("_l = 1").drop("_l", "_t")
+def latest_before(left: DataFrame, right: DataFrame, keys: list[str], left_ts: str, right_ts: str, value: str, *, stretch_s: int = STRETCH_S) -> DataFrame:
+    """Each left row with the right ``value`` of the latest time at or before it (of several, the largest value); null keys have none. Rows meet as in ``neighbours``."""
+    name = f"asof_{value}"
+    r = _keyed(right, keys).where(F.col(right_ts).isNotNull()).groupBy(*keys, F.col(right_ts).alias("_t")).agg(F.max(value).alias("_v")).where("_v is not null")
+    both = left.withColumns({"_t": F.col(left_ts), "_l": F.lit(1)}).unionByName(r.withColumn("_l", F.lit(0)), allowMissingColumns=True).withColumn("_b", _stretch("_t", stretch_s))
+    w = Window.partitionBy(*keys, "_b").orderBy("_t", "_l").rowsBetween(Window.unboundedPreceding, 0)
+    placed = both.withColumn(name, F.last("_v", ignorenulls=True).over(w)).where("_l = 1")
+    ends = both.groupBy(*keys, "_b").agg(F.max(F.when(F.col("_l") == 0, F.struct("_t", "_v")))["_v"].alias("_last"))
+    up = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select(*keys, "_b", F.last("_last", ignorenulls=True).over(up).alias("_before"))
+    out = placed.join(carried, [*keys, "_b"], "left")
+    return out.withColumn(name, F.when(F.col("_t").isNotNull(), F.coalesce(name, "_before"))).select(*left.columns, name)
 
 
 def attribute(selections: DataFrame, history: DataFrame, *, fresh_s: int = 600, skew_s: int = 30) -> DataFrame:
