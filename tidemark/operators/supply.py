@@ -69,8 +69,8 @@ def capacity(offers: DataFrame, active: DataFrame, keys: list[str]) -> DataFrame
 
 
 def payment_links(payments: DataFrame, sessions: DataFrame, key: str) -> DataFrame:
-    """Payments with the session of their request; blank requests link with nothing and keep out of the join's hot key."""
-    s = sessions.where(F.col(key) != "").select(F.col(key).alias("_key"), "session_id")
+    """Payments with the session of their request (of several the smallest, so that a payment stays one row); blank requests link with nothing and keep out of the join's hot key."""
+    s = sessions.where(F.col(key) != "").groupBy(F.col(key).alias("_key")).agg(F.min("session_id").alias("session_id"))
     joined = payments.join(s, (F.col(key) == F.col("_key")) & (F.col(key) != ""), "left").drop("_key")
     return joined.withColumn("link_status", F.when(F.col(key) == "", "no_request").when(F.col("session_id").isNull(), "unlinked").otherwise("linked"))
 
@@ -115,13 +115,25 @@ def models_in_use(gpus: DataFrame, active: DataFrame) -> DataFrame:
     return own.join(used, keys, "left").fillna({"active_streams": 0})
 
 
-def provider_profile(snapshots: DataFrame, gpus: DataFrame, prices: DataFrame, discovery: DataFrame) -> DataFrame:
-    """Snapshots, GPUs, models, top price and discovery latency of each provider; each source is summed before it is joined."""
+def provider_profile(snapshots: DataFrame, discovery: DataFrame, sessions: DataFrame, payments: DataFrame) -> DataFrame:
+    """Snapshots, GPUs, models, top price, discovery latency, streams handled and payments of each provider that any source names.
+
+    A snapshot's parts are told apart by kind and counted in one pass; the other sources (sessions: orch_address,
+    session_key; payments: orch_address, amount) are summed before they are joined. Blank providers are left out.
+    """
     key = "orch_address"
-    out = snapshots.groupBy(key).agg(F.count("*").alias("n_snapshots"))
-    out = out.join(gpus.groupBy(key).agg(F.count_distinct("gpu_id").alias("gpus")), key, "left")
-    out = out.join(prices.groupBy(key).agg(F.count_distinct("constraint_name").alias("models"), F.max("price_per_unit").cast("long").alias("top_price")), key, "left")
-    return out.join(discovery.groupBy(key).agg(F.max("latency_ms").alias("latency_ms")), key, "left").fillna({"gpus": 0, "models": 0})
+    part = lambda kind, name, price: F.struct(F.lit(kind).alias("kind"), name.cast("string").alias("name"), price.cast("double").alias("price"))
+    parts = F.concat(
+        F.array(part("snapshot", F.col("row_id"), F.lit(None))), F.coalesce(F.transform(F.flatten(F.transform("hardware", lambda h: h.gpus)), lambda g: part("gpu", g.id, F.lit(None))), F.array()),
+        F.coalesce(F.transform("prices", lambda p: part("model", p.constraint, p.pricePerUnit)), F.array()),
+    )
+    each = snapshots.select(key, F.explode(parts).alias("p")).groupBy(key, "p.kind", "p.name").agg(F.count("*").alias("n"), F.max("p.price").alias("price"))
+    kinds = lambda k: F.count_if(F.col("kind") == k)
+    out = each.groupBy(key).agg(F.coalesce(F.sum(F.when(F.col("kind") == "snapshot", F.col("n"))), F.lit(0)).alias("n_snapshots"), kinds("gpu").alias("gpus"), kinds("model").alias("models"), F.max("price").cast("long").alias("top_price"))
+    out = out.join(discovery.groupBy(key).agg(F.max("latency_ms").alias("latency_ms")), key, "full")
+    out = out.join(sessions.groupBy(key, "session_key").agg(F.count("*").alias("n")).groupBy(key).agg(F.count("*").alias("streams"), F.sum("n").alias("stream_rows")), key, "full")
+    out = out.join(payments.groupBy(key).agg(F.count("*").alias("payments"), F.sum(F.col("amount").cast("decimal(20,4)")).cast("double").alias("paid")), key, "full")
+    return out.where(f"{key} <> ''").fillna(0, ["n_snapshots", "gpus", "models", "streams", "stream_rows", "payments"])
 
 
 def lists(df: DataFrame, columns: dict[str, str]) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import expr
 from tidemark.operators import filters, latest, offers, pages, supply
-from tidemark.plans.catalog import query, table
+from tidemark.plans.catalog import accepted, orders, query, table
 from tidemark.sources import envelopes
 
 _ORG = {"network_events": "north"}
@@ -91,7 +91,8 @@ def g8_identity_candidates(spark, sf_dir):
     return offers.identity_candidates(snapshots(spark, sf_dir)).select("row_id", "ident_type", "ident")
 
 
-@query(f"{_N} SELECT row_id, pipeline, model, gpu_id, gpu_name, 1 AS hardware_present FROM g UNION ALL SELECT row_id, 'live-video-to-video', model, NULL, NULL, 0 FROM c WHERE s % 3 = 0")
+@query(f"""{_N}, h AS (SELECT *, '{{"id":"' || gpu_id || '","name":"' || gpu_name || '","memory_total":' || mem || '}}' AS info FROM g) SELECT row_id, CAST(row_number() OVER (PARTITION BY row_id ORDER BY '{{"pipeline":"' || pipeline || '","model_id":"' || model || '","gpu_info":' || CASE WHEN s % 2 = 0 THEN '[' || info || ']' ELSE '{{"0":' || info || '}}' END || '}}') AS INTEGER) AS seq, pipeline, model, gpu_id, gpu_name, mem AS gpu_memory, 1 AS hardware_present FROM h
+UNION ALL SELECT row_id, CAST(row_number() OVER (PARTITION BY row_id ORDER BY capacity % 2, capacity DESC, model) AS INTEGER), 'live-video-to-video', model, NULL, NULL, NULL, 0 FROM c WHERE s % 3 = 0""")
 def g10_templates(spark, sf_dir):
     return offers.templates(snapshots(spark, sf_dir), catalog(spark))
 
@@ -110,8 +111,7 @@ def j5_hardware_inventory(spark, sf_dir):
 
 
 def _inventory(spark, sf_dir) -> DataFrame:
-    own = snapshots(spark, sf_dir)
-    return offers.hardware_inventory(envelopes.gpus(own), own, catalog(spark))
+    return offers.hardware_inventory(snapshots(spark, sf_dir), catalog(spark))
 
 
 @query(f"""{_N} SELECT DISTINCT row_id, model, CASE pipeline WHEN 'Brand#1' THEN 36 WHEN 'Brand#2' THEN 40 ELSE 37 END AS capability_id, CASE pipeline WHEN 'Brand#1' THEN 'brand one' WHEN 'Brand#2' THEN 'brand two' ELSE pipeline END AS capability_name, pipeline AS pipeline_id, pipeline = 'Brand#1' AS supports_stream FROM g
@@ -165,11 +165,16 @@ def q31_latest_pricing(spark, sf_dir):
     return both.groupBy("model").agg(F.round(pages.weighted_mean("price_per_unit", "capacity"), 4).alias("weighted_price"), F.max(F.struct("event_ts", "row_id", "price_per_unit"))["price_per_unit"].cast("long").alias("latest_price"))
 
 
-@query(f"{_N} SELECT addr AS orch_address, count(*) AS n_snapshots, (SELECT count(DISTINCT gpu_id) FROM g WHERE g.addr = n.addr) AS gpus, (SELECT count(DISTINCT model) FROM c WHERE c.addr = n.addr) AS models, max(q) AS top_price, CAST(max(s) * 1.5 AS DOUBLE) AS latency_ms FROM n GROUP BY 1")
+@query(f"""{_N}, p AS (SELECT addr, count(*) AS n_snapshots, max(q) AS top_price, CAST(max(s) * 1.5 AS DOUBLE) AS latency_ms FROM n GROUP BY 1), pg AS (SELECT addr, count(DISTINCT gpu_id) AS gpus FROM g GROUP BY 1), pm AS (SELECT addr, count(DISTINCT model) AS models FROM c GROUP BY 1),
+ev AS (SELECT event_id % 17 AS pv, event_id % 3 = 0 AS named, event_id % 10 AS k, (event_id // 10) % 12 AS t, user_id, ts FROM events), se AS (SELECT '0x' || lpad(lower(to_hex(pv)), 40, '0') AS addr, count(DISTINCT 'north|s' || user_id || '|r' || strftime(ts, '%Y%m%d')) AS streams, count(*) AS stream_rows FROM ev WHERE named AND ((k < 4 AND t < 10) OR k BETWEEN 4 AND 6) GROUP BY 1),
+pa AS (SELECT '0x' || lpad(lower(to_hex(o_custkey % 23)), 40, '0') AS addr, count(*) AS payments, CAST(sum(o_custkey % 50) AS DOUBLE) AS paid FROM orders WHERE o_orderkey % 8 = 7 GROUP BY 1), k AS (SELECT addr FROM p UNION SELECT addr FROM se UNION SELECT addr FROM pa)
+SELECT addr AS orch_address, coalesce(n_snapshots, 0) AS n_snapshots, coalesce(gpus, 0) AS gpus, coalesce(models, 0) AS models, top_price, latency_ms, coalesce(streams, 0) AS streams, coalesce(stream_rows, 0) AS stream_rows, coalesce(payments, 0) AS payments, paid FROM k LEFT JOIN p USING (addr) LEFT JOIN pg USING (addr) LEFT JOIN pm USING (addr) LEFT JOIN se USING (addr) LEFT JOIN pa USING (addr)""")
 def i4_provider_profile(spark, sf_dir):
+    """Providers of snapshots, of sessions (derived from ``events``) and of payments (from ``orders``) share their addresses."""
     good = raw(spark, sf_dir)
-    own = envelopes.capabilities(good)
-    return supply.provider_profile(own, envelopes.gpus(own), envelopes.prices(own), envelopes.discovery(good))
+    streams = envelopes.session_rows(accepted(spark, sf_dir)).select("orch_address", "session_key")
+    paid = envelopes.byoc_payments(envelopes.route(envelopes.with_raw_columns(envelopes.from_orders(orders(spark, sf_dir)), _ORG))[0])
+    return supply.provider_profile(envelopes.capabilities(good), envelopes.discovery(good), streams, paid)
 
 
 @query("SELECT CAST((SELECT count(*) FROM lineitem WHERE l_shipdate > (SELECT max(l_shipdate) FROM lineitem) - INTERVAL 168 HOUR) AS BIGINT) AS current_n, CAST((SELECT count(*) FROM lineitem WHERE l_shipdate <= (SELECT max(l_shipdate) FROM lineitem) - INTERVAL 168 HOUR AND l_shipdate > (SELECT max(l_shipdate) FROM lineitem) - INTERVAL 336 HOUR) AS BIGINT) AS previous_n")
@@ -181,4 +186,4 @@ def q30_demand_change_7d(spark, sf_dir):
 @query(f"{_N} SELECT row_id FROM (SELECT *, row_number() OVER (PARTITION BY addr ORDER BY ms DESC) AS rn FROM n) WHERE rn = 1 AND s % 3 <> 0")
 def q15_current_snapshots(spark, sf_dir):
     own = latest.latest_rows(snapshots(spark, sf_dir), ["orch_address"], [F.desc("event_ts"), F.desc("row_id")])
-    return own.where(expr.ratio(F.size(F.from_json(F.get_json_object("payload", "$.hardware"), "array<string>")), F.lit(1)) > 0).select("row_id")
+    return own.where(F.size("hardware") > 0).select("row_id")

@@ -217,12 +217,38 @@ def ingest_metrics(raw: DataFrame) -> DataFrame:
     return _typed(raw, "stream_ingest_metrics", {"stream_id": _text("stream_id"), "request_id": _text("request_id"), "conn_quality": _text("stats.conn_quality")} | fields)
 
 
+_GPU = "struct<id:string,name:string,memory_total:long>"
+_PROVIDER = "struct<address:string,local_address:string,orch_uri:string,uri:string,version:string,hardware:variant,capabilities:variant,capabilities_prices:array<struct<capability:int,constraint:string,pricePerUnit:double,pixelsPerUnit:double>>,price_info:struct<pricePerUnit:double,pixelsPerUnit:double>>"
+_MODELS = "map<string,struct<models:map<string,struct<warm:boolean,capacity:int>>>>"
+
+
+def provider_payloads(raw: DataFrame) -> DataFrame:
+    """The providers of each distinct payload, typed: however often a payload was sent, it is parsed once.
+
+    ``hardware`` has the entries with their ``gpus`` (an array or a keyed object in the payload), ``per_capability`` the
+    models of each capability, ``is_broken`` says that either of them is there in another shape.
+    """
+    texts = raw.where("event_type = 'network_capabilities' and event_id <> ''").select("payload_hash", "data").distinct()
+    one = texts.select("payload_hash", F.inline(F.from_json("data", f"array<{_PROVIDER}>")))
+    get = lambda v, path, kind: F.try_variant_get(v, path, kind)
+    gpus = lambda v: F.coalesce(get(v, "$", f"array<{_GPU}>"), F.map_values(get(v, "$", f"map<string,{_GPU}>")), F.array().cast(f"array<{_GPU}>"))
+    entries = get(F.col("hardware"), "$", "array<struct<pipeline:string,model_id:string,gpu_info:variant>>")
+    one = one.withColumns({"_entries": entries, "per_capability": get(F.col("capabilities"), "$.constraints.PerCapability", _MODELS)})
+    there = lambda v, path: F.coalesce(F.schema_of_variant(get(v, path, "variant")), F.lit("VOID")) != "VOID"
+    broken = (there(F.col("hardware"), "$") & F.col("_entries").isNull()) | (there(F.col("capabilities"), "$.constraints.PerCapability") & F.col("per_capability").isNull())
+    text = lambda c: F.coalesce(F.col(c), F.lit(""))
+    return one.select(
+        "payload_hash", expr.identity(F.col("address")).alias("orch_address"), expr.identity(F.col("local_address")).alias("alias"), F.coalesce(expr.none_if_blank(F.col("orch_uri")), text("uri")).alias("orch_uri"), text("version").alias("version"),
+        F.transform("_entries", lambda h: F.struct(F.coalesce(h.pipeline, F.lit("")).alias("pipeline"), F.coalesce(h.model_id, F.lit("")).alias("model_id"), F.filter(gpus(h.gpu_info), lambda g: F.coalesce(g.id, F.lit("")) != "").alias("gpus"))).alias("hardware"),
+        "per_capability", broken.alias("is_broken"), F.filter("capabilities_prices", lambda p: (p.pricePerUnit > 0) & (p.pixelsPerUnit > 0)).alias("prices"), "price_info",
+    )
+
+
 def capabilities(raw: DataFrame) -> DataFrame:
-    """One row for each provider of a snapshot; elements stay JSON text."""
-    one = raw.where("event_type = 'network_capabilities' and event_id <> ''").withColumn("payload", F.explode(F.from_json("data", "array<string>")))
-    get = lambda p: F.coalesce(F.get_json_object("payload", f"$.{p}"), F.lit(""))
-    address = expr.identity(get("address"))
-    return one.select(F.concat_ws("#", "event_id", address).alias("row_id"), "event_id", "event_ts", "org", address.alias("orch_address"), expr.identity(get("local_address")).alias("alias"), F.coalesce(expr.none_if_blank(get("orch_uri")), get("uri")).alias("orch_uri"), get("version").alias("version"), "payload", F.md5("payload").alias("payload_hash"))
+    """One row for each provider of a snapshot, with the typed columns of ``provider_payloads``."""
+    events = raw.where("event_type = 'network_capabilities' and event_id <> ''").select("event_id", "event_ts", "org", "payload_hash")
+    rows = events.join(provider_payloads(raw), "payload_hash")
+    return rows.select(F.concat_ws("#", "event_id", "orch_address").alias("row_id"), "event_id", "event_ts", "org", *(c for c in rows.columns if c not in ("event_id", "event_ts", "org")))
 
 
 def discovery(raw: DataFrame) -> DataFrame:
@@ -230,35 +256,37 @@ def discovery(raw: DataFrame) -> DataFrame:
     return one.select(F.concat_ws("#", "event_id", expr.identity(F.col("c.address")), (F.col("i") + 1).cast("string")).alias("row_id"), "event_id", "event_ts", "org", (F.col("i") + 1).alias("idx"), expr.identity(F.col("c.address")).alias("orch_address"), F.col("c.url").alias("orch_url"), "c.latency_ms")
 
 
+_ROW = ["row_id", "event_ts", "org", "orch_address"]
+
+
+def gpu_list() -> Column:
+    """The GPUs of a provider's hardware, flat."""
+    one = lambda h: F.transform(h.gpus, lambda g: F.struct(h.pipeline.alias("pipeline"), h.model_id.alias("model_id"), g.id.alias("gpu_id"), g["name"].alias("gpu_name"), g.memory_total.alias("gpu_memory")))
+    return F.flatten(F.transform("hardware", one))
+
+
 def gpus(snapshots: DataFrame) -> DataFrame:
-    """One row for each GPU of a provider's hardware; gpu_info may be an array or a keyed object."""
-    gpu = "struct<id:string,name:string,memory_total:long>"
-    hw = snapshots.withColumn("h", F.explode(F.from_json(F.get_json_object("payload", "$.hardware"), "array<struct<pipeline:string,model_id:string,gpu_info:string>>")))
-    info = F.when(F.col("h.gpu_info").startswith("["), F.from_json("h.gpu_info", f"array<{gpu}>")).otherwise(F.map_values(F.from_json("h.gpu_info", f"map<string,{gpu}>")))
-    return hw.withColumn("g", F.explode(info)).where("coalesce(g.id, '') <> ''").select("row_id", "event_ts", "org", "orch_address", "h.pipeline", "h.model_id", F.col("g.id").alias("gpu_id"), F.col("g.name").alias("gpu_name"), F.col("g.memory_total").alias("gpu_memory"))
+    """One row for each GPU of a provider's hardware."""
+    return snapshots.select(*_ROW, F.inline(gpu_list()))
 
 
 def offers(snapshots: DataFrame) -> DataFrame:
     """Capability and model offers: of hardware entries where there are any (also those without GPUs), else of the capability map."""
-    hw = F.from_json(F.get_json_object("payload", "$.hardware"), "array<struct<pipeline:string,model_id:string>>")
-    caps = F.from_json(F.get_json_object("payload", "$.capabilities.constraints.PerCapability"), "map<string,struct<models:map<string,struct<warm:boolean,capacity:int>>>>")
-    base = snapshots.withColumns({"_hw": hw, "_caps": caps})
-    a = base.where("size(_hw) > 0").select("row_id", "event_ts", "org", "orch_address", F.explode("_hw").alias("h")).select("row_id", "event_ts", "org", "orch_address", F.lit(None).cast("int").alias("capability_id"), "h.pipeline", F.col("h.model_id").alias("model"), F.lit(1).alias("hardware_present"))
-    b = base.where("_hw is null or size(_hw) = 0").select("row_id", "event_ts", "org", "orch_address", F.explode("_caps").alias("id", "c")).select("row_id", "event_ts", "org", "orch_address", F.col("id").try_cast("int").alias("capability_id"), F.explode("c.models").alias("model", "m")).select("row_id", "event_ts", "org", "orch_address", "capability_id", F.lit("").alias("pipeline"), "model", F.lit(0).alias("hardware_present"))
-    return a.unionByName(b)
+    offer = lambda i, p, m, hw: F.struct(i.alias("capability_id"), p.alias("pipeline"), m.alias("model"), F.lit(hw).alias("hardware_present"))
+    of_hardware = F.transform("hardware", lambda h: offer(F.lit(None).cast("int"), h.pipeline, h.model_id, 1))
+    of_models = F.flatten(F.transform(F.map_entries("per_capability"), lambda c: F.transform(F.map_keys(c.value.models), lambda m: offer(c.key.try_cast("int"), F.lit(""), m, 0))))
+    return snapshots.select(*_ROW, F.inline(F.when(F.size("hardware") > 0, of_hardware).otherwise(of_models)))
 
 
 def prices(snapshots: DataFrame) -> DataFrame:
-    p = F.from_json(F.get_json_object("payload", "$.capabilities_prices"), "array<struct<capability:int,constraint:string,pricePerUnit:double,pixelsPerUnit:double>>")
-    rows = snapshots.select("row_id", "event_ts", "org", "orch_address", F.explode(p).alias("p")).select("row_id", "event_ts", "org", "orch_address", F.col("p.capability").alias("capability_id"), F.col("p.constraint").alias("constraint_name"), F.col("p.pricePerUnit").alias("price_per_unit"), F.col("p.pixelsPerUnit").alias("pixels_per_unit"))
-    return rows.where("price_per_unit > 0 and pixels_per_unit > 0")
+    """Positive prices of a provider's capabilities."""
+    one = F.transform("prices", lambda p: F.struct(p.capability.alias("capability_id"), p.constraint.alias("constraint_name"), p.pricePerUnit.alias("price_per_unit"), p.pixelsPerUnit.alias("pixels_per_unit")))
+    return snapshots.select(*_ROW, F.inline(one))
 
 
 def global_price(snapshots: DataFrame) -> DataFrame:
     """Price information of a whole snapshot, where it is positive."""
-    v = snapshots.withColumn("_v", F.try_parse_json("payload"))
-    get = lambda f: F.try_variant_get(F.col("_v"), f"$.price_info.{f}", "double")
-    rows = v.select("row_id", "event_ts", "org", "orch_address", get("pricePerUnit").alias("price_per_unit"), get("pixelsPerUnit").alias("pixels_per_unit"))
+    rows = snapshots.select(*_ROW, F.col("price_info.pricePerUnit").alias("price_per_unit"), F.col("price_info.pixelsPerUnit").alias("pixels_per_unit"))
     return rows.where("price_per_unit > 0 and pixels_per_unit > 0").withColumn("price_per_pixel", F.col("price_per_unit") / F.col("pixels_per_unit"))
 
 
