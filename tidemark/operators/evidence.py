@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import expr
@@ -72,23 +72,57 @@ def attribution_latest(decisions: DataFrame) -> DataFrame:
     return newest_row.select(*KEYS, "decision_id", "status", "address", "pipeline", "model", "gpu_id", is_("resolved").alias("is_attributed"), is_("ambiguous").alias("is_ambiguous"), is_("stale").alias("is_stale"), is_("hardware_less").alias("is_hardware_less"), F.col("gpu_id").isNotNull().cast("int").alias("has_gpu"))
 
 
-def sla_input_hourly(status_hours: DataFrame, facts: DataFrame, attribution: DataFrame, inventory: DataFrame) -> DataFrame:
-    """Additive counters by hour, provider, pipeline, model and GPU; rates are null where nothing was counted.
+def session_hours(rows: DataFrame) -> DataFrame:
+    """A row for each session and hour with rows of ``session_rows``: the hour's counters, and what is known of the whole session.
 
-    ``status_hours`` carry hour and is_tail_artifact (such hours don't count); a session's start counts in its start
-    hour. Sessions without attribution count under blank names; the inventory gives a GPU's name.
+    Counters are summed by session and hour, partly in the map tasks; windows over a session's hours, a row each, give
+    its start, outcome, excusal, swaps and output, and which last hours are idle tails. The payloads are read once.
     """
-    live = status_hours.where("is_tail_artifact = 0").select(*KEYS, "hour", "status_samples", "fps_positive_samples", "output_fps_sum")
-    starts = facts.where("started_at is not null").select(*KEYS, F.date_trunc("hour", "started_at").alias("hour"), F.lit(1).alias("requested"), (F.col("startup_outcome") == "success").cast("int").alias("ok"), (F.col("excusal_reason") != "").cast("int").alias("excused"), (F.col("swap_count") > 0).cast("int").alias("swapped"), "zero_output")
-    both = live.unionByName(starts, allowMissingColumns=True)
-    named = both.join(attribution.select(*KEYS, "address", "pipeline", "model", "gpu_id"), KEYS, "left").join(inventory.select("gpu_id", "gpu_name"), "gpu_id", "left")
+    trace, status = F.col("family") == "stream_trace", F.col("family") == "ai_stream_status"
+    first = lambda t: F.min(F.when(trace & (F.col("event_subtype") == t), F.col("event_ts")))
+    times = lambda t: F.count_if(trace & (F.col("event_subtype") == t))
+    failed = status & (F.col("last_error") != "")
+    core = rows.where((trace & F.col("event_subtype").isin(CORE_TRACES)) | ~trace)
+    hours = core.groupBy(*KEYS, F.date_trunc("hour", "event_ts").alias("hour")).agg(
+        first("gateway_receive_stream_request").alias("_start"), first("gateway_receive_few_processed_segments").alias("_play"), times("gateway_no_orchestrators_available").alias("_none"), times("orchestrator_swap").alias("_swaps"),
+        F.count_if(status).alias("status_samples"), F.count_if(status & (F.col("output_fps") > 0)).alias("fps_positive_samples"), F.count_if(status & expr.running(F.col("state"))).alias("running_samples"),
+        F.count_if(failed).alias("_errors"), F.count_if(failed & expr.contains_any(F.col("last_error"))).alias("_excusable"), F.coalesce(F.sum(F.when(status, F.col("output_fps").cast("decimal(18,6)"))), F.lit(0)).cast("decimal(28,6)").alias("output_fps_sum"), F.max("event_ts").alias("_last"),
+    )
+    w = Window.partitionBy(*KEYS)
+    total = lambda c: F.sum(c).over(w)
+    whole = hours.withColumns({
+        "started_at": F.min("_start").over(w), "playable_at": F.min("_play").over(w), "last_seen": F.max("_last").over(w), "_none": total("_none"), "swap_count": total("_swaps"),
+        "_errors": total("_errors"), "_excusable": total("_excusable"), "_samples": total("status_samples"), "_positive": total("fps_positive_samples"),
+    })
+    outcome = expr.startup_outcome(F.col("started_at").isNotNull().cast("int"), F.col("playable_at").isNotNull().cast("int"))
+    facts = whole.withColumns({"startup_outcome": outcome, "zero_output": ((F.col("_samples") > 0) & (F.col("_positive") == 0)).cast("int")})
+    facts = facts.withColumn("excusal_reason", expr.startup_excusal(F.col("startup_outcome"), F.col("_none") > 0, F.col("_errors"), F.col("_excusable")))
+    # An idle tail: an hour of few samples without output, after another such hour, in which the session ends.
+    idle = (F.col("fps_positive_samples") == 0) & (F.col("running_samples") == 0) & (F.col("status_samples") < 3)
+    before = F.last(F.when(F.col("status_samples") > 0, idle), ignorenulls=True).over(w.orderBy("hour").rowsBetween(Window.unboundedPreceding, -1))
+    ends = (F.col("started_at") < F.col("hour")) & (F.col("last_seen") < F.col("hour") + F.expr("INTERVAL 1 HOUR"))
+    facts = facts.withColumn("is_tail_artifact", F.coalesce((F.col("status_samples") > 0) & idle & before & ends, F.lit(False)).cast("int"))
+    return facts.select(*KEYS, "hour", "status_samples", "fps_positive_samples", "running_samples", "output_fps_sum", "started_at", "last_seen", "startup_outcome", "excusal_reason", "swap_count", "zero_output", "is_tail_artifact")
+
+
+def sla_input_hourly(hours: DataFrame, attribution: DataFrame, inventory: DataFrame) -> DataFrame:
+    """Additive counters by hour, provider, pipeline, model and GPU out of ``session_hours``; rates are null where nothing was counted.
+
+    An idle tail's samples don't count; a session's start counts in its start hour. Sessions without attribution count
+    under blank names; the inventory gives a GPU's name.
+    """
+    live = (F.col("status_samples") > 0) & (F.col("is_tail_artifact") == 0)
+    start = F.coalesce(F.date_trunc("hour", "started_at") == F.col("hour"), F.lit(False))
+    named = hours.where(live | start).withColumns({"_live": live, "_start": start}).join(attribution.select(*KEYS, "address", "pipeline", "model", "gpu_id"), KEYS, "left").join(inventory.select("gpu_id", "gpu_name"), "gpu_id", "left")
     keys = ["address", "pipeline", "model", "gpu_id", "gpu_name"]
     named = named.withColumns({k: F.coalesce(k, F.lit("")) for k in keys})
-    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    ok, excused = F.col("startup_outcome") == "success", F.col("excusal_reason") != ""
+    counted = lambda c: F.count_if(F.col("_start") & c)
+    sampled = lambda c: F.coalesce(F.sum(F.when(F.col("_live"), F.col(c))), F.lit(0))
     out = named.groupBy(F.col("hour").alias("window_start"), "org", *keys).agg(
-        total("requested").alias("requested_sessions"), total("ok").alias("startup_success_sessions"), total(F.when(F.col("ok") == 0, F.col("excused"))).alias("startup_excused_sessions"), total(F.when((F.col("ok") == 0) & (F.col("excused") == 0), 1)).alias("startup_failed_sessions"),
-        total(F.when((F.col("ok") == 1), F.col("zero_output"))).alias("output_failed_sessions"), total("swapped").alias("swapped_sessions"), total("status_samples").alias("status_samples"), total("fps_positive_samples").alias("health_signal_count"),
-        F.coalesce(F.sum(F.col("output_fps_sum").cast("decimal(18,6)")), F.lit(0)).cast("double").alias("output_fps_sum"),
+        F.count_if("_start").alias("requested_sessions"), counted(ok).alias("startup_success_sessions"), counted(~ok & excused).alias("startup_excused_sessions"), counted(~ok & ~excused).alias("startup_failed_sessions"),
+        counted(ok & (F.col("zero_output") == 1)).alias("output_failed_sessions"), counted(F.col("swap_count") > 0).alias("swapped_sessions"), sampled("status_samples").cast("long").alias("status_samples"), sampled("fps_positive_samples").cast("long").alias("health_signal_count"),
+        sampled("output_fps_sum").cast("double").alias("output_fps_sum"),
     )
     return out.withColumns({
         "effective_failed_sessions": F.col("startup_failed_sessions") + F.col("output_failed_sessions"),

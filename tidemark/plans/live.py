@@ -104,11 +104,6 @@ def a28_attribution_latest(spark, sf_dir):
     return evidence.attribution_latest(decisions(spark, sf_dir)).select("session_key", "decision_id", "is_attributed", "is_ambiguous", "is_stale", "is_hardware_less", "has_gpu")
 
 
-def status_hours(spark, sf_dir: str, facts: DataFrame) -> DataFrame:
-    hours = sessions.status_rollup(envelopes.stream_status(accepted(spark, sf_dir)), hourly=True)
-    return changes.tail_artifacts(hours.join(facts.select("org", "session_key", "started_at", "last_seen"), ["org", "session_key"], "left"), ["org", "session_key"], "hour")
-
-
 _SLA = f"""{_E}, {_D_US}, a AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY session_key ORDER BY dec DESC, decision_id DESC) AS rn FROM d) WHERE rn = 1),
 h AS (SELECT session_key, ms // 3600000 * 3600000 AS hour, count(*) AS samples, count(*) FILTER (WHERE value > 0) AS pos, count(*) FILTER (WHERE event_type <> 'error') AS running, sum(CAST(value AS DECIMAL(18, 2))) AS fps FROM e WHERE status GROUP BY 1, 2),
 idle AS (SELECT *, pos = 0 AND running = 0 AND samples < 3 AS own, lag(pos = 0 AND running = 0 AND samples < 3) OVER (PARTITION BY session_key ORDER BY hour) AS prev FROM h),
@@ -118,9 +113,8 @@ z AS (SELECT hour, coalesce(a.address, '') AS address, coalesce(a.model, '') AS
 
 
 def sla_input(spark, sf_dir: str) -> DataFrame:
-    f = facts(spark, sf_dir)
     names = events(spark, sf_dir).select((F.col("event_id") % 9).alias("g")).distinct().select(F.concat(F.lit("g"), "g").alias("gpu_id"), F.concat(F.lit("card"), F.col("g") % 3).alias("gpu_name"))
-    return evidence.sla_input_hourly(status_hours(spark, sf_dir, f), f, evidence.attribution_latest(decisions(spark, sf_dir)), names)
+    return evidence.sla_input_hourly(evidence.session_hours(rows(spark, sf_dir)), evidence.attribution_latest(decisions(spark, sf_dir)), names)
 
 
 @query(f"{_SLA} SELECT CAST(hour AS BIGINT) AS hour_ms, address, model, gpu_id, gpu_name, CAST(req AS BIGINT) AS requested_sessions, CAST(okc AS BIGINT) AS startup_success_sessions, CAST(exc AS BIGINT) AS startup_excused_sessions, CAST(failed AS BIGINT) AS startup_failed_sessions, CAST(outf AS BIGINT) AS output_failed_sessions, CAST(swp AS BIGINT) AS swapped_sessions, CAST(smp AS BIGINT) AS status_samples, CAST(fps AS DOUBLE) AS output_fps_sum, round(okc / nullif(req - exc, 0), 6) AS startup_success_rate, round(CAST(fps AS DOUBLE) / nullif(smp, 0), 6) AS avg_output_fps FROM z")

@@ -109,9 +109,11 @@ def event_time(c: Column) -> Column:
 
 
 def with_raw_columns(df: DataFrame, orgs: dict[str, str]) -> DataFrame:
+    """Envelopes as raw rows. The payload's header is read by a generator, once: filters on its fields stay above it, instead of reading it again each."""
     topic = F.coalesce(*(F.when(F.col("source_topic") == t, o) for t, o in orgs.items()), F.lit(""))
-    subtype = F.when(F.col("type").isin(WITH_SUBTYPE), F.coalesce(F.get_json_object("data", "$.type"), F.lit(""))).otherwise("")
-    return df.select(F.col("id").alias("event_id"), F.col("type").alias("event_type"), subtype.alias("event_subtype"), event_time(F.col("timestamp")).alias("event_ts"), topic.alias("org"), "gateway", "data", "source_topic", "source_partition", "source_offset", F.upper(F.md5("data")).alias("payload_hash"), expr.none_if_blank(F.get_json_object("data", "$.schema_version")).alias("schema_version"))
+    headed = df.select("*", F.json_tuple("data", "type", "schema_version").alias("_type", "_version"))
+    subtype = F.when(F.col("type").isin(WITH_SUBTYPE), F.coalesce("_type", F.lit(""))).otherwise("")
+    return headed.select(F.col("id").alias("event_id"), F.col("type").alias("event_type"), subtype.alias("event_subtype"), event_time(F.col("timestamp")).alias("event_ts"), topic.alias("org"), "gateway", "data", "source_topic", "source_partition", "source_offset", F.upper(F.md5("data")).alias("payload_hash"), expr.none_if_blank(F.col("_version")).alias("schema_version"))
 
 
 def ignore_reason() -> Column:
@@ -121,7 +123,7 @@ def ignore_reason() -> Column:
     client = F.lower(F.coalesce(F.get_json_object("data", "$.client_source"), F.lit("")))
     return (
         F.when(expr.blank(F.col("event_id")), "blank_event_id").when(~F.coalesce(known, F.lit(False)), "unsupported_event_family").when(trace & sub.isin(TRACES), None)
-        .when(trace & F.lower(sub).startswith("app_"), "ignored_stream_trace_non_core_app").when(trace & (client == "scope") & sub.isin(CLIENT_NOISE), "ignored_stream_trace_scope_client_noise")
+        .when(trace & F.lower(sub).startswith("app_"), "ignored_stream_trace_non_core_app").when(trace & sub.isin(CLIENT_NOISE) & (client == "scope"), "ignored_stream_trace_scope_client_noise")
         .when(trace, "unsupported_stream_trace_type").when(F.col("event_ts").isNull(), "malformed_or_invalid_payload")
     )
 
@@ -142,11 +144,18 @@ def ignored_view(ignored: DataFrame) -> DataFrame:
     return ignored.select("ignore_reason", "event_id", "event_type", "event_subtype", "event_ts", "org", "source_topic", "source_partition", "source_offset")
 
 
-def _typed(raw: DataFrame, family: str | list[str], fields: dict[str, Column]) -> DataFrame:
+def _typed(raw: DataFrame, family: str | list[str], fields: dict[str, Column], *, keep: str | None = None) -> DataFrame:
+    """Typed columns of families, from one parse of each payload; with ``keep``, rows whose text in that column isn't blank.
+
+    Such a filter stands above a generator: on plain columns Spark would push it down to the scan, and write the parse
+    out again for every field in it.
+    """
     families = [family] if isinstance(family, str) else family
-    # The payload is parsed once for each row, whatever the number of fields.
     base = raw.where(F.col("event_type").isin(families) & (F.col("event_id") != "")).withColumn("_v", F.try_parse_json("data"))
-    return base.select("event_id", "event_ts", "org", "gateway", "event_subtype", *(c.alias(n) for n, c in fields.items()))
+    own, typed = ["event_id", "event_ts", "org", "gateway", "event_subtype"], [c.alias(n) for n, c in fields.items()]
+    if keep is None:
+        return base.select(*own, *typed)
+    return base.select(*own, F.inline(F.array(F.struct(*typed)))).where(F.col(keep) != "")
 
 
 def _text(path: str) -> Column:
@@ -300,4 +309,4 @@ def final_rows(raw: DataFrame, key: str = "event_id") -> DataFrame:
 def session_rows(raw: DataFrame) -> DataFrame:
     """Traces, statuses and events of sessions side by side, from one scan and one parse of each row."""
     fields = _stream_fields() | {"family": F.col("event_type"), "state": _text("state"), "output_fps": _number("inference_status.fps"), "restart_count": _number("inference_status.restart_count", "bigint"), "last_error": _text("inference_status.last_error"), "message": _text("message"), "start_time": event_time(expr.none_if_blank(_text("start_time")))}
-    return _typed(raw, ["stream_trace", "ai_stream_status", "ai_stream_events"], fields).where("session_key <> ''")
+    return _typed(raw, ["stream_trace", "ai_stream_status", "ai_stream_events"], fields, keep="session_key")
