@@ -133,9 +133,11 @@ class _Bins:
     def partner(self, a: int, s: int) -> int | None:
         """A piece smaller than ``s`` whose bin, with ``s`` in its place, gets as full as possible and fuller than ``a`` is now."""
         for k in _bits(self.keys, s, s + self.rooms.bit_length()):
+            # The fill of a bin after the exchange is the same for all pieces of a key, and falls with it.
+            if self.capacity + s - k <= self.fill[a]:
+                return None
             for i in self.by_key[k]:
-                b = self.where[i]
-                if b != a and self.size[i] < s and self.fill[b] + s - self.size[i] > self.fill[a]:
+                if self.where[i] != a and self.size[i] < s:
                     return i
         return None
 
