@@ -420,3 +420,40 @@ def test_pipeline(spark):
         docs = out
     packed = corpus_pipeline.run(spark, folder)
     assert packed.select("doc_id").distinct().count() == docs.count()
+
+
+def test_search_is_fast_for_pieces_over_half_a_sequence():
+    """No two of them share a bin, so that nothing can move; that must be seen at once."""
+    import time
+
+    rng = np.random.default_rng(1)
+    sizes = rng.integers(600, 700, 20_000)
+    began = time.process_time()
+    bins = packing.local_search(sizes, packing.best_fit(sizes, 1024), 1024)
+    assert time.process_time() - began < 2 and len(set(bins.tolist())) == len(sizes)
+
+
+@pytest.mark.parametrize(("changed", "rarest"), [(0.2, True), (0.3, True), (0.36, True), (0.25, False)])
+def test_paraphrases_of_rare_words(spark, changed, rarest):
+    """Words of Zipf's law; of each item the rarest words are changed, or any. Nine tenths of what the rule itself counts is found, and other texts aren't."""
+    rng = np.random.default_rng(6)
+    vocab = [f"w{i:05d}" for i in range(20_000)]
+    p = 1 / np.arange(1, len(vocab) + 1)
+    draw = lambda n: [vocab[i] for i in rng.choice(len(vocab), n, p=p / p.sum())]
+    items, docs, want = {i: draw(40) for i in range(50)}, {}, set()
+    raw = lambda ws: [w.encode() for w in ws]
+    for i, own in items.items():
+        order = sorted(range(40), key=lambda k: own[k], reverse=True) if rarest else rng.permutation(40).tolist()
+        new = list(own)
+        for k in order[: round(40 * changed)]:
+            new[k] = draw(1)[0]
+        docs[i] = draw(int(rng.integers(60, 200))) + new + draw(int(rng.integers(60, 200)))
+        share, kept = decontaminate.common(raw(own), raw(docs[i])) / 40, decontaminate.common(raw(own[-10:]), raw(docs[i])) / 10
+        if share >= 0.75 or (share >= 0.6 and kept >= 0.6):
+            want.add((i, i))
+        docs[1_000 + i] = draw(400)
+        docs[2_000 + i] = draw(60) + [own[k] for k in rng.permutation(40)] + draw(60)
+    table = spark.createDataFrame([(i, " ".join(w)) for i, w in docs.items()], "doc_id long, text string").repartition(4)
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id long, text string")
+    got = {(x.doc_id, x.item_id) for x in decontaminate.contaminated(table, bench).collect()}
+    assert len(want) >= 30 and len(got & want) >= 0.9 * len(want) and not [d for d, _ in got if d >= 1_000]
