@@ -124,3 +124,44 @@ def test_archive_check(spark, put, at):
         envelopes.check_archive(spark, at("in"), rows=6)
     with pytest.raises(ValueError):
         envelopes.check_archive(spark, at("in"), broken=0)
+
+
+def test_ledger_rebuilds_a_slice_once_a_burst(spark, at, tmp_path):
+    """Late rows in several batches make one rebuild, two quiet minutes after the last of them; after a restart another burst makes another one."""
+    kind = "org string, event_id string, event_ts timestamp, ingested_at timestamp"
+    built = []
+
+    def base(days):
+        return spark.read.schema(kind).parquet(at("rows"))
+
+    def build(rows):
+        built.append(sorted((r.org, r.hour.isoformat()) for r in rows.select("org", "hour").distinct().collect()))
+        return rows.groupBy("org", "hour").agg(F.count("*").alias("n"))
+
+    def feed(*rows):
+        """(minutes of the event, minutes of its arrival), a batch."""
+        stamp = lambda m: T0 + timedelta(minutes=m)
+        spark.createDataFrame([("north", f"e{a}-{b}", stamp(a), stamp(b)) for a, b in rows], kind).coalesce(1).write.mode("append").parquet(at("rows"))
+        stream = spark.readStream.schema(kind).option("maxFilesPerTrigger", 1).parquet(at("rows"))
+        done(flows.repair_ledger(stream, base, build, at("slices"), at("ledger-c")))
+
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    flows.with_ledger_store(spark)
+    try:
+        feed((0, 1), (2, 3), (5, 100))  # one late row of the hour of T0, just now
+        assert built == []
+        feed((6, 101))  # the burst goes on, a minute later
+        feed((7, 101.5))
+        assert built == []
+        feed((200, 201))  # a row that isn't late, when all has been quiet
+        assert built == [[("north", T0.isoformat())]]
+        assert {r.hour: r.n for r in flows.read_slices(spark, at("slices")).collect()} == {T0: 5}
+        feed((8, 300))
+        feed((301, 302), (303, 304))
+        assert built[1:] == [[("north", T0.isoformat())]]
+        assert {r.hour: r.n for r in flows.read_slices(spark, at("slices")).collect()} == {T0: 6}
+        feed((0, 2 * 1440), (-30, 2 * 1440))  # two days late: whole days, in one rebuild
+        feed((2 * 1440 + 60, 2 * 1440 + 61))
+        assert len(built) == 3 and {h for _, h in built[2]} >= {T0.isoformat(), (T0 - timedelta(hours=1)).isoformat()}
+    finally:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from tidemark.operators import asof, changes, latest
 from tidemark.sources import envelopes
@@ -46,20 +47,89 @@ def repair_slices(stream: DataFrame, base: Callable[[list], DataFrame], build: C
     """
 
     def write(batch: DataFrame, n: int) -> None:
-        hours = batch.select("org", F.date_trunc("hour", "event_ts").alias("hour")).distinct()
-        days = [r.day for r in hours.select(F.to_date("hour").alias("day")).distinct().collect()]  # a row for each day of the batch
-        rows = base(days).withColumn("hour", F.date_trunc("hour", "event_ts")).join(hours, ["org", "hour"], "left_semi")
-        built = build(rows).withColumn("is_empty", F.lit(False))
-        whole = hours.join(built, ["org", "hour"], "left").fillna({"is_empty": True})
-        whole.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("org", "hour").parquet(table)
+        _rebuild(batch.select("org", F.date_trunc("hour", "event_ts").alias("hour")).distinct(), base, build, table)
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def _rebuild(hours: DataFrame, base: Callable[[list], DataFrame], build: Callable[[DataFrame], DataFrame], table: str) -> None:
+    """Compute (org, hour) again from the rows of their days, and overwrite their partitions."""
+    days = [r.day for r in hours.select(F.to_date("hour").alias("day")).distinct().collect()]  # a row for each day of the batch
+    if not days:
+        return
+    rows = base(days).withColumn("hour", F.date_trunc("hour", "event_ts")).join(hours, ["org", "hour"], "left_semi")
+    built = build(rows).withColumn("is_empty", F.lit(False))
+    whole = hours.join(built, ["org", "hour"], "left").fillna({"is_empty": True})
+    whole.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("org", "hour").parquet(table)
+
+
 def read_slices(spark: SparkSession, table: str) -> DataFrame:
     return spark.read.parquet(table).where("not is_empty").drop("is_empty")
 
 
+LEDGER = "org string, mode string, slice_start timestamp, late_rows long, last_ingested timestamp"
+
+
+class _Ledger(StatefulProcessor):
+    """A slice's late rows and when the last of them came; told once nothing more has come for a while, and then forgotten."""
+
+    def __init__(self, quiet_ms: int):
+        self.quiet_ms = quiet_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.dirt = handle.getValueState("dirt", "late_rows long, last_ms long")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803  names of Spark's interface
+        n, last = self.dirt.get() if self.dirt.exists() else (0, 0)
+        for f in rows:
+            n, last = n + len(f), max(last, int(f["ms"].max()))
+        for t in list(self.handle.listTimers()):
+            self.handle.deleteTimer(t)
+        self.dirt.update((n, last))
+        self.handle.registerTimer(last + self.quiet_ms)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        n, last = self.dirt.get()
+        self.dirt.clear()
+        yield pd.DataFrame({"org": [key[0]], "mode": [key[1]], "slice_start": [pd.Timestamp(key[2])], "late_rows": [n], "last_ingested": [pd.Timestamp(last, unit="ms")]})
+
+    def close(self) -> None:
+        pass
+
+
+def dirty_ledger(raw: DataFrame, *, lateness: str = "10 minutes", quiet: str = "2 minutes", delay: str = "0 seconds") -> DataFrame:
+    """Slices that late rows made dirty: (org, mode, slice_start, late_rows, last_ingested), each told once nothing more has come for ``quiet``.
+
+    A row (org, event_ts, ingested_at) is late if it came more than ``lateness`` after it happened: on the day it came
+    its hour is dirty, later the whole day is. The clock is the latest ``ingested_at`` of all rows, less ``delay``; state
+    and timers live in the checkpoint, a slice each, so that a restart forgets nothing and tells nothing twice. Sessions
+    that run this need the RocksDB state store (``with_ledger_store``).
+    """
+    rows = raw.where("org is not null and event_ts is not null and ingested_at is not null").withWatermark("ingested_at", delay)
+    late = rows.where(F.col("ingested_at") > F.col("event_ts") + F.expr(f"INTERVAL {lateness}"))
+    today = F.to_date("event_ts") == F.to_date("ingested_at")
+    marked = late.select("org", F.when(today, "hour").otherwise("day").alias("mode"), F.when(today, F.date_trunc("hour", "event_ts")).otherwise(F.date_trunc("day", "event_ts")).alias("slice_start"), "ingested_at", F.unix_millis("ingested_at").alias("ms"))
+    quiet_ms = int(pd.Timedelta(quiet).total_seconds() * 1000)
+    return marked.groupBy("org", "mode", "slice_start").transformWithStateInPandas(_Ledger(quiet_ms), LEDGER, "append", "eventTime")
+
+
+def with_ledger_store(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+
+def repair_ledger(raw: DataFrame, base: Callable[[list], DataFrame], build: Callable[[DataFrame], DataFrame], table: str, checkpoint: str, **times: str) -> StreamingQuery:
+    """Rebuilds of the slices that ``dirty_ledger`` tells: each hour of them is computed again from ``base`` and overwrites its partition, as in ``repair_slices``."""
+
+    def write(batch: DataFrame, n: int) -> None:
+        # A day has twenty-four hours, of which those without rows are left out below.
+        hours = F.when(F.col("mode") == "hour", F.array("slice_start")).otherwise(F.sequence("slice_start", F.col("slice_start") + F.expr("INTERVAL 23 HOURS"), F.expr("INTERVAL 1 HOUR")))
+        _rebuild(batch.select("org", F.explode(hours).alias("hour")).distinct(), base, build, table)
+
+    return dirty_ledger(raw, **times).writeStream.foreachBatch(write).outputMode("append").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 STATE = "started_ms long, last_ms long, rows long, samples long, fps_sum double, swaps long"
 
 
