@@ -30,8 +30,3 @@ def replace_latest(df: DataFrame, keys: list[str], version: str) -> DataFrame:
 
 def apply_retention(df: DataFrame, stamp: str, days: int, now: Column) -> DataFrame:
     return df.where(F.col(stamp) >= now - F.make_interval(days=F.lit(days)))
-
-
-def write_run(df: DataFrame, path: str, run_id: str, now: Column, partition: list[str]) -> None:
-    """Append the rows of one run, stamped; readers take ``latest_slice``."""
-    df.withColumns({"refresh_run_id": F.lit(run_id), "refreshed_at": now}).write.mode("append").partitionBy(*partition).parquet(path)

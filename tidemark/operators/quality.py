@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -35,6 +36,29 @@ def contract_counts(df: DataFrame, not_null: list[str], unique: list[str], accep
     )
 
 
+@dataclass
+class Contract:
+    """What a table's rows must keep to: columns that are never null, accepted values, bounds, and the stamp whose freshness counts."""
+
+    not_null: list[str] = field(default_factory=list)
+    accepted: dict[str, list] = field(default_factory=dict)
+    bounds: dict[str, tuple[float, float]] = field(default_factory=dict)
+    stamp: str | None = None
+
+    def metrics(self) -> list[Column]:
+        """Aggregates that a writing job can observe on its way: violations by column, and the newest stamp."""
+        stamp = [F.max(F.unix_micros(self.stamp)).alias("newest_us")] if self.stamp else []
+        return [
+            *(F.count_if(F.col(c).isNull()).alias(f"{c}_null") for c in self.not_null), *(F.count_if(~F.col(c).isin(v)).alias(f"{c}_not_accepted") for c, v in self.accepted.items()),
+            *(F.count_if(~F.col(c).between(a, b)).alias(f"{c}_out_of_bounds") for c, (a, b) in self.bounds.items()), *stamp,
+        ]
+
+
+def metric_rows(spark: SparkSession, table: str, metrics: dict[str, int | str | None]) -> DataFrame:
+    """(table, metric, value) of what a writing job has observed."""
+    return spark.createDataFrame([(table, k, None if v is None else str(v)) for k, v in sorted(metrics.items())], "table string, metric string, value string")
+
+
 def coverage(source: DataFrame, derived: DataFrame, keys: list[str], least: float = 0.98, rows: int = 20) -> DataFrame:
     a, b = (d.groupBy(*keys).agg(F.count("*").alias(n)) for d, n in ((source, "source_rows"), (derived, "derived_rows")))
     got = a.join(b, keys, "left").fillna({"derived_rows": 0}).withColumn("coverage", F.col("derived_rows") / F.col("source_rows"))

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import expr
-from tidemark.operators import evidence, filters, latest, pages, quality, supply
+from tidemark.operators import evidence, filters, pages, quality, supply
 from tidemark.plans.catalog import orders, query, table
-from tidemark.sources import envelopes
+from tidemark.sources import envelopes, runs
 
 _ORG = {"network_events": "north"}
 _O = """WITH q AS (SELECT *, o_orderkey % 8 k, o_orderkey // 8 t, (o_orderkey // 8) % 2 = 1 AS done, 'o' || o_orderkey AS event_id, '0x' || lpad(lower(to_hex(o_custkey % 23)), 40, '0') AS addr, 'https://o' || (o_custkey % 23) AS url, 'r' || (o_orderkey // 16) AS request_id, 's' || o_custkey AS stream, 'cap' || (o_custkey % 4) AS capability, o_custkey * 10 + (o_orderkey // 8) % 100 AS dur, (o_orderkey // 8) % 5 <> 0 AS ok, epoch_ms(o_orderdate) AS ms, 'm' || (o_custkey % 5) AS model, 'http://w' || (o_custkey % 11) AS worker_url, CAST(o_custkey % 7 + 1 AS DOUBLE) AS price FROM orders)"""
@@ -296,12 +296,28 @@ def c16_layer_diff(spark, sf_dir):
     return quality.layer_diff(a, report([("a", "w", "nation"), ("a", "x", "customer")]))
 
 
-@query("SELECT o_custkey, max_by(o_orderkey, (o_orderdate, o_orderkey)) AS o_orderkey FROM orders GROUP BY 1")
+_RUNS = "WITH r AS (SELECT *, date_trunc('year', o_orderdate) AS y, EXTRACT(year FROM o_orderdate) % 2 = 0 AS again FROM orders)"
+
+
+@query(f"{_RUNS} SELECT o_orderkey, epoch_us(y) AS year_us, CASE WHEN again THEN 'second' ELSE 'first' END AS refresh_run_id FROM r WHERE NOT again OR o_orderstatus = 'O'")
 def s9_append_runs(spark, sf_dir):
-    """Two runs of each customer's orders; readers see the newest run of each alone."""
-    o = orders(spark, sf_dir)
-    runs = o.withColumns({"run": F.concat(F.lit("run"), F.col("o_orderkey")), "at": F.col("o_orderdate")})
-    return latest.latest_values(runs, ["o_custkey"], ["o_orderkey"], ["at", "o_orderkey"]).select("o_custkey", "o_orderkey")
+    """A run of all years, a second one that replaces every other year by fewer rows, and a third that never commits."""
+    o = orders(spark, sf_dir).select("o_orderkey", "o_totalprice", "o_orderstatus", F.date_trunc("year", "o_orderdate").alias("y"))
+    even, at = F.year("y") % 2 == 0, lambda d: F.lit(f"2030-01-0{d}").cast("timestamp")
+    table = runs.scratch(spark, "runs")
+    runs.write_run(o, table, "first", at(1), ["y"])
+    runs.write_run(o.where(even & (F.col("o_orderstatus") == "O")), table, "second", at(2), ["y"], owned=o.where(even))
+    runs.write_rows(o.limit(0), table, "third", at(3), ["y"])
+    return runs.read_runs(spark, table, ["y"]).select("o_orderkey", F.unix_micros("y").alias("year_us"), "refresh_run_id")
+
+
+@query(f"{_RUNS}, m AS (SELECT count(*) AS n_rows, count(*) FILTER (WHERE o_custkey IS NULL) AS a, count(*) FILTER (WHERE o_orderstatus NOT IN ('F', 'O')) AS b, count(*) FILTER (WHERE o_totalprice NOT BETWEEN 1000 AND 100000) AS c, epoch_us(max(o_orderdate)) AS d FROM r) SELECT 'orders' AS \"table\", x.metric, CAST(x.value AS VARCHAR) AS value FROM (SELECT 'n_rows' AS metric, n_rows AS value FROM m UNION ALL SELECT 'o_custkey_null', a FROM m UNION ALL SELECT 'o_orderstatus_not_accepted', b FROM m UNION ALL SELECT 'o_totalprice_out_of_bounds', c FROM m UNION ALL SELECT 'newest_us', d FROM m) x")
+def c14_quality_on_write(spark, sf_dir):
+    """Violations that the job counts which writes a run: no scan of its own."""
+    o = orders(spark, sf_dir).withColumn("y", F.date_trunc("year", "o_orderdate"))
+    contract = quality.Contract(["o_custkey"], {"o_orderstatus": ["F", "O"]}, {"o_totalprice": (1_000, 100_000)}, "o_orderdate")
+    seen = runs.write_run(o, runs.scratch(spark, "quality"), "one", F.lit("2030-01-01").cast("timestamp"), ["y"], contract=contract)
+    return quality.metric_rows(spark, "orders", {k: v for k, v in seen.items() if k != "checksum"})
 
 
 @query(f"{_O} SELECT 'north|' || stream || '|' || request_id AS session_key, count(*) AS message_count, max(ms) AS last_ms, 'live-video-to-video' AS pipeline_hint FROM q WHERE k = 0 GROUP BY 1")
