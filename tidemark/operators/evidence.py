@@ -72,6 +72,24 @@ def attribution_latest(decisions: DataFrame) -> DataFrame:
     return newest_row.select(*KEYS, "decision_id", "status", "address", "pipeline", "model", "gpu_id", is_("resolved").alias("is_attributed"), is_("ambiguous").alias("is_ambiguous"), is_("stale").alias("is_stale"), is_("hardware_less").alias("is_hardware_less"), F.col("gpu_id").isNotNull().cast("int").alias("has_gpu"))
 
 
+_OUTCOMES, _STATUSES = ("selected", "no_orch", "unknown"), ("resolved", "hardware_less", "stale", "ambiguous", "unresolved")
+
+
+def attribution_breakdown(jobs: DataFrame, dimensions: list[str], sets: list[list[str]]) -> DataFrame:
+    """Jobs (outcome, status, swapped, and the dimensions) counted by outcome and status at several levels in one pass.
+
+    ``sets`` are the levels' dimensions. ``level`` names those of a row, so that a null dimension of a level is told
+    from one that the level leaves out; statuses count among selected jobs only.
+    """
+    selected = F.col("outcome") == "selected"
+    counts = [F.count("*").alias("jobs"), *(F.count_if(F.col("outcome") == o).alias(f"{o}_jobs") for o in _OUTCOMES), *(F.count_if(selected & (F.col("status") == s)).alias(f"{s}_jobs") for s in _STATUSES), F.count_if(F.col("swapped")).alias("swapped_jobs")]
+    own = [F.col(d) for d in dimensions]
+    shown = [F.when(F.grouping(d) == 0, d).alias(f"_{d}") for d in dimensions]
+    out = jobs.groupingSets([[F.col(d) for d in s] for s in sets], *own).agg(*shown, *counts)
+    level = F.concat_ws("+", *(f"_{d}" for d in dimensions))
+    return out.withColumn("level", F.when(level == "", "overall").otherwise(level)).drop(*(f"_{d}" for d in dimensions))
+
+
 def session_hours(rows: DataFrame) -> DataFrame:
     """A row for each session and hour with rows of ``session_rows``: the hour's counters, and what is known of the whole session.
 

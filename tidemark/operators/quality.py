@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -87,11 +86,28 @@ def text_fingerprint(df: DataFrame, leave_out: tuple[str, ...] = ()) -> DataFram
     return one.agg(F.count("*").alias("n_rows"), part(1).alias("sum_a"), part(13).alias("sum_b"))
 
 
-def field_inventory(df: DataFrame, keys: list[str], payload: str) -> DataFrame:
-    """Top-level fields of JSON texts with the kinds of their values and how often each stands."""
-    v = df.select(*keys, F.explode(F.from_json(payload, "map<string,string>")).alias("field", "_t"), F.try_parse_json(payload).alias("_v"))
-    kind = F.schema_of_variant(F.try_parse_json(F.coalesce("_t", F.lit("null"))))
-    return v.groupBy(*keys, "field", kind.alias("kind")).agg(F.count("*").alias("n"))
+def field_inventory(df: DataFrame, keys: list[str], payload: str, depth: int = 6) -> DataFrame:
+    """Fields of JSON texts by path, the kinds of their values and how often each stands: (keys, path, kind, n).
+
+    Fields of objects are followed down to ``depth`` steps, of arrays the first element (a step that adds ``[]``). A text
+    is parsed once and walked level by level in the row; counts are summed partly in the map tasks.
+    """
+    node = "array<struct<path:string,value:variant,named:boolean>>"
+
+    def below(n):
+        fields = F.try_variant_get(n.value, "$", "map<string,variant>")
+        named = F.transform(F.map_entries(fields), lambda e: F.struct(F.concat(n.path, F.lit("."), e.key).alias("path"), e.value.alias("value"), F.lit(True).alias("named")))
+        first = F.try_variant_get(n.value, "$[0]", "variant")
+        inside = F.array(F.struct(F.concat(n.path, F.lit("[]")).alias("path"), first.alias("value"), F.lit(False).alias("named")))
+        return F.when(fields.isNotNull(), named).when(first.isNotNull(), inside).otherwise(F.array().cast(node))
+
+    rows = df.select(*keys, F.array(F.struct(F.lit("").alias("path"), F.try_parse_json(payload).alias("value"), F.lit(False).alias("named"))).alias("_0"))
+    for k in range(depth):
+        rows = rows.withColumn(f"_{k + 1}", F.flatten(F.transform(f"_{k}", below)))
+    kind = F.schema_of_variant(F.col("f.value"))
+    short = F.when(kind.startswith("OBJECT"), "object").when(kind.startswith("ARRAY"), "array").when(kind == "STRING", "str").when(kind == "BOOLEAN", "bool").when(kind == "BIGINT", "int").when(kind.startswith("DECIMAL") | kind.isin("DOUBLE", "FLOAT"), "float").when(kind == "VOID", "null").otherwise(F.lower(kind))
+    flat = rows.select(*keys, F.explode(F.concat(*(f"_{k + 1}" for k in range(depth)))).alias("f")).where("f.named")
+    return flat.groupBy(*keys, F.substring("f.path", 2, 1 << 20).alias("path"), short.alias("kind")).agg(F.count("*").alias("n"))
 
 
 def layer_diff(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -120,38 +136,51 @@ def not_above(df: DataFrame, column: str, least: float = 0) -> DataFrame:
     return df.where(~F.coalesce(F.col(column) > least, F.lit(False)))
 
 
-def exact_percentiles(df: DataFrame, value: str, shares: list[float], most: int = 100_000) -> list[float | None]:
-    """Exact interpolated percentiles of a whole column, without its values meeting in one task.
+def exact_percentiles(df: DataFrame, value: str, shares: list[float], most: int = 1_000_000) -> list[float | None]:
+    """Exact interpolated percentiles of a whole column, by ``grouped_percentiles``; nulls without values."""
+    rows = grouped_percentiles(df.select(F.lit(0).alias("_all"), F.col(value).alias("_v")), ["_all"], "_v", shares, most).first()
+    return list(rows.percentiles) if rows else [None] * len(shares)
+
+
+def grouped_percentiles(df: DataFrame, keys: list[str], value: str, shares: list[float], most: int = 1_000_000) -> DataFrame:
+    """(keys, n, percentiles): exact interpolated percentiles of each group at ``shares``, and its values' number; nulls don't count.
 
-    A mergeable sketch brackets each percentile, sums count what lies below, and the bracket is narrowed until at most
-    ``most`` values (or kinds of equal values) are left to be sorted. Nulls don't count; without values, nulls come out.
+    Values are counted by group first, and the counts are stored. Groups of up to ``most`` different values are sorted in
+    a buffer each. Of larger ones the counts are sorted in ranges over many tasks; sums by group and range tell in which
+    ranges a percentile's two ranks lie, and only these ranges are gone through, so that no task holds a whole group.
     """
-    v = df.where(F.col(value).isNotNull()).select(F.col(value).cast("double").alias("v"))
-    n = v.count()
-
-    def at(ranks: tuple[int, int]) -> list[float]:
-        rows, below, inside = v, 0, n
-        while inside > most:
-            around = [min(1.0, max(0.0, (r - below) / inside + d)) for r, d in zip(ranks, (-0.001, 0.001), strict=True)]
-            low, high = rows.agg(F.percentile_approx("v", around, 10_000)).first()[0]
-            kept = F.col("v").between(low, high)
-            less, within = rows.agg(F.count_if(F.col("v") < low), F.count_if(kept)).first()
-            if within == inside or not below + less <= ranks[0] <= ranks[1] < below + less + within:
-                break  # equal values, or the sketch missed: what is left is sorted as it is
-            rows, below, inside = rows.where(kept), below + less, within
-        found, upto = {}, below
-        for r in rows.groupBy("v").count().orderBy("v").collect():  # the values of a bracket
-            upto += r["count"]
-            found |= {k: r.v for k in ranks if k not in found and k < upto}
-        return [found[k] for k in ranks]
-
-    out: list[float | None] = []
-    for q in shares:
-        place = (n - 1) * q
-        low, high = math.floor(place), math.ceil(place)
-        if n == 0:
-            out.append(None)
-            continue
-        a, b = at((low, high))
-        out.append(a if low == high else (high - place) * a + (place - low) * b)
-    return out
+    from tidemark.sources.runs import scratch
+
+    spark = df.sparkSession
+
+    def stored(rows: DataFrame, name: str) -> DataFrame:
+        path = scratch(spark, name)
+        rows.write.parquet(path)
+        return spark.read.schema(rows.schema).parquet(path)
+
+    counts = stored(df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).cast("double").alias("_v")).agg(F.count("*").alias("_n")), "value-counts")
+    sizes = counts.groupBy(*keys).agg(F.count("*").alias("_kinds"))
+    large = sizes.where(F.col("_kinds") > most).drop("_kinds")
+    same = lambda a, b: reduce(lambda p, q: p & q, (F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}")) for k in keys))
+    small = counts.alias("c").join(large.alias("l"), same("c", "l"), "left_anti") if large.limit(1).count() else counts
+    wanted = F.array(*map(F.lit, shares))
+    out = small.groupBy(*keys).agg(F.sum("_n").alias("n"), F.percentile("_v", wanted, F.col("_n")).alias("percentiles"))
+    if small is counts:
+        return out
+    big = counts.alias("c").join(large.alias("l"), same("c", "l"), "left_semi")
+    ordered = stored(big.repartitionByRange(*keys, "_v").sortWithinPartitions(*keys, "_v").withColumn("_at", F.monotonically_increasing_id()), "value-order").withColumn("_range", F.shiftright("_at", 33))
+    per = ordered.groupBy(*keys, "_range").agg(F.sum("_n").alias("_k"))
+    w = Window.partitionBy(*keys)  # a row for each range of a group
+    per = per.withColumns({"n": F.sum("_k").over(w), "_before": F.sum("_k").over(w.orderBy("_range").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_k")})
+    # Each share asks for two ranks of the sorted values, from 0; a range that holds one is looked through.
+    place = lambda q: (F.col("n") - 1) * F.lit(float(q))
+    asks = F.array(*(F.struct(F.lit(i).alias("share"), F.lit(up).alias("up"), f(place(q)).cast("long").alias("rank"), (place(q) - F.floor(place(q))).alias("part")) for i, q in enumerate(shares) for up, f in ((False, F.floor), (True, F.ceil))))
+    asked = per.select(*keys, "_range", "n", "_before", "_k", F.explode(asks).alias("a")).where((F.col("a.rank") >= F.col("_before")) & (F.col("a.rank") < F.col("_before") + F.col("_k")))
+    needed = asked.groupBy(*keys, "_range", "n", "_before").agg(F.collect_list("a").alias("_asks"))  # two a share at most
+    inside = ordered.alias("o").join(needed.alias("d"), same("o", "d") & (F.col("o._range") == F.col("d._range"))).select("o.*", "d.n", "d._before", "d._asks")
+    upto = F.sum("_n").over(Window.partitionBy(*keys, "_range").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
+    found = inside.withColumn("_to", F.col("_before") + upto).withColumn("_hits", F.filter("_asks", lambda a: (a.rank < F.col("_to")) & (a.rank >= F.col("_to") - F.col("_n")))).where(F.size("_hits") > 0)
+    hits = found.select(*keys, "n", "_v", F.explode("_hits").alias("a")).groupBy(*keys, "n", "a.share").agg(F.max(F.when(~F.col("a.up"), F.col("_v"))).alias("_low"), F.max(F.when(F.col("a.up"), F.col("_v"))).alias("_high"), F.max("a.part").alias("_part"))
+    mixed = F.when(F.col("_part") == 0, F.col("_low")).otherwise((1 - F.col("_part")) * F.col("_low") + F.col("_part") * F.col("_high"))
+    picked = hits.groupBy(*keys, "n").agg(F.transform(F.array_sort(F.collect_list(F.struct("share", mixed.alias("v")))), lambda x: x.v).alias("percentiles"))
+    return out.unionByName(picked)

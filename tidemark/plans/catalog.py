@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import expr
-from tidemark.operators import asof, changes, evidence, latest, quality, sessions
-from tidemark.sources import envelopes
+from tidemark.operators import asof, changes, distincts, evidence, latest, quality, sessions
+from tidemark.sources import envelopes, runs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -98,8 +98,10 @@ def a1_conditional_rollup(spark, sf_dir):
 
 @query("SELECT epoch_us(date_trunc('hour', ts)) AS hour_us, round(avg(value), 4) AS avg_value, round(quantile_cont(value, 0.5), 4) AS p50, round(quantile_cont(value, 0.95), 4) AS p95, round(quantile_cont(value, 0.99), 4) AS p99, count(*) AS n FROM events GROUP BY 1")
 def a9_latency_percentiles(spark, sf_dir):
-    p = lambda q: F.round(F.expr(f"percentile(value, {q})"), 4)
-    return events(spark, sf_dir).groupBy(hour().alias("h")).agg(F.round(F.avg("value"), 4).alias("avg_value"), p(0.5).alias("p50"), p(0.95).alias("p95"), p(0.99).alias("p99"), F.count("*").alias("n")).withColumn("hour_us", us("h")).drop("h")
+    e = events(spark, sf_dir).select(hour().alias("h"), "value")
+    at = quality.grouped_percentiles(e, ["h"], "value", [0.5, 0.95, 0.99])
+    p = [F.round(F.col("percentiles")[i], 4).alias(name) for i, name in enumerate(("p50", "p95", "p99"))]
+    return e.groupBy("h").agg(F.round(F.avg("value"), 4).alias("avg_value")).join(at, "h").select(us("h").alias("hour_us"), "avg_value", *p, "n")
 
 
 _BENCH = "SELECT p_brand AS brand, CAST(l_shipdate AS DATE) AS d, CAST(sum(CAST(l_extendedprice AS DECIMAL(18, 2))) AS DOUBLE) / CAST(sum(CAST(l_quantity AS DECIMAL(18, 2))) AS DOUBLE) AS v, count(*) AS n FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2, l_returnflag, l_linestatus"
@@ -113,7 +115,8 @@ def exact(c: str) -> Column:
 def _benchmark(spark, sf_dir):
     rows = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "part").select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
     grain = rows.groupBy(F.col("p_brand").alias("brand"), F.to_date("l_shipdate").alias("d"), "l_returnflag", "l_linestatus").agg((exact("l_extendedprice") / exact("l_quantity")).alias("v"))
-    return grain.groupBy("brand", "d").agg(*(F.expr(f"percentile(v, {q / 100})").alias(f"p{q}") for q in (10, 50, 90)), F.count("v").alias("n"))
+    at = quality.grouped_percentiles(grain, ["brand", "d"], "v", [0.1, 0.5, 0.9])
+    return at.select("brand", "d", *(F.col("percentiles")[i].alias(f"p{q}") for i, q in enumerate((10, 50, 90))), "n")
 
 
 # The exact percentile of sorted values, in the same steps as Spark's.
@@ -152,11 +155,6 @@ def d13_sla_score(spark, sf_dir):
     return f.select("o_custkey", F.round(expr.sla_score(F.col("req"), F.least(F.col("req") / 3, F.lit(1.0)), rate(F.col("ok")), 1.0 - rate(F.col("sw")), rate(F.col("ok")), half, half, half), 6).alias("sla_score"))
 
 
-@query("SELECT o_orderpriority, epoch_us(date_trunc('month', o_orderdate)) AS month_us, count(*) AS n, round(sum(o_totalprice), 2) AS amount, max_by(o_orderstatus, (o_orderdate, o_orderkey)) AS latest_status, count(DISTINCT o_custkey) AS customers FROM orders GROUP BY 1, 2")
-def a19_payments_rollup(spark, sf_dir):
-    return orders(spark, sf_dir).groupBy("o_orderpriority", F.date_trunc("month", "o_orderdate").alias("m")).agg(F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("amount"), F.max(F.struct("o_orderdate", "o_orderkey", "o_orderstatus"))["o_orderstatus"].alias("latest_status"), F.count_distinct("o_custkey").alias("customers")).withColumn("month_us", us("m")).drop("m")
-
-
 @query("SELECT n_name, CASE WHEN cnt > 1 THEN n_name || ' #' || CAST(c_custkey AS VARCHAR) ELSE n_name END AS label, c_custkey FROM (SELECT c_custkey, lower(n_name) l, n_name, count(*) OVER (PARTITION BY lower(n_name)) cnt FROM customer JOIN nation ON c_nationkey = n_nationkey)")
 def a23_identity_labels(spark, sf_dir):
     named = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
@@ -359,12 +357,6 @@ def i1_event_type_profile(spark, sf_dir):
     return events(spark, sf_dir).groupBy("event_type").agg(F.count("*").alias("n"), us(F.min("ts")).alias("first_us"), us(F.max("ts")).alias("last_us"), F.count_if(k.isNull()).alias("parse_errors"), F.sum(k.cast("long")).alias("k_sum"))
 
 
-@query("SELECT event_type, 'k' AS field, json_type(props, '$.k') AS kind, count(*) AS n FROM events WHERE json_type(props, '$.k') IS NOT NULL GROUP BY 1, 2, 3")
-def i2_field_inventory(spark, sf_dir):
-    kinds = {"BIGINT": "UBIGINT"}  # names of a type in the two systems
-    return quality.field_inventory(table(spark, sf_dir, "events"), ["event_type"], "props").replace(kinds, subset=["kind"])
-
-
 # The event pipeline on envelopes derived from ``events`` -----------------------------------------------------------------
 
 
@@ -465,3 +457,33 @@ def w9_latest_price(spark, sf_dir):
     rows = table(spark, sf_dir, "lineitem")
     order = [F.desc(c) for c in ("l_shipdate", "l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity")]
     return latest.latest_rows(rows, ["l_partkey", "l_suppkey"], order).select("l_partkey", "l_suppkey", (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"))
+
+
+# Fields of the events' payloads: what each family has, from its derivation.
+_FIELDS = f"""{_RAW}, a AS (SELECT *, CASE WHEN k < 4 THEN 'stream_trace' WHEN k < 7 THEN 'ai_stream_status' WHEN k = 7 THEN 'create_new_payment' ELSE 'ai_batch_request' END AS family FROM r WHERE k < 9 AND NOT (k < 4 AND t > 9)),
+f AS (SELECT family, unnest(list_concat([('stream_id', 'str'), ('request_id', 'str'), ('pipeline', 'str'), ('client_source', 'str'), ('state', 'str'), ('inference_status', 'object'), ('inference_status.fps', 'float'), ('orchestrator_info', 'object'), ('orchestrator_info.address', 'str'), ('orchestrator_info.url', 'str'), ('faceValue', 'str'), ('manifestID', 'str'), ('success', 'bool'), ('duration_ms', 'int')], CASE WHEN k < 4 OR k = 8 THEN [('type', 'str')] ELSE [] END, CASE WHEN event_type = 'error' THEN [('inference_status.last_error', 'str')] ELSE [] END)) AS x FROM a)"""
+
+
+@query(f"{_FIELDS} SELECT family AS event_type, x[1] AS path, x[2] AS kind, count(*) AS n FROM f GROUP BY 1, 2, 3")
+def i2_field_inventory(spark, sf_dir):
+    return quality.field_inventory(accepted(spark, sf_dir), ["event_type"], "data")
+
+
+@query("SELECT event_type, epoch_us(date_trunc('day', ts)) AS day_us, count(DISTINCT user_id) AS n_users FROM events GROUP BY 1, 2")
+def a4_daily_users_from_hours(spark, sf_dir):
+    """Distinct users of a day out of hourly bitmaps."""
+    hourly = distincts.bitmaps(events(spark, sf_dir).withColumn("h", hour()), ["event_type", "h"], "user_id")
+    days = distincts.counted(hourly.withColumn("d", F.date_trunc("day", "h")), ["event_type", "d"], "n_users")
+    return days.select("event_type", us("d").alias("day_us"), "n_users")
+
+
+@query("SELECT o_orderpriority, EXTRACT(year FROM o_orderdate) AS y, count(DISTINCT o_custkey % 5003) AS n_senders FROM orders GROUP BY 1, 2")
+def a19_yearly_senders_from_months(spark, sf_dir):
+    """Distinct senders of a year, texts that a dictionary numbers, out of monthly bitmaps."""
+    o = orders(spark, sf_dir).select("o_orderpriority", F.date_trunc("month", "o_orderdate").alias("m"), F.concat(F.lit("sender-"), F.col("o_custkey") % 5003).alias("sender"))
+    path = runs.scratch(spark, "dictionary")
+    distincts.dictionary(o, "sender").write.parquet(path)
+    named = o.join(spark.read.parquet(path).withColumnRenamed("value", "sender"), "sender")
+    monthly = distincts.bitmaps(named, ["o_orderpriority", "m"], "id")
+    years = distincts.counted(monthly.withColumn("y", F.year("m").cast("long")), ["o_orderpriority", "y"], "n_senders")
+    return years.select("o_orderpriority", "y", "n_senders")

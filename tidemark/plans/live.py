@@ -69,11 +69,6 @@ def d2_startup_outcome(spark, sf_dir):
     return facts(spark, sf_dir).select("session_key", "startup_outcome", "excusal_reason", "swap_count", "zero_output")
 
 
-@query(f"{_E} SELECT session_key, CASE WHEN playable IS NOT NULL THEN 'selected' WHEN no_orch > 0 THEN 'no_orch' ELSE 'unknown' END AS outcome FROM s")
-def d9_selection_outcome(spark, sf_dir):
-    return proof(spark, sf_dir).select("session_key", expr.selection_outcome(F.col("playable_at").isNotNull(), F.col("no_provider_count") > 0).alias("outcome"))
-
-
 @query(f"{_E} SELECT session_key, max_by(gateway, (ms, eid)) FILTER (WHERE gateway <> '') AS gateway FROM e GROUP BY 1")
 def a25_gateway_of_session(spark, sf_dir):
     return evidence.gateway_of_session(rows(spark, sf_dir)).select("session_key", "gateway")
@@ -104,6 +99,38 @@ def a28_attribution_latest(spark, sf_dir):
     return evidence.attribution_latest(decisions(spark, sf_dir)).select("session_key", "decision_id", "is_attributed", "is_ambiguous", "is_stale", "is_hardware_less", "has_gpu")
 
 
+@query(f"{_E}, {_D_US} SELECT session_key, CASE WHEN session_key IN (SELECT session_key FROM d) THEN 'selected' WHEN no_orch > 0 THEN 'no_orch' ELSE 'unknown' END AS outcome FROM s")
+def d9_selection_outcome(spark, sf_dir):
+    return _outcomes(spark, sf_dir).select("session_key", "outcome")
+
+
+def _outcomes(spark, sf_dir) -> DataFrame:
+    """Sessions with what their latest decision says: selected if there is one."""
+    own, last = proof(spark, sf_dir), evidence.latest_decision(decisions(spark, sf_dir), ["decision_id", "status", "model"])
+    both = own.join(last, evidence.KEYS, "left")
+    return both.withColumn("outcome", expr.selection_outcome(F.col("decision_id").isNotNull(), F.col("no_provider_count") > 0))
+
+
+_BREAKDOWN = f"""{_E}, {_D_US}, l AS (SELECT session_key, max_by(status, (sel, dec, decision_id)) AS status, max_by(model, (sel, dec, decision_id)) AS model FROM d GROUP BY 1),
+a AS (SELECT 'r' || strftime(ts, '%Y%m%d') AS request_id, max_by('gw' || (event_id % 3), (event_id // 10) % 2 * 1e18 + epoch_us(ts)) AS gateway FROM r WHERE k = 8 GROUP BY 1), al AS (SELECT 'r' || session_key[-8:] AS request_id, max_by(status, (dec, decision_id)) AS status, max_by(model, (dec, decision_id)) AS model FROM d GROUP BY 1),
+j AS (SELECT 'session' AS job_type, gateway, model, CASE WHEN status IS NOT NULL THEN 'selected' WHEN no_orch > 0 THEN 'no_orch' ELSE 'unknown' END AS outcome, coalesce(status, 'unresolved') AS status, swaps > 0 AS swapped FROM s LEFT JOIN l USING (session_key)
+UNION ALL SELECT 'ai_batch', NULL, model, CASE WHEN status IS NOT NULL THEN 'selected' ELSE 'unknown' END, coalesce(status, 'unresolved'), FALSE FROM a LEFT JOIN al USING (request_id))
+SELECT CASE WHEN level = '' THEN 'overall' ELSE level END AS level, * EXCLUDE (level) FROM (SELECT concat_ws('+', CASE WHEN GROUPING(job_type) = 0 THEN 'job_type' END, CASE WHEN GROUPING(gateway) = 0 THEN 'gateway' END, CASE WHEN GROUPING(model) = 0 THEN 'model' END) AS level, job_type, gateway, model, count(*) AS jobs, count(*) FILTER (WHERE outcome = 'selected') AS selected_jobs, count(*) FILTER (WHERE outcome = 'no_orch') AS no_orch_jobs, count(*) FILTER (WHERE outcome = 'unknown') AS unknown_jobs,
+count(*) FILTER (WHERE outcome = 'selected' AND status = 'resolved') AS resolved_jobs, count(*) FILTER (WHERE outcome = 'selected' AND status = 'hardware_less') AS hardware_less_jobs, count(*) FILTER (WHERE outcome = 'selected' AND status = 'stale') AS stale_jobs, count(*) FILTER (WHERE outcome = 'selected' AND status = 'ambiguous') AS ambiguous_jobs, count(*) FILTER (WHERE outcome = 'selected' AND status = 'unresolved') AS unresolved_jobs, count(*) FILTER (WHERE swapped) AS swapped_jobs
+FROM j GROUP BY GROUPING SETS ((), (job_type), (gateway), (model), (job_type, model)))"""
+
+
+@query(_BREAKDOWN)
+def c12_attribution_breakdown(spark, sf_dir):
+    """Overall, by type of job, gateway and model, and by type and model, from one pass over sessions and AI jobs."""
+    kind = lambda name, rows, gateway, swapped: rows.select(F.lit(name).alias("job_type"), gateway.alias("gateway"), "model", "outcome", F.coalesce("status", F.lit("unresolved")).alias("status"), swapped.alias("swapped"))
+    d = decisions(spark, sf_dir).withColumn("request_id", F.concat(F.lit("r"), F.right("session_key", F.lit(8))))
+    last = latest.latest_values(d, ["request_id"], ["status", "model"], ["decided_at", "decision_id"])
+    ai = _ai_jobs(spark, sf_dir).select("request_id").join(last, "request_id", "left").withColumn("outcome", expr.selection_outcome(F.col("status").isNotNull(), F.lit(False)))
+    jobs = kind("session", _outcomes(spark, sf_dir), F.col("gateway"), F.col("swap_count") > 0).unionByName(kind("ai_batch", ai, F.lit(None).cast("string"), F.lit(False)))
+    return evidence.attribution_breakdown(jobs, ["job_type", "gateway", "model"], [[], ["job_type"], ["gateway"], ["model"], ["job_type", "model"]])
+
+
 _SLA = f"""{_E}, {_D_US}, a AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY session_key ORDER BY dec DESC, decision_id DESC) AS rn FROM d) WHERE rn = 1),
 h AS (SELECT session_key, ms // 3600000 * 3600000 AS hour, count(*) AS samples, count(*) FILTER (WHERE value > 0) AS pos, count(*) FILTER (WHERE event_type <> 'error') AS running, sum(CAST(value AS DECIMAL(18, 2))) AS fps FROM e WHERE status GROUP BY 1, 2),
 idle AS (SELECT *, pos = 0 AND running = 0 AND samples < 3 AS own, lag(pos = 0 AND running = 0 AND samples < 3) OVER (PARTITION BY session_key ORDER BY hour) AS prev FROM h),
@@ -260,11 +287,6 @@ def i3_stream_hours(spark, sf_dir):
     return hours.groupBy("session_key").agg(F.count_if(F.col("fps_positive_samples") > 0).alias("hours"))
 
 
-@query(f"{_RAW} SELECT 'm' || (user_id % 7) AS pipeline_hint, count(*) AS n FROM r WHERE k = 7 GROUP BY 1")
-def i5_payments_by_model(spark, sf_dir):
-    return envelopes.payments(accepted(spark, sf_dir)).groupBy("pipeline_hint").agg(F.count("*").alias("n"))
-
-
 @query(f"{_E} SELECT count(*) AS sessions, count(*) FILTER (WHERE outcome = 'success') AS succeeded, count(*) FILTER (WHERE excusal <> '') AS excused, CAST(sum(samples) AS BIGINT) AS samples, round(CAST(sum(fps) AS DOUBLE) / sum(samples), 6) AS avg_fps FROM x WHERE started IS NOT NULL")
 def q1_sessions_kpi(spark, sf_dir):
     f = facts(spark, sf_dir).where("started_at is not null")

@@ -177,12 +177,6 @@ def i4_provider_profile(spark, sf_dir):
     return supply.provider_profile(envelopes.capabilities(good), envelopes.discovery(good), streams, paid)
 
 
-@query("SELECT CAST((SELECT count(*) FROM lineitem WHERE l_shipdate > (SELECT max(l_shipdate) FROM lineitem) - INTERVAL 168 HOUR) AS BIGINT) AS current_n, CAST((SELECT count(*) FROM lineitem WHERE l_shipdate <= (SELECT max(l_shipdate) FROM lineitem) - INTERVAL 168 HOUR AND l_shipdate > (SELECT max(l_shipdate) FROM lineitem) - INTERVAL 336 HOUR) AS BIGINT) AS previous_n")
-def q30_demand_change_7d(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem").select(F.col("l_shipdate").cast("timestamp").alias("at"), F.col("l_suppkey").alias("user_id"))
-    return supply.window_delta(lines, "at", F.lit(lines.agg(F.max("at")).first()[0]), 168).select("current_n", "previous_n")
-
-
 @query(f"{_N} SELECT row_id FROM (SELECT *, row_number() OVER (PARTITION BY addr ORDER BY ms DESC) AS rn FROM n) WHERE rn = 1 AND s % 3 <> 0")
 def q15_current_snapshots(spark, sf_dir):
     own = latest.latest_rows(snapshots(spark, sf_dir), ["orch_address"], [F.desc("event_ts"), F.desc("row_id")])

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import expr
-from tidemark.operators import changes, evidence, latest, sessions, supply
+from tidemark.operators import changes, evidence, latest, quality, sessions, supply
 from tidemark.plans.catalog import _FACTS, _RAW, accepted, events, hour, orders, query, raw, table, us
 from tidemark.sources import envelopes
 
@@ -32,9 +32,10 @@ def recent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"{_OFFERS} SELECT pipeline, epoch_us(date_trunc('month', seen)) AS month_us, count(*) AS n, CAST(sum(CAST(price * capacity AS DECIMAL(18, 4))) AS DOUBLE) / sum(capacity) AS average, round(quantile_cont(price, 0.95), 8) AS p95, count(*) FILTER (WHERE kind = 'R') / count(*) AS return_rate FROM o GROUP BY 1, 2")
 def a14_gpu_metrics(spark, sf_dir):
-    month = F.date_trunc("month", "seen").alias("m")
-    rows = offers(spark, sf_dir).groupBy("pipeline", month).agg(F.count("*").alias("n"), expr.ratio(F.sum((F.col("price") * F.col("capacity")).cast("decimal(18,4)")), F.sum("capacity")).alias("average"), F.round(F.expr("percentile(price, 0.95)"), 8).alias("p95"), (F.count_if(F.col("kind") == "R") / F.count("*")).alias("return_rate"))
-    return rows.withColumn("month_us", us("m")).drop("m")
+    rows = offers(spark, sf_dir).withColumn("m", F.date_trunc("month", "seen"))
+    own = rows.groupBy("pipeline", "m").agg(expr.ratio(F.sum((F.col("price") * F.col("capacity")).cast("decimal(18,4)")), F.sum("capacity")).alias("average"), (F.count_if(F.col("kind") == "R") / F.count("*")).alias("return_rate"))
+    at = quality.grouped_percentiles(rows, ["pipeline", "m"], "price", [0.95]).select("pipeline", "m", "n", F.round(F.col("percentiles")[0], 8).alias("p95"))
+    return own.join(at, ["pipeline", "m"]).select("pipeline", us("m").alias("month_us"), "n", "average", "p95", "return_rate")
 
 
 @query()
@@ -189,12 +190,6 @@ def a16_demand_reaggregate(spark, sf_dir):
     return days.select(F.unix_millis("d").alias("day_ms"), "sessions", "success_sessions", "status_samples", F.round(expr.ratio(F.col("success_sessions"), F.col("requested_sessions")), 6).alias("success_rate"), F.round(expr.ratio(F.col("output_fps_sum"), F.col("status_samples")), 4).alias("avg_fps"))
 
 
-@query("SELECT o_orderpriority AS capability, epoch_us(date_trunc('month', o_orderdate)) AS month_us, count(*) AS total, count(*) FILTER (WHERE o_orderstatus = 'F') AS success, count(*) FILTER (WHERE o_orderstatus <> 'F') AS failure FROM orders GROUP BY 1, 2")
-def a18_auth_counts(spark, sf_dir):
-    ok = F.col("o_orderstatus") == "F"
-    return orders(spark, sf_dir).groupBy(F.col("o_orderpriority").alias("capability"), us(F.date_trunc("month", "o_orderdate")).alias("month_us")).agg(F.count("*").alias("total"), F.count_if(ok).alias("success"), F.count_if(~ok).alias("failure"))
-
-
 @query("WITH x AS (SELECT user_id, max_by(value, (ts, event_id)) v, count(DISTINCT event_type) n FROM events GROUP BY 1) SELECT user_id, CASE WHEN v >= 50 THEN 'resolved' WHEN n > 1 THEN 'ambiguous' ELSE 'unresolved' END AS status FROM x")
 def a27_decision_with_ambiguity(spark, sf_dir):
     x = events(spark, sf_dir).groupBy("user_id").agg(F.max(F.struct("ts", "event_id", "value"))["value"].alias("v"), F.count_distinct("event_type").alias("n"))
@@ -308,11 +303,3 @@ def c11_freshness_lag(spark, sf_dir):
     e = events(spark, sf_dir)
     now = e.agg(F.max("ts").alias("z"))
     return e.groupBy("event_type").agg(F.max("ts").alias("t")).crossJoin(F.broadcast(now)).select("event_type", (us("z") - us("t")).alias("lag_us"))
-
-
-@query(f"{_RAW} SELECT event_type, CASE WHEN k = 9 THEN 'other' ELSE 'known' END AS family, count(*) AS n, round(count(*) / sum(count(*)) OVER (PARTITION BY event_type), 6) AS share FROM r GROUP BY 1, 2")
-def c12_breakdown(spark, sf_dir):
-    """Counts by two dimensions, with the share in the first; the shares join counts, not rows."""
-    family = F.when(F.col("event_id") % 10 == 9, "other").otherwise("known").alias("family")
-    n = table(spark, sf_dir, "events").groupBy("event_type", family).agg(F.count("*").alias("n"))
-    return n.join(n.groupBy("event_type").agg(F.sum("n").alias("_all")), "event_type").select("event_type", "family", "n", F.round(F.col("n") / F.col("_all"), 6).alias("share"))
