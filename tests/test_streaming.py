@@ -119,7 +119,7 @@ def test_late_snapshots_repair_decisions(spark, at, tmp_path):
 
 
 def test_archive_check(spark, put, at):
-    assert envelopes.check_archive(spark, at("in"), rows=7) == 1
+    assert envelopes.check_archive(spark, at("in"), rows=7) == 1 == envelopes.check_archive(spark, at("in"), rows=8, off=0.2)
     with pytest.raises(ValueError):
         envelopes.check_archive(spark, at("in"), rows=6)
     with pytest.raises(ValueError):
@@ -165,3 +165,43 @@ def test_ledger_rebuilds_a_slice_once_a_burst(spark, at, tmp_path):
         assert len(built) == 3 and {h for _, h in built[2]} >= {T0.isoformat(), (T0 - timedelta(hours=1)).isoformat()}
     finally:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
+
+
+def test_duplicates_a_week_late_are_dropped(spark, at):
+    """The table itself is asked, for the days of the batch alone; a batch that is run again keeps its rows."""
+    kind = "org string, event_id string, event_ts timestamp, n int"
+    day = lambda d: T0 + timedelta(days=d)
+
+    def feed(*rows):
+        spark.createDataFrame([("north", i, day(d), n) for i, d, n in rows], kind).coalesce(1).write.mode("append").parquet(at("rows"))
+        done(flows.dedup_into(spark.readStream.schema(kind).parquet(at("rows")), at("once"), at("once-c")))
+        return sorted((r.event_id, r.n) for r in spark.read.parquet(at("once")).collect())
+
+    assert feed(("a", 0, 1), ("b", 1, 1), ("b", 1, 1), (" ", 1, 1)) == [("a", 1), ("b", 1)]
+    assert feed(("c", 7, 2), ("a", 0, 2), ("d", 0, 2)) == [("a", 1), ("b", 1), ("c", 2), ("d", 2)]
+    plan = flows.stored_days(spark, at("once"), [day(0).date()], 9)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "day#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert flows.stored_days(spark, at("once"), [day(0).date()], 9).inputFiles()
+    assert {r.event_id for r in flows.stored_days(spark, at("once"), [day(0).date()], 1).collect()} == {"a"}
+
+
+def test_broken_records_are_bounded(spark, at):
+    """A hundred broken records of a topic pass and are kept; with one more the batch fails before it writes anything."""
+    kind = "key binary, value binary, topic string, partition int, offset long"
+    good = json.dumps(envelope("a", "stream_trace", 0)).encode()
+    bad = [b"{broken", b"[]", b'{"id": "x"}', b"", None]
+
+    def feed(n, name):
+        rows = [(None, bad[i % 5], "t1", 0, i) for i in range(n)] + [(None, good, "t1", 0, 1000), (None, good, "t2", 0, 1), (None, b"{", "t2", 1, 2)]
+        spark.createDataFrame(rows, kind).coalesce(1).write.parquet(at(f"rec-{name}"))
+        q = flows.read_bounded(spark.readStream.schema(kind).parquet(at(f"rec-{name}")), at(f"dead-{name}"), at(f"c-{name}"), at(f"good-{name}"))
+        q.awaitTermination(120)
+
+    feed(100, "pass")
+    assert spark.read.parquet(at("good-pass")).count() == 2
+    dead = spark.read.parquet(at("dead-pass")).collect()
+    assert len(dead) == 101 and {r.value for r in dead if r.source_topic == "t2"} == {"{"}
+    with pytest.raises(Exception, match="101 broken records of t1"):
+        feed(101, "fail")
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        spark.read.parquet(at("good-fail")).count()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -49,6 +51,22 @@ def tail_artifacts(df: DataFrame, keys: list[str], hour: str, few: int = 3) -> D
     return df.withColumn("is_tail_artifact", F.coalesce(own & prev & here, F.lit(False)).cast("int"))
 
 
+def runs_in_order(df: DataFrame, keys: list[str], stamp: str, ident: str, value: str, *, stretch_s: int = 3_600) -> DataFrame:
+    """Rows with a non-blank ``value`` that differs from the one before it in its key, in the order of stamp and ident: the first row of each run.
+
+    Rows of a key meet a stretch of time at a time, and each stretch hands its last value to the next one: as in as-of
+    matches, no task holds all rows of a key. Null keys are a key.
+    """
+    rows = df.where(F.coalesce(F.col(value), F.lit("")) != "").withColumn("_b", F.floor(F.unix_micros(stamp) / F.lit(stretch_s * 1_000_000)).cast("long"))
+    w = Window.partitionBy(*keys, "_b").orderBy(stamp, ident)
+    last = rows.groupBy(*keys, "_b").agg(F.max(F.struct(stamp, ident, value))[value].alias("_v"))
+    before = last.withColumn("_carried", F.lag("_v").over(Window.partitionBy(*keys).orderBy("_b"))).drop("_v")
+    own, other = rows.withColumn("_lag", F.lag(value).over(w)).alias("o"), before.alias("c")
+    on = reduce(lambda a, b: a & b, (F.col(f"o.{k}").eqNullSafe(F.col(f"c.{k}")) for k in [*keys, "_b"]))
+    out = own.join(other, on, "left").select("o.*", "c._carried").withColumn("_p", F.coalesce("_lag", "_carried"))
+    return out.where(F.col("_p").isNull() | (F.col("_p") != F.col(value))).drop("_b", "_lag", "_carried", "_p")
+
+
 def touched_by_snapshots(decisions: DataFrame, snapshots: DataFrame, keys: list[str], skew_s: int = 30) -> DataFrame:
     """Decisions that snapshots which came late may change: of the same identity, at the earliest such snapshot or later (or within the skew before it)."""
     first = snapshots.groupBy(*keys).agg(F.min("event_ts").alias("_first"))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import expr
-from tidemark.operators import asof
+from tidemark.operators import asof, changes
 
 ORDER = ["seen", "l_orderkey", "l_linenumber", "price"]
 
@@ -90,11 +90,39 @@ def changed_rows(new: DataFrame, old: DataFrame, keys: list[str], fields: list[s
     return new.withColumn("_new", digest).join(before, keys, "left").where(~F.col("_new").eqNullSafe(F.col("_old"))).drop("_new", "_old")
 
 
-def runs(df: DataFrame, keys: list[str], order: list[str], value: str) -> DataFrame:
-    """Number of runs of equal values in each ordered history, and of its rows."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    step = (~F.lag(value).over(w).eqNullSafe(F.col(value))).cast("long")
-    return df.withColumn("_s", step).groupBy(*keys).agg(F.sum("_s").alias("runs"), F.count("*").alias("n_rows"))
+def stream_profile(rows: DataFrame, payments: DataFrame, metrics: DataFrame) -> DataFrame:
+    """A row for each stream (stream_id, request_id) of sessions' rows, payments and ingest metrics, nulls and blanks as ''.
+
+    Providers and states are listed in the order of their runs, repeated where one comes back; swaps are changes of the
+    provider. Besides: mean frame rate, greatest restart count, latest error, lost video packets, payments, first trace,
+    last row, duration, and whether the stream failed or is active (was never seen offline).
+    """
+    keys = ["stream_id", "request_id"]
+    named = lambda d: d.withColumns({k: F.coalesce(k, F.lit("")) for k in keys})
+    own = named(rows)
+    trace, status = F.col("family") == "stream_trace", F.col("family") == "ai_stream_status"
+
+    def listed_runs(value: str, where: Column, name: str) -> DataFrame:
+        first = changes.runs_in_order(own.where(where), keys, "event_ts", "event_id", value)
+        at = F.array_sort(F.collect_list(F.struct("event_ts", "event_id", value)))
+        return first.groupBy(*keys).agg(F.transform(at, lambda x: x[value]).alias(name))
+
+    fps = F.when(status, F.col("output_fps").cast("decimal(18,6)"))
+    out = own.groupBy(*keys).agg(
+        F.min(F.when(trace, F.col("event_ts"))).alias("first_ts"), F.max("event_ts").alias("last_row"), F.count_if(status).alias("fps_samples"), F.sum(fps).cast("double").alias("_fps"), F.coalesce(F.max(F.when(status, F.col("restart_count"))), F.lit(0)).alias("restart_count"),
+        F.max(F.when(status & (F.col("last_error") != ""), F.struct("event_ts", "event_id", "last_error")))["last_error"].alias("last_error"),
+    )
+    lost = named(metrics).groupBy(*keys).agg(F.coalesce(F.sum("video_packets_lost"), F.lit(0)).alias("video_packets_lost"), F.max("event_ts").alias("last_metric"))
+    paid = named(payments).groupBy(*keys).agg(F.count("*").alias("payments"), F.sum("face_value_wei").alias("paid_wei"))
+    for part in (listed_runs("orch_address", F.lit(True), "providers"), listed_runs("state", status, "states"), lost, paid):
+        out = out.join(part, keys, "full")
+    empty = F.array().cast("array<string>")
+    out = out.withColumns({"providers": F.coalesce("providers", empty), "states": F.coalesce("states", empty), "last_ts": F.greatest("last_row", "last_metric"), "avg_fps": expr.ratio(F.col("_fps"), F.col("fps_samples"))})
+    out = out.fillna(0, ["fps_samples", "restart_count", "video_packets_lost", "payments"])
+    return out.select(
+        *keys, "providers", F.greatest(F.size("providers") - 1, F.lit(0)).alias("swaps"), "states", "fps_samples", "avg_fps", "restart_count", "last_error", "video_packets_lost", "payments", F.coalesce("paid_wei", F.lit(0).cast("decimal(20,0)")).alias("paid_wei"), "first_ts", "last_ts",
+        ((F.unix_millis("last_ts") - F.unix_millis("first_ts")) / 1000.0).alias("duration_s"), ((F.col("restart_count") > 0) | F.col("last_error").isNotNull()).alias("had_failure"), (~F.array_contains("states", "OFFLINE")).alias("is_active"),
+    )
 
 
 def window_delta(df: DataFrame, stamp: str, now: Column, hours: int) -> DataFrame:

@@ -294,12 +294,6 @@ def q1_sessions_kpi(spark, sf_dir):
     return out.withColumn("avg_fps", F.round(expr.ratio(F.col("s"), F.col("samples")), 6)).drop("s")
 
 
-@query(f"{_E} SELECT supply, count(*) AS n FROM (SELECT session_key, count(DISTINCT url) AS supply FROM e GROUP BY 1) GROUP BY 1")
-def i3_endpoints_per_session(spark, sf_dir):
-    own = rows(spark, sf_dir).groupBy("session_key").agg(F.count_distinct("orch_url").alias("supply"))
-    return own.groupBy("supply").agg(F.count("*").alias("n"))
-
-
 @query("""WITH n AS (SELECT max(ts) AS now FROM events), e AS (SELECT *, ts + to_minutes(CAST(event_id % 20 AS BIGINT)) AS ing FROM events), l AS (SELECT CASE WHEN CAST(ts AS DATE) = CAST(now AS DATE) THEN 'hour' ELSE 'day' END AS mode, CASE WHEN CAST(ts AS DATE) = CAST(now AS DATE) THEN date_trunc('hour', ts) ELSE date_trunc('day', ts) END AS a, ing, now FROM e, n WHERE event_id % 20 > 10)
 SELECT mode, epoch_us(a) AS slice_us, count(*) AS late_rows, max(ing) <= any_value(now) - INTERVAL 2 MINUTE AS ready FROM l GROUP BY 1, 2""")
 def r6_dirty_slices(spark, sf_dir):

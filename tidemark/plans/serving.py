@@ -282,9 +282,21 @@ def i5_payment_profile(spark, sf_dir):
     return envelopes.payments(accepted(spark, sf_dir)).groupBy(F.col("pipeline_hint").alias("pipeline")).agg(F.count("*").alias("n"), F.sum("face_value_wei").cast("string").alias("total_wei"))
 
 
-@query("WITH x AS (SELECT user_id, CASE WHEN lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) IS NOT DISTINCT FROM event_type THEN 0 ELSE 1 END s FROM events) SELECT user_id, CAST(sum(s) AS BIGINT) AS runs, count(*) AS n_rows FROM x GROUP BY 1")
+_STREAMS = f"""{_RAW}, e AS (SELECT 's' || user_id AS stream_id, 'r' || strftime(ts, '%Y%m%d') AS request_id, ms, CAST(event_id AS VARCHAR) AS eid, k < 4 AS trace, k BETWEEN 4 AND 6 AS status, CASE WHEN event_id % 3 = 0 THEN '0x' || lpad(lower(to_hex(event_id % 17)), 40, '0') ELSE '' END AS addr, CASE WHEN event_type = 'error' THEN 'OFFLINE' ELSE 'ONLINE' END AS state, CASE WHEN event_type = 'error' AND event_id % 2 = 0 THEN 'ICE connection state failed' WHEN event_type = 'error' THEN 'decoder broke' END AS err, value FROM r WHERE (k < 4 AND t < 10) OR k BETWEEN 4 AND 6),
+p AS (SELECT *, lag(addr) OVER (PARTITION BY stream_id, request_id ORDER BY ms, eid) AS b FROM e WHERE addr <> ''), pr AS (SELECT stream_id, request_id, string_agg(addr, ',' ORDER BY ms, eid) AS providers, count(*) - 1 AS swaps FROM p WHERE b IS DISTINCT FROM addr GROUP BY 1, 2),
+st AS (SELECT *, lag(state) OVER (PARTITION BY stream_id, request_id ORDER BY ms, eid) AS b FROM e WHERE status), sr AS (SELECT stream_id, request_id, string_agg(state, ',' ORDER BY ms, eid) AS states FROM st WHERE b IS DISTINCT FROM state GROUP BY 1, 2),
+a AS (SELECT stream_id, request_id, min(ms) FILTER (WHERE trace) AS f, max(ms) AS l, count(*) FILTER (WHERE status) AS n, CAST(sum(CAST(value AS DECIMAL(18, 6))) FILTER (WHERE status) AS DOUBLE) AS fps, max_by(err, (ms, eid)) FILTER (WHERE status AND err IS NOT NULL) AS err FROM e GROUP BY 1, 2),
+m AS (SELECT 's' || o_custkey AS stream_id, 'r' || (o_orderkey // 16) AS request_id, sum(o_custkey % 5) AS lost, max(epoch_ms(o_orderdate)) AS l FROM orders WHERE o_orderkey % 8 = 1 GROUP BY 1, 2), w AS (SELECT 's' || user_id AS stream_id, 'r' || strftime(ts, '%Y%m%d') AS request_id, count(*) AS c, sum(CAST(floor(value * 100) AS BIGINT)) AS wei FROM r WHERE k = 7 GROUP BY 1, 2), keys AS (SELECT stream_id, request_id FROM a UNION SELECT stream_id, request_id FROM m UNION SELECT stream_id, request_id FROM w)"""
+
+
+@query(f"{_STREAMS} SELECT stream_id, request_id, coalesce(providers, '') AS providers, coalesce(swaps, 0) AS swaps, coalesce(states, '') AS states, coalesce(n, 0) AS fps_samples, round(fps / nullif(n, 0), 6) AS avg_fps, err AS last_error, CAST(coalesce(lost, 0) AS BIGINT) AS video_packets_lost, coalesce(c, 0) AS payments, CAST(coalesce(wei, 0) AS BIGINT) AS paid_wei, (greatest(a.l, m.l) - f) / 1000.0::DOUBLE AS duration_s, err IS NOT NULL AS had_failure, coalesce(states, '') NOT LIKE '%OFFLINE%' AS is_active FROM keys LEFT JOIN a USING (stream_id, request_id) LEFT JOIN pr USING (stream_id, request_id) LEFT JOIN sr USING (stream_id, request_id) LEFT JOIN m USING (stream_id, request_id) LEFT JOIN w USING (stream_id, request_id)")
 def i3_stream_profile(spark, sf_dir):
-    return supply.runs(events(spark, sf_dir), ["user_id"], ["ts", "event_id"], "event_type")
+    """Sessions and payments derived from ``events``, ingest metrics from ``orders``."""
+    good = accepted(spark, sf_dir)
+    paid = envelopes.payments(good, stream=True)
+    more = envelopes.route(envelopes.with_raw_columns(envelopes.from_orders(orders(spark, sf_dir)), {"network_events": "north"}))[0]
+    out = supply.stream_profile(envelopes.session_rows(good), paid, envelopes.ingest_metrics(more))
+    return out.select("stream_id", "request_id", F.array_join("providers", ",").alias("providers"), F.col("swaps").cast("long"), F.array_join("states", ",").alias("states"), "fps_samples", F.round("avg_fps", 6).alias("avg_fps"), "last_error", "video_packets_lost", "payments", F.col("paid_wei").cast("long"), "duration_s", "had_failure", "is_active")
 
 
 @query("SELECT 'orders' AS name, count(*) AS n_rows, count(o_custkey) AS with_key FROM orders UNION ALL SELECT 'lineitem', count(*), count(l_orderkey) FROM lineitem UNION ALL SELECT 'events', count(*), count(user_id) FROM events")

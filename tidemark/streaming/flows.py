@@ -20,6 +20,56 @@ def dedup(raw: DataFrame, lateness: str = "1 hour") -> DataFrame:
     return raw.withWatermark("event_ts", lateness).dropDuplicatesWithinWatermark(["org", "event_id"])
 
 
+def dedup_into(raw: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
+    """Each (org, event_id) once in a table by day, however late it comes again: of a batch one row, and only what the table lacks.
+
+    A batch reads the table's partitions of its own days alone. What it writes lies under its number, which it doesn't
+    read: run again after a failure, it comes to the same rows and replaces them. An event keeps its time, so that it
+    comes again on the same day. Rows without id or time are left out.
+    """
+
+    def write(batch: DataFrame, n: int) -> None:
+        rows = batch.where("org is not null and coalesce(trim(event_id), '') <> '' and event_ts is not null").withColumn("day", F.to_date("event_ts"))
+        rows = rows.dropDuplicates(["org", "event_id"])
+        days = [r.day for r in rows.select("day").distinct().collect()]  # a row for each day of the batch
+        if (known := stored_days(batch.sparkSession, table, days, n)) is not None:
+            rows = rows.join(known, ["day", "org", "event_id"], "left_anti")
+        rows.write.mode("overwrite").partitionBy("day").parquet(f"{table}/batch={n}")
+
+    return raw.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def stored_days(spark: SparkSession, table: str, days: list, before: int) -> DataFrame | None:
+    """(day, org, event_id) that batches other than ``before`` have stored for these days; None if there is no table yet."""
+    files = spark._jvm.org.apache.hadoop.fs
+    top = files.Path(f"{table}/batch=*/day=*")
+    if not top.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(top):
+        return None
+    kept = spark.read.option("basePath", table).parquet(table)
+    return kept.where((F.col("batch") != before) & F.col("day").isin(days)).select("day", "org", "event_id")
+
+
+def read_bounded(records: DataFrame, dead: str, checkpoint: str, table: str, most: int = 100) -> StreamingQuery:
+    """Kafka records (key, value, topic, partition, offset) as envelopes in ``table``; broken ones go to ``dead`` with their place.
+
+    A batch with more than ``most`` broken records of one topic fails before anything of it is written, and is read again
+    when the stream starts anew. Each batch has a folder of its own in both places.
+    """
+
+    def write(batch: DataFrame, n: int) -> None:
+        rows = envelopes.parsed_records(batch).persist()
+        try:
+            worst = rows.where("is_broken").groupBy("source_topic").count().orderBy(F.desc("count")).first()
+            if worst and worst["count"] > most:
+                raise ValueError(f"{worst['count']} broken records of {worst.source_topic} in batch {n}, {most} are allowed")
+            rows.where("is_broken").select("source_topic", "source_partition", "source_offset", "value").write.mode("overwrite").parquet(f"{dead}/batch={n}")
+            rows.where("not is_broken").drop("is_broken", "value").write.mode("overwrite").parquet(f"{table}/batch={n}")
+        finally:
+            rows.unpersist()
+
+    return records.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def route_to(raw: DataFrame, accepted: str, ignored: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """Both branches of each micro-batch; a batch that is run again overwrites its own folder, so that each row is kept once."""
 
