@@ -113,7 +113,11 @@ def test_late_snapshots_repair_decisions(spark, at, tmp_path):
     hist = lambda: spark.createDataFrame([("north", "https://u1", "uri", T0 - timedelta(minutes=5), None, "0xa", "https://u1", "live", "m", "g1", "h")], "org string, ident string, ident_type string, valid_from timestamp, valid_to timestamp, address string, uri string, pipeline string, model string, gpu_id string, interval_hash string")
     spark.createDataFrame([("north", "https://u1", T0 - timedelta(minutes=5))], kind).write.parquet(at("snaps"))
     stream = spark.readStream.schema(kind).parquet(at("snaps"))
-    done(flows.repair_dimensions(stream, lambda: sel, hist, at("decisions"), at("dim-c")))
+    asked = []
+    chosen = lambda day: asked.append(day) or sel
+    of = lambda idents: asked.append([tuple(r) for r in idents.collect()]) or hist().join(idents, ["org", "ident"], "left_semi")
+    done(flows.repair_dimensions(stream, chosen, of, at("decisions"), at("dim-c")))
+    assert asked == [T0.date(), [("north", "https://u1")]]
     got = flows.read_decisions(spark, at("decisions")).collect()
     assert [(r.selection_id, r.status, r.reason, r.address) for r in got] == [("x", "resolved", "matched", "0xa")]
 
@@ -205,3 +209,17 @@ def test_broken_records_are_bounded(spark, at):
         feed(101, "fail")
     with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
         spark.read.parquet(at("good-fail")).count()
+
+
+def test_families_normalize_as_streams(spark, put, at):
+    """Every typed family of a stream gives the rows that it gives of the same files at rest."""
+    many = [envelope(f"x{i}", kind, i, type=sub, pipeline="p", model_id="m", capability="c", success=True, manifestID="35_m", faceValue="7 WEI") for i, (kind, sub) in enumerate([("stream_trace", "orchestrator_swap"), ("ai_stream_status", ""), ("ai_stream_events", "error"), ("create_new_payment", ""), ("ai_batch_request", "ai_batch_request_completed"), ("ai_llm_request", "llm_request_completed"), ("job_gateway", "job_gateway_completed"), ("job_auth", "job_auth"), ("worker_lifecycle", "worker_registered"), ("job_payment", "payment_created"), ("stream_ingest_metrics", "")])]
+    snapshot = envelope("cap", "network_capabilities", 1) | {"data": '[{"address":"0xA","orch_uri":"https://a","hardware":[{"pipeline":"p","model_id":"m","gpu_info":[{"id":"g"}]}]}]'}
+    found = envelope("dis", "discovery_results", 1) | {"data": '[{"address":"0xA","url":"https://a","latency_ms":3}]'}
+    put("2.json", [*many, snapshot, found])
+    families = [envelopes.stream_trace, envelopes.stream_status, envelopes.stream_events, envelopes.payments, envelopes.ai_batch, envelopes.llm_requests, envelopes.byoc_jobs, envelopes.byoc_auth, envelopes.workers, envelopes.byoc_payments, envelopes.ingest_metrics, envelopes.capabilities, envelopes.discovery, lambda r: envelopes.gpus(envelopes.capabilities(r))]
+    for k, family in enumerate(families):
+        rest = family(envelopes.route(raw(spark, at("in"), stream=False))[0])
+        want = sorted(str(r) for r in rest.select(sorted(rest.columns)).collect())
+        moved = collected(spark, family(envelopes.route(raw(spark, at("in")))[0]), at, f"family{k}").drop("batch")
+        assert want and sorted(str(r) for r in moved.select(sorted(rest.columns)).collect()) == want

@@ -96,10 +96,6 @@ def attribution_status(resolved: Column, ambiguous: Column, stale: Column, hardw
     return F.when(resolved, "resolved").when(ambiguous, "ambiguous").when(hardware_less, "hardware_less").when(stale, "stale").otherwise("unresolved")
 
 
-def attribution_reason(resolved: Column, ambiguous: Column, stale: Column, hardware_less: Column) -> Column:
-    return F.when(resolved, "matched").when(ambiguous, "ambiguous_candidates").when(hardware_less, "matched_without_hardware").when(stale, "stale_candidate").otherwise("missing_candidate")
-
-
 def position_score(value: Column, good: Column, bad: Column, rows: Column, *, rising: bool, least_rows: int = 48) -> Column:
     """1 at ``good`` or better, 0 at ``bad`` or worse, in between in proportion; 0.5 without a value or with too few rows."""
     v, g, b = (value, good, bad) if rising else (-value, -good, -bad)

@@ -105,12 +105,14 @@ def session_hours(rows: DataFrame) -> DataFrame:
         first("gateway_receive_stream_request").alias("_start"), first("gateway_receive_few_processed_segments").alias("_play"), times("gateway_no_orchestrators_available").alias("_none"), times("orchestrator_swap").alias("_swaps"),
         F.count_if(status).alias("status_samples"), F.count_if(status & (F.col("output_fps") > 0)).alias("fps_positive_samples"), F.count_if(status & expr.running(F.col("state"))).alias("running_samples"),
         F.count_if(failed).alias("_errors"), F.count_if(failed & expr.contains_any(F.col("last_error"))).alias("_excusable"), F.coalesce(F.sum(F.when(status, F.col("output_fps").cast("decimal(18,6)"))), F.lit(0)).cast("decimal(28,6)").alias("output_fps_sum"), F.max("event_ts").alias("_last"),
+        F.max(F.when(F.col("gateway") != "", F.struct("event_ts", "event_id", "gateway"))).alias("_gateway"), F.max(F.when(F.col("pipeline_hint") != "", F.struct("event_ts", "event_id", "pipeline_hint"))).alias("_pipeline"),
     )
     w = Window.partitionBy(*KEYS)
     total = lambda c: F.sum(c).over(w)
     whole = hours.withColumns({
         "started_at": F.min("_start").over(w), "playable_at": F.min("_play").over(w), "last_seen": F.max("_last").over(w), "_none": total("_none"), "swap_count": total("_swaps"),
         "_errors": total("_errors"), "_excusable": total("_excusable"), "_samples": total("status_samples"), "_positive": total("fps_positive_samples"),
+        "gateway": F.max("_gateway").over(w)["gateway"], "pipeline_hint": F.max("_pipeline").over(w)["pipeline_hint"],
     })
     outcome = expr.startup_outcome(F.col("started_at").isNotNull().cast("int"), F.col("playable_at").isNotNull().cast("int"))
     facts = whole.withColumns({"startup_outcome": outcome, "zero_output": ((F.col("_samples") > 0) & (F.col("_positive") == 0)).cast("int")})
@@ -120,7 +122,43 @@ def session_hours(rows: DataFrame) -> DataFrame:
     before = F.last(F.when(F.col("status_samples") > 0, idle), ignorenulls=True).over(w.orderBy("hour").rowsBetween(Window.unboundedPreceding, -1))
     ends = (F.col("started_at") < F.col("hour")) & (F.col("last_seen") < F.col("hour") + F.expr("INTERVAL 1 HOUR"))
     facts = facts.withColumn("is_tail_artifact", F.coalesce((F.col("status_samples") > 0) & idle & before & ends, F.lit(False)).cast("int"))
-    return facts.select(*KEYS, "hour", "status_samples", "fps_positive_samples", "running_samples", "output_fps_sum", "started_at", "last_seen", "startup_outcome", "excusal_reason", "swap_count", "zero_output", "is_tail_artifact")
+    return facts.select(*KEYS, "hour", "status_samples", "fps_positive_samples", "running_samples", "output_fps_sum", "started_at", "last_seen", "startup_outcome", "excusal_reason", "swap_count", "zero_output", "is_tail_artifact", "gateway", "pipeline_hint", "_none")
+
+
+def demand_hourly(hours: DataFrame, attribution: DataFrame) -> DataFrame:
+    """Additive demand by hour, gateway, pipeline and model out of ``session_hours``: sessions that start in the hour and what became of them, and the performance of all sessions in it.
+
+    A session counts in its start hour; its samples count in the hours they fell in, also where no session started. Its
+    model is that of its latest attribution.
+    """
+    start = F.coalesce(F.date_trunc("hour", "started_at") == F.col("hour"), F.lit(False))
+    rows = hours.withColumn("_start", start).where(F.col("_start") | (F.col("status_samples") > 0)).join(attribution.select(*KEYS, "model"), KEYS, "left")
+    keys = {"gateway": F.coalesce("gateway", F.lit("")), "pipeline": F.coalesce("pipeline_hint", F.lit("")), "model": F.coalesce("model", F.lit(""))}
+    counted = lambda c: F.count_if(F.col("_start") & c)
+    minutes = F.sum(F.when(F.col("_start"), F.greatest(F.unix_millis("last_seen") - F.unix_millis("started_at"), F.lit(0)))) / F.lit(60000.0)
+    out = rows.withColumns(keys).groupBy(F.col("hour").alias("window_start"), "org", *keys).agg(
+        F.count_if("_start").alias("sessions"), counted(F.col("startup_outcome") == "success").alias("success_sessions"), counted((F.col("startup_outcome") == "failed") & (F.col("_none") > 0)).alias("no_orch_sessions"), counted(F.col("excusal_reason") != "").alias("excused_sessions"),
+        counted(F.col("swap_count") > 0).alias("swapped_sessions"), counted(F.col("zero_output") == 1).alias("zero_output_sessions"), F.coalesce(minutes, F.lit(0.0)).alias("minutes"), F.sum("status_samples").alias("status_samples"), F.sum("output_fps_sum").cast("double").alias("output_fps_sum"),
+    )
+    return out.withColumns({"success_rate": expr.ratio(F.col("success_sessions"), F.col("sessions")), "avg_output_fps": expr.ratio(F.col("output_fps_sum"), F.col("status_samples"))})
+
+
+def pipeline_usage(demand: DataFrame, limit: int) -> DataFrame:
+    """The pipelines of most sessions with minutes and frame rate, and the same of each of their models, nested; every rate from sums."""
+    models = demand.where("pipeline <> ''").groupBy("pipeline", "model").agg(*(F.sum(c).alias(c) for c in ("sessions", "minutes", "output_fps_sum", "status_samples")))
+    each = F.struct((-F.col("sessions")).alias("_o"), "model", F.col("minutes"), F.col("sessions"), expr.ratio(F.col("output_fps_sum"), F.col("status_samples")).alias("avg_fps"))
+    out = models.groupBy("pipeline").agg(F.sum("sessions").alias("sessions"), F.sum("minutes").alias("minutes"), expr.ratio(F.sum("output_fps_sum"), F.sum("status_samples")).alias("avg_fps"), F.array_sort(F.collect_list(each)).alias("models"))
+    return out.orderBy(F.desc("sessions"), "pipeline").limit(limit)
+
+
+def cohort_bands(rows: DataFrame, cohort: list[str], score: str, stamp: str, ident: list[str], largest: int = 3) -> DataFrame:
+    """Of the ``largest`` cohorts the row of the lowest score, of the one nearest to 50, and of the highest, the newest of equal ones: three aggregates, no sort of a cohort."""
+    newest = lambda: (-F.unix_micros(stamp)).alias("n")
+    row = F.struct(stamp, score, *ident).alias("row")
+    band = lambda s: F.min(F.struct(s.alias("s"), newest(), *ident, row))
+    out = rows.groupBy(*cohort).agg(F.count("*").alias("cohort_rows"), F.array(F.struct(F.lit("low").alias("band"), band(F.col(score)).row.alias("row")), F.struct(F.lit("medium").alias("band"), band(F.abs(F.col(score) - 50)).row.alias("row")), F.struct(F.lit("high").alias("band"), band(-F.col(score)).row.alias("row"))).alias("b"))
+    top = out.orderBy(F.desc("cohort_rows"), *cohort).limit(largest)
+    return top.select(*cohort, "cohort_rows", F.explode("b").alias("b")).select(*cohort, "cohort_rows", "b.band", "b.row.*")
 
 
 def sla_input_hourly(hours: DataFrame, attribution: DataFrame, inventory: DataFrame) -> DataFrame:

@@ -110,11 +110,18 @@ def field_inventory(df: DataFrame, keys: list[str], payload: str, depth: int = 6
     return flat.groupBy(*keys, F.substring("f.path", 2, 1 << 20).alias("path"), short.alias("kind")).agg(F.count("*").alias("n"))
 
 
+def layer_report(layers: dict[str, dict[str, DataFrame]]) -> DataFrame:
+    """(layer, place, table, n_rows, checksum): a fingerprint of each table, in the order of the layers; rows may come in any order."""
+    one = lambda place, layer, name, df: text_fingerprint(df).select(F.lit(layer).alias("layer"), F.lit(place).alias("place"), F.lit(name).alias("table"), "n_rows", F.concat_ws("-", "sum_a", "sum_b").alias("checksum"))
+    return reduce(DataFrame.unionByName, (one(k, layer, name, df) for k, (layer, tables) in enumerate(layers.items()) for name, df in tables.items()))
+
+
 def layer_diff(a: DataFrame, b: DataFrame) -> DataFrame:
-    """First differing table of each layer of two reports (layer, table, checksum)."""
-    x, y = a.withColumnRenamed("checksum", "left_sum"), b.withColumnRenamed("checksum", "right_sum")
-    off = x.join(y, ["layer", "table"], "full").where(~F.col("left_sum").eqNullSafe(F.col("right_sum")))
-    return off.groupBy("layer").agg(F.min(F.struct("table", "left_sum", "right_sum")).alias("f")).select("layer", "f.*")
+    """Tables whose fingerprints differ between two reports, or that one lacks; ``is_first`` marks those of the first layer that diverges, where a cause is to be looked for."""
+    side = lambda d, n: d.select("layer", "place", "table", F.col("n_rows").alias(f"rows_{n}"), F.col("checksum").alias(f"sum_{n}"))
+    off = side(a, "left").join(side(b, "right"), ["layer", "place", "table"], "full").where(~F.col("sum_left").eqNullSafe(F.col("sum_right")))
+    first = off.agg(F.min("place").alias("_first"))  # one row
+    return off.crossJoin(F.broadcast(first)).withColumn("is_first", F.col("place") == F.col("_first")).drop("_first", "place")
 
 
 def guarded_rate(df: DataFrame, keys: list[str], hit: Column, least: int) -> DataFrame:

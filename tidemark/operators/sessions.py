@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,12 +36,6 @@ def status_rollup(status: DataFrame, hourly: bool = False) -> DataFrame:
     )
 
 
-def session_facts(trace: DataFrame, status: DataFrame) -> DataFrame:
-    """Facts of sessions from two families by themselves; ``facts_of`` takes the evidence of one scan."""
-    both = trace_rollup(trace).join(status_rollup(status), ["org", "session_key"], "full")
-    return facts_of(both.withColumn("last_seen", F.greatest("trace_last_seen", "status_last_seen")))
-
-
 def facts_of(evidence: DataFrame) -> DataFrame:
     """Outcome, excusal, latencies (null where negative) and flags of each session."""
     requested, playable = F.col("started_at").isNotNull().cast("int"), F.col("playable_at").isNotNull().cast("int")
@@ -101,3 +97,25 @@ def with_decision(jobs: DataFrame, decisions: DataFrame, keys: list[str]) -> Dat
     """Job facts with the latest decision on them; jobs without any are unresolved."""
     own = decisions.select(*keys, "status", "address", F.col("model").alias("decided_model"))
     return jobs.join(own, keys, "left").fillna({"status": "unresolved"})
+
+
+JOB = ["job_id", "job_type", "org", "gateway", "pipeline", "model", "orchestrator_address", "orchestrator_uri", "gpu_id", "gpu_model_name", "success", "duration_ms", "event_ts", "price_per_unit"]
+
+
+def all_jobs(streams: DataFrame, ai_batch: DataFrame, byoc: DataFrame) -> DataFrame:
+    """Sessions, AI jobs and capability jobs in one shape of fourteen columns; what a kind lacks is blank or 0.
+
+    ``streams`` are facts with gateway, model, address, gpu_id; ``ai_batch`` and ``byoc`` job facts with received_at and
+    the model and GPU that a decision or a worker gave them. Jobs without id or pipeline are left out.
+    """
+    text = lambda d, c: F.coalesce(F.col(c), F.lit("")) if c in d.columns else F.lit("")
+
+    def shaped(d: DataFrame, kind: str, job: str, own: dict[str, Column]) -> DataFrame:
+        named = {"job_id": F.col(job), "job_type": F.lit(kind), "org": F.col("org"), "gateway": text(d, "gateway"), "pipeline": text(d, "pipeline"), "model": text(d, "model"), "orchestrator_address": text(d, "orch_address"), "orchestrator_uri": text(d, "orch_url"), "gpu_id": text(d, "gpu_id"), "gpu_model_name": text(d, "gpu_name")} | own
+        return d.select(*(named[c].alias(c) for c in JOB)).where("coalesce(job_id, '') <> '' and pipeline <> ''")
+
+    done = {"success": F.coalesce(F.col("success"), F.lit(False)).cast("int"), "duration_ms": F.coalesce(F.col("duration_ms"), F.lit(0)).cast("long"), "event_ts": F.coalesce("event_ts", "received_at")}
+    price = lambda d: F.coalesce(F.col("price_per_unit"), F.lit(0.0)).cast("double") if "price_per_unit" in d.columns else F.lit(0.0)
+    stream = {"success": (F.col("startup_outcome") == "success").cast("int"), "duration_ms": F.coalesce("startup_latency_ms", F.lit(0)).cast("long"), "event_ts": F.coalesce("started_at", "last_seen"), "price_per_unit": F.lit(0.0), "pipeline": text(streams, "pipeline_hint"), "orchestrator_address": text(streams, "address")}
+    parts = [shaped(streams, "stream", "session_key", stream), shaped(ai_batch, "ai-batch", "request_id", done | {"price_per_unit": price(ai_batch)}), shaped(byoc, "byoc", "request_id", done | {"pipeline": text(byoc, "capability"), "price_per_unit": price(byoc)})]
+    return reduce(DataFrame.unionByName, parts)

@@ -107,7 +107,7 @@ def from_events(events: DataFrame) -> DataFrame:
         F.lit("live-video-to-video").alias("pipeline"), F.when(n % 20 == 11, "scope").otherwise("web").alias("client_source"),
         F.when(F.col("event_type") == "error", "OFFLINE").otherwise("ONLINE").alias("state"), F.struct(F.col("value").alias("fps"), F.when(F.col("event_type") == "error", F.when(n % 2 == 0, "ICE connection state failed").otherwise("decoder broke")).alias("last_error")).alias("inference_status"),
         F.struct(F.when(n % 3 == 0, _address(n % 17)).otherwise("").alias("address"), F.concat(F.lit("https://o"), n % 17).alias("url")).alias("orchestrator_info"),
-        F.concat(F.floor(F.col("value") * 100).cast("string"), F.lit(" WEI")).alias("faceValue"), F.concat(F.lit("35_m"), F.col("user_id") % 7).alias("manifestID"),
+        F.concat(F.floor(F.col("value") * 100).cast("string"), F.lit(" WEI")).alias("faceValue"), _address(F.col("user_id") % 13).alias("sender"), _address(n % 17).alias("recipient"), F.concat(F.lit("35_m"), F.col("user_id") % 7).alias("manifestID"),
         (F.floor(n / 20) % 3 != 0).alias("success"), F.floor(F.col("value")).cast("long").alias("duration_ms"),
     ))
     return events.select(n.cast("string").alias("id"), family.alias("type"), F.unix_millis(stamp).cast("string").alias("timestamp"), F.when(n % 4 == 0, "").otherwise(F.concat(F.lit("gw"), n % 3)).alias("gateway"), data.alias("data"), F.lit("network_events").alias("source_topic"), F.lit(0).alias("source_partition"), n.alias("source_offset"))
@@ -244,14 +244,20 @@ _PROVIDER = "struct<address:string,local_address:string,orch_uri:string,uri:stri
 _MODELS = "map<string,struct<models:map<string,struct<warm:boolean,capacity:int>>>>"
 
 
+_SNAPSHOTS = "event_type = 'network_capabilities' and event_id <> ''"
+
+
 def provider_payloads(raw: DataFrame) -> DataFrame:
     """The providers of each distinct payload, typed: however often a payload was sent, it is parsed once.
 
     ``hardware`` has the entries with their ``gpus`` (an array or a keyed object in the payload), ``per_capability`` the
     models of each capability, ``is_broken`` says that either of them is there in another shape.
     """
-    texts = raw.where("event_type = 'network_capabilities' and event_id <> ''").select("payload_hash", "data").distinct()
-    one = texts.select("payload_hash", F.inline(F.from_json("data", f"array<{_PROVIDER}>")))
+    return _providers(raw.where(_SNAPSHOTS).select("payload_hash", "data").distinct(), ["payload_hash"])
+
+
+def _providers(texts: DataFrame, keep: list[str]) -> DataFrame:
+    one = texts.select(*keep, F.inline(F.from_json("data", f"array<{_PROVIDER}>")))
     get = lambda v, path, kind: F.try_variant_get(v, path, kind)
     gpus = lambda v: F.coalesce(get(v, "$", f"array<{_GPU}>"), F.map_values(get(v, "$", f"map<string,{_GPU}>")), F.array().cast(f"array<{_GPU}>"))
     entries = get(F.col("hardware"), "$", "array<struct<pipeline:string,model_id:string,gpu_info:variant>>")
@@ -260,16 +266,16 @@ def provider_payloads(raw: DataFrame) -> DataFrame:
     broken = (there(F.col("hardware"), "$") & F.col("_entries").isNull()) | (there(F.col("capabilities"), "$.constraints.PerCapability") & F.col("per_capability").isNull())
     text = lambda c: F.coalesce(F.col(c), F.lit(""))
     return one.select(
-        "payload_hash", expr.identity(F.col("address")).alias("orch_address"), expr.identity(F.col("local_address")).alias("alias"), F.coalesce(expr.none_if_blank(F.col("orch_uri")), text("uri")).alias("orch_uri"), text("version").alias("version"),
+        *keep, expr.identity(F.col("address")).alias("orch_address"), expr.identity(F.col("local_address")).alias("alias"), F.coalesce(expr.none_if_blank(F.col("orch_uri")), text("uri")).alias("orch_uri"), text("version").alias("version"),
         F.transform("_entries", lambda h: F.struct(F.coalesce(h.pipeline, F.lit("")).alias("pipeline"), F.coalesce(h.model_id, F.lit("")).alias("model_id"), F.filter(gpus(h.gpu_info), lambda g: F.coalesce(g.id, F.lit("")) != "").alias("gpus"))).alias("hardware"),
         "per_capability", broken.alias("is_broken"), F.filter("capabilities_prices", lambda p: (p.pricePerUnit > 0) & (p.pixelsPerUnit > 0)).alias("prices"), "price_info",
     )
 
 
 def capabilities(raw: DataFrame) -> DataFrame:
-    """One row for each provider of a snapshot, with the typed columns of ``provider_payloads``."""
-    events = raw.where("event_type = 'network_capabilities' and event_id <> ''").select("event_id", "event_ts", "org", "payload_hash")
-    rows = events.join(provider_payloads(raw), "payload_hash")
+    """One row for each provider of a snapshot, with the typed columns of ``provider_payloads``. A stream has no earlier payloads at hand, and parses each row."""
+    own = ["event_id", "event_ts", "org", "payload_hash"]
+    rows = _providers(raw.where(_SNAPSHOTS).select(*own, "data"), own) if raw.isStreaming else raw.where(_SNAPSHOTS).select(*own).join(provider_payloads(raw), "payload_hash")
     return rows.select(F.concat_ws("#", "event_id", "orch_address").alias("row_id"), "event_id", "event_ts", "org", *(c for c in rows.columns if c not in ("event_id", "event_ts", "org")))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from datetime import date, timedelta
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -210,12 +211,21 @@ def session_state(rows: DataFrame, idle: str = "6 hours", lateness: str = "10 mi
     return kept.groupBy("org", "session_key").applyInPandasWithState(update, f"org string, session_key string, {STATE}", STATE, "update", GroupStateTimeout.EventTimeTimeout)
 
 
-def repair_dimensions(snapshots: DataFrame, selections: Callable[[], DataFrame], history: Callable[[], DataFrame], table: str, checkpoint: str) -> StreamingQuery:
-    """Snapshots (org, ident, event_ts) that come late: the selections that they touch are attributed again, each batch to a folder of its own with its number; ``read_decisions`` takes the newest of each selection."""
+def repair_dimensions(snapshots: DataFrame, selections: Callable[[date], DataFrame], history: Callable[[DataFrame], DataFrame], table: str, checkpoint: str) -> StreamingQuery:
+    """Snapshots (org, ident, event_ts) that come late: the selections that they touch are attributed again, each batch to a folder of its own with its number; ``read_decisions`` takes the newest of each selection.
+
+    ``selections`` gets the first day that the batch may touch and ``history`` its identities, so that tables stored by
+    day or identity are read for those alone.
+    """
 
     def write(batch: DataFrame, n: int) -> None:
-        touched = changes.touched_by_snapshots(selections().withColumn("selection_ts", F.col("ts")), batch, ["org", "ident"]).drop("selection_ts")
-        asof.attribute(touched, history()).withColumn("run", F.lit(n)).write.mode("overwrite").parquet(f"{table}/batch={n}")
+        first = batch.agg(F.min("event_ts")).first()[0]
+        if first is None:
+            return
+        idents = batch.select("org", "ident").distinct()
+        since = selections((first - timedelta(seconds=30)).date()).withColumn("selection_ts", F.col("ts"))
+        touched = changes.touched_by_snapshots(since, batch, ["org", "ident"]).drop("selection_ts")
+        asof.attribute(touched, history(idents)).withColumn("run", F.lit(n)).write.mode("overwrite").parquet(f"{table}/batch={n}")
 
     return snapshots.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
