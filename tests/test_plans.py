@@ -18,7 +18,7 @@ def test_session_payloads_are_parsed_once(spark, name):
     assert (plan.count("parseJson("), plan.count("json_tuple("), plan.count("StructsToJsonEvaluator(")) == (1, 1, 1)
 
 
-@pytest.mark.parametrize("name", ["j5_hardware_inventory", "g10_templates", "i4_provider_profile", "g3_gpus", "g4_offers_of_capabilities", "g6_prices", "g7_global_price", "q15_current_snapshots"])
+@pytest.mark.parametrize("name", ["j5_hardware_inventory", "g10_templates", "i4_provider_profile", "g3_gpus", "g4_offers_of_capabilities", "g6_prices", "g7_global_price"])
 def test_capability_payloads_are_parsed_once(spark, name):
     plan = optimized(catalog.QUERIES[name](spark, SF))
     assert plan.count("from_json(StructField(address,StringType,true), StructField(local") + plan.count("inline(from_json(") == 1

@@ -75,3 +75,15 @@ def test_metrics_of_the_write_are_those_of_a_scan(spark, tmp_path):
     assert {k: v for k, v in seen.items() if k != "checksum"} == want
     got = {r.metric: r.value for r in quality.metric_rows(spark, "t", seen).collect()}
     assert got["n_rows"] == "100" and got["org_not_accepted"] == "50"
+
+
+def test_old_days_go_by_name(spark, tmp_path):
+    from datetime import date
+
+    from tidemark.operators import latest
+
+    table = str(tmp_path / "days")
+    spark.createDataFrame([(f"2024-01-{d:02d}", d) for d in range(1, 31)], "day string, n int").write.partitionBy("day").parquet(table)
+    assert latest.drop_old_days(spark, table, "metadata", date(2024, 1, 30)) == [f"2024-01-{d:02d}" for d in range(1, 23)]
+    assert latest.drop_old_days(spark, table, "raw", date(2024, 1, 30)) == [] == latest.drop_old_days(spark, str(tmp_path / "none"), "raw", date(2024, 1, 30))
+    assert {r.n for r in spark.read.parquet(table).collect()} == set(range(23, 31))

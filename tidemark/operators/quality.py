@@ -110,6 +110,13 @@ def field_inventory(df: DataFrame, keys: list[str], payload: str, depth: int = 6
     return flat.groupBy(*keys, F.substring("f.path", 2, 1 << 20).alias("path"), short.alias("kind")).agg(F.count("*").alias("n"))
 
 
+def lags(df: DataFrame, keys: list[str], event: str, ingested: str, now: Column) -> DataFrame:
+    """Of each group: time since its newest event and its newest ingest, how far the newest event lies behind the newest ingest, and the longest way of a row, in microseconds."""
+    us = F.unix_micros
+    out = df.groupBy(*keys).agg(F.max(event).alias("_e"), F.max(ingested).alias("_i"), F.max(us(ingested) - us(event)).alias("longest_us"))
+    return out.select(*keys, (us(now) - us("_e")).alias("lag_us"), (us(now) - us("_i")).alias("ingest_lag_us"), (us("_i") - us("_e")).alias("watermark_lag_us"), "longest_us")
+
+
 def layer_report(layers: dict[str, dict[str, DataFrame]]) -> DataFrame:
     """(layer, place, table, n_rows, checksum): a fingerprint of each table, in the order of the layers; rows may come in any order."""
     one = lambda place, layer, name, df: text_fingerprint(df).select(F.lit(layer).alias("layer"), F.lit(place).alias("place"), F.lit(name).alias("table"), "n_rows", F.concat_ws("-", "sum_a", "sum_b").alias("checksum"))

@@ -74,11 +74,12 @@ def s10_replace_latest(spark, sf_dir):
     return latest.replace_latest(rows, ["o_custkey"], "o_orderdate").select("o_custkey", "o_orderkey", "o_totalprice")
 
 
-@query("SELECT event_id FROM events WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 7 DAY")
+@query("WITH e AS (SELECT *, CASE event_type WHEN 'error' THEN 'metadata' WHEN 'click' THEN 'work' WHEN 'view' THEN 'raw' ELSE 'other' END AS kind, (SELECT max(ts) FROM events) AS now FROM events) SELECT event_id, kind FROM e WHERE kind = 'other' OR ts >= now - to_days(CAST(CASE kind WHEN 'metadata' THEN 7 WHEN 'work' THEN 1 ELSE 90 END AS INTEGER))")
 def s11_retention(spark, sf_dir):
-    rows = events(spark, sf_dir)
-    now = F.lit(rows.agg(F.max("ts")).first()[0])
-    return latest.apply_retention(rows, "ts", 7, now).select("event_id")
+    """Each kind of row by the policy of its table; kinds without one are kept."""
+    kind = F.when(F.col("event_type") == "error", "metadata").when(F.col("event_type") == "click", "work").when(F.col("event_type") == "view", "raw").otherwise("other")
+    rows = events(spark, sf_dir).withColumn("kind", kind)
+    return latest.kept_by_policy(rows, "kind", "ts", F.lit(rows.agg(F.max("ts")).first()[0])).select("event_id", "kind")
 
 
 # Rollups ---------------------------------------------------------------------------------------------------------------
@@ -247,12 +248,6 @@ def j19_identity_ambiguity(spark, sf_dir):
     return c.groupBy("c_nationkey", "c_acctbal").agg(F.min("c_name").alias("c_name"))
 
 
-@query("SELECT 'job' AS kind, o_orderkey AS id, o_totalprice AS amount FROM orders UNION ALL SELECT 'customer', c_custkey, c_acctbal FROM customer UNION ALL SELECT 'supplier', s_suppkey, s_acctbal FROM supplier")
-def u1_union_all(spark, sf_dir):
-    part = lambda t, kind, i, a: table(spark, sf_dir, t).select(F.lit(kind).alias("kind"), F.col(i).cast("long").alias("id"), F.col(a).alias("amount"))
-    return part("orders", "job", "o_orderkey", "o_totalprice").unionByName(part("customer", "customer", "c_custkey", "c_acctbal")).unionByName(part("supplier", "supplier", "s_suppkey", "s_acctbal"))
-
-
 @query("SELECT c_nationkey AS nation FROM customer UNION SELECT s_nationkey FROM supplier")
 def u3_union_distinct(spark, sf_dir):
     return table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("nation")).union(table(spark, sf_dir, "supplier").select("s_nationkey")).distinct()
@@ -409,13 +404,6 @@ def d3_session_facts(spark, sf_dir):
     return sessions.facts_of(evidence.session_evidence(envelopes.session_rows(good))).select("session_key", "startup_outcome", "excusal_reason", "status_samples", "zero_output")
 
 
-@query(f"""{_FACTS} SELECT CAST(started // 3600000 * 3600000 AS BIGINT) AS hour_ms, count(*) AS sessions, count(*) FILTER (WHERE outcome = 'success') AS success_sessions, count(*) FILTER (WHERE outcome = 'failed' AND no_orch > 0) AS no_orch_sessions, round(count(*) FILTER (WHERE outcome = 'success') / count(*), 6) AS success_rate, CAST(sum(samples) AS BIGINT) AS status_samples FROM o WHERE started IS NOT NULL GROUP BY 1""")
-def a10_demand_hourly(spark, sf_dir):
-    good = accepted(spark, sf_dir)
-    out = sessions.demand_hourly(sessions.facts_of(evidence.session_evidence(envelopes.session_rows(good))))
-    return out.select(F.unix_millis("window_start").alias("hour_ms"), "sessions", "success_sessions", "no_orch_sessions", F.round("success_rate", 6).alias("success_rate"), "status_samples")
-
-
 @query(f"""{_RAW}, j AS (SELECT 'r' || strftime(ts, '%Y%m%d') AS request_id, event_id, ms, (event_id // 10) % 2 AS done, (event_id // 20) % 3 <> 0 AS ok, CAST(floor(value) AS BIGINT) AS ms_taken FROM r WHERE k = 8)
 SELECT request_id, max_by(CASE WHEN done = 1 THEN ok END, (done, ms, CAST(event_id AS VARCHAR))) AS success, max_by(ms_taken, (done, ms, CAST(event_id AS VARCHAR))) AS duration_ms, min(ms) FILTER (WHERE done = 0) AS received_ms FROM j GROUP BY 1""")
 def d10_ai_batch_facts(spark, sf_dir):
@@ -461,7 +449,7 @@ def w9_latest_price(spark, sf_dir):
 
 # Fields of the events' payloads: what each family has, from its derivation.
 _FIELDS = f"""{_RAW}, a AS (SELECT *, CASE WHEN k < 4 THEN 'stream_trace' WHEN k < 7 THEN 'ai_stream_status' WHEN k = 7 THEN 'create_new_payment' ELSE 'ai_batch_request' END AS family FROM r WHERE k < 9 AND NOT (k < 4 AND t > 9)),
-f AS (SELECT family, unnest(list_concat([('stream_id', 'str'), ('request_id', 'str'), ('pipeline', 'str'), ('client_source', 'str'), ('state', 'str'), ('inference_status', 'object'), ('inference_status.fps', 'float'), ('orchestrator_info', 'object'), ('orchestrator_info.address', 'str'), ('orchestrator_info.url', 'str'), ('faceValue', 'str'), ('manifestID', 'str'), ('success', 'bool'), ('duration_ms', 'int')], CASE WHEN k < 4 OR k = 8 THEN [('type', 'str')] ELSE [] END, CASE WHEN event_type = 'error' THEN [('inference_status.last_error', 'str')] ELSE [] END)) AS x FROM a)"""
+f AS (SELECT family, unnest(list_concat([('stream_id', 'str'), ('request_id', 'str'), ('pipeline', 'str'), ('client_source', 'str'), ('state', 'str'), ('inference_status', 'object'), ('inference_status.fps', 'float'), ('orchestrator_info', 'object'), ('orchestrator_info.address', 'str'), ('orchestrator_info.url', 'str'), ('faceValue', 'str'), ('sender', 'str'), ('recipient', 'str'), ('manifestID', 'str'), ('success', 'bool'), ('duration_ms', 'int')], CASE WHEN k < 4 OR k = 8 THEN [('type', 'str')] ELSE [] END, CASE WHEN event_type = 'error' THEN [('inference_status.last_error', 'str')] ELSE [] END)) AS x FROM a)"""
 
 
 @query(f"{_FIELDS} SELECT family AS event_type, x[1] AS path, x[2] AS kind, count(*) AS n FROM f GROUP BY 1, 2, 3")

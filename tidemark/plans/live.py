@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import expr
 from tidemark.operators import changes, evidence, filters, latest, pages, quality, sessions, supply
+from tidemark.plans import requests
 from tidemark.plans.catalog import _RAW, accepted, events, query, raw
 from tidemark.sources import envelopes
 
@@ -196,11 +197,29 @@ def q29_fps_by_provider(spark, sf_dir):
     return out.select("address", F.round(expr.ratio(F.col("s"), F.col("samples")), 6).alias("avg_fps"), "samples")
 
 
-@query(f"{_SLA}, m AS (SELECT model, hour // 86400000 AS day, sum(smp) AS samples, sum(req) AS req FROM z GROUP BY 1, 2) SELECT model, CAST(sum(samples) AS BIGINT) AS samples, CAST(sum(req) AS BIGINT) AS sessions, count(*) AS days FROM m GROUP BY 1")
+_DEMAND = f"""{_E}, {_D_US}, a AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY session_key ORDER BY dec DESC, decision_id DESC) AS rn FROM d) WHERE rn = 1),
+b AS (SELECT session_key, ms // 3600000 * 3600000 AS hour, count(*) AS smp, sum(CAST(value AS DECIMAL(18, 2))) AS fps_sum, FALSE AS st FROM e WHERE status GROUP BY 1, 2 UNION ALL SELECT session_key, started // 3600000 * 3600000, 0, 0, TRUE FROM x WHERE started IS NOT NULL),
+dm AS (SELECT CAST(hour AS BIGINT) AS hour, coalesce(x.gateway, '') AS gateway, 'live-video-to-video' AS pipeline, coalesce(a.model, '') AS model, count(*) FILTER (WHERE st) AS n, count(*) FILTER (WHERE st AND outcome = 'success') AS okc, count(*) FILTER (WHERE st AND outcome = 'failed' AND no_orch > 0) AS noc, count(*) FILTER (WHERE st AND excusal <> '') AS exc, count(*) FILTER (WHERE st AND swaps > 0) AS swp, count(*) FILTER (WHERE st AND zero = 1) AS zer,
+coalesce(sum(greatest(last_ms - started, 0)) FILTER (WHERE st), 0) AS session_ms, CAST(sum(smp) AS BIGINT) AS smp, CAST(sum(fps_sum) AS DOUBLE) AS fps_sum FROM b JOIN x USING (session_key) LEFT JOIN a USING (session_key) GROUP BY 1, 2, 3, 4)"""
+
+
+def demand(spark, sf_dir: str) -> DataFrame:
+    return evidence.demand_hourly(evidence.session_hours(rows(spark, sf_dir)), evidence.attribution_latest(decisions(spark, sf_dir)))
+
+
+@query(f"{_DEMAND} SELECT hour AS hour_ms, gateway, pipeline, model, n AS sessions, okc AS success_sessions, noc AS no_orch_sessions, exc AS excused_sessions, swp AS swapped_sessions, zer AS zero_output_sessions, CAST(session_ms / CAST(60000 AS DOUBLE) AS DOUBLE) AS minutes, smp AS status_samples, fps_sum AS output_fps_sum, round(okc / nullif(n, 0), 6) AS success_rate, round(fps_sum / nullif(smp, 0), 6) AS avg_output_fps FROM dm")
+def a10_demand_hourly(spark, sf_dir):
+    out = demand(spark, sf_dir)
+    return out.select(ms("window_start").alias("hour_ms"), "gateway", "pipeline", "model", "sessions", "success_sessions", "no_orch_sessions", "excused_sessions", "swapped_sessions", "zero_output_sessions", "minutes", "status_samples", "output_fps_sum", F.round("success_rate", 6).alias("success_rate"), F.round("avg_output_fps", 6).alias("avg_output_fps"))
+
+
+@query(f"""{_DEMAND}, m AS (SELECT gateway AS pipeline, model, CAST(sum(n) AS BIGINT) AS n, sum(session_ms) / CAST(60000 AS DOUBLE) AS mins, sum(fps_sum) AS f, sum(smp) AS s FROM dm WHERE gateway <> '' GROUP BY 1, 2)
+SELECT pipeline, CAST(sum(n) AS BIGINT) AS sessions, round(sum(mins), 4) AS minutes, round(sum(f) / sum(s), 4) AS avg_fps, string_agg(model || ':' || n || ':' || CAST(CAST(mins AS DECIMAL(20, 2)) AS VARCHAR) || ':' || CAST(CAST(f / s AS DECIMAL(20, 2)) AS VARCHAR), ',' ORDER BY n DESC, model) AS models FROM m GROUP BY 1 ORDER BY sessions DESC, pipeline LIMIT 2""")
 def q2_dashboard_pipelines(spark, sf_dir):
-    """Use of each model: first by day, then over days, so that a busy model is summed in many tasks."""
-    days = sla_input(spark, sf_dir).groupBy("model", F.to_date("window_start").alias("d")).agg(F.sum("status_samples").alias("samples"), F.sum("requested_sessions").alias("sessions"))
-    return days.groupBy("model").agg(F.sum("samples").alias("samples"), F.sum("sessions").alias("sessions"), F.count("*").alias("days"))
+    """The two busiest pipelines (gateways stand for them, as these tables know one pipeline) with their models nested."""
+    out = evidence.pipeline_usage(demand(spark, sf_dir).withColumn("pipeline", F.col("gateway")), 2)
+    text = F.transform("models", lambda m: F.concat_ws(":", m.model, m.sessions.cast("string"), m.minutes.cast("decimal(20,2)").cast("string"), m.avg_fps.cast("decimal(20,2)").cast("string")))
+    return out.select("pipeline", "sessions", F.round("minutes", 4).alias("minutes"), F.round("avg_fps", 4).alias("avg_fps"), F.array_join(text, ",").alias("models"))
 
 
 @query(f"{_SLA} SELECT CAST(hour AS BIGINT) AS hour_ms, address, model, gpu_id, CAST(smp AS BIGINT) AS status_samples FROM z ORDER BY hour DESC, address, model, gpu_id LIMIT 15")
@@ -212,10 +231,19 @@ def _page(rows: DataFrame, last: list | None) -> DataFrame:
     return pages.page_after(rows, [("window_start", True), ("address", False), ("model", False), ("gpu_id", False)], last, 15)
 
 
-@query(f"{_SLA} SELECT CAST(hour AS BIGINT) AS hour_ms, address, model, gpu_id, CAST(req AS BIGINT) AS requested_sessions FROM z WHERE hour < epoch_ms(TIMESTAMP '2024-01-15') OR (hour = epoch_ms(TIMESTAMP '2024-01-15') AND (address > '0xp2' OR (address = '0xp2' AND (model > 'm1' OR (model = 'm1' AND gpu_id > ''))))) ORDER BY hour DESC, address, model, gpu_id LIMIT 15")
+@query(f"{_DEMAND} SELECT hour AS hour_ms, gateway, model, n AS sessions, smp AS status_samples FROM dm WHERE hour < epoch_ms(TIMESTAMP '2024-01-15') OR (hour = epoch_ms(TIMESTAMP '2024-01-15') AND (gateway > 'gw1' OR (gateway = 'gw1' AND model > 'm1'))) ORDER BY hour DESC, gateway, model LIMIT 15")
 def q14_demand_page(spark, sf_dir):
-    last = [F.lit("2024-01-15").cast("timestamp"), F.lit("0xp2"), F.lit("m1"), F.lit("")]
-    return _page(sla_input(spark, sf_dir), last).select(ms("window_start").alias("hour_ms"), "address", "model", "gpu_id", "requested_sessions")
+    last = [F.lit("2024-01-15").cast("timestamp"), F.lit("gw1"), F.lit("m1")]
+    page = pages.page_after(demand(spark, sf_dir), [("window_start", True), ("gateway", False), ("model", False)], last, 15)
+    return page.select(ms("window_start").alias("hour_ms"), "gateway", "model", "sessions", "status_samples")
+
+
+@query(f"{_SLA} SELECT CAST(hour AS BIGINT) AS hour_ms, address, model, gpu_id, gpu_name, CAST(smp AS BIGINT) AS status_samples, round(CAST(fps AS DOUBLE) / nullif(smp, 0), 6) AS avg_output_fps, round(swp / nullif(req, 0), 6) AS swap_rate FROM z WHERE gpu_id <> '' AND (hour < epoch_ms(TIMESTAMP '2024-01-20') OR (hour = epoch_ms(TIMESTAMP '2024-01-20') AND (address > '0xp3' OR (address = '0xp3' AND (model > 'm0' OR (model = 'm0' AND gpu_id > 'g4')))))) ORDER BY hour DESC, address, model, gpu_id LIMIT 15")
+def q15_gpu_page(spark, sf_dir):
+    """A page of hours of GPUs: rows without hardware are left out."""
+    last = [F.lit("2024-01-20").cast("timestamp"), F.lit("0xp3"), F.lit("m0"), F.lit("g4")]
+    page = _page(sla_input(spark, sf_dir).where("gpu_id <> ''"), last)
+    return page.select(ms("window_start").alias("hour_ms"), "address", "model", "gpu_id", "gpu_name", "status_samples", F.round("avg_output_fps", 6).alias("avg_output_fps"), F.round(expr.ratio(F.col("swapped_sessions"), F.col("requested_sessions")), 6).alias("swap_rate"))
 
 
 _J = f"""{_RAW}, j AS (SELECT 'r' || strftime(ts, '%Y%m%d') AS request_id, CAST(event_id AS VARCHAR) AS eid, ms, (event_id // 10) % 2 AS done, (event_id // 20) % 3 <> 0 AS ok, CAST(floor(value) AS BIGINT) AS taken FROM r WHERE k = 8), f AS (SELECT request_id, max_by(eid, (done, ms, eid)) AS event_id, max_by(CASE WHEN done = 1 THEN ok END, (done, ms, eid)) AS success, max_by(taken, (done, ms, eid)) AS duration_ms, max_by(ms, (done, ms, eid)) AS ms FROM j GROUP BY 1)"""
@@ -255,12 +283,113 @@ def c10_attribution_rate(spark, sf_dir):
     return quality.guarded_rate(decisions(spark, sf_dir), ["model"], F.col("status") == "resolved", 50)
 
 
-@query(f"{_SLA}, m AS (SELECT address, model, count(*) AS n FROM z GROUP BY 1, 2), ranked AS (SELECT *, row_number() OVER (ORDER BY n DESC, address, model) AS place FROM m) SELECT address, model, n AS n_rows, CAST(place AS INTEGER) AS place FROM ranked WHERE place <= 3")
+_SCORED = f"""{_SLA}, g AS (SELECT hour, address, model, gpu_id, round(least(greatest(100.0 * (hlt / smp) * (0.7 * least(greatest(0.4 * (okc / req) + 0.2 * (1 - swp / req) + 0.4 * (1 - (failed + outf) / req), 0), 1) + 0.3 * 0.5), 0), 100), 6) AS score, okc, req FROM z WHERE req > 0 AND smp > 0 AND model <> '')"""
+
+
+def scored(spark, sf_dir: str) -> DataFrame:
+    """Hourly rows with requests and samples, and their score; components without history count as a half."""
+    z = sla_input(spark, sf_dir).where("requested_sessions > 0 and status_samples > 0 and model <> ''")
+    share = lambda c: expr.ratio(c, F.col("requested_sessions"))
+    half = F.lit(0.5)
+    s = expr.sla_score(F.col("requested_sessions"), F.col("health_coverage"), share(F.col("startup_success_sessions")), 1.0 - share(F.col("swapped_sessions")), 1.0 - share(F.col("effective_failed_sessions")), half, half, half)
+    return z.withColumn("score", F.round(s, 6))
+
+
+@query(f"""{_SCORED}, largest AS (SELECT model, count(*) AS cohort_rows FROM g GROUP BY 1 ORDER BY cohort_rows DESC, model LIMIT 3),
+bands AS (SELECT model, 'low' AS band, arg_min(g, (score, -hour, address, gpu_id)) AS row FROM g GROUP BY 1 UNION ALL SELECT model, 'medium', arg_min(g, (abs(score - 50), -hour, address, gpu_id)) FROM g GROUP BY 1 UNION ALL SELECT model, 'high', arg_min(g, (-score, -hour, address, gpu_id)) FROM g GROUP BY 1)
+SELECT model, cohort_rows, band, CAST(row.hour AS BIGINT) AS hour_ms, row.score AS score, row.address AS address, row.gpu_id AS gpu_id FROM largest JOIN bands USING (model)""")
 def c13_cohort_samples(spark, sf_dir):
-    """The three largest cohorts: the top three of each task, then of those."""
-    counts = sla_input(spark, sf_dir).groupBy("address", "model").agg(F.count("*").alias("n_rows"))
-    top = counts.orderBy(F.desc("n_rows"), "address", "model").limit(3)
-    return latest.latest_rows(top.withColumn("_one", F.lit(1)), ["_one"], [F.desc("n_rows"), F.asc("address"), F.asc("model")], 3).select("address", "model", "n_rows", F.expr("CAST(row_number() OVER (PARTITION BY _one ORDER BY n_rows DESC, address, model) AS INT)").alias("place"))
+    """Of the largest cohorts the rows of low, medium and high score."""
+    out = evidence.cohort_bands(scored(spark, sf_dir), ["model"], "score", "window_start", ["address", "gpu_id"])
+    return out.select("model", "cohort_rows", "band", ms("window_start").alias("hour_ms"), "score", "address", "gpu_id")
+
+
+@query(f"{_SCORED} SELECT CAST(hour AS BIGINT) AS hour_ms, address, model, gpu_id, score FROM g ORDER BY score DESC, hour DESC, address, model, gpu_id LIMIT 10")
+def q29_top_sla(spark, sf_dir):
+    top = scored(spark, sf_dir).orderBy(F.desc("score"), F.desc("window_start"), "address", "model", "gpu_id").limit(10)
+    return top.select(ms("window_start").alias("hour_ms"), "address", "model", "gpu_id", "score")
+
+
+@query(f"{_SCORED} SELECT address, CAST(sum(req) AS BIGINT) AS sessions, round(CAST(sum(CAST(score AS DECIMAL(18, 6)) * req) AS DOUBLE) / sum(req), 4) AS score FROM g GROUP BY 1 ORDER BY sessions DESC, address LIMIT 4")
+def q29_top_providers(spark, sf_dir):
+    """The busiest providers with their score, weighted by requests."""
+    weighted = F.sum(F.col("score").cast("decimal(18,6)") * F.col("requested_sessions").cast("decimal(10,0)")).cast("double")
+    out = scored(spark, sf_dir).groupBy("address").agg(F.sum("requested_sessions").alias("sessions"), F.round(expr.ratio(weighted, F.sum("requested_sessions")), 4).alias("score"))
+    return out.orderBy(F.desc("sessions"), "address").limit(4)
+
+
+@query(f"{_SLA} SELECT model, round(CAST(sum(fps) AS DOUBLE) / nullif(sum(smp), 0), 6) AS avg_fps, CAST(sum(smp) AS BIGINT) AS samples FROM z GROUP BY 1")
+def q29_fps_by_model(spark, sf_dir):
+    out = sla_input(spark, sf_dir).groupBy("model").agg(F.sum(dec("output_fps_sum")).cast("double").alias("s"), F.sum("status_samples").alias("samples"))
+    return out.select("model", F.round(expr.ratio(F.col("s"), F.col("samples")), 6).alias("avg_fps"), "samples")
+
+
+_ACTIVE = f"{_E}, {_D_US}, l AS (SELECT session_key, max_by(address, (sel, dec, decision_id)) AS address FROM d GROUP BY 1), act AS (SELECT x.*, coalesce(l.address, '') AS address FROM x LEFT JOIN l USING (session_key) WHERE closed IS NULL)"
+
+
+def _active(spark, sf_dir) -> DataFrame:
+    live = proof(spark, sf_dir).where("closed_at is null").join(evidence.latest_decision(decisions(spark, sf_dir), ["address"]), evidence.KEYS, "left")
+    return live.withColumns({"address": F.coalesce("address", F.lit("")), "gateway": F.coalesce("gateway", F.lit(""))})
+
+
+@query(f"{_ACTIVE} SELECT session_key, coalesce(gateway, '') AS gateway, address, last_ms, samples AS status_samples FROM act ORDER BY last_ms DESC, session_key DESC LIMIT 25")
+def q28_stream_table(spark, sf_dir):
+    return pages.page_before(_active(spark, sf_dir), "last_seen", "session_key", None, None, 25).select("session_key", "gateway", "address", ms("last_seen").alias("last_ms"), "status_samples")
+
+
+@query(f"{_ACTIVE} SELECT coalesce(gateway, '') AS gateway, address, count(*) AS streams FROM act GROUP BY 1, 2")
+def q28_paths(spark, sf_dir):
+    """Ways from gateways to providers that active streams take."""
+    return _active(spark, sf_dir).groupBy("gateway", "address").agg(F.count("*").alias("streams"))
+
+
+# All jobs in one shape ---------------------------------------------------------------------------------------------------
+
+_ALL = f"""{_E}, {_D_US}, l AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY session_key ORDER BY dec DESC, decision_id DESC) AS rn FROM d) WHERE rn = 1), fp AS (SELECT session_key, min(ms) AS fp FROM v WHERE trace AND t = 3 GROUP BY 1),
+aj AS (SELECT 'r' || strftime(ts, '%Y%m%d') AS request_id, CAST(event_id AS VARCHAR) AS eid, ms, (event_id // 10) % 2 AS done, (event_id // 20) % 3 <> 0 AS ok, CAST(floor(value) AS BIGINT) AS taken, CASE WHEN event_id % 4 = 0 THEN '' ELSE 'gw' || (event_id % 3) END AS gateway FROM r WHERE k = 8),
+af AS (SELECT request_id, max_by(CASE WHEN done = 1 THEN ok END, (done, ms, eid)) AS success, max_by(taken, (done, ms, eid)) AS taken, max_by(ms, (done, ms, eid)) AS ms, max_by(gateway, (done, ms, eid)) AS gateway FROM aj GROUP BY 1), al AS (SELECT 'r' || session_key[-8:] AS request_id, max_by(model, (dec, decision_id)) AS model, max_by(address, (dec, decision_id)) AS address FROM d GROUP BY 1),
+bq AS (SELECT o_orderkey % 8 AS k, (o_orderkey // 8) % 2 = 1 AS done, 'o' || o_orderkey AS event_id, '0x' || lpad(lower(to_hex(o_custkey % 23)), 40, '0') AS addr, 'r' || (o_orderkey // 16) AS request_id, 'cap' || (o_custkey % 4) AS capability, o_custkey * 10 + (o_orderkey // 8) % 100 AS dur, (o_orderkey // 8) % 5 <> 0 AS ok, epoch_ms(o_orderdate) AS ms, 'm' || (o_custkey % 5) AS model FROM orders),
+bj AS (SELECT request_id, max_by(capability, (done, ms, event_id)) AS capability, max_by(CASE WHEN done THEN ok END, (done, ms, event_id)) AS ok, max_by(dur, (done, ms, event_id)) AS dur, max_by(addr, (done, ms, event_id)) AS addr, max_by(ms, (done, ms, event_id)) AS ms FROM bq WHERE k IN (3, 4) GROUP BY 1), bw AS (SELECT capability, addr, ms, max(model) AS model FROM bq WHERE k = 6 GROUP BY 1, 2, 3), bv AS (SELECT capability, ms, max(model) AS model FROM bw GROUP BY 1, 2),
+u AS (SELECT x.session_key AS job_id, 'stream' AS job_type, coalesce(x.gateway, '') AS gateway, 'live-video-to-video' AS pipeline, coalesce(l.model, '') AS model, coalesce(l.address, '') AS orchestrator_address, coalesce(l.gpu_id, '') AS gpu_id, CAST(outcome = 'success' AS INTEGER) AS success, CAST(coalesce(CASE WHEN fp >= started THEN fp - started END, 0) AS BIGINT) AS duration_ms, coalesce(started, last_ms) AS ms FROM x LEFT JOIN l USING (session_key) LEFT JOIN fp USING (session_key)
+UNION ALL SELECT request_id, 'ai-batch', gateway, 'live-video-to-video', coalesce(al.model, ''), coalesce(al.address, ''), '', CAST(coalesce(success, FALSE) AS INTEGER), taken, ms FROM af LEFT JOIN al USING (request_id)
+UNION ALL SELECT request_id, 'byoc', 'gw', capability, coalesce((SELECT max_by(w.model, w.ms) FROM bw w WHERE w.capability = bj.capability AND w.addr = bj.addr AND w.ms <= bj.ms), (SELECT max_by(w.model, w.ms) FROM bv w WHERE w.capability = bj.capability AND w.ms <= bj.ms), ''), addr, '', CAST(coalesce(ok, FALSE) AS INTEGER), dur, ms FROM bj)"""
+
+
+def jobs_of_all_kinds(spark, sf_dir: str) -> DataFrame:
+    streams = facts(spark, sf_dir).join(evidence.attribution_latest(decisions(spark, sf_dir)).select(*evidence.KEYS, "address", "model", "gpu_id"), evidence.KEYS, "left").join(proof(spark, sf_dir).select(*evidence.KEYS, "gateway"), evidence.KEYS)
+    d = decisions(spark, sf_dir).withColumn("request_id", F.concat(F.lit("r"), F.right("session_key", F.lit(8))))
+    last = latest.latest_values(d, ["request_id"], ["address", "model"], ["decided_at", "decision_id"]).withColumnRenamed("address", "orch_address")
+    ai = _ai_jobs(spark, sf_dir).join(last, "request_id", "left")
+    good = requests.raw(spark, sf_dir)
+    workers = envelopes.workers(good).select("capability", "orch_address", "event_ts", "model")
+    byoc = supply.worker_model(sessions.job_facts(envelopes.byoc_jobs(good)), workers, ["capability", "orch_address"], ["capability"], "event_ts", "model").withColumnRenamed("worker_model", "model")
+    return sessions.all_jobs(streams, ai, byoc)
+
+
+@query(f"{_ALL} SELECT job_id, job_type, 'north' AS org, gateway, pipeline, model, orchestrator_address, '' AS orchestrator_uri, gpu_id, '' AS gpu_model_name, success, duration_ms, ms AS event_ms, CAST(0 AS DOUBLE) AS price_per_unit FROM u")
+def u1_union_all_jobs(spark, sf_dir):
+    out = jobs_of_all_kinds(spark, sf_dir)
+    return out.select(*(c for c in out.columns if c != "event_ts"), ms("event_ts").alias("event_ms"))
+
+
+@query(f"{_ALL} SELECT pipeline, job_type, count(*) AS jobs, count(*) FILTER (WHERE success = 1) AS succeeded, round(count(*) FILTER (WHERE success = 1) / count(*), 6) AS success_rate, round(sum(duration_ms) / count(*), 4) AS avg_duration_ms FROM u GROUP BY 1, 2")
+def q9_jobs_by_pipeline(spark, sf_dir):
+    return pages.job_summary(jobs_of_all_kinds(spark, sf_dir).withColumn("success", F.col("success") == 1), ["pipeline", "job_type"])
+
+
+@query(f"{_RAW}, c AS (SELECT count(*) FILTER (WHERE k < 9 AND NOT (k < 4 AND t > 9)) AS n, count(*) FILTER (WHERE k = 7) AS p, count(*) FILTER (WHERE k = 7 AND event_id % 70 = 7) AS gone FROM r) SELECT 'raw' AS layer, 'accepted' AS \"table\", n AS rows_left, n - gone AS rows_right, TRUE AS is_first FROM c WHERE gone > 0 UNION ALL SELECT 'normalized', 'payments', p, p - gone, FALSE FROM c WHERE gone > 0")
+def c16_layer_diff(spark, sf_dir):
+    """Fingerprints of all layers of a build against one whose raw table lacks some payments: the raw table is the first to differ, sessions don't."""
+    def report(good: DataFrame) -> DataFrame:
+        layers = {
+            "raw": {"accepted": good.select("event_id", "event_type", "event_ts", "data")}, "normalized": {"payments": envelopes.payments(good), "status": envelopes.stream_status(good)},
+            "canonical": {"sessions": sessions.facts_of(evidence.session_evidence(envelopes.session_rows(good)))},
+        }
+        return quality.layer_report(layers)
+
+    good = accepted(spark, sf_dir)
+    lacking = good.where(~((F.col("event_type") == "create_new_payment") & (F.col("event_id").cast("long") % 70 == 7)))
+    return quality.layer_diff(report(good), report(lacking)).select("layer", "table", "rows_left", "rows_right", "is_first")
 
 
 @query(f"{_SLA} SELECT address, CAST(sum(smp) AS BIGINT) AS n_rows, CAST(sum(hlt) AS BIGINT) AS hits, round(sum(hlt) / sum(smp), 6) AS rate FROM z GROUP BY 1 HAVING sum(smp) >= 10")

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import expr
-from tidemark.operators import filters, latest, offers, pages, supply
+from tidemark.operators import filters, offers, pages, supply
 from tidemark.plans.catalog import accepted, orders, query, table
-from tidemark.sources import envelopes
+from tidemark.sources import envelopes, runs
 
 _ORG = {"network_events": "north"}
 # A small catalog of our own: two capabilities of live video, two of requests, and a blank row that cleaning drops.
@@ -35,10 +35,15 @@ def ms(c: str):
     return F.unix_millis(c)
 
 
-@query("SELECT * FROM (VALUES (35, 'live video', 'live-video-to-video', 'model'), (36, 'brand one', 'Brand#1', 'model'), (40, 'brand two', 'Brand#2', NULL), (37, 'other', NULL, NULL)) t(capability_id, capability_name, canonical_pipeline, constraint_kind) WHERE (SELECT count(*) FROM part) > 0")
+@query("SELECT row_number() OVER (ORDER BY p_brand) AS capability_id, p_brand AS capability_name, CASE WHEN n % 2 = 0 THEN 'builtin' ELSE 'byoc' END AS capability_family, CASE WHEN n % 3 > 0 THEN lower(p_brand) END AS canonical_pipeline FROM (SELECT p_brand, count(*) AS n FROM part GROUP BY 1)")
 def s7_seed_catalog(spark, sf_dir):
-    known = table(spark, sf_dir, "part").limit(1)
-    return catalog(spark).join(known.select(F.lit(1)), how="left_semi", on=F.lit(True)).select("capability_id", "capability_name", "canonical_pipeline", "constraint_kind")
+    """A seed file, derived from ``part``: untrimmed names, blank pipelines, and rows of ids that aren't positive, which cleaning drops."""
+    brands = table(spark, sf_dir, "part").groupBy("p_brand").agg(F.count("*").alias("n"))
+    name, half = F.concat(F.lit("  "), "p_brand", F.lit(" ")), F.when(F.col("n") % 2 == 0, "builtin").otherwise(" byoc")
+    rows = brands.select(F.row_number().over(Window.orderBy("p_brand")).alias("capability_id"), name.alias("capability_name"), half.alias("capability_family"), F.when(F.col("n") % 3 > 0, F.lower("p_brand")).otherwise(" ").alias("canonical_pipeline"), F.lit("model_id").alias("constraint_kind"), F.lit(True).alias("supports_stream"), F.lit(False).alias("supports_request"))
+    path = runs.scratch(spark, "seed")
+    rows.unionByName(rows.withColumn("capability_id", -F.col("capability_id") + 1)).write.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return offers.capability_catalog(spark, path).select(F.col("capability_id").cast("long"), "capability_name", "capability_family", "canonical_pipeline")
 
 
 @query(f"{_N} SELECT addr AS orch_address, max_by('v' || (s % 3), ms) AS version, max(ms) AS ms FROM n GROUP BY 1")
@@ -175,9 +180,3 @@ def i4_provider_profile(spark, sf_dir):
     streams = envelopes.session_rows(accepted(spark, sf_dir)).select("orch_address", "session_key")
     paid = envelopes.byoc_payments(envelopes.route(envelopes.with_raw_columns(envelopes.from_orders(orders(spark, sf_dir)), _ORG))[0])
     return supply.provider_profile(envelopes.capabilities(good), envelopes.discovery(good), streams, paid)
-
-
-@query(f"{_N} SELECT row_id FROM (SELECT *, row_number() OVER (PARTITION BY addr ORDER BY ms DESC) AS rn FROM n) WHERE rn = 1 AND s % 3 <> 0")
-def q15_current_snapshots(spark, sf_dir):
-    own = latest.latest_rows(snapshots(spark, sf_dir), ["orch_address"], [F.desc("event_ts"), F.desc("row_id")])
-    return own.where(F.size("hardware") > 0).select("row_id")

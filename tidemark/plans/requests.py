@@ -190,11 +190,6 @@ def _jobs(spark, sf_dir) -> DataFrame:
     return sessions.job_facts(envelopes.byoc_jobs(raw(spark, sf_dir)))
 
 
-@query(f"{_JOBS} SELECT 'all' AS family, count(*) AS jobs, count(*) FILTER (WHERE ok_last) AS succeeded, round(count(*) FILTER (WHERE ok_last) / count(*), 6) AS success_rate, round(sum(dur) / count(*), 4) AS avg_duration_ms FROM f")
-def q9_jobs_by_pipeline(spark, sf_dir):
-    return pages.job_summary(_jobs(spark, sf_dir).withColumn("family", F.lit("all")), ["family"])
-
-
 @query(f"{_JOBS} SELECT capability, count(*) AS jobs, count(*) FILTER (WHERE ok_last) AS succeeded, round(count(*) FILTER (WHERE ok_last) / count(*), 6) AS success_rate, round(sum(dur) / count(*), 4) AS avg_duration_ms FROM f GROUP BY 1")
 def q10_jobs_by_capability(spark, sf_dir):
     return pages.job_summary(_jobs(spark, sf_dir), ["capability"])
@@ -288,14 +283,6 @@ def c9_unserved_demand(spark, sf_dir):
     return rows.withColumn("alert", F.col("rate") > 0.19)
 
 
-@query("SELECT 'b' AS layer, 'y' AS \"table\", (SELECT CAST(count(*) AS BIGINT) FROM orders) AS left_sum, CAST(NULL AS BIGINT) AS right_sum UNION ALL SELECT 'a', 'x', (SELECT CAST(count(*) AS BIGINT) FROM orders), (SELECT CAST(count(*) AS BIGINT) FROM customer)")
-def c16_layer_diff(spark, sf_dir):
-    count = lambda t: table(spark, sf_dir, t).agg(F.count("*").alias("checksum"))
-    report = lambda rows: reduce(DataFrame.unionByName, (count(t).select(F.lit(layer).alias("layer"), F.lit(name).alias("table"), "checksum") for layer, name, t in rows))
-    a = report([("a", "w", "nation"), ("a", "x", "orders"), ("b", "y", "orders")])
-    return quality.layer_diff(a, report([("a", "w", "nation"), ("a", "x", "customer")]))
-
-
 _RUNS = "WITH r AS (SELECT *, date_trunc('year', o_orderdate) AS y, EXTRACT(year FROM o_orderdate) % 2 = 0 AS again FROM orders)"
 
 

@@ -277,9 +277,10 @@ def q8_jobs_overview(spark, sf_dir):
     return rows.groupBy(kind.alias("kind")).agg(F.count("*").alias("n"), F.count_distinct(F.get_json_object("data", "$.stream_id")).alias("streams"))
 
 
-@query(f"{_RAW} SELECT 'm' || (user_id % 7) AS pipeline, count(*) AS n, CAST(sum(CAST(floor(value * 100) AS BIGINT)) AS DECIMAL(30,0))::VARCHAR AS total_wei FROM r WHERE k = 7 GROUP BY 1")
+@query(f"{_RAW} SELECT 'm' || (user_id % 7) AS pipeline, count(*) AS n, CAST(sum(CAST(floor(value * 100) AS BIGINT)) AS DECIMAL(30,0))::VARCHAR AS total_wei, count(DISTINCT user_id % 13) AS senders, count(DISTINCT event_id % 17) AS recipients FROM r WHERE k = 7 GROUP BY 1")
 def i5_payment_profile(spark, sf_dir):
-    return envelopes.payments(accepted(spark, sf_dir)).groupBy(F.col("pipeline_hint").alias("pipeline")).agg(F.count("*").alias("n"), F.sum("face_value_wei").cast("string").alias("total_wei"))
+    paid = envelopes.payments(accepted(spark, sf_dir)).groupBy(F.col("pipeline_hint").alias("pipeline"))
+    return paid.agg(F.count("*").alias("n"), F.sum("face_value_wei").cast("string").alias("total_wei"), F.count_distinct("sender").alias("senders"), F.count_distinct("recipient").alias("recipients"))
 
 
 _STREAMS = f"""{_RAW}, e AS (SELECT 's' || user_id AS stream_id, 'r' || strftime(ts, '%Y%m%d') AS request_id, ms, CAST(event_id AS VARCHAR) AS eid, k < 4 AS trace, k BETWEEN 4 AND 6 AS status, CASE WHEN event_id % 3 = 0 THEN '0x' || lpad(lower(to_hex(event_id % 17)), 40, '0') ELSE '' END AS addr, CASE WHEN event_type = 'error' THEN 'OFFLINE' ELSE 'ONLINE' END AS state, CASE WHEN event_type = 'error' AND event_id % 2 = 0 THEN 'ICE connection state failed' WHEN event_type = 'error' THEN 'decoder broke' END AS err, value FROM r WHERE (k < 4 AND t < 10) OR k BETWEEN 4 AND 6),
@@ -310,8 +311,7 @@ def c17_rollup_bounds(spark, sf_dir):
     return table(spark, sf_dir, "lineitem").groupBy("l_returnflag", "l_linestatus").agg(F.count_if(~F.col("l_discount").between(0, 1)).alias("ratio_out"), F.count_if(F.col("l_tax") > F.col("l_discount")).alias("order_broken"), F.count_if(F.col("l_quantity").isNull()).alias("missing"))
 
 
-@query("WITH m AS (SELECT max(ts) z FROM events) SELECT event_type, epoch_us(any_value(z)) - epoch_us(max(ts)) AS lag_us FROM events, m GROUP BY 1")
+@query("WITH e AS (SELECT *, ts + to_minutes(CAST(event_id % 20 AS BIGINT)) AS ing FROM events), m AS (SELECT max(ing) z FROM e) SELECT event_type, epoch_us(any_value(z)) - epoch_us(max(ts)) AS lag_us, epoch_us(any_value(z)) - epoch_us(max(ing)) AS ingest_lag_us, epoch_us(max(ing)) - epoch_us(max(ts)) AS watermark_lag_us, max(epoch_us(ing) - epoch_us(ts)) AS longest_us FROM e, m GROUP BY 1")
 def c11_freshness_lag(spark, sf_dir):
-    e = events(spark, sf_dir)
-    now = e.agg(F.max("ts").alias("z"))
-    return e.groupBy("event_type").agg(F.max("ts").alias("t")).crossJoin(F.broadcast(now)).select("event_type", (us("z") - us("t")).alias("lag_us"))
+    e = events(spark, sf_dir).withColumn("ing", F.col("ts") + F.make_interval(mins=F.col("event_id") % 20))
+    return quality.lags(e, ["event_type"], "ts", "ing", F.lit(e.agg(F.max("ing")).first()[0]))
