@@ -97,21 +97,29 @@ class _Grams:
         return at, key, which, n
 
 
+def _cut(k: np.ndarray, fine: int) -> list[tuple[int, int, int]]:
+    """(bucket, start, length) of the runs of sorted keys of one bucket and range of hashes."""
+    bucket = k >> np.uint64(48)
+    if fine > 1:
+        bucket = bucket * np.uint64(fine) + (((k & np.uint64((1 << 48) - 1)) >> np.uint64(16)) * np.uint64(fine) >> np.uint64(32))
+    return [(int(bucket[i]), int(i), int(size)) for i, size in zip(*_runs(bucket), strict=True)]
+
+
 ASKED = "bucket int, chunk int, gram_order int, grams binary, counts binary, n_words long"
 ANSWERED = "chunk int, bucket int, gram_order int, totals binary, n_words long"
 
 
-def asked(docs: DataFrame, orders: int | list[int], buckets: int) -> DataFrame:
-    """The distinct grams of an order, or of some, of each chunk with their counts, by bucket."""
+def asked(docs: DataFrame, orders: int | list[int], buckets: int, fine: int = 1) -> DataFrame:
+    """The distinct grams of an order, or of some, of each chunk with their counts, by bucket. Each of ``buckets`` is cut into ``fine`` ranges of hashes, which count as buckets."""
     orders = [orders] if isinstance(orders, int) else orders
 
     def run(key, table):
         grams, rows = _Grams(table["text"].to_pylist(), max(orders)), []
         for m in orders:
             _, k, _, n = grams.distinct(m, buckets)
-            for i, size in zip(*_runs(k >> np.uint64(48)), strict=True):
+            for b, i, size in _cut(k, fine):
                 part = np.ascontiguousarray(np.frombuffer(_pack(k[i : i + size]), np.uint8).reshape(-1, 6).T)  # equal high bytes side by side are small when compressed
-                rows.append((int(k[i] >> np.uint64(48)), key[0].as_py(), m, part.tobytes(), n[i : i + size].astype("<u4").tobytes(), 0 if rows else int(grams.sizes.sum())))
+                rows.append((b, key[0].as_py(), m, part.tobytes(), n[i : i + size].astype("<u4").tobytes(), 0 if rows else int(grams.sizes.sum())))
         kinds = (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int64())
         columns = list(zip(*rows, strict=True)) or [()] * 6
         return pa.table([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], [x.split()[0] for x in ASKED.split(", ")])
@@ -146,11 +154,13 @@ def score(docs: DataFrame, *, order: int = 2, id_col: str = "doc_id", text_col:
     """
     docs = documents(docs, id_col, text_col).where("doc_id is not null")
     n_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = min(1 << 16, max(LEAST, n_bytes // bucket))
+    # A key has room for 2**16 buckets; beyond that each is cut into ranges, so that groups don't grow with the input.
+    fine = -(-(n_bytes // bucket) // (1 << 16)) or 1
+    buckets = max(LEAST, n_bytes // bucket // fine)
     docs = docs.withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.lit(max(LEAST, n_bytes // chunk))).cast("int"))
     # The longest grams by themselves: the shuffle files of one part are gone before the next.
     parts = [list(range(1, order)), [order]] if order > 1 else [[1]]
-    first, *rest = [settle(answered(asked(docs, part, buckets)), "answers") for part in parts]
+    first, *rest = [settle(answered(asked(docs, part, buckets, fine)), "answers") for part in parts]
     answers = first.unionByName(*rest) if rest else first
     total = answers.where("chunk < 0 and gram_order = 1").agg(F.sum("n_words")).first()[0] or 0
 
