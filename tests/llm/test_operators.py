@@ -457,3 +457,32 @@ def test_paraphrases_of_rare_words(spark, changed, rarest):
     bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id long, text string")
     got = {(x.doc_id, x.item_id) for x in decontaminate.contaminated(table, bench).collect()}
     assert len(want) >= 30 and len(got & want) >= 0.9 * len(want) and not [d for d, _ in got if d >= 1_000]
+
+
+def test_a_line_of_every_document(spark):
+    """One line in all documents: rows of its slices are merged in the tasks that read them, and the result is right."""
+    r = random.Random(8)
+    line = "the same boilerplate line stands in every one of these documents, whatever else they say."
+    texts = {i: "".join(r.choice("abcdefghij ") for _ in range(r.randint(60, 200))) + line + "".join(r.choice("klmnop ") for _ in range(80)) for i in range(400)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(8)
+    got = {x.doc_id: x for x in repeats.remove_repeats(docs).collect()}
+    for i, t in texts.items():
+        gone = bytearray(len(t))
+        if i:
+            at = t.index(line)
+            gone[at : at + len(line)] = b"\1" * len(line)
+        assert got[i].n_removed == sum(gone) or i and got[i].n_removed >= len(line)  # a byte beside the line may agree by chance
+    parts = spark.createDataFrame([(1, b"s" * 60, i, i + 1, 5, 6) for i in range(500)] + [(2, b"t" * 60, 7, 7, 8, 9)], "h long, slice binary, doc_id long, last long, key long, more int").coalesce(2)
+    assert sorted(tuple(x) for x in repeats.combined(parts).groupBy("h").agg(F.min("doc_id"), F.max("last"), F.count("*")).collect())[0][:3] == (1, 0, 500)
+    assert repeats.combined(parts).count() <= 4
+
+
+@pytest.mark.parametrize("fine", [1, 3, 50])
+def test_ranges_of_buckets(fine):
+    """Buckets cut into ranges of hashes hold the same keys in the same order, each range once."""
+    rng = np.random.default_rng(4)
+    k = np.unique((rng.integers(0, 9, 5_000).astype(np.uint64) << np.uint64(48)) | rng.integers(0, 1 << 48, 5_000).astype(np.uint64))
+    cuts = language_model._cut(k, fine)
+    assert [i for _, i, _ in cuts] == np.cumsum([0, *(n for _, _, n in cuts)])[:-1].tolist() and sum(n for _, _, n in cuts) == len(k)
+    assert [b for b, _, _ in cuts] == sorted({b for b, _, _ in cuts}) and max(b for b, _, _ in cuts) < 9 * fine
+    assert all(set((k[i : i + n] >> np.uint64(48)).tolist()) == {b // fine} for b, i, n in cuts)

@@ -156,7 +156,8 @@ def answered_anchors(asks: DataFrame, hot: int) -> DataFrame:
 def slices(docs: DataFrame, answers: DataFrame, length: int, q: int, buckets: int) -> DataFrame:
     """Distinct slices of each chunk with the smallest and largest document, and where slices stand.
 
-    Rows of the first kind have h, slice, doc_id (smallest), last; those of the second key (of the slice), doc_id, _t, at.
+    Rows of the first kind have h, slice, doc_id (smallest), last; those of the second key and more (96 bits that name
+    the slice, so that two of some 10**12 slices hardly share a name), doc_id, _t, at.
     """
 
     def run(key, table, answers):
@@ -168,7 +169,7 @@ def slices(docs: DataFrame, answers: DataFrame, length: int, q: int, buckets: in
         for b, x in zip(answers["bucket"].to_pylist(), answers["states"].to_pylist(), strict=True):
             state[order[cuts[b] : cuts[b + 1]]] = np.frombuffer(x, np.uint8)
         seen: dict[bytes, list[int]] = {}
-        keys, ids, ties, ats = [], [], [], []
+        keys, mores, ids, ties, ats = [], [], [], [], []
         for doc, tie, text, (start, end, a) in zip(table["doc_id"].to_pylist(), table["_t"].to_pylist(), texts, each, strict=True):
             known = state[np.searchsorted(h, _short(a))] if len(a) else np.empty(0, np.uint8)
             good = known != ALONE
@@ -188,22 +189,23 @@ def slices(docs: DataFrame, answers: DataFrame, length: int, q: int, buckets: in
                 part = raw[s : e + length - 1]
                 own = seen.get(part)
                 if own is None:
-                    name = xxhash.xxh3_64_intdigest(part) - (1 << 63)
-                    seen[part] = own = [name if many else g - (1 << 63), doc, doc, name]
+                    long_name = xxhash.xxh3_128_intdigest(part)
+                    name, more = (long_name >> 64) - (1 << 63), (long_name & 0xFFFFFFFF) - (1 << 31)
+                    seen[part] = own = [name if many else g - (1 << 63), doc, doc, name, more]
                 elif doc < own[1]:
                     own[1] = doc
                 elif doc > own[2]:
                     own[2] = doc
-                keys.append(own[3]), ids.append(doc), ties.append(tie), ats.append(s)
+                keys.append(own[3]), mores.append(own[4]), ids.append(doc), ties.append(tie), ats.append(s)
         n, m, long = len(seen), len(keys), pa.int64()
-        hs, lo, hi, own = zip(*seen.values(), strict=True) if n else ((), (), (), ())
+        hs, lo, hi, own, more = zip(*seen.values(), strict=True) if n else ((), (), (), (), ())
         null = lambda k, t: pa.nulls(k, t)
-        names = ["h", "slice", "doc_id", "last", "key", "_t", "at"]
-        one = pa.table([pa.array(hs, long), pa.array(list(seen), pa.binary()), pa.array(lo, long), pa.array(hi, long), pa.array(own, long), null(n, long), null(n, pa.int32())], names)
-        two = pa.table([null(m, long), null(m, pa.binary()), pa.array(ids, long), null(m, long), pa.array(keys, long), pa.array(ties, long), pa.array(ats, pa.int32())], names)
+        names = ["h", "slice", "doc_id", "last", "key", "more", "_t", "at"]
+        one = pa.table([pa.array(hs, long), pa.array(list(seen), pa.binary()), pa.array(lo, long), pa.array(hi, long), pa.array(own, long), pa.array(more, pa.int32()), null(n, long), null(n, pa.int32())], names)
+        two = pa.table([null(m, long), null(m, pa.binary()), pa.array(ids, long), null(m, long), pa.array(keys, long), pa.array(mores, pa.int32()), pa.array(ties, long), pa.array(ats, pa.int32())], names)
         return pa.concat_tables([one, two])
 
-    return docs.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(run, "h long, slice binary, doc_id long, last long, key long, _t long, at int")
+    return docs.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(run, "h long, slice binary, doc_id long, last long, key long, more int, _t long, at int")
 
 
 def _segment_minima(values: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -345,38 +347,64 @@ def may_share(strings: list[bytes], anchors: np.ndarray, length: int, q: int) ->
     return out
 
 
-RUNS = "key long, runs array<struct<a:int, b:int, doc:long>>"
+RUNS = "key long, more int, runs array<struct<a:int, b:int, doc:long>>"
+
+
+_MERGED = {"doc_id": "min", "last": "max", "key": "min", "more": "min"}
+
+
+def _merged(table: pa.Table) -> pa.Table:
+    """One row for each slice."""
+    out = table.group_by(["h", "slice"]).aggregate(list(_MERGED.items()))
+    return out.select(["h", "slice", *(f"{c}_{f}" for c, f in _MERGED.items())]).rename_columns(["h", "slice", *_MERGED])
+
+
+def combined(parts: DataFrame, size: int = 16 << 20) -> DataFrame:
+    """Rows of slices with those of one slice merged within a task, some ``size`` bytes at a time: a line that stands in every chunk goes on once a task, not once a chunk."""
+    schema = "h long, slice binary, doc_id long, last long, key long, more int"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            if sum(b.nbytes for b in held) >= size:
+                merged = _merged(pa.Table.from_batches(held))
+                yield from merged.to_batches()
+                held = []
+        if held:
+            yield from _merged(pa.Table.from_batches(held)).to_batches()
+
+    return parts.select("h", "slice", "doc_id", "last", "key", "more").mapInArrow(run, schema)
 
 
 def smallest_by_slice(parts: DataFrame, length: int, q: int, groups: int) -> DataFrame:
-    """(key, runs) of slices: windows a..b (b included) first stand in ``doc``. Slices whose windows stand in one document only are left out."""
+    """(key, more, runs) of slices: windows a..b (b included) first stand in ``doc``. Slices whose windows stand in one document only are left out."""
 
     def run(key, table):
-        table = table.group_by(["h", "slice"]).aggregate([("doc_id", "min"), ("last", "max"), ("key", "min")])
-        table = table.sort_by([("h", "ascending"), ("slice", "ascending")])
-        h, docs, last, keys = (table[c].to_numpy() for c in ("h", "doc_id_min", "last_max", "key_min"))
+        table = _merged(table).sort_by([("h", "ascending"), ("slice", "ascending")])
+        h, docs, last, keys, mores = (table[c].to_numpy() for c in ("h", "doc_id", "last", "key", "more"))
         texts = table["slice"].to_pylist()
         same = h[1:] == h[:-1]
         many = np.flatnonzero(np.r_[False, same] | np.r_[same, False])
         if len(many):
             many = many[may_share([texts[i] for i in many], h[many].view(np.uint64) ^ np.uint64(1 << 63), length, q)]
-        out_keys, out_runs = [], []
+        out_keys, out_mores, out_runs = [], [], []
         alone = np.ones(len(h), bool)
         alone[many] = False
         for i in np.flatnonzero(alone & (docs < last)).tolist():
-            out_keys.append(keys[i])
+            out_keys.append(keys[i]), out_mores.append(mores[i])
             out_runs.append([{"a": 0, "b": len(texts[i]) - length, "doc": docs[i]}])
         if len(many):
             for i, least in zip(many.tolist(), smallest_documents([texts[i] for i in many], docs[many], length), strict=True):
                 cut = np.flatnonzero(np.diff(least)) + 1
                 spans = [{"a": a, "b": b - 1, "doc": d} for a, b, d in zip([0, *cut.tolist()], [*cut.tolist(), len(least)], least[np.r_[0, cut]].tolist(), strict=True) if d < last[i]]
                 if spans:
-                    out_keys.append(keys[i])
+                    out_keys.append(keys[i]), out_mores.append(mores[i])
                     out_runs.append(spans)
         kind = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32()), ("doc", pa.int64())]))
-        return pa.table([pa.array(out_keys, pa.int64()), pa.array(out_runs, kind)], ["key", "runs"])
+        return pa.table([pa.array(out_keys, pa.int64()), pa.array(out_mores, pa.int32()), pa.array(out_runs, kind)], ["key", "more", "runs"])
 
-    return parts.select("h", "slice", "doc_id", "last", "key", F.pmod("h", F.lit(groups)).alias("_g")).groupBy("_g").applyInArrow(run, RUNS)
+    return combined(parts).withColumn("_g", F.pmod("h", F.lit(groups))).groupBy("_g").applyInArrow(run, RUNS)
 
 
 def remove_repeats(docs: DataFrame, *, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -411,7 +439,7 @@ def remove_repeats(docs: DataFrame, *, length: int = LENGTH, id_col: str = "doc_
     discard(stored, answers, per_text)
     distinct = parts.where("slice is not null")
     runs = smallest_by_slice(distinct, length, q, max(LEAST, distinct.count() // SLICES))
-    spans = parts.where("slice is null").select("key", "doc_id", "_t", "at").join(runs, "key").select("doc_id", "_t", "at", F.explode("runs").alias("r")).where("r.doc < doc_id")
+    spans = parts.where("slice is null").select("key", "more", "doc_id", "_t", "at").join(runs, ["key", "more"]).select("doc_id", "_t", "at", F.explode("runs").alias("r")).where("r.doc < doc_id")
     spans = spans.groupBy("doc_id", "_t").agg(F.collect_list(F.struct((F.col("at") + F.col("r.a")).alias("s"), (F.col("at") + F.col("r.b") + length).alias("e"))).alias("spans"))
     cuts = settle(spans.withColumn("copy", F.lit(False)).unionByName(copies.select("doc_id", "_t", F.array().cast("array<struct<s:int,e:int>>").alias("spans"), F.lit(True).alias("copy"))), "cuts")
 
