@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import bidiagonal, manifest, naming, queries, whitening
+from tidemark.llm import bidiagonal, licenses, manifest, naming, queries, whitening
 
 SF = "/root/testdata/sf0.001"
 
@@ -202,3 +202,27 @@ def test_whitening_of_odd_rows(spark):
 def test_deviations_beyond_a_long():
     x = np.array([[3_000_000, 0], [1, 2]], np.int64)
     assert whitening.deviations(x, 10**6, np.array([0, 0])).to_pylist() == [None, 10**12 + 4 * 10**12]
+
+
+def test_notices_with_edits():
+    """Notices with as many edits as they may have are found, at the words where they stand; exact phrases are told from brute force."""
+    r = random.Random(12)
+    word = lambda: "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randint(2, 9)))
+    found = tried = 0
+    for notice, (label, k) in licenses.NOTICES.items():
+        for _ in range(25):
+            edits, text = r.randint(0, k), list(notice)
+            for _ in range(edits):
+                at = r.randrange(1, len(text) - 1)
+                kind = r.choice("sid")
+                text[at : at + (kind != "i")] = [] if kind == "d" else [r.choice("abcxyz")]
+            before = [word() for _ in range(r.randint(0, 30))]
+            n, spans = licenses.scan_text(" ".join([*before, "".join(text), *(word() for _ in range(r.randint(0, 30)))]))
+            tried += 1
+            found += any(s["label"] == label and abs(s["first_word"] - len(before)) <= 1 and s["edits"] <= k for s in spans)
+    assert tried >= 100 and found >= 0.98 * tried
+    for _ in range(300):
+        own = [r.choice([*"abc", "under", "the", "mit", "license", "apache", "version", "2", "cc", "by", "nc"]) for _ in range(r.randint(0, 60))] + r.choice([[], "under the mit license".split(), "apache license version 2".split(), "cc by nc".split()])
+        want = sorted((label, i) for phrase, label in licenses.PHRASES.items() for i in range(len(own)) if own[i : i + len(phrase.split())] == phrase.split())
+        n, spans = licenses.scan_text(r.choice([" ", ".\n"]).join(own).upper())
+        assert n == len(own) and sorted((s["label"], s["first_word"]) for s in spans if s["exact"]) == want

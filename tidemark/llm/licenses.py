@@ -83,7 +83,11 @@ def scan_text(text: str | None, phrases: dict = PHRASES, notices: dict = NOTICES
 
 
 def scan(docs: DataFrame, phrases: dict | None = None, notices: dict | None = None) -> DataFrame:
-    """(doc_id, n_words, spans, score) of every row, whole texts. score: the best of 1 - edits / length over the spans, 0 without any. Null and empty texts have no words and no spans; repeated rows are scanned each."""
+    """(doc_id, n_words, spans, score) of every row, whole texts. score: the best of 1 - edits / length over the spans, 0 without any.
+
+    Null and empty texts have no words and no spans; null ids stay null and repeated rows are scanned each. An empty
+    table gives no rows. Only id and text are read: other columns may have any names.
+    """
     own, fuzzy = phrases or PHRASES, notices or NOTICES
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:

@@ -47,7 +47,12 @@ def features(text: str | None) -> list[float]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, label_col: str = "quality", max_rows: int = 20_000) -> boost.AdditiveModel:
-    """Fit on at most ``max_rows`` labelled rows, taken in the order of a hash of their id. Rows with null labels are no labelled rows; without labels of both kinds, scores are the smoothed base rate."""
+    """Fit on at most ``max_rows`` labelled rows, taken in the order of a hash of their id.
+
+    Rows with null labels or ids are no labelled rows, and of an id that stands more than once one row counts. Without
+    labels of both kinds, as with an empty table on either side, scores are the smoothed base rate. Only id, text and
+    label are read: other columns may have any names.
+    """
     known = labels.where(F.col(label_col).isNotNull() & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label"))
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
 

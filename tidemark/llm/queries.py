@@ -84,7 +84,17 @@ def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.components(read(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_fingerprint, op3_pack, op4_licenses, op5_minhash, op6_lm_scores, op7_toxicity, op8_token_files, op9_decontaminate, op10_suffix_dedup, op11_block_naming, op12_manifest, op13_whitening)}
+def licenses_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of ``op4_licenses`` that its exact phrases alone decide, for comparison with SQL."""
+    return op4_licenses(spark, sf_dir).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels")
+
+
+def fingerprint_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The exact columns of ``op2_fingerprint``, for comparison with SQL."""
+    return op2_fingerprint(spark, sf_dir).select("doc_id", "n_chars", "edited_sha256")
+
+
+QUERIES = {f.__name__: f for f in (licenses_base, fingerprint_texts, op1_quality, op2_fingerprint, op3_pack, op4_licenses, op5_minhash, op6_lm_scores, op7_toxicity, op8_token_files, op9_decontaminate, op10_suffix_dedup, op11_block_naming, op12_manifest, op13_whitening)}
 #: DuckDB SQL by query, where SQL can express it and ends on whole tables.
 ORACLE_SQL: dict[str, str] = {
     "op5_minhash": r"""WITH RECURSIVE w AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
@@ -99,4 +109,9 @@ SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, coalesce(m.component_id
     "op11_block_naming": r"""WITH c AS (SELECT doc_id, length(coalesce(text, '')) AS n, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256 FROM documents),
 r AS (SELECT *, row_number() OVER w AS rn, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size FROM c WINDOW w AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id NULLS LAST))
 SELECT doc_id, keep_id, group_size, rn = 1 AS kept, text_sha256 FROM r""",
+    "licenses_base": r"""WITH w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+p AS (SELECT doc_id, len(w) AS n, list_filter(range(0, len(w)), lambda i: w[i + 1:i + 4] = ['under', 'the', 'mit', 'license']) AS m, list_filter(range(0, len(w)), lambda i: w[i + 1:i + 4] = ['apache', 'license', 'version', '2']) AS a, list_filter(range(0, len(w)), lambda i: w[i + 1:i + 3] = ['cc', 'by', 'nc']) AS c FROM w)
+SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(len(m) + len(a) + len(c) AS BIGINT) AS n_base, least(list_min(m), list_min(a), list_min(c)) AS first_word, greatest(list_max(m), list_max(a), list_max(c)) AS last_word, concat_ws(',', CASE WHEN len(a) > 0 THEN 'apache-2' END, CASE WHEN len(c) > 0 THEN 'cc-by-nc' END, CASE WHEN len(m) > 0 THEN 'mit' END) AS base_labels FROM p""",
+    "fingerprint_texts": r"""WITH n AS (SELECT doc_id, coalesce(text, '') AS t, coalesce(lead(coalesce(text, '')) OVER (ORDER BY doc_id DESC), first_value(coalesce(text, '')) OVER (ORDER BY doc_id DESC)) AS u FROM documents)
+SELECT doc_id, length(t) AS n_chars, sha256(left(t, length(t) - length(t) // 2) || left(u, length(t) // 2)) AS edited_sha256 FROM n""",
 }

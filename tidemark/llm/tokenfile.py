@@ -141,4 +141,9 @@ def read_files(files: DataFrame) -> DataFrame:
 
 
 def round_trip(docs: DataFrame, tokenizer: str, *, end_id: int = 0, folder: str | None = None) -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32) of every row, written to files in ``folder`` and read back from them.
+
+    A null or empty text is the end id alone; repeated rows are documents of their own and null ids come first. An empty
+    table gives no files and no rows. Only id and text are read: other columns may have any names.
+    """
     return read_files(write_files(docs, tokenizer, folder or scratch(docs.sparkSession, "token-ids"), end_id=end_id))
