@@ -145,7 +145,8 @@ def demand_hourly(hours: DataFrame, attribution: DataFrame) -> DataFrame:
 
 def pipeline_usage(demand: DataFrame, limit: int) -> DataFrame:
     """The pipelines of most sessions with minutes and frame rate, and the same of each of their models, nested; every rate from sums."""
-    models = demand.where("pipeline <> ''").groupBy("pipeline", "model").agg(*(F.sum(c).alias(c) for c in ("sessions", "minutes", "output_fps_sum", "status_samples")))
+    exact = demand.withColumns({"output_fps_sum": F.col("output_fps_sum").cast("decimal(28,6)"), "_ms": F.round(F.col("minutes") * 60000).cast("long")})
+    models = exact.where("pipeline <> ''").groupBy("pipeline", "model").agg(*(F.sum(c).alias(c) for c in ("sessions", "_ms", "output_fps_sum", "status_samples"))).withColumn("minutes", F.col("_ms") / F.lit(60000.0))
     each = F.struct((-F.col("sessions")).alias("_o"), "model", F.col("minutes"), F.col("sessions"), expr.ratio(F.col("output_fps_sum"), F.col("status_samples")).alias("avg_fps"))
     out = models.groupBy("pipeline").agg(F.sum("sessions").alias("sessions"), F.sum("minutes").alias("minutes"), expr.ratio(F.sum("output_fps_sum"), F.sum("status_samples")).alias("avg_fps"), F.array_sort(F.collect_list(each)).alias("models"))
     return out.orderBy(F.desc("sessions"), "pipeline").limit(limit)

@@ -213,12 +213,12 @@ def a10_demand_hourly(spark, sf_dir):
     return out.select(ms("window_start").alias("hour_ms"), "gateway", "pipeline", "model", "sessions", "success_sessions", "no_orch_sessions", "excused_sessions", "swapped_sessions", "zero_output_sessions", "minutes", "status_samples", "output_fps_sum", F.round("success_rate", 6).alias("success_rate"), F.round("avg_output_fps", 6).alias("avg_output_fps"))
 
 
-@query(f"""{_DEMAND}, m AS (SELECT gateway AS pipeline, model, CAST(sum(n) AS BIGINT) AS n, sum(session_ms) / CAST(60000 AS DOUBLE) AS mins, sum(fps_sum) AS f, sum(smp) AS s FROM dm WHERE gateway <> '' GROUP BY 1, 2)
-SELECT pipeline, CAST(sum(n) AS BIGINT) AS sessions, round(sum(mins), 4) AS minutes, round(sum(f) / sum(s), 4) AS avg_fps, string_agg(model || ':' || n || ':' || CAST(CAST(mins AS DECIMAL(20, 2)) AS VARCHAR) || ':' || CAST(CAST(f / s AS DECIMAL(20, 2)) AS VARCHAR), ',' ORDER BY n DESC, model) AS models FROM m GROUP BY 1 ORDER BY sessions DESC, pipeline LIMIT 2""")
+@query(f"""{_DEMAND}, m AS (SELECT gateway AS pipeline, model, CAST(sum(n) AS BIGINT) AS n, CAST(sum(session_ms) AS BIGINT) / CAST(60000 AS DOUBLE) AS mins, CAST(sum(CAST(fps_sum AS DECIMAL(28, 6))) AS DOUBLE) AS f, sum(smp) AS s FROM dm WHERE gateway <> '' GROUP BY 1, 2)
+SELECT pipeline, CAST(sum(n) AS BIGINT) AS sessions, round(sum(mins), 4) AS minutes, round(sum(f) / sum(s), 4) AS avg_fps, string_agg(model || ':' || n || ':' || CAST(CAST(floor(mins) AS BIGINT) AS VARCHAR) || ':' || CAST(CAST(floor(f / s * 1000 + 0.0005) AS BIGINT) AS VARCHAR), ',' ORDER BY n DESC, model) AS models FROM m GROUP BY 1 ORDER BY sessions DESC, pipeline LIMIT 2""")
 def q2_dashboard_pipelines(spark, sf_dir):
-    """The two busiest pipelines (gateways stand for them, as these tables know one pipeline) with their models nested."""
+    """The two busiest pipelines (gateways stand for them, as these tables know one pipeline) with their models nested: name, sessions, whole minutes, frames a thousand seconds."""
     out = evidence.pipeline_usage(demand(spark, sf_dir).withColumn("pipeline", F.col("gateway")), 2)
-    text = F.transform("models", lambda m: F.concat_ws(":", m.model, m.sessions.cast("string"), m.minutes.cast("decimal(20,2)").cast("string"), m.avg_fps.cast("decimal(20,2)").cast("string")))
+    text = F.transform("models", lambda m: F.concat_ws(":", m.model, m.sessions.cast("string"), F.floor(m.minutes).cast("string"), F.floor(m.avg_fps * 1000 + 0.0005).cast("string")))
     return out.select("pipeline", "sessions", F.round("minutes", 4).alias("minutes"), F.round("avg_fps", 4).alias("avg_fps"), F.array_join(text, ",").alias("models"))
 
 
