@@ -172,3 +172,20 @@ def test_stages_against_brute_force(spark):
     # All that is left is packed.
     packed = stages["packing"](spark, docs.where(F.col("doc_id").isin(list(clean))), SF)
     assert {r.doc_id for r in packed.collect()} == set(clean)
+
+
+@pytest.mark.parametrize("name", ["toxicity", "near duplicates", "repeated passages", "benchmark", "packing"])
+def test_stages_of_odd_rows(spark, odd, name):
+    """Columns that clash with those of a stage change nothing; null ids and texts stay, and an empty table gives no rows."""
+    import corpus_pipeline
+
+    stage = dict(corpus_pipeline.STAGES)[name]
+    plain = odd.select(corpus_pipeline.COLUMNS)
+    rows = lambda d: sorted(str(tuple(r)) for r in d.select(sorted(d.columns)).collect())
+    got = stage(spark, odd, SF)
+    if name != "packing":
+        assert got.columns == corpus_pipeline.COLUMNS and rows(got) == rows(stage(spark, plain, SF))
+        assert None in {r.doc_id for r in got.collect()} and None in {r.text for r in got.collect()}
+    else:
+        assert {r.doc_id for r in got.collect()} == {r.doc_id for r in odd.select("doc_id").collect()}
+    assert stage(spark, odd.limit(0), SF).count() == 0
