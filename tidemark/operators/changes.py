@@ -51,20 +51,28 @@ def tail_artifacts(df: DataFrame, keys: list[str], hour: str, few: int = 3) -> D
     return df.withColumn("is_tail_artifact", F.coalesce(own & prev & here, F.lit(False)).cast("int"))
 
 
-def runs_in_order(df: DataFrame, keys: list[str], stamp: str, ident: str, value: str, *, stretch_s: int = 3_600) -> DataFrame:
-    """Rows with a non-blank ``value`` that differs from the one before it in its key, in the order of stamp and ident: the first row of each run.
+def run_starts(df: DataFrame, keys: list[str], stamp: str, ident: str, values: list[str], *, stretch_s: int = 3_600) -> DataFrame:
+    """Rows with ``<value>_starts``: whether the value isn't blank and differs from the last one before it in the row's key, in the order of stamp and ident.
 
-    Rows of a key meet a stretch of time at a time, and each stretch hands its last value to the next one: as in as-of
+    Rows of a key meet a stretch of time at a time, and each stretch hands its last values to the next ones: as in as-of
     matches, no task holds all rows of a key. Null keys are a key.
     """
-    rows = df.where(F.coalesce(F.col(value), F.lit("")) != "").withColumn("_b", F.floor(F.unix_micros(stamp) / F.lit(stretch_s * 1_000_000)).cast("long"))
-    w = Window.partitionBy(*keys, "_b").orderBy(stamp, ident)
-    last = rows.groupBy(*keys, "_b").agg(F.max(F.struct(stamp, ident, value))[value].alias("_v"))
-    before = last.withColumn("_carried", F.lag("_v").over(Window.partitionBy(*keys).orderBy("_b"))).drop("_v")
-    own, other = rows.withColumn("_lag", F.lag(value).over(w)).alias("o"), before.alias("c")
+    own = lambda v: F.nullif(F.col(v), F.lit(""))
+    rows = df.withColumn("_b", F.floor(F.unix_micros(stamp) / F.lit(stretch_s * 1_000_000)).cast("long"))
+    before = Window.partitionBy(*keys, "_b").orderBy(stamp, ident).rowsBetween(Window.unboundedPreceding, -1)
+    placed = rows.withColumns({f"_lag_{v}": F.last(own(v), ignorenulls=True).over(before) for v in values})
+    ends = rows.groupBy(*keys, "_b").agg(*(F.max(F.when(own(v).isNotNull(), F.struct(stamp, ident, v)))[v].alias(f"_end_{v}") for v in values))
+    earlier = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select(*keys, "_b", *(F.last(f"_end_{v}", ignorenulls=True).over(earlier).alias(f"_carried_{v}") for v in values))
     on = reduce(lambda a, b: a & b, (F.col(f"o.{k}").eqNullSafe(F.col(f"c.{k}")) for k in [*keys, "_b"]))
-    out = own.join(other, on, "left").select("o.*", "c._carried").withColumn("_p", F.coalesce("_lag", "_carried"))
-    return out.where(F.col("_p").isNull() | (F.col("_p") != F.col(value))).drop("_b", "_lag", "_carried", "_p")
+    out = placed.alias("o").join(carried.alias("c"), on, "left").select("o.*", *(f"c._carried_{v}" for v in values))
+    starts = {f"{v}_starts": own(v).isNotNull() & ~F.coalesce(F.coalesce(f"_lag_{v}", f"_carried_{v}") == F.col(v), F.lit(False)) for v in values}
+    return out.withColumns(starts).select(*df.columns, *starts)
+
+
+def runs_in_order(df: DataFrame, keys: list[str], stamp: str, ident: str, value: str, *, stretch_s: int = 3_600) -> DataFrame:
+    """The first row of each run of a value in its key; blank values are passed over."""
+    return run_starts(df, keys, stamp, ident, [value], stretch_s=stretch_s).where(f"{value}_starts").drop(f"{value}_starts")
 
 
 def touched_by_snapshots(decisions: DataFrame, snapshots: DataFrame, keys: list[str], skew_s: int = 30) -> DataFrame:

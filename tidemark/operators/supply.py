@@ -99,22 +99,18 @@ def stream_profile(rows: DataFrame, payments: DataFrame, metrics: DataFrame) ->
     """
     keys = ["stream_id", "request_id"]
     named = lambda d: d.withColumns({k: F.coalesce(k, F.lit("")) for k in keys})
-    own = named(rows)
     trace, status = F.col("family") == "stream_trace", F.col("family") == "ai_stream_status"
-
-    def listed_runs(value: str, where: Column, name: str) -> DataFrame:
-        first = changes.runs_in_order(own.where(where), keys, "event_ts", "event_id", value)
-        at = F.array_sort(F.collect_list(F.struct("event_ts", "event_id", value)))
-        return first.groupBy(*keys).agg(F.transform(at, lambda x: x[value]).alias(name))
-
+    told = named(rows).withColumn("state", F.when(status, F.col("state")))  # only statuses tell a stream's state
+    own = changes.run_starts(told, keys, "event_ts", "event_id", ["orch_address", "state"])
+    listed_runs = lambda v: F.transform(F.array_sort(F.collect_list(F.when(F.col(f"{v}_starts"), F.struct("event_ts", "event_id", v)))), lambda x: x[v])
     fps = F.when(status, F.col("output_fps").cast("decimal(18,6)"))
     out = own.groupBy(*keys).agg(
         F.min(F.when(trace, F.col("event_ts"))).alias("first_ts"), F.max("event_ts").alias("last_row"), F.count_if(status).alias("fps_samples"), F.sum(fps).cast("double").alias("_fps"), F.coalesce(F.max(F.when(status, F.col("restart_count"))), F.lit(0)).alias("restart_count"),
-        F.max(F.when(status & (F.col("last_error") != ""), F.struct("event_ts", "event_id", "last_error")))["last_error"].alias("last_error"),
+        F.max(F.when(status & (F.col("last_error") != ""), F.struct("event_ts", "event_id", "last_error")))["last_error"].alias("last_error"), listed_runs("orch_address").alias("providers"), listed_runs("state").alias("states"),
     )
     lost = named(metrics).groupBy(*keys).agg(F.coalesce(F.sum("video_packets_lost"), F.lit(0)).alias("video_packets_lost"), F.max("event_ts").alias("last_metric"))
     paid = named(payments).groupBy(*keys).agg(F.count("*").alias("payments"), F.sum("face_value_wei").alias("paid_wei"))
-    for part in (listed_runs("orch_address", F.lit(True), "providers"), listed_runs("state", status, "states"), lost, paid):
+    for part in (lost, paid):
         out = out.join(part, keys, "full")
     empty = F.array().cast("array<string>")
     out = out.withColumns({"providers": F.coalesce("providers", empty), "states": F.coalesce("states", empty), "last_ts": F.greatest("last_row", "last_metric"), "avg_fps": expr.ratio(F.col("_fps"), F.col("fps_samples"))})
