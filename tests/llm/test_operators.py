@@ -135,6 +135,29 @@ def test_near_duplicates_in_blocks(spark, monkeypatch):
         assert {r.doc_id: r.component_id for r in neardup.groups(table, k=2).collect()} == want
 
 
+def test_rarest_shingles_keep_all_links(spark):
+    """Members of one star: all that are linked with another part stay, with any counts; those far from all others go."""
+    r = random.Random(11)
+    base, texts = [f"w{i}" for i in range(80)], {}
+    for i in range(120):
+        w = list(base)
+        for p in r.sample(range(80), r.choice((1, 2, 7, 20)) if i % 2 else 40):
+            w[p] = f"x{r.randint(0, 3)}-{p}" if i % 3 == 0 else f"x{i}-{p}"
+        texts[i] = " ".join(w)
+    name = {i: bytes([i]) for i in texts}
+    sets = {i: neardup.shingles(neardup.words(t), 2) for i, t in texts.items()}
+    linked = lambda a, b: 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])
+    must = {a for a in texts for b in texts if a % 7 != b % 7 and linked(a, b)}
+    members = spark.createDataFrame([(b"star", bytearray(name[i]), bytearray([i % 7])) for i in texts], "star binary, node binary, part binary")
+    table = spark.createDataFrame([(bytearray(name[i]), t) for i, t in texts.items()], "node binary, text string")
+    stay = {bytes(x.node)[0] for x in neardup.linkable(members, table, 2, 80).collect()}
+    assert must and must <= stay and len(stay) < 0.7 * len(texts), (len(must), len(stay))
+    hasher, counts = neardup.Hasher(2), np.array([r.randint(0, 9) for _ in range(neardup.CELLS)])
+    front = {i: set(neardup.rarest(hasher(t), counts, 80).tolist()) for i, t in texts.items()}
+    assert all(front[a] & front[b] for a in texts for b in texts if linked(a, b))
+    assert len(neardup.rarest(np.array([5], np.uint64), counts, 80)) == 1
+
+
 def test_language_model(rows, docs, empty):
     words = {i: neardup.words(t) for i, t in rows}
     pairs, single = Counter(), Counter()

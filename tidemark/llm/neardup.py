@@ -6,11 +6,14 @@ value of a bin chosen by hashing (bin, attempt). Bands of a signature name bucke
 candidate of the smallest one only, so candidates stay in proportion to members. Candidates are confirmed on whole
 sets. Documents of one bucket all stand in the star of its smallest one. Where the members of a star then belong to
 different components, they are compared with each other too, in blocks of bounded size inside tasks, which send on
-only the links that join components: no pairs are made, and no link between different components is lost.
+only the links that join components: no pairs are made, and no link between different components is lost. Of a star
+that fills more than a block, members meet only if one of their rarest shingles also stands in a member of another
+component: sets of the wanted similarity share one of these.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from functools import cache
 
 import numpy as np
@@ -26,6 +29,8 @@ BINS, ROWS = 128, 4
 FAN = 512
 #: Shingles in a block of members that are compared with those of another block.
 BLOCK = 200_000
+#: Cells in which shingles are counted to tell rare ones from frequent ones; a power of 2.
+CELLS = 1 << 18
 
 
 def words(text: str | None) -> list[bytes]:
@@ -146,8 +151,8 @@ def confirm(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFra
     return map_batches(both, run, "a binary, b binary")
 
 
-def joining_links(sets: list[np.ndarray], part: list, first: list[bool], whole: bool, percent: int) -> list[tuple[int, int]]:
-    """Links that join different parts, until none is left to join. Sets are sorted hashes.
+def joining_links(sets: list[np.ndarray], part: list, first: list[bool], whole: bool, percent: int, sure: Callable[[int, int], bool]) -> list[tuple[int, int]]:
+    """Links that join different parts, until none is left to join. Sets are sorted hashes; ``sure`` confirms a link on the sets themselves.
 
     ``first`` tells the block of each set; with ``whole`` there is one block, whose sets are all compared, otherwise
     sets of the one block are compared with those of the other.
@@ -173,24 +178,90 @@ def joining_links(sets: list[np.ndarray], part: list, first: list[bool], whole:
         at = np.repeat(start[t] - (np.cumsum(n[t]) - n[t]), n[t]) + np.arange(int(n[t].sum()))
         same = np.bincount(holders[at], minlength=m)
         for j in np.flatnonzero(other & (100 * same >= percent * (sizes + sizes[i] - same))).tolist():
-            if label[j] != label[i]:
+            if label[j] != label[i] and sure(i, j):
                 out.append((i, j))
                 label[label == label[j]] = label[i]
     return out
 
 
+def _cells(h: np.ndarray) -> np.ndarray:
+    return (h >> np.uint64(64 - (CELLS.bit_length() - 1))).astype(np.int64)
+
+
+def frequencies(texts: DataFrame, k: int) -> np.ndarray:
+    """Shingles in each of ``CELLS`` cells, over all rows; shingles of one cell count together."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher, n = Hasher(k), np.zeros(CELLS, np.int64)
+        for batch in batches:
+            for text in batch["text"].to_pylist():
+                np.add.at(n, _cells(hasher(text)), 1)
+        at = np.flatnonzero(n)
+        yield pa.record_batch([pa.array(at), pa.array(n[at])], ["cell", "n"])
+
+    out = np.zeros(CELLS, np.int64)
+    for r in texts.select("text").mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():  # at most CELLS rows
+        out[r.cell] = r.n
+    return out
+
+
+def rarest(h: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
+    """The rarest shingles of a set of sorted hashes, so many that any set of the wanted similarity has one of them among its own rarest.
+
+    Such sets have at least ``percent`` of each in common. So the common shingle that comes first by (count of its cell,
+    hash), an order that all sets share, is followed by that many but one in both.
+    """
+    return h[np.lexsort((h, counts[_cells(h)]))][: len(h) + percent * len(h) // -100 + 1]
+
+
+def linkable(members: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """(star, node) of the members (star, node, part) that may be linked with a member of another part of their star.
+
+    A member stays if one of its ``rarest`` shingles is one of another part's too. Shingle and star are named by one
+    hash; where different ones share a name, a member more stays.
+    """
+    rows = members.select("star", "node", "part").join(texts, "node")
+    counts = frequencies(rows, k)
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        hasher, keys = Hasher(k), []
+        for star, text in zip(batch["star"].to_pylist(), batch["text"].to_pylist(), strict=True):
+            own = rarest(hasher(text), counts, percent) ^ np.uint64(xxhash.xxh3_64_intdigest(star))
+            keys.append((own * np.uint64(0x9E3779B97F4A7C15)).view(np.int64))
+        return pa.record_batch([batch["star"], batch["node"], batch["part"], pa.array(keys, pa.list_(pa.int64()))], ["star", "node", "part", "keys"])
+
+    made = settle(map_batches(rows, run, "star binary, node binary, part binary, keys array<long>"), "rarest")
+    met = made.select("part", F.explode("keys").alias("key")).groupBy("key").agg(F.min("part").alias("least"), F.max("part").alias("most")).where("least <> most")
+    # A member is one number here, as it has many keys; two of the same number stay together.
+    member = F.xxhash64("star", "node").alias("member")
+    stay = made.select(member, F.explode("keys").alias("key")).join(met.select("key"), "key", "left_semi").select("member").distinct()
+    return made.select("star", "node", member).join(stay, "member", "left_semi").select("star", "node")
+
+
+def _tops(placed: DataFrame) -> DataFrame:
+    """(star, top, all, members, parts): the largest part of each star, its shingles, members and parts."""
+    per = placed.groupBy("star", "part").agg(F.sum("n").alias("n"), F.count("*").alias("m"))
+    return per.groupBy("star").agg(F.max(F.struct("n", "part")).alias("top"), F.sum("n").alias("all"), F.sum("m").alias("members"), F.count("*").alias("parts"))
+
+
 def between(stars: DataFrame, parts: DataFrame, sizes: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """Links (a, b) between members of one star that stand in different components.
 
     In a star, the members of the largest component needn't be compared with each other. They are dealt to blocks, the
-    rest to others, and each two blocks of which one is of the rest meet in a group of their own.
+    rest to others, and each two blocks of which one is of the rest meet in a group of their own. Stars of more shingles
+    than a block holds keep only their ``linkable`` members.
     """
     centre = stars.select(F.col("a").alias("star"), F.col("b").alias("node")).union(stars.select("a", "a").distinct())
     placed = centre.join(sizes, "node").join(parts, "node", "left").withColumn("part", F.coalesce("component", "node")).select("star", "node", "part", "n")
-    per = placed.groupBy("star", "part").agg(F.sum("n").alias("n"), F.count("*").alias("m"))
-    top = per.groupBy("star").agg(F.max(F.struct("n", "part")).alias("top"), F.sum("n").alias("all"), F.sum("m").alias("members"), F.count("*").alias("parts"))
+    # Two members of a star have been compared already.
+    mixed = _tops(placed).where("parts > 1 and members > 2").select("star", (F.col("all") > BLOCK).alias("wide"))
+    placed = settle(placed.join(mixed, "star"), "placed")
+    wide = placed.where("wide")
+    if wide.limit(1).count():
+        stay = settle(linkable(wide, texts, k, percent), "linkable")
+        placed = placed.where("not wide").unionByName(wide.join(stay, ["star", "node"], "left_semi"))
     blocks = lambda n: F.ceil(n / BLOCK).cast("int")
-    top = top.where("parts > 1 and members > 2").select("star", F.col("top.part").alias("big"), blocks(F.col("all") - F.col("top.n")).alias("rest"), blocks(F.col("top.n")).alias("bigs"))
+    top = _tops(placed).where("parts > 1").select("star", F.col("top.part").alias("big"), blocks(F.col("all") - F.col("top.n")).alias("rest"), blocks(F.col("top.n")).alias("bigs"))
     mixed = placed.join(top, "star").withColumn("in_big", F.col("part") == F.col("big"))
     deal = lambda n: F.pmod(F.xxhash64("node"), n).cast("int")
     mixed = mixed.withColumn("own", F.when(F.col("in_big"), F.col("rest") + deal(F.col("bigs"))).otherwise(deal(F.col("rest"))))
@@ -201,7 +272,13 @@ def between(stars: DataFrame, parts: DataFrame, sizes: DataFrame, texts: DataFra
         hasher = Hasher(k)
         whole, nodes = key[1].as_py() == key[2].as_py(), table["node"].to_pylist()
         first = [b == key[1].as_py() for b in table["own"].to_pylist()]
-        links = joining_links([hasher(t) for t in table["text"].to_pylist()], table["part"].to_pylist(), first, whole, percent)
+        texts = table["text"].to_pylist()
+
+        def sure(i: int, j: int) -> bool:
+            a, b = shingles(words(texts[i]), k), shingles(words(texts[j]), k)
+            return 100 * len(a & b) >= percent * len(a | b)
+
+        links = joining_links([hasher(t) for t in texts], table["part"].to_pylist(), first, whole, percent, sure)
         return pa.table([pa.array([nodes[i] for i, _ in links], pa.binary()), pa.array([nodes[j] for _, j in links], pa.binary())], ["a", "b"])
 
     return met.join(texts, "node").groupBy("star", "x", "y").applyInArrow(run, "a binary, b binary")
