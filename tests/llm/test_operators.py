@@ -130,8 +130,9 @@ def test_near_duplicates_in_blocks(spark, monkeypatch):
     want = {i: find(i) for i in sets}
     assert 1 < len(set(want.values())) < 150
     table = spark.createDataFrame(rows, "doc_id long, text string")
-    for block in (neardup.BLOCK, 1500):
+    for block, wide in ((neardup.BLOCK, neardup.WIDE), (1500, neardup.WIDE), (1500, 1)):
         monkeypatch.setattr(neardup, "BLOCK", block)
+        monkeypatch.setattr(neardup, "WIDE", wide)
         assert {r.doc_id: r.component_id for r in neardup.groups(table, k=2).collect()} == want
 
 

@@ -7,7 +7,7 @@ candidate of the smallest one only, so candidates stay in proportion to members.
 sets. Documents of one bucket all stand in the star of its smallest one. Where the members of a star then belong to
 different components, they are compared with each other too, in blocks of bounded size inside tasks, which send on
 only the links that join components: no pairs are made, and no link between different components is lost. Of a star
-that fills more than a block, members meet only if one of their rarest shingles also stands in a member of another
+that fills more than ``WIDE`` blocks, members meet only if one of their rarest shingles also stands in a member of another
 component: sets of the wanted similarity share one of these.
 """
 
@@ -29,6 +29,8 @@ BINS, ROWS = 128, 4
 FAN = 512
 #: Shingles in a block of members that are compared with those of another block.
 BLOCK = 200_000
+#: Blocks of a star from which on its members are filtered by their rarest shingles: those are about as long as so many copies of a text.
+WIDE = 8
 #: Cells in which shingles are counted to tell rare ones from frequent ones; a power of 2.
 CELLS = 1 << 18
 
@@ -248,13 +250,13 @@ def between(stars: DataFrame, parts: DataFrame, sizes: DataFrame, texts: DataFra
     """Links (a, b) between members of one star that stand in different components.
 
     In a star, the members of the largest component needn't be compared with each other. They are dealt to blocks, the
-    rest to others, and each two blocks of which one is of the rest meet in a group of their own. Stars of more shingles
-    than a block holds keep only their ``linkable`` members.
+    rest to others, and each two blocks of which one is of the rest meet in a group of their own. Stars of more than
+    ``WIDE`` blocks keep only their ``linkable`` members.
     """
     centre = stars.select(F.col("a").alias("star"), F.col("b").alias("node")).union(stars.select("a", "a").distinct())
     placed = centre.join(sizes, "node").join(parts, "node", "left").withColumn("part", F.coalesce("component", "node")).select("star", "node", "part", "n")
     # Two members of a star have been compared already.
-    mixed = _tops(placed).where("parts > 1 and members > 2").select("star", (F.col("all") > BLOCK).alias("wide"))
+    mixed = _tops(placed).where("parts > 1 and members > 2").select("star", (F.col("all") > WIDE * BLOCK).alias("wide"))
     placed = settle(placed.join(mixed, "star"), "placed")
     wide = placed.where("wide")
     if wide.limit(1).count():
