@@ -421,6 +421,24 @@ def test_decontamination_recall(spark):
     assert want and want <= got
 
 
+def test_latent_space_of_all_passages(spark):
+    """The space is that of a dense decomposition over the passages of every document."""
+    r = random.Random(12)
+    vocab = [f"w{k}" for k in range(20)]
+    texts = [" ".join(r.choices(vocab, [1 + (k + i) % 7 for k in range(20)], k=r.randint(3, 90))) for i in range(2_600)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    index = decontaminate.fit(docs, [(1, " ".join(vocab[:12])), (2, " ".join(vocab[8:]))], rank=5)
+    rows = [index.place(w) for _, w in index.parts]
+    for text in texts:
+        t = index.place(decontaminate.words(text))
+        rows += [t[k * size // 2 : k * size // 2 + size] for size in index.scales for k in range(max(1, -(-len(t) // (size // 2)) - 1))]
+    x = np.array([np.bincount(t, minlength=20) for t in rows]) * index.idf
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    want = np.linalg.eigh(x.T @ x)[1][:, -5:]
+    basis = index.rows[:-1] / index.idf[:, None]
+    assert np.abs(basis @ basis.T - want @ want.T).max() < 1e-3
+
+
 def test_common_subsequence():
     r = random.Random(2)
     for _ in range(50):

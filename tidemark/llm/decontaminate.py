@@ -1,8 +1,8 @@
 """Benchmark decontamination: latent semantic retrieval of passages, then common subsequences and answer checks.
 
 Terms are the words of the benchmark items, weighted by their inverse document frequency over all documents. A
-passage is a window of words. A randomised singular value decomposition of the passages' and items' TF-IDF rows,
-whose products Spark sums over partitions, gives a latent space, where a window is the sum of its words' latent rows.
+passage is a window of words. A randomised singular value decomposition of all passages' and items' TF-IDF rows,
+whose product Spark sums over partitions, gives a latent space, where a window is the sum of its words' latent rows.
 Windows close to an item there are candidates. Only windows are placed that can match at all: with fewer of an item's
 words anywhere around them than a match must have in common, the rule itself says no.
 A candidate counts if the longest common subsequence of item and passage covers enough of the item's words and,
@@ -191,42 +191,45 @@ def document_frequencies(docs: DataFrame, terms: dict[bytes, int]) -> tuple[np.n
     return out[:-1], int(out[-1])
 
 
-def _window_products(index: Index, ws: list[bytes], g: np.ndarray) -> np.ndarray | None:
-    """The sum over a text's windows x (TF-IDF rows of length 1) of x' (x g), without writing the rows out."""
+def _window_products(index: Index, ws: list[bytes], g: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+    """(terms, rows) of the sum over a text's windows x (TF-IDF rows of length 1) of x' (x g), without writing the rows out; ``g`` has its rows times their weights, and the rows given lack theirs."""
     t = index.place(ws)
     at = np.flatnonzero(t >= 0)
     if not len(at):
         return None
-    z, weighted = np.zeros(g.shape), index.idf[t[at], None] * g[t[at]]
-    order = np.argsort(t[at], kind="stable")
-    known, firsts = np.unique(t[at][order], return_index=True)
+    own, both = t[at], np.zeros((len(at), g.shape[1]), np.float32)
+    weighted, squares = g[own], index.idf**2
     for size in index.scales:
         half, last = size // 2, max(0, -(-len(t) // (size // 2)) - 2)
         h = at // half
         # Windows are pairs of halves: their norms from the terms of both, their products from sums of halves.
         w = np.concatenate([h[h <= last], h[h > 0] - 1])
-        pair, n = np.unique(w * len(index.idf) + np.concatenate([t[at[h <= last]], t[at[h > 0]]]), return_counts=True)
-        norms = np.bincount(pair // len(index.idf), (n * index.idf[pair % len(index.idf)]) ** 2, last + 1)
+        pair, n = np.unique(w * len(index.idf) + np.concatenate([own[h <= last], own[h > 0]]), return_counts=True)
+        norms = np.bincount(pair // len(index.idf), n * n * squares[pair % len(index.idf)], last + 1)
         cell, first = np.unique(h, return_index=True)
-        halves = np.zeros((last + 2, g.shape[1]))
+        halves = np.zeros((last + 2, g.shape[1]), np.float32)
         halves[cell] = np.add.reduceat(weighted, first, axis=0)
-        y = np.zeros((last + 3, g.shape[1]))
-        y[1:-1] = (halves[:-1] + halves[1:]) / np.maximum(norms, 1e-18)[:, None]
-        both = y[1:] + y[:-1]  # of the windows that hold a half
-        z[known] += np.add.reduceat((index.idf[t[at], None] * both[h])[order], firsts, axis=0)
-    return z
+        y = np.zeros((last + 3, g.shape[1]), np.float32)
+        y[1:-1] = (halves[:-1] + halves[1:]) / np.maximum(norms, 1e-18)[:, None].astype(np.float32)
+        both += (y[1:] + y[:-1])[h]  # of the windows that hold a half
+    order = np.argsort(own, kind="stable")
+    known, firsts = np.unique(own[order], return_index=True)
+    return known, np.add.reduceat(both[order], firsts, axis=0)
 
 
 def range_product(docs: DataFrame, index: Index, g: np.ndarray) -> np.ndarray:
     """The sum over passages x of x' (x g), by partition and then by block of terms; its size is that of g."""
     width = 256
 
+    weighted = (index.idf[:, None] * g).astype(np.float32)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        z = np.zeros(g.shape)
+        z = np.zeros(weighted.shape)
         for batch in batches:
             for text in batch["text"].to_pylist():
-                if (own := _window_products(index, words(text), g)) is not None:
-                    z += own
+                if (own := _window_products(index, words(text), weighted)) is not None:
+                    z[own[0]] += own[1]
+        z *= index.idf[:, None]
         if z.any():
             blocks = range(0, len(z), width)
             yield pa.record_batch([pa.array([k // width for k in blocks], pa.int32()), pa.array([z[k : k + width].tobytes() for k in blocks], pa.binary())], ["block", "z"])
@@ -242,8 +245,8 @@ def range_product(docs: DataFrame, index: Index, g: np.ndarray) -> np.ndarray:
     return out
 
 
-def fit(docs: DataFrame, items: list[tuple[int, str]], *, rank: int = 128, scales: tuple[int, ...] = (24, 64), run: int = 24, least: float = 0.6, fit_rows: int = 2_000) -> Index:
-    """The index of a block of items. Frequencies come from all documents; the latent space is fitted on the items and on the passages of at most ``fit_rows`` documents, taken in the order of a hash of their ids."""
+def fit(docs: DataFrame, items: list[tuple[int, str]], *, rank: int = 128, scales: tuple[int, ...] = (24, 64), run: int = 24, least: float = 0.6) -> Index:
+    """The index of a block of items. Frequencies and the latent space come from all documents: the space is fitted on the items and on every passage, by one product of their second moments with a random matrix (Nyström's form of the decomposition)."""
     split = [(i, words(t)) for i, t in items]
     split = [(i, w) for i, w in split if w]
     terms = {w: k for k, w in enumerate(sorted({x for _, w in split for x in w}))}
@@ -256,13 +259,12 @@ def fit(docs: DataFrame, items: list[tuple[int, str]], *, rank: int = 128, scale
     for i, (_, w) in enumerate(index.parts):
         np.add.at(own[i], [terms[x] for x in w], idf[[terms[x] for x in w]])
     own /= np.linalg.norm(own, axis=1, keepdims=True)
-    g = np.random.default_rng(7).standard_normal((len(terms), min(rank + 16, len(terms))))
-    sample = F.broadcast(docs.where("doc_id is not null").select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows))
-    passages = docs.join(sample, "doc_id", "left_semi").select("text")
-    product = lambda x: own.T @ (own @ x) + range_product(passages, index, x)  # noqa: E731  of passages and items
-    q = np.linalg.qr(product(g))[0]
-    u, _, _ = np.linalg.svd(q.T @ product(q) + 1e-9 * np.eye(q.shape[1]))
-    basis = (q @ u)[:, :rank]
+    g = np.linalg.qr(np.random.default_rng(7).standard_normal((len(terms), min(rank + 16, len(terms)))))[0]
+    product = own.T.astype(np.float64) @ (own @ g) + range_product(docs, index, g)  # of items and passages
+    core = g.T @ product
+    values, vectors = np.linalg.eigh((core + core.T) / 2)
+    kept = values > 1e-6 * values[-1]  # products are summed in single precision within a text
+    basis = np.linalg.svd(product @ (vectors[:, kept] / np.sqrt(values[kept])), full_matrices=False)[0][:, :rank]
     index.rows = np.vstack([idf[:, None] * basis, np.zeros((1, basis.shape[1]))]).astype(np.float32)
     latent = own @ basis
     index.latent = (latent / np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-9)).astype(np.float32)
