@@ -36,3 +36,10 @@ def test_lines_of_snapshots_are_dealt_once(spark, name):
     """Both groupings that write a snapshot find its rows where one shuffle by supplier and month has put them."""
     plan = catalog.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert len([x for x in plan.splitlines() if "Exchange hashpartitioning(s#" in x or "Exchange hashpartitioning(l_suppkey#" in x]) == 1
+
+
+def test_jobs_are_derived_once(spark):
+    """Sessions and AI jobs come from one scan of ``events`` each, decisions from two; ``orders`` are scanned for each use of capability jobs and workers, but not twice for a job's first and last event."""
+    plan = optimized(catalog.QUERIES["u1_union_all_jobs"](spark, SF)).splitlines()
+    count = lambda key: len([x for x in plan if f"Relation [{key}" in x])
+    assert (count("event_id"), count("o_orderkey")) == (4, 7)

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import expr
-from tidemark.operators import latest
 from tidemark.sources.envelopes import CORE_TRACES
 
 
@@ -36,8 +35,8 @@ def status_rollup(status: DataFrame, hourly: bool = False) -> DataFrame:
     )
 
 
-def facts_of(evidence: DataFrame) -> DataFrame:
-    """Outcome, excusal, latencies (null where negative) and flags of each session."""
+def facts_of(evidence: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Outcome, excusal, latencies (null where negative) and flags of each session; ``keep`` names columns of the evidence that stay."""
     requested, playable = F.col("started_at").isNotNull().cast("int"), F.col("playable_at").isNotNull().cast("int")
     outcome = expr.startup_outcome(requested, playable)
     latency = (F.unix_millis("first_processed_at") - F.unix_millis("started_at")).cast("double")
@@ -46,7 +45,7 @@ def facts_of(evidence: DataFrame) -> DataFrame:
     return evidence.select(
         "org", "session_key", "started_at", "last_seen", "closed_at", requested.alias("requested_seen"), playable.alias("playable_seen"), outcome.alias("startup_outcome"),
         expr.startup_excusal(outcome, count("no_provider_count") > 0, count("error_samples"), count("excusable_error_samples")).alias("excusal_reason"), F.when(latency >= 0, latency).alias("startup_latency_ms"),
-        count("swap_count").alias("swap_count"), count("status_samples").alias("status_samples"), zero.cast("int").alias("zero_output"), F.coalesce("output_fps_sum", F.lit(0.0)).alias("output_fps_sum"), "pipeline_hint",
+        count("swap_count").alias("swap_count"), count("status_samples").alias("status_samples"), zero.cast("int").alias("zero_output"), F.coalesce("output_fps_sum", F.lit(0.0)).alias("output_fps_sum"), "pipeline_hint", *keep,
     )
 
 
@@ -61,11 +60,13 @@ def demand_hourly(facts: DataFrame) -> DataFrame:
 
 
 def job_facts(jobs: DataFrame) -> DataFrame:
-    """The latest completed event of each request, or else the latest received one, with the first receipt."""
+    """The latest completed event of each request, or else the latest received one, with the first receipt: one aggregate, partial in the map tasks."""
+    keys, order = ["org", "request_id"], ["_done", "event_ts", "event_id"]
     done = F.col("event_subtype").endswith("_completed")
-    first = jobs.groupBy("org", "request_id").agg(F.min(F.when(~done, F.col("event_ts"))).alias("received_at"))
-    last = latest.latest_rows(jobs.withColumn("_done", done), ["org", "request_id"], [F.desc("_done"), F.desc("event_ts"), F.desc("event_id")]).drop("_done")
-    return last.join(first, ["org", "request_id"])
+    rows = jobs.where("org is not null and request_id is not null").withColumn("_done", done)
+    rest = [c for c in jobs.columns if c not in {*keys, *order}]
+    one = rows.groupBy(*keys).agg(F.max(F.struct(*order, *rest)).alias("_m"), F.min(F.when(~F.col("_done"), F.col("event_ts"))).alias("received_at"))
+    return one.select(*keys, *(F.col(f"_m.{c}").alias(c) for c in jobs.columns if c not in keys), "received_at")
 
 
 def request_demand_hourly(facts: DataFrame, keys: list[str]) -> DataFrame:
