@@ -43,3 +43,19 @@ def test_jobs_are_derived_once(spark):
     plan = optimized(catalog.QUERIES["u1_union_all_jobs"](spark, SF)).splitlines()
     count = lambda key: len([x for x in plan if f"Relation [{key}" in x])
     assert (count("event_id"), count("o_orderkey")) == (4, 7)
+
+
+@pytest.mark.parametrize(("name", "parts"), [("g1_capabilities", []), ("g3_gpus", ["hardware"]), ("q12_streaming_orchestrators", ["hardware"]), ("q11_streaming_models", ["hardware"]), ("q31_latest_pricing", ["capabilities_prices"]), ("q25_discover", ["price_info"]), ("g4_offers_of_capabilities", ["hardware", "capabilities"])])
+def test_only_parts_read_are_parsed(spark, name, parts):
+    plan = optimized(catalog.QUERIES[name](spark, SF))
+    parsed = plan[plan.index("inline(from_json(") :].split("), data#")[0]
+    assert [p for p in ("hardware", "capabilities", "capabilities_prices", "price_info") if f"StructField({p}," in parsed] == parts
+
+
+@pytest.mark.parametrize("name", ["g1_capabilities", "g3_gpus", "q12_streaming_orchestrators", "q31_latest_pricing", "q25_discover"])
+def test_snapshots_are_met_once_and_lines_have_no_names(spark, name):
+    """A snapshot's lines meet in one list of one grouping; names of snapshots aren't written for each line to filter it."""
+    plan = optimized(catalog.QUERIES[name](spark, SF))
+    own = plan[: plan.index("RepartitionByExpression")].splitlines()
+    assert len([x for x in own if "collect_list(" in x and "Aggregate" in x]) == 1 and "collect_set(_h" not in plan
+    assert not [x for x in plan.splitlines() if "Filter" in x and "l_suppkey" in x and "date_format" in x]

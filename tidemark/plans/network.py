@@ -23,8 +23,9 @@ def raw(spark, sf_dir: str) -> DataFrame:
     return envelopes.route(envelopes.with_raw_columns(envelopes.from_offers(lines, table(spark, sf_dir, "part")), _ORG))[0]
 
 
-def snapshots(spark, sf_dir: str) -> DataFrame:
-    return envelopes.capabilities(raw(spark, sf_dir))
+def snapshots(spark, sf_dir: str, *parts: str) -> DataFrame:
+    """Snapshots of providers with these parts of their payloads."""
+    return envelopes.capabilities(raw(spark, sf_dir), parts=parts)
 
 
 def catalog(spark) -> DataFrame:
@@ -68,27 +69,27 @@ def g2_discovery(spark, sf_dir):
 
 @query(f"{_N} SELECT row_id, pipeline, model AS model_id, gpu_id, gpu_name, mem AS gpu_memory FROM g")
 def g3_gpus(spark, sf_dir):
-    return envelopes.gpus(snapshots(spark, sf_dir)).select("row_id", "pipeline", "model_id", "gpu_id", "gpu_name", "gpu_memory")
+    return envelopes.gpus(snapshots(spark, sf_dir, "hardware")).select("row_id", "pipeline", "model_id", "gpu_id", "gpu_name", "gpu_memory")
 
 
 @query(f"{_N} SELECT row_id, 35 AS capability_id, model FROM c WHERE s % 3 = 0")
 def g4_offers_of_capabilities(spark, sf_dir):
-    return envelopes.offers(snapshots(spark, sf_dir)).where("hardware_present = 0").select("row_id", "capability_id", "model")
+    return envelopes.offers(snapshots(spark, sf_dir, "hardware", "per_capability")).where("hardware_present = 0").select("row_id", "capability_id", "model")
 
 
 @query(f"{_N} SELECT DISTINCT row_id, pipeline, model FROM g")
 def g5_offers_of_hardware(spark, sf_dir):
-    return envelopes.offers(snapshots(spark, sf_dir)).where("hardware_present = 1").select("row_id", "pipeline", "model").distinct()
+    return envelopes.offers(snapshots(spark, sf_dir, "hardware", "per_capability")).where("hardware_present = 1").select("row_id", "pipeline", "model").distinct()
 
 
 @query(f"{_N} SELECT row_id, model AS constraint_name, CAST(q AS DOUBLE) AS price_per_unit FROM c WHERE q > 0")
 def g6_prices(spark, sf_dir):
-    return envelopes.prices(snapshots(spark, sf_dir)).select("row_id", "constraint_name", "price_per_unit")
+    return envelopes.prices(snapshots(spark, sf_dir, "prices")).select("row_id", "constraint_name", "price_per_unit")
 
 
 @query(f"{_N} SELECT row_id, q / 2.0 AS price_per_pixel FROM n WHERE q > 0")
 def g7_global_price(spark, sf_dir):
-    return envelopes.global_price(snapshots(spark, sf_dir)).select("row_id", "price_per_pixel")
+    return envelopes.global_price(snapshots(spark, sf_dir, "price_info")).select("row_id", "price_per_pixel")
 
 
 @query(f"{_N} SELECT row_id, 'address' AS ident_type, addr AS ident FROM n UNION ALL SELECT row_id, 'uri', 'https://s' || s FROM n UNION ALL SELECT row_id, 'alias', '0x' || lpad(lower(to_hex(s + 1000)), 40, '0') FROM n WHERE s % 4 = 0")
@@ -99,7 +100,7 @@ def g8_identity_candidates(spark, sf_dir):
 @query(f"""{_N}, h AS (SELECT *, '{{"id":"' || gpu_id || '","name":"' || gpu_name || '","memory_total":' || mem || '}}' AS info FROM g) SELECT row_id, CAST(row_number() OVER (PARTITION BY row_id ORDER BY '{{"pipeline":"' || pipeline || '","model_id":"' || model || '","gpu_info":' || CASE WHEN s % 2 = 0 THEN '[' || info || ']' ELSE '{{"0":' || info || '}}' END || '}}') AS INTEGER) AS seq, pipeline, model, gpu_id, gpu_name, mem AS gpu_memory, 1 AS hardware_present FROM h
 UNION ALL SELECT row_id, CAST(row_number() OVER (PARTITION BY row_id ORDER BY capacity % 2, capacity DESC, model) AS INTEGER), 'live-video-to-video', model, NULL, NULL, NULL, 0 FROM c WHERE s % 3 = 0""")
 def g10_templates(spark, sf_dir):
-    return offers.templates(snapshots(spark, sf_dir), catalog(spark))
+    return offers.templates(snapshots(spark, sf_dir, "hardware", "per_capability"), catalog(spark))
 
 
 @query(f"{_N} SELECT 'https://S' || s AS orch_uri, addr AS orch_address, 'v' || (s % 3) AS version, max(ms) AS last_ms FROM n GROUP BY ALL")
@@ -116,13 +117,13 @@ def j5_hardware_inventory(spark, sf_dir):
 
 
 def _inventory(spark, sf_dir) -> DataFrame:
-    return offers.hardware_inventory(snapshots(spark, sf_dir), catalog(spark))
+    return offers.hardware_inventory(snapshots(spark, sf_dir, "hardware"), catalog(spark))
 
 
 @query(f"""{_N} SELECT DISTINCT row_id, model, CASE pipeline WHEN 'Brand#1' THEN 36 WHEN 'Brand#2' THEN 40 ELSE 37 END AS capability_id, CASE pipeline WHEN 'Brand#1' THEN 'brand one' WHEN 'Brand#2' THEN 'brand two' ELSE pipeline END AS capability_name, pipeline AS pipeline_id, pipeline = 'Brand#1' AS supports_stream FROM g
 UNION ALL SELECT row_id, model, 35, 'live video', 'live-video-to-video', TRUE FROM c WHERE s % 3 = 0""")
 def d15_offer_classification(spark, sf_dir):
-    return offers.classified(envelopes.offers(snapshots(spark, sf_dir)), catalog(spark)).select("row_id", "model", "capability_id", "capability_name", "pipeline_id", "supports_stream").distinct()
+    return offers.classified(envelopes.offers(snapshots(spark, sf_dir, "hardware", "per_capability")), catalog(spark)).select("row_id", "model", "capability_id", "capability_name", "pipeline_id", "supports_stream").distinct()
 
 
 @query(f"{_J5} SELECT gpu_name, count(*) AS gpus, count(DISTINCT addr) AS providers FROM i GROUP BY 1")
@@ -132,7 +133,7 @@ def q30_gpu_by_type(spark, sf_dir):
 
 @query(f"{_N}, w AS (SELECT addr, count(DISTINCT pipeline || ':' || model) AS pairs, count(DISTINCT gpu_id) AS gpus, string_agg(DISTINCT pipeline, ',' ORDER BY pipeline) AS pipelines FROM g GROUP BY 1) SELECT addr AS orch_address, pairs, gpus, pipelines FROM w WHERE pairs > 0")
 def q12_streaming_orchestrators(spark, sf_dir):
-    g = envelopes.gpus(snapshots(spark, sf_dir))
+    g = envelopes.gpus(snapshots(spark, sf_dir, "hardware"))
     out = g.groupBy("orch_address").agg(F.count_distinct(F.concat_ws(":", "pipeline", "model_id")).alias("pairs"), F.count_distinct("gpu_id").alias("gpus"), supply.listed("pipeline").alias("pipelines"))
     return out.where("pairs > 0")
 
@@ -140,7 +141,7 @@ def q12_streaming_orchestrators(spark, sf_dir):
 @query(f"""{_N}, cap AS (SELECT pipeline, model, count(DISTINCT gpu_id || addr) AS gpus FROM g GROUP BY 1, 2), act AS (SELECT p_brand, p_type, count(DISTINCT l_partkey) AS streams, sum(CAST(l_quantity AS DECIMAL(18, 2))) / count(*) AS fps FROM o WHERE l_quantity > 40 GROUP BY 1, 2)
 SELECT pipeline, model, gpus, coalesce(streams, 0) AS active_streams, round(fps, 4) AS avg_fps FROM cap LEFT JOIN act ON p_brand = pipeline AND p_type = model""")
 def q11_streaming_models(spark, sf_dir):
-    g = envelopes.gpus(snapshots(spark, sf_dir))
+    g = envelopes.gpus(snapshots(spark, sf_dir, "hardware"))
     lines = table(spark, sf_dir, "lineitem").where("l_quantity > 40").join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
     active = lines.select(F.col("p_brand").alias("pipeline"), F.col("p_type").alias("model"), F.col("l_partkey").alias("stream"), F.col("l_quantity").alias("fps"))
     return supply.models_in_use(g.withColumnRenamed("model_id", "model"), active)
@@ -150,11 +151,12 @@ def q11_streaming_models(spark, sf_dir):
 SELECT addr AS orch_address, uri AS orch_uri, models, CASE WHEN s % 2 = 0 THEN stream_score ELSE request_score END AS score FROM b JOIN t USING (addr) JOIN (SELECT DISTINCT addr, s FROM n) USING (addr) WHERE best >= 49""")
 def q25_discover(spark, sf_dir):
     """The best endpoint of each provider, its models, and the score of the work it is asked for, among providers that pass a filter."""
-    own = snapshots(spark, sf_dir)
-    priced = envelopes.global_price(own).select("row_id", "price_per_unit")
-    best = own.join(priced, "row_id").groupBy("orch_address").agg(F.max(F.struct("price_per_unit", "event_id", "orch_uri")).alias("b")).where("b.price_per_unit >= 49")
+    own = snapshots(spark, sf_dir, "price_info")
+    priced = own.where("price_info.pricePerUnit > 0 and price_info.pixelsPerUnit > 0")
+    best = priced.groupBy("orch_address").agg(F.max(F.struct(F.col("price_info.pricePerUnit").alias("price_per_unit"), "event_id", "orch_uri")).alias("b")).where("b.price_per_unit >= 49")
     lines = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
-    able = lines.groupBy(F.col("l_suppkey").alias("s")).agg(supply.listed("p_type").alias("models"), F.count("*").cast("double").alias("request_score"), F.count_distinct("p_type").cast("double").alias("stream_score"))
+    types = lines.groupBy(F.col("l_suppkey").alias("s"), "p_type").agg(F.count("*").alias("n"))
+    able = types.groupBy("s").agg(supply.listed("p_type").alias("models"), F.sum("n").cast("double").alias("request_score"), F.count("p_type").cast("double").alias("stream_score"))
     able = able.withColumn("orch_address", F.concat(F.lit("0x"), F.lpad(F.lower(F.hex("s")), 40, "0")))
     score = F.when(F.col("s") % 2 == 0, offers.routed_score(F.col("stream_score"), F.col("request_score"), "stream")).otherwise(offers.routed_score(F.col("stream_score"), F.col("request_score"), "request"))
     return best.join(able, "orch_address").select("orch_address", F.col("b.orch_uri").alias("orch_uri"), "models", score.alias("score"))
@@ -162,10 +164,12 @@ def q25_discover(spark, sf_dir):
 
 @query(f"{_N} SELECT model, round(sum(q * capacity) / sum(capacity), 4) AS weighted_price, max_by(q, (m, row_id)) AS latest_price FROM c GROUP BY 1")
 def q31_latest_pricing(spark, sf_dir):
-    prices = envelopes.prices(snapshots(spark, sf_dir)).withColumnRenamed("constraint_name", "model")
+    prices = envelopes.prices(snapshots(spark, sf_dir, "prices")).withColumnRenamed("constraint_name", "model")
     lines = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
-    row = F.concat(F.lit("n"), "l_suppkey", F.lit("-"), F.date_format("l_shipdate", "yyyyMM"), F.lit("#0x"), F.lpad(F.lower(F.hex("l_suppkey")), 40, "0"))
-    capacity = lines.groupBy(row.alias("row_id"), F.col("p_type").alias("model")).agg(F.count("*").alias("capacity"))
+    # Lines are counted by short keys; names are made of the counts, by a generator, so that no filter on them goes down to the lines.
+    counts = lines.groupBy("l_suppkey", F.trunc(F.col("l_shipdate").cast("date"), "month").alias("m"), F.col("p_type").alias("model")).agg(F.count("*").alias("capacity"))
+    row = F.concat(F.lit("n"), "l_suppkey", F.lit("-"), F.date_format("m", "yyyyMM"), F.lit("#0x"), F.lpad(F.lower(F.hex("l_suppkey")), 40, "0"))
+    capacity = counts.select("model", "capacity", F.inline(F.array(F.struct(row.alias("row_id")))))
     both = prices.join(capacity, ["row_id", "model"])
     return both.groupBy("model").agg(F.round(pages.weighted_mean("price_per_unit", "capacity"), 4).alias("weighted_price"), F.max(F.struct("event_ts", "row_id", "price_per_unit"))["price_per_unit"].cast("long").alias("latest_price"))
 
