@@ -59,3 +59,8 @@ def test_snapshots_are_met_once_and_lines_have_no_names(spark, name):
     own = plan[: plan.index("RepartitionByExpression")].splitlines()
     assert len([x for x in own if "collect_list(" in x and "Aggregate" in x]) == 1 and "collect_set(_h" not in plan
     assert not [x for x in plan.splitlines() if "Filter" in x and "l_suppkey" in x and "date_format" in x]
+
+
+def test_builds_are_derived_once(spark):
+    """Each of the four tables of both builds comes from one scan; marking the first layer that differs derives none of them again."""
+    assert len([x for x in optimized(catalog.QUERIES["c16_layer_diff"](spark, SF)).splitlines() if "Relation [event_id" in x]) == 4

@@ -101,3 +101,13 @@ def test_distincts_merge(spark):
     assert got == want
     near = {r.d: r.n_distinct for r in distincts.estimated(distincts.sketches(df, ["h"], "v").select(day, "sketch"), ["d"]).collect()}
     assert all(abs(near[d] - n) <= 0.03 * n for d, n in want.items())
+
+
+def test_build_diff_equals_diff_of_reports(spark):
+    rows = spark.createDataFrame([(1, "a", True, True), (1, "a", True, True), (2, None, True, False), (3, "b", False, True)], "k long, v string, in_left boolean, in_right boolean")
+    layers = lambda d: {"raw": {"same": d.where("k = 1"), "rows": d}, "late": {"none": d.where("k > 3"), "gone": d.where("k = 2")}}
+    report = lambda side: quality.layer_report({a: {b: t.where(f"in_{side}").drop("in_left", "in_right") for b, t in ts.items()} for a, ts in layers(rows).items()})
+    cols = ["layer", "table", "rows_left", "rows_right", "is_first"]
+    got = sorted(map(tuple, quality.build_diff(layers(rows)).select(*cols).collect()))
+    assert got == sorted(map(tuple, quality.layer_diff(report("left"), report("right")).select(*cols).collect()))
+    assert got == [("late", "gone", 1, 0, False), ("raw", "rows", 3, 3, True)]

@@ -41,14 +41,14 @@ def gateway_of_session(rows: DataFrame) -> DataFrame:
     return rows.groupBy(*KEYS).agg(newest("gateway").alias("gateway"))
 
 
-def session_evidence(rows: DataFrame) -> DataFrame:
-    """All that facts need of each session, from rows of ``session_rows``: one aggregate over all families, whose partial sums are made in the map tasks."""
+def session_evidence(rows: DataFrame, keys: list[str] = KEYS) -> DataFrame:
+    """All that facts need of each session, from rows of ``session_rows``: one aggregate over all families, whose partial sums are made in the map tasks. ``keys`` may have more columns, such as a build."""
     trace, status = F.col("family") == "stream_trace", F.col("family") == "ai_stream_status"
     core = trace & F.col("event_subtype").isin(CORE_TRACES)
     first = lambda t: F.min(F.when(trace & (F.col("event_subtype") == t), F.col("event_ts")))
     times = lambda t: F.count_if(trace & (F.col("event_subtype") == t))
     failed = status & (F.col("last_error") != "")
-    return rows.where(core | ~trace).groupBy(*KEYS).agg(
+    return rows.where(core | ~trace).groupBy(*keys).agg(
         first("gateway_receive_stream_request").alias("started_at"), first("gateway_receive_first_processed_segment").alias("first_processed_at"), first("gateway_receive_few_processed_segments").alias("playable_at"), first("gateway_ingest_stream_closed").alias("closed_at"),
         times("gateway_no_orchestrators_available").alias("no_provider_count"), times("orchestrator_swap").alias("swap_count"),
         F.count_if(status).alias("status_samples"), F.count_if(status & (F.col("output_fps") > 0)).alias("fps_positive_samples"), F.count_if(status & expr.running(F.col("state"))).alias("running_samples"),

@@ -80,10 +80,18 @@ def fingerprint(df: DataFrame, leave_out: tuple[str, ...] = ()) -> DataFrame:
 
 def text_fingerprint(df: DataFrame, leave_out: tuple[str, ...] = ()) -> DataFrame:
     """Rows and two order-independent sums of halves of each row's MD5, over its columns by name as text; other systems can compute it too."""
+    one = df.select(_row_digest(df, leave_out).alias("m"))
+    return one.agg(F.count("*").alias("n_rows"), _digest_sum(1).alias("sum_a"), _digest_sum(13).alias("sum_b"))
+
+
+def _row_digest(df: DataFrame, leave_out: tuple[str, ...] = ()) -> Column:
     cols = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("null")) for c in sorted(df.columns) if c not in leave_out]
-    one = df.select(F.md5(F.concat_ws("|", *cols)).alias("m"))
-    part = lambda at: F.sum(F.conv(F.substring("m", at, 12), 16, 10).cast("decimal(38,0)")).cast("string")
-    return one.agg(F.count("*").alias("n_rows"), part(1).alias("sum_a"), part(13).alias("sum_b"))
+    return F.md5(F.concat_ws("|", *cols))
+
+
+def _digest_sum(at: int, where: Column | None = None) -> Column:
+    part = F.conv(F.substring("m", at, 12), 16, 10).cast("decimal(38,0)")
+    return F.sum(part if where is None else F.when(where, part)).cast("string")
 
 
 def field_inventory(df: DataFrame, keys: list[str], payload: str, depth: int = 6) -> DataFrame:
@@ -127,8 +135,25 @@ def layer_diff(a: DataFrame, b: DataFrame) -> DataFrame:
     """Tables whose fingerprints differ between two reports, or that one lacks; ``is_first`` marks those of the first layer that diverges, where a cause is to be looked for."""
     side = lambda d, n: d.select("layer", "place", "table", F.col("n_rows").alias(f"rows_{n}"), F.col("checksum").alias(f"sum_{n}"))
     off = side(a, "left").join(side(b, "right"), ["layer", "place", "table"], "full").where(~F.col("sum_left").eqNullSafe(F.col("sum_right")))
-    first = off.agg(F.min("place").alias("_first"))  # one row
-    return off.crossJoin(F.broadcast(first)).withColumn("is_first", F.col("place") == F.col("_first")).drop("_first", "place")
+    return _marked_first(off)
+
+
+def _marked_first(off: DataFrame) -> DataFrame:
+    first = F.min("place").over(Window.partitionBy())  # a row for each table: a join of them with their minimum would derive all tables twice
+    return off.withColumn("is_first", F.col("place") == first).drop("place")
+
+
+def build_diff(layers: dict[str, dict[str, DataFrame]]) -> DataFrame:
+    """``layer_diff`` of two builds whose rows stand in the same tables, with ``in_left`` and ``in_right``: each table is derived once, and a row digested once, for both."""
+
+    def one(place: int, layer: str, name: str, df: DataFrame) -> DataFrame:
+        marks = ("in_left", "in_right")
+        rows = df.select(_row_digest(df, marks).alias("m"), *marks)
+        side = lambda n: (F.count_if(F.col(f"in_{n}")).alias(f"rows_{n}"), F.concat_ws("-", *(_digest_sum(at, F.col(f"in_{n}")) for at in (1, 13))).alias(f"sum_{n}"))
+        return rows.agg(*side("left"), *side("right")).select(F.lit(layer).alias("layer"), F.lit(place).alias("place"), F.lit(name).alias("table"), "rows_left", "sum_left", "rows_right", "sum_right")
+
+    each = reduce(DataFrame.unionByName, (one(k, layer, name, df) for k, (layer, tables) in enumerate(layers.items()) for name, df in tables.items()))
+    return _marked_first(each.where(~F.col("sum_left").eqNullSafe(F.col("sum_right"))))
 
 
 def guarded_rate(df: DataFrame, keys: list[str], hit: Column, least: int) -> DataFrame:
