@@ -528,3 +528,39 @@ def test_ranges_of_buckets(fine):
     assert [i for _, i, _ in cuts] == np.cumsum([0, *(n for _, _, n in cuts)])[:-1].tolist() and sum(n for _, _, n in cuts) == len(k)
     assert [b for b, _, _ in cuts] == sorted({b for b, _, _ in cuts}) and max(b for b, _, _ in cuts) < 9 * fine
     assert all(set((k[i : i + n] >> np.uint64(48)).tolist()) == {b // fine} for b, i, n in cuts)
+
+
+def test_texts_are_split_once_for_a_benchmark(spark):
+    """What is compared with the items are stored terms, so that no text is read and split again; empty and null texts stay rows."""
+    bench = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(30)))], "item_id long, text string")
+    docs = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(30))), (2, ""), (3, None), (4, "x " * 50 + " ".join(f"w{i}" for i in range(3, 30)))], "doc_id long, text string")
+    found = decontaminate.contaminated(docs, bench)
+    assert sorted(r.doc_id for r in found.collect()) == [1, 4]
+    assert "text" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("block", [2, 64])
+def test_products_of_texts_in_a_row(block):
+    """Windows, runs and cells of many texts together are those of each text: no window crosses from one into the next."""
+    rng = np.random.default_rng(3)
+    terms = {f"w{i}".encode(): i for i in range(40)}
+    items = [(i, [f"w{k}".encode() for k in rng.integers(0, 40, 30)]) for i in range(3)]
+    index = decontaminate.Index(terms, rng.random(40) + 0.5, items, (24, 64), 24)
+    texts = [np.where(rng.random(n) < 0.6, rng.integers(0, 40, n), -1).astype("<i2") for n in (0, 1, 11, 12, 13, 25, 31, 32, 33, 64, 65, 97, 400, 0)]
+    texts += [np.full(50, -1, "<i2"), np.concatenate([texts[9][:5], index.tokens[1][3:20], [-1]]).astype("<i2")]
+    g = rng.standard_normal((40, 6)).astype(np.float32)
+    got, want = np.zeros((40, 6)), np.zeros((40, 6))
+    for known, rows in decontaminate._window_products(index, texts, g, block):
+        got[known] += rows
+    for t in texts:
+        for half in (12, 32):
+            for k in range(max(1, -(-len(t) // half) - 1)):
+                own = t[k * half : (k + 2) * half]
+                x = np.bincount(own[own >= 0], minlength=40)
+                if x.any():
+                    want += np.outer(x, x @ g) / np.sum((x * index.idf) ** 2)
+    assert np.allclose(got, want, rtol=1e-4, atol=1e-5)
+    alone = [(k, c, p.tolist()) for k, t in enumerate(texts) for _, c, p in index.open_cells([t])]
+    assert [(k, c, p.tolist()) for k, c, p in index.open_cells(texts, 4)] == alone and alone
+    heads = [k for k, t in enumerate(texts) if len(t) and np.isin(index.head_hashes(t.astype(np.int64)), index.heads).any()]
+    assert index.with_runs(texts) == heads and len(texts) - 1 in heads
