@@ -226,3 +226,20 @@ def test_notices_with_edits():
         want = sorted((label, i) for phrase, label in licenses.PHRASES.items() for i in range(len(own)) if own[i : i + len(phrase.split())] == phrase.split())
         n, spans = licenses.scan_text(r.choice([" ", ".\n"]).join(own).upper())
         assert n == len(own) and sorted((s["label"], s["first_word"]) for s in spans if s["exact"]) == want
+
+
+def test_words_and_marks_are_known_apart():
+    """A known word before a known mark or line end takes no place in memory, and ids are the library's when memory runs over."""
+    from tokenizers import Tokenizer
+
+    from tidemark.llm.queries import tokenizer_path
+    from tidemark.llm.tokenize import Encoder
+
+    own, library = Encoder(tokenizer_path(), memo=40), Tokenizer.from_file(tokenizer_path())
+    texts = ["word, other. new\nword", "word. other, new\nother", " word", "it's 'it' don't!! é, ué.\nÉ", "a  b \n c\t\x1cd 12-3 x,1", "", "日本, ab日本 ab, (ab) a_b", "word,\r\nnew word"]
+    texts += [" ".join(f"w{chr(97 + k % 26)}{chr(97 + k // 26)}," for k in range(90)), "word, other."]
+    seen = []
+    for text in texts:
+        assert own.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids, text
+        seen.append(len(own.memo))
+    assert seen[1] == seen[0] + 1 and max(seen) <= 40  # " other" after a line end is the one new piece

@@ -1,9 +1,9 @@
 """Token ids of whole texts with the ``tokenizers`` library, with a bounded memory of words already seen.
 
 For byte-level BPE without normalisation, a text's ids are those of its pieces one after another, and a piece
-never spans the gap before a space that stands between two other characters. So words are looked up in a
-bounded memo, words of plain letters or punctuation go to the library's BPE model directly, and anything
-else (other scripts, digits, runs of white space, special tokens) goes through the library's whole encoder.
+never spans the gap before a space that stands between two other characters. So words and the marks after them
+are looked up in a bounded memo, each by itself; words of plain letters or punctuation go to the library's BPE model
+directly, and anything else (other scripts, digits, runs of white space, special tokens) goes through the library's whole encoder.
 """
 
 from __future__ import annotations
@@ -14,11 +14,11 @@ from array import array
 import numpy as np
 
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+_MARKS = r"[!-&(-/:-@\[-`{-~][!-/:-@\[-`{-~]"
 #: Pieces of a text that starts at a piece's start: letters, punctuation, other words, white space.
-_PIECES = re.compile(rf"( ?[{_LETTERS}]++(?![^\x00-\x7f])| ?[!-&(-/:-@\[-`{{-~][!-/:-@\[-`{{-~]*+(?![^\x00-\x7f]))| ?\S+|\s+(?!\S)|\s+")
-_PLAIN = re.compile(rf"[{_LETTERS}]+")
-#: White space other than spaces and line ends; Python also counts four controls as white space that the tokenizer doesn't.
-_OTHER_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_PIECES = re.compile(rf" ?[{_LETTERS}]++(?![^\x00-\x7f])| ?{_MARKS}*+(?![^\x00-\x7f])| ?\S+|\s+(?!\S)|\s+")
+_PLAIN = re.compile(rf" ?(?:[{_LETTERS}]+|{_MARKS}*)")
+#: Four controls are white space to Python, but not to the tokenizer.
 _CONTROLS = re.compile("[\x1c-\x1f]")
 
 
@@ -42,8 +42,8 @@ class Encoder:
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.model, self.code = self.tokenizer.model, "HI"[self.dtype.itemsize // 4]
         self.limit = memo
-        #: Ids of runs without spaces, each after a space, and of other pieces.
-        self.runs, self.parts = {}, {}
+        #: Ids of pieces.
+        self.memo = {}
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.table = byte_characters()
         pre, model = type(self.tokenizer.pre_tokenizer).__name__, type(self.tokenizer.model).__name__
@@ -53,43 +53,32 @@ class Encoder:
     def _library(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
-    def _keep(self, memo: dict, key: str, ids: bytes, limit: int) -> bytes:
-        if len(memo) >= limit:
-            memo.clear()
-        memo[key] = ids
-        return ids
-
     def _plain(self, piece: str) -> bytes:
         """A piece of letters, or of punctuation, perhaps after a space."""
         spelled = piece.replace(" ", self.table[32]) if piece.isascii() else piece.encode().decode("latin-1").translate(self.table)
         return array(self.code, [t.id for t in self.model.tokenize(spelled)]).tobytes()
 
-    def _piece(self, piece: str, plain: bool) -> bytes:
-        if plain and piece[0] == " ":
-            return self.runs.get(piece[1:]) or self._keep(self.runs, piece[1:], self._plain(piece), self.limit)
-        return self.parts.get(piece) or self._keep(self.parts, piece, self._plain(piece) if plain else self._library(piece), self.limit // 4)
+    def _piece(self, piece: str) -> bytes:
+        """A piece that isn't in memory."""
+        if (ids := self.memo.get(piece)) is None:
+            if len(self.memo) >= self.limit:
+                self.memo.clear()
+            ids = self.memo[piece] = self._plain(piece) if _PLAIN.fullmatch(piece) else self._library(piece)
+        return ids
 
     def _text(self, text: str) -> bytes:
-        return b"".join([self._piece(m[0], m[1] is not None) for m in _PIECES.finditer(text)])
-
-    def _run(self, run: str) -> bytes:
-        """A run without spaces that isn't in memory, after a space."""
-        return self._keep(self.runs, run, self._plain(" " + run) if _PLAIN.fullmatch(run) else self._text(" " + run), self.limit)
+        pieces = _PIECES.findall(text)
+        ids = list(map(self.memo.get, pieces))
+        for k in [k for k, x in enumerate(ids) if x is None]:
+            ids[k] = self._piece(pieces[k])
+        return b"".join(ids)
 
     def encode(self, text: str) -> np.ndarray:
         if not text:
             return np.empty(0, self.dtype)
         if not self.by_words or any(s in text for s in self.special):
             return np.frombuffer(self._library(text), self.dtype)
-        if _OTHER_SPACE.search(text):
-            return np.frombuffer(self._library(text) if _CONTROLS.search(text) else self._text(text), self.dtype)
-        if "  " in text or " \n" in text or "\n " in text or text[0] in " \n" or text[-1] in " \n":
-            return np.frombuffer(self._text(text), self.dtype)
-        first, *rest = text.split(" ")
-        ids = list(map(self.runs.get, rest))
-        run = self._run
-        ids = [x or run(w) for x, w in zip(ids, rest, strict=True)]
-        return np.frombuffer(self._text(first) + b"".join(ids), self.dtype)
+        return np.frombuffer(self._library(text) if _CONTROLS.search(text) else self._text(text), self.dtype)
 
 
 _ENCODERS: dict[str, Encoder] = {}
